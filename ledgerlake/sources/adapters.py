@@ -195,6 +195,9 @@ def with_views(views, body: str) -> str:
     if not needed:
         return body
     ctes = ",\n".join(f"{n} AS ({duckdb_sql(n)}\n)" for n in needed)
+    stripped = body.lstrip()
+    if stripped[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{stripped[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
 
 
