@@ -56,18 +56,23 @@ def map_or_keep(df: DataFrame, column: str, lookup: DataFrame, key: str, value:
     return joined.withColumn(out or column, F.coalesce(F.col("__v"), df[column])).drop("__k", "__v")
 
 
-def fallback_lookup(df: DataFrame, lookup: DataFrame, paths: Sequence[tuple[Column, str]],
-                    value: str, out: str) -> DataFrame:
-    """Try key A, then key B, ...; first hit wins.
+def fallback_lookup(df: DataFrame, lookup: DataFrame, paths: Sequence[Mapping[str, Column | str]],
+                    value: str, out: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Try key path A, then key path B, ...; first hit wins.
 
-    ``paths`` is a list of (fact key expression, lookup key column).  Each path
-    is one left join against a key-deduplicated copy of the lookup."""
+    Each path maps lookup key columns to fact key expressions and becomes one
+    left join against a copy of the lookup deduplicated on that path's key."""
     result = df
     tmp = []
-    for i, (fact_key, lk_key) in enumerate(paths):
-        lk = (dedupe_lookup(lookup, [lk_key], [value], normalize_keys=False)
-              .select(F.col(lk_key).alias(f"__k{i}"), F.col(value).alias(f"__v{i}")))
-        result = result.join(lk, fact_key == F.col(f"__k{i}"), "left").drop(f"__k{i}")
+    for i, path in enumerate(paths):
+        keys = list(path)
+        lk = dedupe_lookup(lookup, keys, [value], order_by, normalize_keys=False)
+        lk = lk.select(*[F.col(k).alias(f"__f{i}_{k}") for k in keys], F.col(value).alias(f"__v{i}"))
+        cond = None
+        for k, fexpr in path.items():
+            e = _c(fexpr) == F.col(f"__f{i}_{k}")
+            cond = e if cond is None else (cond & e)
+        result = result.join(lk, cond, "left").drop(*[f"__f{i}_{k}" for k in keys])
         tmp.append(f"__v{i}")
     return result.withColumn(out, F.coalesce(*[F.col(t) for t in tmp])).drop(*tmp)
 
@@ -81,7 +86,7 @@ def resolve_name(df: DataFrame, name_col: str, producers: DataFrame, producer_ke
                  producer_value: str, out: str) -> DataFrame:
     """Exact-name match first, else match on the part after the last '.'."""
     return fallback_lookup(df, producers,
-                           [(F.col(name_col), producer_key), (last_name_part(F.col(name_col)), producer_key)],
+                           [{producer_key: F.col(name_col)}, {producer_key: last_name_part(F.col(name_col))}],
                            producer_value, out)
 
 
@@ -139,7 +144,7 @@ def like_join(facts: DataFrame, text_col: str, patterns: DataFrame, pattern_col:
     n = patterns.limit(max_patterns + 1).count()
     if n > max_patterns:
         raise ValueError(f"pattern table exceeds {max_patterns} rows; refusing a nested-loop join")
-    return facts.join(F.broadcast(patterns), facts[text_col].like(patterns[pattern_col]), how)
+    return facts.join(F.broadcast(patterns), F.like(facts[text_col], patterns[pattern_col]), how)
 
 
 def match_cascade(fact: DataFrame, lookup: DataFrame, rules: Sequence[Mapping], value: str,
