@@ -53,10 +53,9 @@ def first_in_group(df: DataFrame, keys: Sequence[str], order: str, out: str = "i
     """Flag the first (lowest ``order``) row of each group.  The group
     minimum is a partial aggregate joined back on the key (AQE splits a skewed
     key on the join), instead of a window over the whole group."""
-    mins = df.groupBy(*keys).agg(F.min(order).alias("__first"))
-    joined = df.join(mins, [df[k].eqNullSafe(mins[k]) for k in keys], "left")
-    for k in keys:
-        joined = joined.drop(mins[k])
+    mins = df.groupBy(*[F.col(k).alias(f"__fg_{k}") for k in keys]).agg(F.min(order).alias("__first"))
+    joined = df.join(mins, [F.col(k).eqNullSafe(F.col(f"__fg_{k}")) for k in keys], "left")
+    joined = joined.drop(*[f"__fg_{k}" for k in keys])
     return joined.withColumn(out, F.coalesce(F.col(order) == F.col("__first"), F.lit(False))).drop("__first")
 
 

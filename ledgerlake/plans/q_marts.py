@@ -1 +1,319 @@
-"""Verified queries."""
+"""Verified queries: the price-gap mart chain.
+
+The SQL twins are written as CTE chains; later models reuse the CTEs of the
+models they read, exactly as the Spark side composes the functions.
+"""
+
+from pyspark.sql import functions as F
+
+from ledgerlake.plans import pricegap as PG
+from ledgerlake.plans.registry import query
+from ledgerlake.sources.snapshot import max_of
+
+# ---------------------------------------------------------------- Spark side
+
+
+def _patterns(t):
+    noun = F.upper(F.split(F.col("p_name"), " ").getItem(1))
+    return t["part"].select(F.concat(F.lit("%"), noun, F.lit("%")).alias("pattern"), noun.alias("tag")).distinct()
+
+
+def item_map(t):
+    return PG.component_map(t["quotes"], _patterns(t), t["bom"])
+
+
+def kp_gap(t):
+    return PG.keypart_gap(t["quotes"], t["keypart_report"], t["fx_rates"], t["keypart_history"], t["item_code"])
+
+
+def cg_gap(t):
+    rep = t["keypart_report"]
+    return PG.cpugpu_gap(t["quotes"], t["price_history"], t["extra_rebate_src"], t["price_history"],
+                         max_of(rep.where(F.col("ds") == max_of(rep, "ds")), "gl_yearmonth"))
+
+
+def missed_rows(t):
+    h = t["price_history"].where(F.col("ag_no").isNull())
+    ic = t["item_code"]
+    j = h.join(ic, F.substring(h["item_no"], 1, 2) == ic["item_code"], "left")
+    return j.select("product_line", F.coalesce("category", F.lit("SSD")).alias("category"), "item_no", "period",
+                    (F.col("cogs_price").cast("double") - F.col("equo_price").cast("double")).alias("bs_gap"))
+
+
+def kp_part(t):
+    return PG.keypart_gap_by_part(kp_gap(t), missed_rows(t), item_map(t))
+
+
+def cg_part(t):
+    return PG.cpugpu_gap_by_part(cg_gap(t), item_map(t))
+
+
+def extra(t):
+    return PG.extra_rebate(t["keypart_result"], item_map(t), t["extra_rebate_src"])
+
+
+def sellout(t):
+    return PG.sellout_rebate(t["keypart_result"], item_map(t), t["sellout_src"])
+
+
+def spine(t):
+    return PG.costgap_spine(kp_part(t), cg_part(t), sellout(t), extra(t), t["opp_rebate"])
+
+# ---------------------------------------------------------------- SQL side
+
+
+ITEM_MAP_SQL = """patterns AS (SELECT DISTINCT '%' || upper(split_part(p_name, ' ', 2)) || '%' AS pattern,
+                           upper(split_part(p_name, ' ', 2)) AS tag FROM part),
+im_q AS (SELECT item_no, ag_no, item_desc, group_no FROM quotes
+         WHERE buying_mode = 'B' AND upper(product_no) IN ('NB', 'NR', 'NV')),
+im_tagged AS (SELECT q.*, coalesce(p.tag, '') AS tag FROM im_q q LEFT JOIN patterns p ON q.item_desc LIKE p.pattern),
+im_best AS (SELECT item_no, ag_no, item_desc, tag FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY CASE WHEN ag_no IS NOT NULL THEN 0 ELSE 1 END,
+    group_no DESC, ag_no DESC NULLS LAST, item_desc DESC NULLS LAST, tag DESC NULLS LAST) AS rn FROM im_tagged) x
+  WHERE rn = 1),
+im_main AS (SELECT part_number_kp, part_number_90, sum(kp_qty) AS kp_qty FROM bom WHERE substitute_type = 'M'
+            GROUP BY part_number_kp, part_number_90),
+item_map AS (SELECT b.item_no, b.ag_no, b.item_desc, m.part_number_90 AS part_number, b.tag, m.kp_qty
+             FROM im_best b LEFT JOIN im_main m ON b.item_no = m.part_number_kp)"""
+
+RANGE_SQL = """rep0 AS (SELECT * FROM keypart_report WHERE ds = (SELECT max(ds) FROM keypart_report)),
+rep AS (SELECT * FROM rep0 WHERE gl_yearmonth = (SELECT max(gl_yearmonth) FROM rep0)),
+rng AS (SELECT first_ym, strftime(strptime(first_ym, '%Y%m') + INTERVAL 1 MONTH, '%Y%m') AS second_ym,
+               strftime(strptime(first_ym, '%Y%m') + INTERVAL 2 MONTH, '%Y%m') AS third_ym
+        FROM (SELECT max(gl_yearmonth) AS first_ym FROM rep) a)"""
+
+MONTHS_IN = "((SELECT first_ym FROM rng), (SELECT second_ym FROM rng), (SELECT third_ym FROM rng))"
+
+KP_GAP_SQL = f"""scm AS (SELECT upper(q.product_no) AS product_line, q.ag_no, q.group_no, q.po_price,
+  CASE WHEN q.item_desc LIKE '%BRA%' THEN 'BR' WHEN ic.category IS NOT NULL THEN ic.category
+       WHEN q.item_desc LIKE 'GDDR%' THEN 'DDR' WHEN q.item_desc LIKE 'DDR%' THEN 'DDR'
+       WHEN q.item_desc LIKE 'LPD%' THEN 'DDR' WHEN q.item_desc LIKE 'LP%' THEN 'DDR' ELSE 'SSD' END AS category
+  FROM quotes q LEFT JOIN item_code ic ON substr(q.item_no, 1, 2) = ic.item_code
+  WHERE q.buying_mode = 'B' AND q.group_no IN {MONTHS_IN}),
+scm_avg AS (SELECT product_line, category, ag_no, group_no AS period,
+  CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS scm_price FROM scm
+  WHERE upper(category) IN ('BATT', 'SSD', 'LCD', 'HDD', 'DDR', 'FLASH') GROUP BY 1, 2, 3, 4),
+ntd AS (SELECT CAST(max(fx_rate) AS DOUBLE) AS r FROM fx_rates
+        WHERE period = (SELECT first_ym FROM rng) AND product_line = 'NB'),
+rep_sum AS (SELECT product_line, category, ag_no,
+  CAST(CAST(sum(TRY_CAST(net_sale_amount AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) AS net,
+  CAST(CAST(sum(TRY_CAST(material_cost AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) AS cost,
+  CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) AS qty
+  FROM rep GROUP BY 1, 2, 3),
+rep_data AS (SELECT product_line, category, ag_no,
+  (net / NULLIF(qty, 0)) / NULLIF((SELECT r FROM ntd), 0) AS rep_equo,
+  (cost / NULLIF(qty, 0)) / NULLIF((SELECT r FROM ntd), 0) AS rep_cogs FROM rep_sum),
+kp_final AS (SELECT coalesce(s.product_line, r.product_line) AS product_line, coalesce(s.category, r.category) AS category,
+  coalesce(s.ag_no, r.ag_no) AS ag_no, s.period,
+  CASE WHEN s.period = (SELECT first_ym FROM rng) THEN r.rep_equo ELSE s.scm_price END AS equo_price,
+  r.rep_cogs AS cogs_price
+  FROM scm_avg s FULL OUTER JOIN rep_data r
+    ON s.product_line = r.product_line AND s.category = r.category AND s.ag_no = r.ag_no),
+kp_hist AS (SELECT product_line, category, ag_no, period, equo_price, cogs_price FROM keypart_history
+            WHERE ds = (SELECT max(ds) FROM keypart_history)),
+kp_hist_max AS (SELECT * FROM kp_hist WHERE period = (SELECT max(period) FROM kp_hist)),
+kp_products AS (SELECT product_line, category, ag_no FROM kp_final UNION SELECT product_line, category, ag_no FROM kp_hist),
+kp_periods AS (SELECT period FROM kp_final UNION SELECT period FROM kp_hist),
+kp_skel AS (SELECT p.product_line, p.category, p.ag_no, t.period FROM kp_products p CROSS JOIN kp_periods t
+            WHERE t.period IS NOT NULL),
+kp_gap AS (SELECT s.product_line, s.category, s.ag_no, s.period,
+  coalesce(fd.equo_price, ka.equo_price, km.equo_price) AS equo_price,
+  coalesce(fd.cogs_price, ka.cogs_price, km.cogs_price) AS cogs_price,
+  coalesce(fd.cogs_price, ka.cogs_price, km.cogs_price) - coalesce(fd.equo_price, ka.equo_price, km.equo_price) AS bs_gap
+  FROM kp_skel s
+  LEFT JOIN kp_final fd ON s.product_line = fd.product_line AND s.category = fd.category AND s.ag_no = fd.ag_no
+    AND s.period = fd.period
+  LEFT JOIN kp_hist ka ON s.product_line = ka.product_line AND s.category = ka.category AND s.ag_no = ka.ag_no
+    AND s.period = ka.period
+  LEFT JOIN kp_hist_max km ON s.product_line = km.product_line AND s.category = km.category AND s.ag_no = km.ag_no)"""
+
+CG_GAP_SQL = f"""c_scm AS (SELECT upper(product_no) AS product_line, item_no, group_no AS period,
+  CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS scm_price FROM quotes
+  WHERE buying_mode = 'B' AND group_no IN {MONTHS_IN} AND (item_no LIKE '01%' OR item_no LIKE '02%')
+  GROUP BY 1, 2, 3),
+c_pac AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS pac FROM price_history),
+c_reb AS (SELECT product_line, item_no, period, CAST(sum(extra_rebate) AS DOUBLE) AS rebate FROM extra_rebate_src
+          GROUP BY 1, 2, 3),
+c_x AS (SELECT coalesce(s.product_line, p.product_line) AS product_line, coalesce(s.item_no, p.item_no) AS item_no,
+  coalesce(s.period, p.period) AS period, s.scm_price, p.pac
+  FROM c_scm s FULL OUTER JOIN c_pac p ON s.product_line = p.product_line AND s.item_no = p.item_no AND s.period = p.period),
+c_j AS (SELECT coalesce(x.product_line, r.product_line) AS product_line, coalesce(x.item_no, r.item_no) AS item_no,
+  coalesce(x.period, r.period) AS period, x.scm_price, x.pac, r.rebate
+  FROM c_x x FULL OUTER JOIN c_reb r ON x.product_line = r.product_line AND x.item_no = r.item_no AND x.period = r.period),
+c_final AS (SELECT product_line, item_no, period,
+  CASE WHEN coalesce(period = min(period) OVER (PARTITION BY product_line, item_no), false) THEN pac ELSE scm_price END
+    AS equo_price, pac AS cogs_price, rebate FROM c_j),
+c_hist AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS equo_price,
+  CAST(cogs_price AS DOUBLE) AS cogs_price, CAST(NULL AS DOUBLE) AS rebate FROM price_history),
+c_hist_max AS (SELECT * FROM c_hist WHERE period = (SELECT max(period) FROM c_hist)),
+c_products AS (SELECT product_line, item_no FROM c_final UNION SELECT product_line, item_no FROM c_hist),
+c_periods AS (SELECT period FROM c_final UNION SELECT period FROM c_hist),
+c_skel AS (SELECT p.product_line, p.item_no, t.period FROM c_products p CROSS JOIN c_periods t WHERE t.period IS NOT NULL),
+c_fill AS (SELECT s.product_line, s.item_no, s.period,
+  coalesce(f.equo_price, h.equo_price, m.equo_price) AS equo_price,
+  coalesce(f.cogs_price, h.cogs_price, m.cogs_price) AS cogs_price,
+  coalesce(f.rebate, h.rebate, m.rebate) AS rebate
+  FROM c_skel s
+  LEFT JOIN c_final f ON s.product_line = f.product_line AND s.item_no = f.item_no AND s.period = f.period
+  LEFT JOIN c_hist h ON s.product_line = h.product_line AND s.item_no = h.item_no AND s.period = h.period
+  LEFT JOIN c_hist_max m ON s.product_line = m.product_line AND s.item_no = m.item_no),
+cg_gap AS (SELECT *, CASE WHEN substr(item_no, 1, 2) = '01' THEN 'CPU' ELSE 'GPU' END AS category,
+  CASE WHEN equo_price IS NOT NULL AND cogs_price IS NOT NULL THEN cogs_price - equo_price END AS bs_gap FROM c_fill)"""
+
+_GAP_TERM = "CAST(r.bs_gap * CAST(coalesce(g.kp_qty, i.kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9))"
+_Z9 = "CAST(0 AS DECIMAL(38,9))"
+
+KP_PART_SQL = f"""missed AS (SELECT h.product_line, coalesce(ic.category, 'SSD') AS category, h.item_no, h.period,
+  CAST(h.cogs_price AS DOUBLE) - CAST(h.equo_price AS DOUBLE) AS bs_gap
+  FROM price_history h LEFT JOIN item_code ic ON substr(h.item_no, 1, 2) = ic.item_code WHERE h.ag_no IS NULL),
+kpp_rows AS (SELECT product_line, category, ag_no, CAST(NULL AS VARCHAR) AS item_no, period, bs_gap FROM kp_gap
+  UNION SELECT product_line, category, CAST(NULL AS VARCHAR) AS ag_no, item_no, period, bs_gap FROM missed),
+kpp_m AS (SELECT *, substr(part_number, 3, 2) AS map_pl FROM item_map),
+kpp_g AS (SELECT DISTINCT map_pl, ag_no, part_number, kp_qty FROM kpp_m),
+kpp_i AS (SELECT DISTINCT map_pl, item_no, part_number, kp_qty FROM kpp_m),
+kp_part AS (SELECT r.product_line, r.period, coalesce(g.part_number, i.part_number) AS part_number,
+  sum(CASE WHEN upper(r.category) IN ('LCD') THEN {_GAP_TERM} ELSE {_Z9} END) AS lcd_gap,
+  sum(CASE WHEN upper(r.category) IN ('SSD', 'HDD', 'FLASH') THEN {_GAP_TERM} ELSE {_Z9} END) AS ssd_gap,
+  sum(CASE WHEN upper(r.category) IN ('DDR') THEN {_GAP_TERM} ELSE {_Z9} END) AS ddr_gap,
+  sum(CASE WHEN upper(r.category) IN ('BATT') THEN {_GAP_TERM} ELSE {_Z9} END) AS batt_gap
+  FROM kpp_rows r LEFT JOIN kpp_g g ON r.product_line = g.map_pl AND r.ag_no = g.ag_no
+  LEFT JOIN kpp_i i ON r.product_line = i.map_pl AND r.item_no = i.item_no
+  GROUP BY 1, 2, 3)"""
+
+_CG_TERM = "CAST({c} * CAST(coalesce(m.kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9))"
+CG_PART_SQL = f"""cgp_m AS (SELECT DISTINCT item_no, part_number, kp_qty FROM item_map),
+cg_part AS (SELECT g.product_line, g.period, m.part_number,
+  sum(CASE WHEN g.category = 'CPU' THEN {_CG_TERM.format(c='g.bs_gap')} ELSE {_Z9} END) AS cpu_gap,
+  sum(CASE WHEN g.category = 'CPU' THEN {_CG_TERM.format(c='g.rebate')} ELSE {_Z9} END) AS cpu_rebate,
+  sum(CASE WHEN g.category = 'GPU' THEN {_CG_TERM.format(c='g.bs_gap')} ELSE {_Z9} END) AS gpu_gap,
+  sum(CASE WHEN g.category = 'GPU' THEN {_CG_TERM.format(c='g.rebate')} ELSE {_Z9} END) AS gpu_rebate
+  FROM cg_gap g LEFT JOIN cgp_m m ON g.item_no = m.item_no GROUP BY 1, 2, 3)"""
+
+EXTRA_SQL = """ex_res AS (SELECT DISTINCT product_line, part_number, model_name FROM keypart_result
+                WHERE ds = (SELECT max(ds) FROM keypart_result)),
+ex_grp AS (SELECT DISTINCT item_no, part_number FROM item_map),
+ex_reb AS (SELECT DISTINCT item_no, product_line, cpu, extra_rebate, period FROM extra_rebate_src
+           WHERE ds = (SELECT max(ds) FROM extra_rebate_src)),
+extra AS (SELECT DISTINCT r.product_line, b.cpu, b.extra_rebate, b.period, r.part_number, r.model_name
+  FROM ex_res r LEFT JOIN ex_grp g ON r.part_number = g.part_number
+  LEFT JOIN ex_reb b ON g.item_no = b.item_no AND r.product_line = b.product_line
+  WHERE b.extra_rebate IS NOT NULL
+    AND (NOT (r.product_line = 'NV' AND upper(b.cpu) = 'PROMO') OR r.model_name = 'Brand#13'))"""
+
+SELLOUT_SQL = """so_res AS (SELECT DISTINCT product_line, part_number FROM keypart_result
+                WHERE ds = (SELECT max(ds) FROM keypart_result) AND product_line = 'NV'),
+so_grp AS (SELECT DISTINCT item_no, part_number FROM item_map),
+so_src AS (SELECT DISTINCT item_no, product_line, reb, period FROM sellout_src
+           WHERE ds = (SELECT max(ds) FROM sellout_src)),
+sellout AS (SELECT DISTINCT r.product_line, s.period, r.part_number, s.reb
+  FROM so_res r LEFT JOIN so_grp g ON r.part_number = g.part_number
+  LEFT JOIN so_src s ON g.item_no = s.item_no AND r.product_line = s.product_line
+  WHERE s.reb IS NOT NULL)"""
+
+_SP_KEYS = "product_line, period, part_number"
+SPINE_SQL = f"""sp_keys AS (SELECT {_SP_KEYS} FROM kp_part UNION SELECT {_SP_KEYS} FROM cg_part
+  UNION SELECT {_SP_KEYS} FROM sellout UNION SELECT {_SP_KEYS} FROM extra
+  UNION SELECT product_line, period, sku90pn FROM opp_rebate),
+sp_kp AS (SELECT {_SP_KEYS}, sum(lcd_gap) AS lcd_gap, sum(ssd_gap) AS ssd_gap, sum(ddr_gap) AS ddr_gap,
+          sum(batt_gap) AS batt_gap FROM kp_part GROUP BY 1, 2, 3),
+sp_cg AS (SELECT {_SP_KEYS}, sum(cpu_gap) AS cpu_gap, sum(cpu_rebate) AS cpu_rebate, sum(gpu_gap) AS gpu_gap,
+          sum(gpu_rebate) AS gpu_rebate FROM cg_part GROUP BY 1, 2, 3),
+sp_nv AS (SELECT {_SP_KEYS}, sum(CAST(reb AS DECIMAL(34,15))) AS nv_rebate FROM sellout GROUP BY 1, 2, 3),
+sp_ex AS (SELECT {_SP_KEYS}, sum(CAST(extra_rebate AS DECIMAL(34,15))) AS cpu_extra_rebate FROM extra GROUP BY 1, 2, 3),
+sp_op AS (SELECT product_line, period, sku90pn AS part_number, sum(CAST(opp_rebate AS DECIMAL(34,15))) AS opp_rebate
+          FROM opp_rebate GROUP BY 1, 2, 3),
+costgap AS (SELECT k.product_line, k.period, k.part_number,
+  CAST(coalesce(a.lcd_gap, 0) AS DECIMAL(38,9)) AS lcd_gap, CAST(coalesce(a.ssd_gap, 0) AS DECIMAL(38,9)) AS ssd_gap,
+  CAST(coalesce(a.ddr_gap, 0) AS DECIMAL(38,9)) AS ddr_gap, CAST(coalesce(a.batt_gap, 0) AS DECIMAL(38,9)) AS batt_gap,
+  CAST(coalesce(b.cpu_gap, 0) AS DECIMAL(38,9)) AS cpu_gap, CAST(coalesce(b.cpu_rebate, 0) AS DECIMAL(38,9)) AS cpu_rebate,
+  CAST(coalesce(b.gpu_gap, 0) AS DECIMAL(38,9)) AS gpu_gap, CAST(coalesce(b.gpu_rebate, 0) AS DECIMAL(38,9)) AS gpu_rebate,
+  CAST(coalesce(c.nv_rebate, 0) AS DECIMAL(38,15)) AS nv_rebate,
+  CAST(coalesce(d.cpu_extra_rebate, 0) AS DECIMAL(38,15)) AS cpu_extra_rebate,
+  CAST(coalesce(e.opp_rebate, 0) AS DECIMAL(38,15)) AS opp_rebate
+  FROM sp_keys k
+  LEFT JOIN sp_kp a ON k.product_line IS NOT DISTINCT FROM a.product_line AND k.period IS NOT DISTINCT FROM a.period
+    AND k.part_number IS NOT DISTINCT FROM a.part_number
+  LEFT JOIN sp_cg b ON k.product_line IS NOT DISTINCT FROM b.product_line AND k.period IS NOT DISTINCT FROM b.period
+    AND k.part_number IS NOT DISTINCT FROM b.part_number
+  LEFT JOIN sp_nv c ON k.product_line IS NOT DISTINCT FROM c.product_line AND k.period IS NOT DISTINCT FROM c.period
+    AND k.part_number IS NOT DISTINCT FROM c.part_number
+  LEFT JOIN sp_ex d ON k.product_line IS NOT DISTINCT FROM d.product_line AND k.period IS NOT DISTINCT FROM d.period
+    AND k.part_number IS NOT DISTINCT FROM d.part_number
+  LEFT JOIN sp_op e ON k.product_line IS NOT DISTINCT FROM e.product_line AND k.period IS NOT DISTINCT FROM e.period
+    AND k.part_number IS NOT DISTINCT FROM e.part_number)"""
+
+_GAP_VIEWS = ["quotes", "bom", "keypart_report", "keypart_history", "fx_rates", "item_code", "price_history",
+              "extra_rebate_src", "sellout_src", "keypart_result", "opp_rebate", "os_incentive"]
+
+# ---------------------------------------------------------------- registered queries
+
+
+@query("item_bom_map", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}
+SELECT item_no, ag_no, item_desc, part_number, tag, CAST(kp_qty AS DECIMAL(38,2)) AS kp_qty FROM item_map""")
+def item_bom_map_q(t):
+    """Component → group/description/tag → finished parts."""
+    return item_map(t).withColumn("kp_qty", F.col("kp_qty").cast("decimal(38,2)"))
+
+
+@query("keypart_gap", _GAP_VIEWS, f"""WITH {RANGE_SQL}, {KP_GAP_SQL}
+SELECT product_line, category, ag_no, period, equo_price, cogs_price, bs_gap FROM kp_gap""")
+def keypart_gap_q(t):
+    """Key-part price gap with skeleton and carry-forward history."""
+    return kp_gap(t).select("product_line", "category", "ag_no", "period", "equo_price", "cogs_price", "bs_gap")
+
+
+@query("cpugpu_gap", _GAP_VIEWS, f"""WITH {RANGE_SQL}, {CG_GAP_SQL}
+SELECT product_line, item_no, period, category, equo_price, cogs_price, rebate, bs_gap FROM cg_gap""")
+def cpugpu_gap_q(t):
+    """CPU/GPU gap: three-way full outer, first-period override, history fill."""
+    return cg_gap(t).select("product_line", "item_no", "period", "category", "equo_price", "cogs_price", "rebate",
+                            "bs_gap")
+
+
+@query("keypart_gap_by_part", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {RANGE_SQL}, {KP_GAP_SQL}, {KP_PART_SQL}
+SELECT * FROM kp_part""")
+def keypart_gap_by_part_q(t):
+    """Key-part gaps per finished part and category family."""
+    return kp_part(t)
+
+
+@query("cpugpu_gap_by_part", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {RANGE_SQL}, {CG_GAP_SQL}, {CG_PART_SQL}
+SELECT * FROM cg_part""")
+def cpugpu_gap_by_part_q(t):
+    """CPU/GPU gap and rebate per finished part."""
+    return cg_part(t)
+
+
+@query("extra_rebate", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {EXTRA_SQL}
+SELECT * FROM extra""")
+def extra_rebate_q(t):
+    """Extra rebate expanded to finished parts with the variant rule."""
+    return extra(t)
+
+
+@query("sellout_rebate", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {SELLOUT_SQL}
+SELECT * FROM sellout""")
+def sellout_rebate_q(t):
+    """NV sell-out rebate expanded to finished parts."""
+    return sellout(t)
+
+
+@query("costgap_spine", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {RANGE_SQL}, {KP_GAP_SQL}, {KP_PART_SQL}, {CG_GAP_SQL}, {CG_PART_SQL},
+{EXTRA_SQL}, {SELLOUT_SQL}, {SPINE_SQL}
+SELECT * FROM costgap""")
+def costgap_spine_q(t):
+    """Cost-gap spine over the five gap / rebate inputs."""
+    s = spine(t)
+    nine = ["lcd_gap", "ssd_gap", "ddr_gap", "batt_gap", "cpu_gap", "cpu_rebate", "gpu_gap", "gpu_rebate"]
+    return s.select("product_line", "period", "part_number",
+                    *[F.col(c).cast("decimal(38,9)").alias(c) for c in nine],
+                    *[F.col(c).cast("decimal(38,15)").alias(c) for c in ("nv_rebate", "cpu_extra_rebate", "opp_rebate")])
+
+
+@query("explode_item_list", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {RANGE_SQL}, {KP_GAP_SQL}, {CG_GAP_SQL}
+SELECT m.item_no FROM kp_gap k LEFT JOIN item_map m ON k.ag_no = m.ag_no
+UNION SELECT item_no FROM cg_gap
+UNION SELECT os_part_number FROM os_incentive WHERE ds = (SELECT max(ds) FROM os_incentive)""")
+def explode_item_list_q(t):
+    """Items whose cost must be exploded to finished parts."""
+    return PG.explode_item_list(kp_gap(t), cg_gap(t), item_map(t), t["os_incentive"])

@@ -156,6 +156,55 @@ SELECT lpad(CAST(p.p_partkey AS STRING), 6, '0') AS column_id,
 FROM {part} p JOIN {nation} n ON p.p_partkey % 25 = n.n_nationkey""",
 }
 
+# Mart sources of the price-gap chain (D13-D21), same derivation rules.
+_PARENT_PL = "CASE (a.p_partkey + 1) % 3 WHEN 0 THEN 'NB' WHEN 1 THEN 'NR' ELSE 'NV' END"
+VIEWS.update({
+    # item-code → key-part category lookup ('03' codes are absent on purpose)
+    "item_code": """
+SELECT DISTINCT substr(item_no, 1, 2) AS item_code,
+  CASE substr(item_no, 1, 2) WHEN '00' THEN 'LCD' WHEN '01' THEN 'BATT' ELSE 'DDR' END AS category
+FROM {part_attr} WHERE substr(item_no, 1, 2) <> '03'""",
+    # financial key-part report (text amounts, one snapshot)
+    "keypart_report": """
+SELECT f.product_line_id AS product_line, coalesce(ic.category, 'SSD') AS category, a.ag_no,
+  f.period AS gl_yearmonth, CAST(f.revenue AS STRING) AS net_sale_amount,
+  CAST(a.price AS STRING) AS material_cost, CAST(f.all_qty AS STRING) AS quantity, '20240131' AS ds
+FROM {fact_sales} f JOIN {part_attr} a ON f.l_partkey = a.p_partkey
+LEFT JOIN {item_code} ic ON substr(a.item_no, 1, 2) = ic.item_code""",
+    # the key-part gap model's own stored output (one row per key and period)
+    "keypart_history": """
+SELECT h.product_line, coalesce(ic.category, 'SSD') AS category, h.ag_no, h.period,
+  CAST(sum(h.equo_price) AS DOUBLE) / NULLIF(CAST(count(h.equo_price) AS DOUBLE), 0) AS equo_price,
+  CAST(sum(h.cogs_price) AS DOUBLE) / NULLIF(CAST(count(h.cogs_price) AS DOUBLE), 0) AS cogs_price,
+  '20240131' AS ds
+FROM {price_history} h LEFT JOIN {item_code} ic ON substr(h.item_no, 1, 2) = ic.item_code
+GROUP BY h.product_line, coalesce(ic.category, 'SSD'), h.ag_no, h.period""",
+    # finished-part attribute result (product line from the part number)
+    "keypart_result": """
+SELECT substr(part_number, 3, 2) AS product_line, part_number, upper(cpu) AS cpu, model_name, '20240131' AS ds
+FROM {part_attr}""",
+    "extra_rebate_src": f"""
+SELECT a.item_no, {_PARENT_PL} AS product_line, upper(a.cpu) AS cpu,
+  CAST(a.p_partkey % 7 AS DECIMAL(10,4)) AS extra_rebate, m.period, '20240131' AS ds
+FROM {{part_attr}} a
+JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(31)}""",
+    "sellout_src": f"""
+SELECT a.item_no, {_PARENT_PL} AS product_line, a.model_name AS product_number,
+  CAST(a.p_partkey % 5 + 1 AS DECIMAL(10,4)) AS reb, m.period, '20240131' AS ds
+FROM {{part_attr}} a
+JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(29)}""",
+    "opp_rebate": f"""
+SELECT a.part_number AS sku90pn, substr(a.part_number, 3, 2) AS product_line, m.period,
+  CAST(a.p_partkey % 4 AS DECIMAL(10,4)) AS opp_rebate, '20240131' AS ds
+FROM {{part_attr}} a
+JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(37)}""",
+    "os_incentive": f"""
+SELECT a.part_number AS os_part_number, m.period, CAST(1 + a.p_partkey % 3 AS DECIMAL(10,4)) AS inc,
+  '20240131' AS ds
+FROM {{part_attr}} a
+JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(41)}""",
+})
+
 _PLACEHOLDER = re.compile(r"\{([a-z_]+)\}")
 
 
