@@ -88,6 +88,15 @@ def null_guarded_diff(a, b) -> Column:
     return F.when(_c(a).isNotNull() & _c(b).isNotNull(), (_c(a).cast(MONEY) - _c(b).cast(MONEY)).cast(MONEY))
 
 
+def fixed6(x) -> Column:
+    """A DOUBLE amount as DECIMAL(38,6), halves rounded toward +inf.
+
+    The rounding is done with IEEE operations (``floor(x*1e6 + 0.5) / 1e6``)
+    that every engine evaluates identically; the result is then an exact
+    6-decimal value, so the final cast cannot round differently anywhere."""
+    return (F.floor(_c(x).cast("double") * 1000000.0 + 0.5) / 1000000.0).cast("decimal(38,6)")
+
+
 def gated(condition: Column, value) -> Column:
     """Value where ``condition`` holds, NULL elsewhere."""
     return F.when(condition, _c(value))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,37 @@ def first_in_group(df: DataFrame, keys: Sequence[str], order: str, out: str = "i
     return joined.withColumn(out, F.coalesce(F.col(order) == F.col("__first"), F.lit(False))).drop("__first")
 
 
+def asof_attach(fact: DataFrame, table: DataFrame, on: dict, fact_period: str, value: str, out: str,
+                table_period: str = "period") -> DataFrame:
+    """J11 generalised per row: attach ``value`` of the table row with the
+    latest period at or before the fact row's own period, per key.
+
+    Scale: the as-of search runs on the *distinct* (key, period) pairs of the
+    fact — bounded by keys × calendar months, so a hot key contributes at most
+    one row per month — merged with the table's (key, period) rows and scanned
+    by one window per key carrying the last table period forward.  The result
+    is equi-joined back to the table (value) and to the fact (key, period)."""
+    keys = list(on)
+    k_alias = [f"__a_{i}" for i in range(len(keys))]
+    fk = fact.select(*[(F.col(on[k]) if isinstance(on[k], str) else on[k]).alias(a) for k, a in zip(keys, k_alias)],
+                     F.col(fact_period).alias("__a_p")).distinct()
+    tk = (table.select(*[F.col(k).alias(a) for k, a in zip(keys, k_alias)], F.col(table_period).alias("__a_p"))
+          .na.drop(subset=k_alias).distinct())
+    merged = (fk.withColumn("__a_t", F.lit(0))
+              .unionByName(tk.withColumn("__a_t", F.lit(1))))
+    w = (Window.partitionBy(*k_alias).orderBy(F.col("__a_p").asc(), F.col("__a_t").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    asof = (merged.withColumn("__a_asof", F.last(F.when(F.col("__a_t") == 1, F.col("__a_p")), ignorenulls=True).over(w))
+            .where(F.col("__a_t") == 0).drop("__a_t"))
+    tv = table.select(*[F.col(k).alias(f"{a}_t") for k, a in zip(keys, k_alias)],
+                      F.col(table_period).alias("__a_tp"), F.col(value).alias(out))
+    cond = [F.col(a) == F.col(f"{a}_t") for a in k_alias] + [F.col("__a_asof") == F.col("__a_tp")]
+    asof = asof.join(tv, cond, "left").select(*k_alias, "__a_p", out)
+    fcond = [(F.col(on[k]) if isinstance(on[k], str) else on[k]) == F.col(a) for k, a in zip(keys, k_alias)]
+    fcond.append(F.col(fact_period) == F.col("__a_p"))
+    return fact.join(asof, fcond, "left").drop(*k_alias, "__a_p")
+
+
 def two_level_agg(df: DataFrame, keys: Sequence[str], period: str, value: str, anchor: Column | None,
                   out: str) -> DataFrame:
     """Average per (key, period), then the latest period per key (at or

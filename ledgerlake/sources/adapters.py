@@ -205,6 +205,21 @@ FROM {{part_attr}} a
 JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(41)}""",
 })
 
+# Stored accumulator snapshots (all-text contract, two snapshot days each).
+_ACCUM_COLS = """CAST(l_orderkey AS STRING) AS l_orderkey, CAST(l_linenumber AS STRING) AS l_linenumber,
+  source, product_line_id, part_number, period, CAST(all_qty AS STRING) AS all_qty,
+  CAST(revenue AS STRING) AS gp_pod, CAST(revenue AS STRING) AS gp_net, CAST(all_qty AS STRING) AS hq_rev"""
+VIEWS.update({
+    "gp_monthly_accum": "\nUNION ALL\n".join(
+        f"SELECT {_ACCUM_COLS}, '2024-01-01 08:00:00' AS dw_ins_time, '{d}' AS ds FROM {{fact_sales}} "
+        f"WHERE period < '{cut}'"
+        for d, cut in (("20240130", "199906"), ("20240131", "199912"))),
+    "gp_weekly_accum": "\nUNION ALL\n".join(
+        f"SELECT {_ACCUM_COLS}, '2024-01-01 08:00:00' AS dw_ins_time, '{d}' AS ds FROM {{fact_sales}} "
+        f"WHERE period >= '{lo}'"
+        for d, lo in (("20240130", "200001"), ("20240131", "200006"))),
+})
+
 _PLACEHOLDER = re.compile(r"\{([a-z_]+)\}")
 
 
