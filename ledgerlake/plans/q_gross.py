@@ -7,7 +7,7 @@ from ledgerlake.functions.money import fixed6
 from ledgerlake.plans import grossprofit as GP
 from ledgerlake.plans.q_marts import ITEM_MAP_SQL, EXTRA_SQL, SELLOUT_SQL, extra, sellout
 from ledgerlake.plans.q_relational import CN_CASCADE_SQL, cn_cascade
-from ledgerlake.plans.registry import query
+from ledgerlake.plans.registry import query, shared
 
 _VIEWS = ["fact_sales", "part_attr", "fx_rates", "cn_rates", "branch_freight", "funding", "os_incentive",
           "opp_rebate", "cost_pn", "cost_branch", "quotes", "bom", "keypart_result", "extra_rebate_src",
@@ -19,11 +19,13 @@ BATCH_DS = "20240201"
 # ---------------------------------------------------------------- Spark side
 
 
+@shared
 def candidates(t):
     f = t["fact_sales"].join(t["part_attr"].select("part_number", "model_name", "cpu"), "part_number", "left")
     return GP.candidate_costs(f, t["cost_pn"], t["cost_branch"])
 
 
+@shared
 def enriched(t, monthly: bool):
     return GP.enriched_fact(t["fact_sales"], t["part_attr"], t["fx_rates"], cn_cascade(t), t["branch_freight"],
                             t["funding"], t["os_incentive"], t["opp_rebate"], extra(t), sellout(t), t["cost_pn"],
@@ -38,6 +40,7 @@ GP_COLUMNS = ["l_orderkey", "l_linenumber", "source", "product_line_id", "part_n
               "gp_pod_rmb", "hq_gp_rmb", "gp_net_rmb"]
 
 
+@shared
 def gross(t, monthly: bool = True):
     return GP.gross_profit(enriched(t, monthly), t["fx_rates"]).select(*GP_COLUMNS)
 

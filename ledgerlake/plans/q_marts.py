@@ -7,7 +7,7 @@ models they read, exactly as the Spark side composes the functions.
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import pricegap as PG
-from ledgerlake.plans.registry import query
+from ledgerlake.plans.registry import query, shared
 from ledgerlake.sources.snapshot import max_of
 
 # ---------------------------------------------------------------- Spark side
@@ -18,20 +18,24 @@ def _patterns(t):
     return t["part"].select(F.concat(F.lit("%"), noun, F.lit("%")).alias("pattern"), noun.alias("tag")).distinct()
 
 
+@shared
 def item_map(t):
     return PG.component_map(t["quotes"], _patterns(t), t["bom"])
 
 
+@shared
 def kp_gap(t):
     return PG.keypart_gap(t["quotes"], t["keypart_report"], t["fx_rates"], t["keypart_history"], t["item_code"])
 
 
+@shared
 def cg_gap(t):
     rep = t["keypart_report"]
     return PG.cpugpu_gap(t["quotes"], t["price_history"], t["extra_rebate_src"], t["price_history"],
                          max_of(rep.where(F.col("ds") == max_of(rep, "ds")), "gl_yearmonth"))
 
 
+@shared
 def missed_rows(t):
     h = t["price_history"].where(F.col("ag_no").isNull())
     ic = t["item_code"]
@@ -40,18 +44,22 @@ def missed_rows(t):
                     (F.col("cogs_price").cast("double") - F.col("equo_price").cast("double")).alias("bs_gap"))
 
 
+@shared
 def kp_part(t):
     return PG.keypart_gap_by_part(kp_gap(t), missed_rows(t), item_map(t))
 
 
+@shared
 def cg_part(t):
     return PG.cpugpu_gap_by_part(cg_gap(t), item_map(t))
 
 
+@shared
 def extra(t):
     return PG.extra_rebate(t["keypart_result"], item_map(t), t["extra_rebate_src"])
 
 
+@shared
 def sellout(t):
     return PG.sellout_rebate(t["keypart_result"], item_map(t), t["sellout_src"])
 

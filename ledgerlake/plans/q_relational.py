@@ -11,7 +11,7 @@ from ledgerlake.operators import asof as W
 from ledgerlake.operators import lookup as L
 from ledgerlake.operators import setops as U
 from ledgerlake.operators import spine as S
-from ledgerlake.plans.registry import query
+from ledgerlake.plans.registry import query, shared
 from ledgerlake.sources.snapshot import latest_snapshot, max_of
 
 # ---------------------------------------------------------------- joins
@@ -202,6 +202,7 @@ cascade AS (
   LEFT JOIN r4 ON r4.source = f.source AND r4.product_line = f.product_line_id AND r4.period = f.period)"""
 
 
+@shared
 def cn_cascade(t):
     """Credit-note rate by a four-rule first-match cascade (shared by J12 and D8)."""
     f = t["fact_sales"]

@@ -36,6 +36,15 @@ def query(key: str, views: Sequence[str] = (), sql: str | None = None):
     return deco
 
 
+def shared(fn):
+    """Memoise a sub-plan builder ``fn(t, *args)`` per table set."""
+    def wrapper(t: MartTables, *args):
+        return t.memo(f"{fn.__module__}.{fn.__qualname__}{args!r}", lambda: fn(t, *args))
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def load_all() -> None:
     """Import every module that registers queries."""
     from ledgerlake.plans import (  # noqa: F401

@@ -276,6 +276,14 @@ class MartTables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.get(name)
 
+    def memo(self, key: str, builder) -> DataFrame:
+        """Build a derived (lazy) frame once per table set, so a sub-plan shared
+        by several models is one DataFrame (and one plan-time size check)."""
+        k = f"memo:{key}"
+        if k not in self._frames:
+            self._frames[k] = builder()
+        return self._frames[k]
+
     def get(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in DRIVER_TABLES:
