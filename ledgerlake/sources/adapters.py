@@ -220,6 +220,88 @@ VIEWS.update({
         for d, lo in (("20240130", "200001"), ("20240131", "200006"))),
 })
 
+# Uploaded sheets of the ingest layer (D1-D12) and their lookup tables.
+_DEC2 = "CAST(l.l_extendedprice AS DECIMAL(18,2))"
+VIEWS.update({
+    "acc_sheet": f"""
+SELECT 'OU' || CAST(l.l_suppkey % 9 AS STRING) || '-CN-SH' AS ou,
+  CASE WHEN l.l_linenumber % 2 = 0 THEN 'W12' ELSE 'W24' END AS warranty,
+  'ORG' || CAST(l.l_suppkey % 7 AS STRING) AS org,
+  CASE WHEN l.l_linenumber % 2 = 0
+       THEN CAST(year(l.l_shipdate) AS STRING) || '-' || lpad(CAST(month(l.l_shipdate) AS STRING), 2, '0')
+       ELSE CAST(year(l.l_shipdate) * 100 + month(l.l_shipdate) AS STRING) END AS period,
+  CASE l.l_linenumber % 6 WHEN 0 THEN 'Rtn order' WHEN 2 THEN 'Sales Discount' WHEN 3 THEN NULL
+       WHEN 4 THEN 'reject-x' ELSE o.o_orderpriority END AS order_type,
+  CASE l.l_linenumber % 3 WHEN 0 THEN 'abc-btc1' WHEN 1 THEN 'abc-3C' ELSE 'abc-xx' END AS bill_to_location,
+  s.s_name AS csid, {_PART_NUMBER.format(k='l.l_partkey')} AS item, p.p_name AS item_description,
+  CAST(CAST(l.l_quantity AS DECIMAL(10,2)) AS STRING) AS quantity,
+  CASE WHEN l.l_partkey % 9 = 0 THEN 'ACC' ELSE ' FG ' END AS category,
+  CASE l.l_partkey % 11 WHEN 0 THEN 'NB ACCY' WHEN 1 THEN 'NR-ACCESSORY' WHEN 2 THEN NULL ELSE 'NB' END AS series,
+  l.l_linestatus || ' ' AS class_code, {_PL.format(k='l.l_partkey')} AS apply_prod_line,
+  CAST({_DEC2} AS STRING) AS sales_revenue,
+  CAST({_DEC2} * CAST(l.l_discount AS DECIMAL(6,4)) AS STRING) AS sales_discount,
+  CAST({_DEC2} - {_DEC2} * CAST(l.l_discount AS DECIMAL(6,4)) AS STRING) AS sales_net,
+  CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS DECIMAL(10,2)) AS STRING) AS sales_cost,
+  CASE WHEN l.l_partkey % 5 = 0 THEN 'N' ELSE 'Y' END AS is_complete
+FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
+JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey JOIN {{part}} p ON l.l_partkey = p.p_partkey""",
+    "aci_sheet": f"""
+SELECT {_PL.format(k='l.l_partkey')} AS sheet,
+  CASE l.l_linenumber % 6 WHEN 0 THEN 'CSC' WHEN 1 THEN 'Refurbish' WHEN 2 THEN 'Channel-US' WHEN 3 THEN 'Other'
+       ELSE 'Retail' END AS sales_type,
+  {_PART_NUMBER.format(k='l.l_partkey')} AS part_no, p.p_name AS item_description,
+  CASE l.l_suppkey % 4 WHEN 0 THEN 'Retail' WHEN 1 THEN 'channel partners' WHEN 2 THEN 'REFURBISH outlet' END AS sales_group,
+  CASE l.l_suppkey % 3 WHEN 0 THEN 'na' WHEN 1 THEN ' SA' ELSE 'EU' END AS region,
+  CASE WHEN c.c_nationkey % 4 = 0 THEN 'US' WHEN c.c_nationkey % 4 = 1 THEN 'ca' ELSE n.n_name END AS revenue_country,
+  CAST(year(l.l_shipdate) * 100 + month(l.l_shipdate) AS STRING) AS period,
+  CASE WHEN l.l_linenumber % 7 = 0 THEN 'n/a' ELSE CAST({_DEC2} AS STRING) END AS revenue_amt,
+  CAST({_DEC2} * CAST(l.l_discount AS DECIMAL(6,4)) AS STRING) AS total_cn_amt,
+  c.c_name AS cust_full_name, CAST(CAST(l.l_quantity AS DECIMAL(10,2)) AS STRING) AS sales_qty_fg,
+  CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS DECIMAL(10,2)) AS STRING) AS cogs_amt,
+  CAST(CAST(l.l_tax AS DECIMAL(6,4)) * 100 AS STRING) AS csc_unit_cost,
+  CAST(CAST(l.l_tax AS DECIMAL(6,4)) * CAST(l.l_quantity AS DECIMAL(10,2)) AS STRING) AS total_csc_cost,
+  o.o_orderstatus AS ar_trx_type
+FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
+JOIN {{customer}} c ON o.o_custkey = c.c_custkey JOIN {{nation}} n ON c.c_nationkey = n.n_nationkey
+JOIN {{part}} p ON l.l_partkey = p.p_partkey""",
+    "org_map": """SELECT 'ORG' || CAST(r_regionkey AS STRING) AS org, r_name AS product_type FROM {region}""",
+    "ordertype_map": """
+SELECT DISTINCT o_orderpriority AS order_type, 'OT-' || substr(o_orderpriority, 1, 1) AS order_type2
+FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
+    "distribution_map": """
+SELECT DISTINCT l_linestatus AS distribution_type,
+  CASE l_linestatus WHEN 'O' THEN 'Distribution' ELSE 'Direct' END AS distribution FROM {lineitem}""",
+    "country_names": """
+SELECT upper(substr(n_name, 1, 2)) AS country_id, n_name AS country_name, 'zh-' || lower(n_name) AS country_zh
+FROM {nation}""",
+    "finance_detail": """
+SELECT CASE WHEN l.l_linenumber % 2 = 0
+            THEN CAST(CAST(year(l.l_shipdate) AS BIGINT) * 365 - 693000 + CAST(month(l.l_shipdate) AS BIGINT) * 30 AS STRING)
+            ELSE CAST(year(l.l_shipdate) AS STRING) || '-' || lpad(CAST(month(l.l_shipdate) AS STRING), 2, '0') || '-15'
+       END AS gl_date,
+  CASE l.l_linenumber % 3 WHEN 0 THEN 'B&S-RM EX-113' WHEN 1 THEN 'B&S-RM EX Book-113' ELSE 'Other' END AS order_type,
+  a.item_no, a.item_desc AS item_description, CAST(l.l_quantity AS STRING) AS quantity,
+  CAST(l.l_extendedprice AS DECIMAL(18,2)) AS net_sale_amount,
+  CASE WHEN l.l_partkey % 13 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(a.price AS DECIMAL(18,2)) END AS material_cost,
+  a.ag_no, CASE WHEN a.ag_no IS NULL THEN '無B&S Group' ELSE '有B&S Group' END AS ag_no_check
+FROM {lineitem} l JOIN {part_attr} a ON l.l_partkey = a.p_partkey""",
+    "ship_unit": """
+SELECT product_line, 'G' || CAST(CAST(period AS BIGINT) % 5 AS STRING) AS geo,
+  'T' || CAST(CAST(period AS BIGINT) % 3 AS STRING) AS territory,
+  CASE WHEN sales_team = 'acc' THEN 'AIR' ELSE 'SEA' END AS ship_way_type,
+  freight AS unit_shipfee, CAST(freight / 2 AS DECIMAL(10,4)) AS unit_storage_fee, period, 'weekly' AS freq
+FROM {branch_freight}""",
+    "country_group": """
+SELECT 'G' || CAST(n_regionkey AS STRING) AS geo, 'T' || CAST(n_nationkey % 3 AS STRING) AS territory,
+  upper(substr(n_name, 1, 2)) AS country_code FROM {nation}""",
+    "fx_matrix": """
+SELECT period,
+  max(CASE WHEN product_line = 'NB' THEN fx_rate END) AS nb,
+  max(CASE WHEN product_line = 'NR' THEN fx_rate END) AS nr,
+  max(CASE WHEN product_line = 'NV' THEN fx_rate END) AS nv
+FROM {fx_rates} GROUP BY period""",
+})
+
 _PLACEHOLDER = re.compile(r"\{([a-z_]+)\}")
 
 
