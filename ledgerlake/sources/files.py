@@ -16,15 +16,22 @@ def read_string_csv(spark: SparkSession, path: str, columns: Sequence[str], sep:
                     escape: str = "\\", header: bool = True) -> DataFrame:
     """All-string delimited files (header skipped, quote/escape honoured)."""
     schema = StructType([StructField(c, StringType(), True) for c in columns])
-    return (spark.read.schema(schema).option("header", header).option("sep", sep).option("quote", quote)
-            .option("escape", escape).option("nullValue", _NO_NULL_TOKEN).option("emptyValue", "")
-            .option("mode", "PERMISSIVE").csv(path))
+    df = (spark.read.schema(schema).option("header", header).option("sep", sep).option("quote", quote)
+          .option("escape", escape).option("nullValue", _NO_NULL_TOKEN).option("emptyValue", "")
+          .option("mode", "PERMISSIVE").csv(path))
+    return _blank_as_text(df)
+
+
+def _blank_as_text(df: DataFrame) -> DataFrame:
+    """Empty cells are '' (as a sheet reader without NA detection sees them);
+    turning blanks into NULL is the explicit cleaning step P8."""
+    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
 
 
 def read_sheet_csv(spark: SparkSession, path: str) -> DataFrame:
     """A landed sheet: header row, every value text, 'NA' and blanks kept as text."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("nullValue", _NO_NULL_TOKEN)
-            .option("emptyValue", "").csv(path))
+    return _blank_as_text(spark.read.option("header", True).option("inferSchema", False)
+                          .option("nullValue", _NO_NULL_TOKEN).option("emptyValue", "").csv(path))
 
 
 def route_by_filename(spark: SparkSession, folder: str, routes: Mapping[str, str], suffix_pattern: str
