@@ -14,6 +14,9 @@ MART_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # lookups measured at run time below this size are broadcast (size-checked
+    # by AQE on real shuffle statistics); larger ones stay sort-merge joins
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # keyed partition replace (K1/K2/K3) must only touch the partitions written
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # ds='20240101' must stay a string partition value

@@ -39,7 +39,7 @@ def route_by_filename(spark: SparkSession, folder: str, routes: Mapping[str, str
     """Every file of a landing folder tagged with its target table (first
     route whose pattern matches the file name) and with a literal parsed from
     the name's suffix, upper-cased.  Unrouted files keep a NULL target."""
-    df = read_sheet_csv(spark, folder).withColumn("__file", F.col("_metadata.file_name"))
+    df = read_sheet_csv(spark, folder).withColumn("__file", F.col("_metadata.file_path"))
     target = None
     for pattern, table in routes.items():
         cond = F.col("__file").rlike(pattern)

@@ -65,7 +65,7 @@ def test_filename_routing_and_literal(spark, scratch):
     folder = os.path.join(scratch, "land")
     _write(os.path.join(folder, "pac_nb.csv"), "pn,pac\n1,2\n")
     _write(os.path.join(folder, "opp_nr.csv"), "pn,pac\n3,4\n")
-    df = S.route_by_filename(spark, folder, {r"^pac_": "pac", r"^opp_": "opp"}, r"_([a-z]+)\.csv$")
+    df = S.route_by_filename(spark, folder, {r"/pac_[^/]*$": "pac", r"/opp_[^/]*$": "opp"}, r"_([a-z]+)\.csv$")
     got = sorted((r.pn, r.target_table, r.name_literal) for r in df.collect())
     assert got == [("1", "pac", "NB"), ("3", "opp", "NR")]
 
