@@ -7,7 +7,7 @@ models they read, exactly as the Spark side composes the functions.
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import pricegap as PG
-from ledgerlake.plans.registry import query, shared
+from ledgerlake.plans.registry import query, shared, stored
 from ledgerlake.sources.snapshot import max_of
 
 # ---------------------------------------------------------------- Spark side
@@ -18,17 +18,17 @@ def _patterns(t):
     return t["part"].select(F.concat(F.lit("%"), noun, F.lit("%")).alias("pattern"), noun.alias("tag")).distinct()
 
 
-@shared
+@stored
 def item_map(t):
     return PG.component_map(t["quotes"], _patterns(t), t["bom"])
 
 
-@shared
+@stored
 def kp_gap(t):
     return PG.keypart_gap(t["quotes"], t["keypart_report"], t["fx_rates"], t["keypart_history"], t["item_code"])
 
 
-@shared
+@stored
 def cg_gap(t):
     rep = t["keypart_report"]
     return PG.cpugpu_gap(t["quotes"], t["price_history"], t["extra_rebate_src"], t["price_history"],
@@ -54,12 +54,12 @@ def cg_part(t):
     return PG.cpugpu_gap_by_part(cg_gap(t), item_map(t))
 
 
-@shared
+@stored
 def extra(t):
     return PG.extra_rebate(t["keypart_result"], item_map(t), t["extra_rebate_src"])
 
 
-@shared
+@stored
 def sellout(t):
     return PG.sellout_rebate(t["keypart_result"], item_map(t), t["sellout_src"])
 

@@ -45,6 +45,21 @@ def shared(fn):
     return wrapper
 
 
+def stored(fn):
+    """Like :func:`shared`, for an upstream model whose output the reference
+    stores as a table and downstream models read back: the result is written
+    once to the shared checkpoint folder (lineage cut, executor-loss safe) and
+    later plans read it instead of recomputing the chain."""
+    def wrapper(t: MartTables, *args):
+        def build():
+            df = fn(t, *args)
+            return df.checkpoint(eager=True) if t.materialize else df
+        return t.memo(f"stored:{fn.__module__}.{fn.__qualname__}{args!r}", build)
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def load_all() -> None:
     """Import every module that registers queries."""
     from ledgerlake.plans import (  # noqa: F401

@@ -347,13 +347,30 @@ def with_views(views, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+# Views whose size is bounded by dimensions (parts, months, branches, lines), not
+# by the fact: they stand in for stored lookup tables, so they are materialised
+# once per table set (reliable checkpoint in the shared checkpoint folder). That
+# cuts their lineage — every plan that uses them stays small and they are not
+# recomputed from the fact for each query.  Fact-sized views stay lazy.
+DIMENSION_VIEWS = frozenset({
+    "part_attr", "fx_rates", "cost_pn", "cost_branch", "branch_freight", "funding", "cn_rates", "price_history",
+    "bom", "item_code", "keypart_history", "keypart_result", "extra_rebate_src", "sellout_src", "opp_rebate",
+    "os_incentive", "columnlist", "org_map", "ordertype_map", "distribution_map", "country_names", "ship_unit",
+    "country_group", "fx_matrix",
+})
+
+
 class MartTables:
     """Driver tables and adapter views for one data folder, read lazily."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
         self._frames: dict[str, DataFrame] = {}
+        if materialize:
+            from ledgerlake.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.get(name)
@@ -373,6 +390,8 @@ class MartTables:
             else:
                 deps = {d: self.get(d) for d in view_deps(name)}
                 df = self.spark.sql(VIEWS[name], **deps)
+                if self.materialize and name in DIMENSION_VIEWS:
+                    df = df.checkpoint(eager=True)
             self._frames[name] = df
         return self._frames[name]
 
