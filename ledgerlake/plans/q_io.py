@@ -42,7 +42,8 @@ def partition_replace_q(t):
     snaps = t["order_snapshots"]
     K.partition_replace(snaps, path)
     K.partition_replace(latest_snapshot(snaps), path)
-    return t.spark.read.parquet(path).select("o_orderkey", "o_custkey", "period", "amount", "ds")
+    # the written schema pins ds to text even where partition-type inference is on
+    return t.spark.read.schema(snaps.schema).parquet(path).select("o_orderkey", "o_custkey", "period", "amount", "ds")
 
 
 @query("self_snapshot", ["order_snapshots"], """
@@ -52,12 +53,13 @@ def self_snapshot_q(t):
     """A model reads its own latest stored snapshot and writes the next day
     into the same table (dynamic partition overwrite makes the self-read safe)."""
     path = scratch(t.spark, "self_snapshot")
-    K.partition_replace(t["order_snapshots"].select("o_orderkey", "period", "amount", "ds"), path)
-    prev = read_self_snapshot(t.spark, path)
+    first = t["order_snapshots"].select("o_orderkey", "period", "amount", "ds")
+    K.partition_replace(first, path)
+    prev = read_self_snapshot(t.spark, path, schema=first.schema)
     nxt = prev.select("o_orderkey", "period", (F.col("amount") + 1).cast("decimal(18,2)").alias("amount"),
                       F.lit("20240401").alias("ds"))
     K.partition_replace(nxt, path)
-    return latest_snapshot(t.spark.read.parquet(path)).select("o_orderkey", "period", "amount", "ds")
+    return latest_snapshot(t.spark.read.schema(first.schema).parquet(path)).select("o_orderkey", "period", "amount", "ds")
 
 
 @query("full_replace", [], """
