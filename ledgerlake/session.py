@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,10 +72,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's checkpoint folder.  Only a local session, where every task
+    shares the driver's disk, gets a fresh scratch folder when none is configured."""
     value = checkpoint_dir(spark)
     if not value:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         value = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", value)
     spark.sparkContext.setCheckpointDir(value)
