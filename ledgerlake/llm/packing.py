@@ -17,6 +17,7 @@ once per row; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import itertools
 import re
 import unicodedata
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,19 +40,39 @@ PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, se
           "sequence_cost double")
 
 
+def gather(values: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists number ``at`` of ``values`` (list k goes from first[k] to first[k + 1]), and their bounds."""
+    start, lengths = first[at], first[at + 1] - first[at]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(start - ends + lengths, lengths)], np.concatenate([[0], ends])
+
+
+class Numbers(dict):
+    """Numbers its keys as they are first looked up; ``fresh`` lists those looked up since it was last emptied."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.fresh.append(key)
+        return n
+
+
 class WordTokenizer:
-    """Ids of a word-level BPE file, remembered per word.
+    """Ids of a word-level BPE file, remembered per piece of a word.
 
-    A text whose characters are all below U+0100 is split on white space and each word's ids are looked up;
-    the file's normaliser and splitter never look across white space, so the ids equal those of the whole
-    text.  Other texts (and words with characters that the two lower-casings might treat apart) go
-    through the library unchanged.  The memory of words is emptied when it grows past ``most`` words.
+    Texts whose characters are all below U+0100 are split on white space; each distinct word is lower-cased and
+    split into pieces by the file's own pattern, and the pieces' ids are looked up.  The file's normaliser and
+    splitter never look across white space, so the ids equal those of the whole text.  Other texts go through
+    the library unchanged.  The memory of pieces is emptied when it grows past ``most`` pieces.
     """
 
     LETTERS = "a-zªµºß-öø-ÿ"
     DIGITS = "0-9²³¹¼-¾"
 
-    def __init__(self, file: str, most: int = 500_000):
+    def __init__(self, file: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(file)
         self.most = most
@@ -60,51 +82,40 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.word: dict[str, int] = {}
-        self.piece: dict[str, list[int]] = {}
+        self.piece = Numbers()
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
-    def learn(self, words: list[str]) -> None:
-        split = [self.pieces_of(w.lower()) for w in words]
-        new = list({p for s in split for p in s if p not in self.piece})
-        if new:
-            got = self.whole.encode(new, is_pretokenized=True, add_special_tokens=False)
-            for p in new:
-                self.piece[p] = []
-            for at, i in zip(got.word_ids, got.ids):
-                self.piece[new[at]].append(i)
-        lists = [list(itertools.chain.from_iterable(map(self.piece.__getitem__, s))) for s in split]
-        base = len(self.word)
-        self.word.update(zip(words, range(base, base + len(words))))
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(lists), np.uint32,
-                                                         int(lengths.sum()))])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens."""
-        if len(self.word) > self.most:
+    def learn(self) -> None:
+        """Add the ids of the pieces that were looked up for the first time."""
+        fresh, self.piece.fresh = self.piece.fresh, []
+        if fresh:
+            got = self.whole.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(got.ids, np.uint32)
+            lengths = np.bincount(np.array(got.word_ids, np.int64), minlength=len(fresh))
+            self.ids = np.concatenate([self.ids, ids])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (null: none), without special tokens."""
+        if len(self.piece) > self.most:
             self.forget()
-        split = [t.split() if self.plain(t) and (t.isascii() or self.normal(t)) else None for t in texts]
-        new = set(itertools.chain.from_iterable(w for w in split if w)).difference(self.word)
-        if new:
-            self.learn(sorted(new))
-        out = []
-        for t, words in zip(texts, split):
-            if words is None:
-                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32))
-                continue
-            at = np.fromiter(map(self.word.__getitem__, words), np.int64, len(words))
-            start, lengths = self.first[at], self.first[at + 1] - self.first[at]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.arange(total) + np.repeat(start - ends + lengths, lengths)])
-        return out
-
-    @staticmethod
-    def normal(text: str) -> bool:
-        return unicodedata.is_normalized("NFC", text)
+        texts = pc.fill_null(texts, "")
+        strings = texts.to_pylist()
+        simple = [bool(self.plain(t)) and (t.isascii() or unicodedata.is_normalized("NFC", t)) for t in strings]
+        split = pc.ascii_split_whitespace(pc.if_else(pa.array(simple), texts, pa.scalar("", texts.type)))
+        words = split.flatten().dictionary_encode()
+        pieces = [self.pieces_of(w.lower()) for w in words.dictionary.to_pylist()]
+        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        number = np.fromiter(map(self.piece.__getitem__, itertools.chain.from_iterable(pieces)), np.int64,
+                             int(counts.sum()))
+        self.learn()
+        ids, bounds = gather(self.ids, self.first, number)  # of each distinct word's pieces
+        first = bounds[np.concatenate([[0], np.cumsum(counts)])]
+        ids, bounds = gather(ids, first, words.indices.to_numpy())  # of each word in turn
+        cuts = bounds[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b] if plain else np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
+                for a, b, plain, t in zip(cuts[:-1].tolist(), cuts[1:].tolist(), simple, strings)]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -157,6 +168,7 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = CAP
     full = capacity * window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of short strings and no cycles among them
         words = tokenizer(tokenizer_file)
         next_sequence = TaskContext.get().partitionId() << 33
         pool: list[tuple[int | None, int, np.ndarray, int]] = []  # doc_id, start, ids, ids of the document
@@ -173,10 +185,9 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = CAP
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=list(names))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), words.encode(texts)):
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                for doc, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1))):
                     ids = np.append(ids, np.uint32(end_id))
                     pool.append((doc, 0, ids, len(ids)))
                     held += len(ids)

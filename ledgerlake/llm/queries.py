@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import packing
+from ledgerlake.llm import packing, quality, simhash
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the line-first verdict of every document."""
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_quality"] = quality.ORACLE_SQL
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
