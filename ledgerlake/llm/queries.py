@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import packing, quality, simhash
+from ledgerlake.llm import chat, packing, quality, simhash, substrings, urls
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,28 @@ ORACLE["op5_quality"] = quality.ORACLE_SQL
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document left after the removal of strings of 200 bytes that start anywhere else."""
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op4_urls"] = urls.ORACLE_SQL
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back; conversation -7 holds control strings."""
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_turns(turns))
