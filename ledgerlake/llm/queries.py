@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, packing, quality, simhash, substrings, urls
+from ledgerlake.llm import chat, packing, quality, simhash, substrings, urls, warc, wrappers
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,15 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(chat.format_turns(turns))
+
+
+@query
+def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's wrapper."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page's response record."""
+    return warc.digest(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
