@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, packing, quality, simhash, substrings, urls, warc, wrappers
+from ledgerlake.llm import chat, latent, lmscore, packing, quality, simhash, substrings, urls, warc, wrappers
 from ledgerlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,15 @@ def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page's response record."""
     return warc.digest(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
+
+
+@query
+def op9_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that every document repeats."""
+    return latent.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stupid-backoff score of every document under the corpus's own trigram counts."""
+    return lmscore.scores(table(spark, sf_dir, "documents"))
