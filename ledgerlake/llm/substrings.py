@@ -35,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import store
+from ledgerlake.llm.common import numbered, store
 from ledgerlake.llm.suffixarray import permuted_common_prefixes, suffix_array
 
 LENGTH = 200
 GRAM = 40
-HOT = 2000
 SHARD = 2 << 20
+"""Bytes of windows in a shard, before the last key's."""
+HOT = 20_000
+"""Windows of one key in a shard: with them a shard has 8 MB at most, and its arrays some 500 MB."""
 BLOCK = 1 << 22
 """Bytes hashed at a time."""
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -157,19 +159,17 @@ def repeated_in_shard(windows: list[bytes], strings: list[int], length: int) ->
     t[-2], t[-1] = 1, 0
     sa = suffix_array(t)
     # two strings that agree in all their bytes are neighbours; a string never runs over the end of its window
-    plcp = permuted_common_prefixes(raw, sa, length)
-    starts = np.concatenate([f + np.arange(s) for f, s in zip(first, strings)])
-    own = np.zeros(len(t), bool)
-    own[starts] = True
-    order = sa[own[sa]]
-    rank = np.empty(len(t), np.int64)
-    rank[sa] = np.arange(len(t))
-    with_last = np.zeros(len(t), bool)
-    # strings lie next to each other in the order unless a window's tail comes between, which then is shorter
-    close = (plcp[order[1:]] >= length) & (rank[order[1:]] - rank[order[:-1]] == 1)
-    with_last[order[1:][close]] = True
-    with_last[order[:-1][close]] = True
-    return [with_last[f:f + s] for f, s in zip(first, strings)]
+    count = np.array(strings)
+    edge = np.zeros(len(t) + 1, np.int8)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, first + count, -1)
+    own = np.cumsum(edge[:-1]).astype(bool)
+    plcp = permuted_common_prefixes(raw, sa, length, own)
+    close = np.flatnonzero(plcp[sa[1:]] >= length)
+    again = np.zeros(len(t), bool)
+    again[sa[close + 1]] = True
+    again[sa[close]] = True
+    return [again[f:f + s] for f, s in zip(first, strings)]
 
 
 def intervals(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -206,18 +206,19 @@ def shards(windows: DataFrame, length: int) -> DataFrame:
 
 
 def fetch(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """``rows`` (key, content, doc, place, n) with their windows' ``bytes``, cut out of the documents' texts."""
-    wanted = rows.groupBy("doc").agg(F.collect_list(F.struct("key", "content", "place", "n")).alias("w"))
+    """``rows`` (key, content, doc, place, n, hot) with their windows' ``bytes``, cut out of the documents' texts."""
+    wanted = rows.groupBy("doc").agg(F.collect_list(F.struct("key", "content", "place", "n", "hot")).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, ws in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist()):
-                got = [(w["key"], w["content"], w["n"], text[w["place"]:w["place"] + w["n"] + length - 1]) for w in ws]
+                got = [(w["key"], w["content"], w["n"], w["hot"], text[w["place"]:w["place"] + w["n"] + length - 1]) for w in ws]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-                    zip(*got), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=["key", "content", "n", "bytes"])
+                    zip(*got), (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()))],
+                    names=["key", "content", "n", "hot", "bytes"])
 
     return docs.join(wanted, "doc").select("text", "w").mapInArrow(
-        together(run), "key long, content long, n int, bytes binary")
+        together(run), "key long, content long, n int, hot boolean, bytes binary")
 
 
 def single_strings(windows: DataFrame, length: int) -> DataFrame:
@@ -253,12 +254,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         F.count("*").alias("c"), F.min(F.struct("doc", "place", "n")).alias("first"))
     variants = store(variants, "variants")
     mixed = variants.groupBy("key").agg(F.count("*").alias("v")).where("v > 1")
-    wanted = variants.join(mixed, "key").select("key", "content", "first.doc", "first.place", "first.n", "v")
-    windows = store(fetch(wanted.where(F.col("v") <= hot), texts, length), "windows")
-    parts = shards(windows, length)
-    if not wanted.where(F.col("v") > hot).isEmpty():
-        parts = parts.unionByName(single_strings(
-            store(fetch(wanted.where(F.col("v") > hot), texts, length), "hot-windows"), length))
+    wanted = variants.join(mixed, "key").select("key", "content", "first.doc", "first.place", "first.n",
+                                                (F.col("v") > hot).alias("hot"))
+    windows = store(fetch(wanted, texts, length), "windows")
+    parts = shards(windows.where("not hot"), length).unionByName(single_strings(windows.where("hot"), length))
     whole = variants.where("c > 1").select("key", "content", F.array(F.struct(
         F.lit(0).alias("a"), F.col("first.n").alias("b"))).alias("parts"))
     parts = whole.unionByName(parts.join(variants.where("c > 1").select("key", "content"), ["key", "content"], "left_anti"))
@@ -280,14 +279,6 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return list(zip(ab[new, 0].tolist(), reach[last].tolist()))
 
 
-def numbered(docs: DataFrame, doc_col: str) -> tuple[DataFrame, str]:
-    """``docs`` with a column that is unique per row: doc_col itself, or where that repeats or is null, a number."""
-    ids = docs.select(F.col(f"`{doc_col}`").alias("doc"))
-    if ids.groupBy("doc").count().where("count > 1 OR doc IS NULL").isEmpty():
-        return docs, doc_col
-    return store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered"), "__row"
-
-
 def remove(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with three more columns: __kept (binary), __removed (array of ranges) and __n_bytes."""
     rows, key = numbered(docs, doc_col)

@@ -152,8 +152,9 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     return induce(t, s, ordered, starts, l_counts)
 
 
-def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
+def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, limit: int, own: np.ndarray | None = None) -> np.ndarray:
     """For each suffix, in text order, how many letters it shares with its left neighbour in ``sa``, up to ``limit``.
+    With ``own``, only for those suffixes that are true there, as their left neighbours are; else 0.
 
     Eight letters are compared at a time, and only by those suffixes that still agree.
     """
@@ -164,6 +165,8 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, limit: int) -> np.nd
     words = np.ndarray((n + limit,), "<u8", padded, strides=(1,))  # the eight letters from each place on
     plcp = np.zeros(n, np.int32)
     alive = np.flatnonzero(before >= 0)
+    if own is not None:
+        alive = alive[own[alive] & own[before[alive]]]
     done = 0
     while len(alive) and done < limit:
         x, y = alive + done, before[alive] + done
