@@ -16,7 +16,8 @@ documents.  Documents are only scanned, never shuffled; what is shuffled are sum
 long texts are processed in pieces of ``AT_ONCE`` words.
 
 Defined results: null and empty texts match nothing, and items without words match nothing; items of under ``SHORT`` words must occur
-word for word; repeated rows are judged one by one; an empty table of documents or of items gives no match; extra columns
+word for word; repeated rows are judged one by one (with several
+blocks, ``matches`` gives rows of one doc_id one row); an empty table of documents or of items gives no match; extra columns
 are ignored by ``matches`` and kept by ``decontaminate``.
 """
 
@@ -41,6 +42,8 @@ CHUNK = 8
 WIDTHS = ((3, 1), (8, 2))  # windows in chunks, and their steps
 RANK, MORE = 64, 8
 SMOOTH = 4e-4
+LIGHT = 0.02
+"""Words of less than this share of the largest weight are stop words for the latent space (not for the checks)."""
 COSINE = 0.75
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 SHORT = 8
@@ -123,16 +126,16 @@ def encode(docs: DataFrame, words: dict[str, int]) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "doc long, codes binary")
 
 
-def pieces(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Known words of several documents at a time with the numbers of their passages of ``width`` words, and
-    how many passages there are."""
+def pieces(batches: Iterator[pa.RecordBatch], width: int, used: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """The ``used`` words of several documents at a time with the numbers of their passages of ``width`` words,
+    and how many passages there are."""
     codes, at, n, size = [], [], 0, 0
     for b in batches:
         for data in b.column(0):
             own = np.frombuffer(data.as_buffer(), "<u2")
             for k in range(0, len(own), AT_ONCE):
                 part = own[k:k + AT_ONCE]
-                where = np.flatnonzero(part)
+                where = np.flatnonzero(used[part])
                 codes.append(part[where])
                 at.append(n + where // width)
                 n += -(-len(part) // width)
@@ -171,7 +174,8 @@ def weights(codes: DataFrame, size: int) -> np.ndarray:
     """Each word number's weight, from its document frequency over all passages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((size, 1))
-        for code, at, n in pieces(batches, PASSAGE):
+        known = np.arange(size) > 0
+        for code, at, n in pieces(batches, PASSAGE, known):
             seen = np.unique(at * size + code)
             counts[:, 0] += np.bincount(seen % size, minlength=size)
             counts[0, 0] += n
@@ -181,7 +185,8 @@ def weights(codes: DataFrame, size: int) -> np.ndarray:
     passages = max(1.0, df[0])
     w = np.log((passages + 1) / (df + 1)) / np.sqrt(df / passages + SMOOTH)
     w[0] = 0
-    return w / max(w.max(), 1e-9)
+    w /= max(w.max(), 1e-9)
+    return np.where(w < LIGHT, 0, w)
 
 
 def add_rows(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -202,7 +207,8 @@ def basis(codes: DataFrame, weight: np.ndarray, rank: int, seed: int = 7) -> np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = sent.value
         total = np.zeros((size, r.shape[1]))
-        for code, at, n in pieces(batches, PASSAGE):
+        used = r.any(axis=1)
+        for code, at, n in pieces(batches, PASSAGE, used):
             passage = add_rows(r[code], at, n)
             order = np.argsort(code, kind="stable")
             total += add_rows(passage[at[order]], code[order], size)
@@ -238,8 +244,8 @@ def search(codes: DataFrame, items: list[Item], weight: np.ndarray, space: np.nd
     sent = codes.sparkSession.sparkContext.broadcast((vectors, queries, [(i.item_id, i.codes, i.answer) for i in items]))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answered", pa.bool_())]))
 
-    def found(own: np.ndarray, vectors: np.ndarray, queries: np.ndarray, known: list[Item], best: dict) -> None:
-        where = np.flatnonzero(own)
+    def found(own: np.ndarray, vectors: np.ndarray, used: np.ndarray, queries: np.ndarray, known: list[Item], best: dict) -> None:
+        where = np.flatnonzero(used[own])
         if not len(where):
             return
         n = -(-len(own) // CHUNK)
@@ -267,13 +273,14 @@ def search(codes: DataFrame, items: list[Item], weight: np.ndarray, space: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, queries, plain = sent.value
+        used = vectors.any(axis=1)
         known = [Item(*p) for p in plain]
         for b in batches:
             out = []
             for data in b.column(1):
                 own, best = np.frombuffer(data.as_buffer(), "<u2"), {}
                 for k in range(0, max(1, len(own)), AT_ONCE):  # pieces overlap by the widest window and its margins
-                    found(own[max(0, k - 16 * CHUNK):k + AT_ONCE], vectors, queries, known, best)
+                    found(own[max(0, k - 16 * CHUNK):k + AT_ONCE], vectors, used, queries, known, best)
                 out.append([{"item_id": i, "cosine": v[0], "share": v[1], "answered": v[2]} for i, v in sorted(best.items())])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], names=["doc", "found"])
 
