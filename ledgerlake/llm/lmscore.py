@@ -35,7 +35,7 @@ from ledgerlake.llm.common import select_columns
 ORDER = 3
 BACKOFF = 0.4
 LEAST = 2
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
 LOW = np.uint64((1 << 48) - 1)
 SENT = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("counts", pa.binary())])
 SENT_DDL = "block int, part int, n int, low binary, high binary, counts binary"
@@ -48,6 +48,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def squeeze(counts: np.ndarray) -> bytes:
+    """Counts in a byte each; those of 255 or more follow in eight."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return small.tobytes() + counts[small == 255].astype(np.uint64).tobytes()
+
+
+def unsqueeze(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, np.uint64, offset=n)
+    return out
+
+
 class Grams:
     """A block's words and, for each order, its distinct n-grams."""
 
@@ -101,9 +113,10 @@ class Grams:
     def learn(self, answers: pa.Table, orders: range, least: int) -> None:
         for n in orders:
             own = answers.filter(pc.equal(answers["n"], n)).sort_by("part")
-            got = [np.frombuffer(x, np.uint32) for x in own["counts"].to_pylist()]
-            at, _, which, _ = self.distinct(n, least)
-            self.known[n] = at, (np.concatenate(got)[which] if got else np.zeros(len(at), np.uint32)).astype(np.int64)
+            at, key, which, _ = self.distinct(n, least)
+            sizes = np.unique(key >> np.uint64(48), return_counts=True)[1]
+            got = [unsqueeze(x, k) for x, k in zip(own["counts"].to_pylist(), sizes.tolist(), strict=True)]
+            self.known[n] = at, np.concatenate(got)[which] if got else np.zeros(len(at), np.int64)
 
 
 def send(block: int, grams: Grams, n: int, least: int) -> pa.Table:
@@ -116,26 +129,24 @@ def send(block: int, grams: Grams, n: int, least: int) -> pa.Table:
         high = ((key[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16)
         steps = np.diff(high, prepend=np.uint16(0))
         rows.append({"block": block, "part": int(part[a]), "n": n, "low": (key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                     "high": steps.tobytes() if steps.max() > 255 else steps.astype(np.uint8).tobytes(), "counts": counts[a:b].astype(np.uint32).tobytes()})
+                     "high": steps.tobytes() if steps.max() > 255 else steps.astype(np.uint8).tobytes(), "counts": squeeze(counts[a:b])})
     return pa.Table.from_pylist(rows, SENT)
 
 
 def tally(sent: pa.Table) -> pa.Table:
     """A partition of the count table: the summed counts, joined back to every block's entries."""
     keys, counts, sizes = [], [], []
-    kind, most = (np.uint64, 1 << 63) if sent["n"][0].as_py() == 0 else (np.uint32, (1 << 32) - 1)
     for low, high, count in zip(*(sent[c].to_pylist() for c in ("low", "high", "counts"))):
         low = np.frombuffer(low, np.uint32)
         steps = np.frombuffer(high, np.uint8 if len(high) == len(low) else np.uint16)
         keys.append((np.cumsum(steps, dtype=np.uint64) << np.uint64(32)) | low)
-        counts.append(np.frombuffer(count, kind))
+        counts.append(unsqueeze(count, len(low)))
         sizes.append(len(low))
     _, which = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(which, weights=np.concatenate(counts))[which]
-    total = np.minimum(total, most).astype(kind)
+    total = np.bincount(which, weights=np.concatenate(counts)).astype(np.int64)[which]
     cuts = np.cumsum([0, *sizes])
     return pa.table({"block": sent["block"], "part": sent["part"], "n": sent["n"],
-                     "counts": pa.array([total[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())}, schema=BACK)
+                     "counts": pa.array([squeeze(total[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())}, schema=BACK)
 
 
 def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least: int = LEAST, block_chars: int = BLOCK_CHARS,
@@ -151,7 +162,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least:
     def explode_first(key: tuple, texts: pa.Table) -> pa.Table:
         grams = Grams(texts["text"], parts)
         words = pa.Table.from_pylist([{"block": key[0].as_py(), "part": 0, "n": 0, "low": bytes(4), "high": bytes(1),
-                                       "counts": np.uint64(len(grams.word)).tobytes()}], SENT)  # the empty n-gram counts all words
+                                       "counts": squeeze(np.array([len(grams.word)]))}], SENT)  # the empty n-gram counts all words
         return pa.concat_tables([words, *(send(key[0].as_py(), grams, n, least) for n in first)])
 
     def joined(answers: DataFrame, run, kind: str) -> DataFrame:
@@ -175,7 +186,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least:
         grams = Grams(texts["text"], parts)
         grams.learn(known, range(1, order + 1), least)
         below = grams.count(1)
-        words = np.frombuffer(known.filter(pc.equal(known["n"], 0))["counts"][0].as_py(), np.uint64)[0]
+        words = unsqueeze(known.filter(pc.equal(known["n"], 0))["counts"][0].as_py(), 1)[0]
         value = np.log(np.maximum(below, 1) / max(1, int(words)))
         for n in range(2, order + 1):
             here = grams.count(n)
