@@ -279,8 +279,9 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return list(zip(ab[new, 0].tolist(), reach[last].tolist()))
 
 
-def remove(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with three more columns: __kept (binary), __removed (array of ranges) and __n_bytes."""
+def remove(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", as_text: bool = False, **options) -> DataFrame:
+    """``docs`` with three more columns: __kept (binary, or with ``as_text`` a string without the rests of characters
+    that were cut in two), __removed (array of ranges) and __n_bytes."""
     rows, key = numbered(docs, doc_col)
     spans = store(repeats(rows, doc_col=key, text_col=text_col, **options), "spans")
     spans = spans.select(F.col("doc").alias("__doc"), F.col("spans").alias("__spans"))
@@ -294,17 +295,18 @@ def remove(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **o
             for text, spans_ in zip(text_bytes(batch.column(at[0])), batch.column(at[1]).to_pylist()):
                 ranges = merged(spans_)
                 cuts = [0, *[x for r in ranges for x in r], len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
+                left = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 gone.append([{"a": a, "b": b} for a, b in ranges])
                 sizes.append(len(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(n)) for n in names]
-                + [pa.array(kept, pa.binary()), pa.array(gone, kind), pa.array(sizes, pa.int64())],
+                + [pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(gone, kind), pa.array(sizes, pa.int64())],
                 names=[*names, "__kept", "__removed", "__n_bytes"])
 
     kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(run, f"{schema}, __kept binary, __removed array<struct<a:bigint,b:bigint>>, __n_bytes bigint")
+    return joined.mapInArrow(run, f"{schema}, __kept {'string' if as_text else 'binary'}, __removed array<struct<a:bigint,b:bigint>>, __n_bytes bigint")
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:
@@ -317,9 +319,9 @@ def digest(docs: DataFrame, **options) -> DataFrame:
 
 
 def cut(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the repeated strings cut out of the texts; characters cut in two leave U+FFFD out."""
-    out = remove(docs, text_col=text_col, **options)
-    text = F.when(F.size("__removed") > 0, F.regexp_replace(F.decode("__kept", "UTF-8"), "�", "")).otherwise(F.col(f"`{text_col}`"))
+    """``docs`` with the repeated strings cut out of the texts; what is left of a character cut in two goes too."""
+    out = remove(docs, text_col=text_col, as_text=True, **options)
+    text = F.when(F.size("__removed") > 0, F.col("__kept")).otherwise(F.col(f"`{text_col}`"))
     out = out.withColumn(text_col, text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length(F.col(f"`{text_col}`")).cast("long"))

@@ -82,9 +82,10 @@ def test_repeated_and_missing_ids(spark):
 
 
 def test_cut_leaves_valid_text(spark):
-    df = spark.createDataFrame([(1, "é" * 7 + "abcdefghij" * 3, "x"), (2, "ü" + "abcdefghij" * 3, "y"), (3, "alone", "z")], SCHEMA)
+    df = spark.createDataFrame([(1, "é" * 7 + "abcdefghij" * 3, "x"), (2, "ü" + "abcdefghij" * 3, "y"), (3, "alone", "z"),
+                                (4, "oné0123456789klmnopqrstuvwxyz", "x"), (5, "twĩ0123456789klmnopqrstuvwxyz", "x")], SCHEMA)
     got = {r["doc_id"]: r["text"] for r in substrings.cut(df, length=25, gram=6).collect()}
-    assert got == {1: "é" * 7, 2: "ü", 3: "alone"}
+    assert got == {1: "é" * 7, 2: "ü", 3: "alone", 4: "on", 5: "tw"}
 
 
 def test_empty(spark):
