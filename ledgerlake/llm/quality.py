@@ -92,9 +92,10 @@ def bad_line(line: Column, symbols_per_word: float, short: int) -> Column:
 
 
 def judge(docs: DataFrame, text_col: str = "text", min_words: int = 10, most_repeated: int = 20,
-          symbols_per_word: float = 0.25, short: int = 20, most_lost: float = 0.5) -> DataFrame:
-    """``docs`` with one column ``verdict`` (a struct): the base counts, base_failed, cleaned text, lost (share
-    of word characters) and kept."""
+          symbols_per_word: float = 0.25, short: int = 20, most_lost: float = 0.5,
+          kept_only: bool = False) -> DataFrame:
+    """``docs`` with one column ``__verdict`` (a struct): the base counts, base_failed, cleaned text and kept.  With
+    ``kept_only`` just the kept rows; the verdict is made by a generator, which computes it once."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
 
@@ -125,20 +126,21 @@ def judge(docs: DataFrame, text_col: str = "text", min_words: int = 10, most_rep
         c["w"]["n_repeat_words"].alias("n_repeat_words"), failed(c).alias("base_failed"),
         F.when(c["l"]["clean"]["whole"], text).otherwise(c["l"]["clean"]["text"]).alias("cleaned"),
         (~failed(c) & (left(c) >= (1 - most_lost) * c["w"]["word_chars"])).alias("kept")))
-    return docs.withColumn("verdict", verdict)
+    if kept_only:
+        return docs.select("*", F.explode(F.filter(F.array(verdict), lambda v: v["kept"])).alias("__verdict"))
+    return docs.withColumn("__verdict", verdict)
 
 
 def report(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **rules) -> DataFrame:
     """The contract's columns, one row per row of ``docs``."""
     rows = docs.select(F.col(f"`{doc_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judge(rows, **rules).select("doc_id", *[F.col(f"verdict.{n}").alias(n) for n in names])
+    return judge(rows, **rules).select("doc_id", *[F.col(f"__verdict.{n}").alias(n) for n in names])
 
 
 def clean(docs: DataFrame, text_col: str = "text", **rules) -> DataFrame:
     """The kept rows of ``docs`` with their cleaned texts (and ``n_chars``, if there is one, counted anew)."""
-    judged = judge(docs, text_col, **rules).where("verdict.kept")
-    out = judged.withColumn(text_col, F.col("verdict.cleaned"))
+    out = judge(docs, text_col, kept_only=True, **rules).withColumn(text_col, F.col("__verdict.cleaned"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length(F.col(f"`{text_col}`")).cast("long"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

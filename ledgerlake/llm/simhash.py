@@ -180,11 +180,11 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, doc_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id, once."""
-    found = near_duplicates(docs, **options)
-    firsts = store(found.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")), "firsts")
-    kept = docs.join(firsts.distinct(), docs["doc_id"] == F.col("first_id"), "left_semi")
-    if firsts.groupBy("first_id").count().where("count > 1").isEmpty():
+    found = near_duplicates(docs, doc_col=doc_col, **options)
+    firsts = store(found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")), "firsts")
+    kept = docs.join(firsts.distinct(), docs[doc_col] == F.col("__first"), "left_semi")
+    if firsts.groupBy("__first").count().where("count > 1").isEmpty():
         return kept
-    return kept.dropDuplicates(["doc_id"])
+    return kept.dropDuplicates([doc_col])

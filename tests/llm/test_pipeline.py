@@ -78,9 +78,14 @@ def test_stages(spark):
 
 def test_run_and_extra_columns(spark):
     assert corpus_pipeline.run(spark, D).count() > 0
-    empty = spark.read.parquet(f"{D}/documents.parquet").limit(0).selectExpr("*", "1 AS verdict", "2 AS spans")
+    clashing = spark.read.parquet(f"{D}/documents.parquet").selectExpr("*", *[
+        f"{k} AS {c}" for k, c in enumerate(("verdict", "spans", "doc", "fp", "first_id", "codes", "key", "kept", "ids", "count"))])
     for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, empty, D)
-        assert out.collect() == []
-        if name != "packing":
-            assert out.columns == empty.columns
+        assert stage(spark, clashing.limit(0), D).collect() == []
+        out = stage(spark, clashing, D)
+        if name == "packing":
+            assert out.count() > 0
+        else:
+            rows = out.collect()
+            assert out.columns == clashing.columns and rows
+            assert all(tuple(r)[5:] == tuple(range(10)) for r in rows)
