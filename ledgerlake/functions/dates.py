@@ -38,15 +38,16 @@ def period_quarter(period) -> Column:
 
 
 def add_months_period(period, n: int) -> Column:
-    """yyyymm + n months, as yyyymm."""
-    return F.date_format(F.add_months(F.to_date(_c(period), "yyyyMM"), n), "yyyyMM")
+    """yyyymm + n months, as yyyymm; NULL where the period is no month (the blank period 000000)."""
+    return F.date_format(F.add_months(F.try_to_date(_c(period), "yyyyMM"), n), "yyyyMM")
 
 
 def serial_or_text_date(x) -> Column:
     """spreadsheet serial day number (days since 1899-12-30) or a date text;
     anything else becomes NULL."""
     num = (_c(x)).try_cast("double")
-    serial = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(num).cast("int"))
+    days = F.when(num.between(-693593, 2958465), F.floor(num)).try_cast("int")  # years 1 to 9999
+    serial = F.date_add(F.lit("1899-12-30").cast("date"), days)
     text = F.coalesce(F.try_to_date(_c(x), "yyyy-MM-dd"), F.try_to_date(_c(x), "yyyy/MM/dd"))
     return F.when(num.isNotNull(), serial).otherwise(text)
 

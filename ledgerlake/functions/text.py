@@ -43,8 +43,9 @@ def like_any(x, patterns: Sequence[str]) -> Column:
 
 
 def zero_pad(n, width: int = 6) -> Column:
-    """zero-padded code."""
-    return F.lpad(_c(n).cast("string"), width, "0")
+    """zero-padded code; a longer code keeps all its digits."""
+    text = _c(n).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 # the outermost JSON array / object inside free text (fences and prose dropped)

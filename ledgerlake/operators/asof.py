@@ -50,13 +50,18 @@ def priority_pick(df: DataFrame, keys: Sequence[str], rank: Column, then_desc: s
 
 
 def first_in_group(df: DataFrame, keys: Sequence[str], order: str, out: str = "is_first") -> DataFrame:
-    """Flag the first (lowest ``order``) row of each group.  The group
-    minimum is a partial aggregate joined back on the key (AQE splits a skewed
-    key on the join), instead of a window over the whole group."""
-    mins = df.groupBy(*[F.col(k).alias(f"__fg_{k}") for k in keys]).agg(F.min(order).alias("__first"))
-    joined = df.join(mins, [F.col(k).eqNullSafe(F.col(f"__fg_{k}")) for k in keys], "left")
-    joined = joined.drop(*[f"__fg_{k}" for k in keys])
-    return joined.withColumn(out, F.coalesce(F.col(order) == F.col("__first"), F.lit(False))).drop("__first")
+    """Flag exactly one row of each group, the one with the lowest ``order``
+    (NULLs last; ties by the other columns).  Equal rows are merged and counted
+    first, the group's minimum is a partial aggregate joined back on the key (AQE
+    splits a skewed key on the join), and of equal rows one copy is flagged: no
+    window over a whole group."""
+    rest = [F.col(c) for c in df.columns if c not in (*keys, order)]
+    place = F.struct(F.col(order).isNull().alias("n"), F.col(order).alias("o"), F.struct(F.lit(0).alias("z"), *rest).alias("r"))
+    merged = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    firsts = merged.groupBy(*[F.col(k).alias(f"__fg_{k}") for k in keys]).agg(F.min(place).alias("__first"))
+    joined = merged.join(firsts, [F.col(k).eqNullSafe(F.col(f"__fg_{k}")) for k in keys], "left")
+    copies = joined.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))))
+    return copies.select(*df.columns, (place.eqNullSafe(F.col("__first")) & (F.col("__i") == 1)).alias(out))
 
 
 def asof_attach(fact: DataFrame, table: DataFrame, on: dict, fact_period: str, value: str, out: str,
@@ -81,8 +86,8 @@ def asof_attach(fact: DataFrame, table: DataFrame, on: dict, fact_period: str, v
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     asof = (merged.withColumn("__a_asof", F.last(F.when(F.col("__a_t") == 1, F.col("__a_p")), ignorenulls=True).over(w))
             .where(F.col("__a_t") == 0).drop("__a_t"))
-    tv = table.select(*[F.col(k).alias(f"{a}_t") for k, a in zip(keys, k_alias)],
-                      F.col(table_period).alias("__a_tp"), F.col(value).alias(out))
+    tv = (table.groupBy(*[F.col(k).alias(f"{a}_t") for k, a in zip(keys, k_alias)], F.col(table_period).alias("__a_tp"))
+          .agg(F.max(value).alias(out)))  # one value per key and period: the fact never fans out
     cond = [F.col(a) == F.col(f"{a}_t") for a in k_alias] + [F.col("__a_asof") == F.col("__a_tp")]
     asof = asof.join(tv, cond, "left").select(*k_alias, "__a_p", out)
     fcond = [(F.col(on[k]) if isinstance(on[k], str) else on[k]) == F.col(a) for k, a in zip(keys, k_alias)]

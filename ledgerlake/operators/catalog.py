@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import json_span, split_list, zero_pad
+from ledgerlake.operators.writers import store_once
 from ledgerlake.operators.lookup import dedupe_lookup, last_name_part
 
 RAW_SOURCE = "raw source"
@@ -85,10 +86,11 @@ def select_project(columns: DataFrame, project: str | None) -> DataFrame:
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "__idx") -> DataFrame:
     """1..N consecutive index in ``order`` without a single-task window.
 
-    Range-partition on the order keys, number rows inside each partition, and
-    add the partition's offset from a per-partition count table (one row per
-    partition — bounded by the partition count, so broadcasting it is safe)."""
-    ranged = df.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id())
+    Range-partition on the order keys, store the rows with their partition once
+    (a second range partitioning would sample other bounds), number rows inside
+    each partition, and add the partition's offset from a per-partition count
+    table (one row per partition, so broadcasting it is safe)."""
+    ranged = store_once(df.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id()), "dense-index")
     local = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(*order)))
     counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(

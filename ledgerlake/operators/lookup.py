@@ -3,10 +3,8 @@
 Join strategy: lookups are deduplicated on their key *before* the join (so a
 left join never fans the fact out, q10), then joined with a plain equi-join and
 AQE picks broadcast-hash or sort-merge at run time from the measured size
-(``spark.sql.adaptive.autoBroadcastJoinThreshold``).  An explicit broadcast is
-used only behind :func:`bounded_broadcast`, which proves the row bound first and
-otherwise leaves the shuffle join in place.  Skewed fact keys on the shuffle
-path are split by AQE's skew-join handling.
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``).  Skewed fact keys on the
+shuffle path are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -17,22 +15,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT, stops early); above
-    the bound the frame is returned unhinted and joins fall back to a shuffle."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def dedupe_lookup(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                   order_by: Sequence[str] | None = None, normalize_keys: bool = True) -> DataFrame:
     """One row per (trimmed) key; among duplicates the row with the

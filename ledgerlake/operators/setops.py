@@ -41,4 +41,4 @@ def restatement(provisional: DataFrame, restated: DataFrame, period: str = "peri
     The restated period is the other table's max; an empty restated table keeps
     every provisional row (the reference's ``period != NULL`` drops all, q2)."""
     restated_period = F.coalesce(restated.select(F.max(period)).scalar(), F.lit(""))
-    return provisional.where(F.col(period) != restated_period).unionByName(restated, allowMissingColumns=True)
+    return provisional.where(~F.col(period).eqNullSafe(restated_period)).unionByName(restated, allowMissingColumns=True)

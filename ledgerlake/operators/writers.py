@@ -17,6 +17,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.session import ensure_checkpoint_dir
+
 
 def partition_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ("ds",),
                       compression: str = "gzip") -> None:
@@ -43,6 +45,41 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _rename(fs, source, target) -> None:
+    """Rename, or raise: the file system reports a failure by returning false."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def store_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back, so that every
+    later use sees the same rows and a lost executor repeats nothing."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def write_by_key(source: DataFrame, path: str, keys: Sequence[str], partition_by: str = "ds") -> None:
+    """K2 / K3 on a stored table: rows whose key tuple occurs in ``source`` are
+    deleted, ``source`` is appended.  Only the partitions that lose or gain rows
+    are rewritten, from a stored copy (the table is read while it is replaced);
+    a partition that the delete empties is removed.  Repeating it changes nothing."""
+    spark = source.sparkSession
+    if not path_exists(spark, path):
+        partition_replace(source, path, (partition_by,))
+        return
+    target = spark.read.parquet(path)
+    gone = target.join(source.select(*keys).distinct(), list(keys), "left_semi").select(partition_by).distinct()
+    touched = gone.union(source.select(partition_by).distinct()).distinct()
+    rows = store_once(merge_by_key(target.join(touched, partition_by, "left_semi"), source, keys), "keyed-write")
+    emptied = gone.join(rows.select(partition_by).distinct(), partition_by, "left_anti").collect()  # one row per partition
+    partition_replace(rows, path, (partition_by,))
+    fs, _, jvm = _fs(spark, path)
+    for r in emptied:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_by}={r[0]}"), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.exists(p)
@@ -59,8 +96,13 @@ def full_replace(df: DataFrame, path: str, compression: str = "gzip") -> str:
     old = None
     if fs.exists(target):
         old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}")
-        fs.rename(target, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target)
+        _rename(fs, target, old)
+    try:
+        _rename(fs, jvm.org.apache.hadoop.fs.Path(staging), target)
+    except OSError:
+        if old is not None:  # the old table comes back
+            _rename(fs, old, target)
+        raise
     if old is not None:
         fs.delete(old, True)
     return path
@@ -79,8 +121,8 @@ def schema_drift(spark: SparkSession, df: DataFrame, path: str, ignore: Iterable
     backup = None
     if missing or extra:
         fs, p, jvm = _fs(spark, path)
-        backup = f"{path.rstrip('/')}_bk_{time.strftime('%Y%m%d%H%M%S')}"
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(backup))
+        backup = f"{path.rstrip('/')}_bk_{time.strftime('%Y%m%d%H%M%S')}_{uuid.uuid4().hex[:8]}"
+        _rename(fs, p, jvm.org.apache.hadoop.fs.Path(backup))
     return {"table": path, "status": "drift" if backup else "same", "missing": missing, "extra": extra,
             "backup": backup}
 

@@ -239,5 +239,5 @@ def weekly_accumulate(weekly_history: DataFrame, batch: DataFrame, monthly_accum
     monthly = latest_snapshot(monthly_accum)
     restated = F.coalesce(monthly.select(F.max("period")).scalar(), F.lit(""))
     mrows = stringify_contract(monthly.where(F.col("period") == restated), ACCUM_CONTRACT)
-    out = weekly.where(F.col("period") != restated).unionByName(mrows)
+    out = weekly.where(~F.col("period").eqNullSafe(restated)).unionByName(mrows)
     return out.withColumns({"dw_ins_time": load_time, "ds": F.lit(ds)})

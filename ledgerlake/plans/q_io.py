@@ -18,7 +18,7 @@ from ledgerlake.plans.registry import query
 from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources import files as FS
 from ledgerlake.sources.snapshot import latest_snapshot, read_self_snapshot
-from ledgerlake.streaming.arrival import process_arrivals
+from ledgerlake.streaming.arrival import process_arrivals, replace_batch
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -127,13 +127,38 @@ def file_arrival_stream_q(t):
     rows = t["fact_sales"].select("l_orderkey", "l_linenumber", "period", "revenue")
     schema = StructType.fromDDL("l_orderkey bigint, l_linenumber int, period string, revenue decimal(18,2)")
 
-    def handle(df, _):
-        df.write.mode("append").parquet(out)
-
+    handle = replace_batch(out)
     rows.where(F.col("period") < "1998").write.parquet(f"{land}/drop1")
     process_arrivals(spark, f"{land}/*", schema, handle, "fact", fmt="parquet", options={},
                      checkpoint=f"{land}-ckpt")
     rows.where(F.col("period") >= "1998").write.parquet(f"{land}/drop2")
     process_arrivals(spark, f"{land}/*", schema, handle, "fact", fmt="parquet", options={},
                      checkpoint=f"{land}-ckpt")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("matrix_sheet", ["fact_sales"], """
+SELECT period, CAST(count(*) AS VARCHAR) AS lines, CAST(count(DISTINCT l_orderkey) AS VARCHAR) AS orders, 'RATES' AS label
+FROM fact_sales GROUP BY period""")
+def matrix_sheet_q(t):
+    """A sheet with a label line and a header line, read back by place."""
+    path = scratch(t.spark, "matrix")
+    body = t["fact_sales"].groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("o"))
+    lines = body.select(F.concat_ws(",", F.lit("1"), "period").alias("k"), F.concat_ws(",", "period", "n", "o").alias("value"))
+    head = t.spark.createDataFrame([("0a", "RATES,,"), ("0b", "month,lines,orders")], "k string, value string")
+    head.unionByName(lines).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    return FS.read_matrix_sheet(t.spark, path)
+
+
+@query("source_corpus", ["fact_sales"], """
+SELECT product_line_id AS folder, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(branch) + 1) AS BIGINT) AS n_chars
+FROM fact_sales WHERE branch IS NOT NULL GROUP BY product_line_id""")
+def source_corpus_q(t):
+    """Whole text files found recursively by extension; lines and characters of each folder."""
+    path = scratch(t.spark, "corpus")
+    t["fact_sales"].where("branch IS NOT NULL").select("branch", F.col("product_line_id").alias("folder")).repartition(2) \
+        .write.partitionBy("folder").text(path)
+    found = FS.source_corpus(t.spark, path, "*.txt")
+    return found.select(F.regexp_extract("path", r"/folder=([^/]*)/", 1).alias("folder"), "text").groupBy("folder").agg(
+        F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("bigint").alias("n_lines"),
+        F.sum(F.length("text")).cast("bigint").alias("n_chars"))

@@ -511,7 +511,8 @@ def priority_pick_q(t):
 
 
 @query("first_in_group", ["price_history"], """
-SELECT item_no, period, period = min(period) OVER (PARTITION BY item_no) AS is_first FROM price_history""")
+SELECT item_no, period, row_number() OVER (PARTITION BY item_no ORDER BY period NULLS LAST) = 1 AS is_first
+FROM price_history""")
 def first_in_group_q(t):
     """Flag each item's first period."""
     return W.first_in_group(t["price_history"].select("item_no", "period"), ["item_no"], "period")

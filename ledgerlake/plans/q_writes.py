@@ -80,3 +80,38 @@ FROM g LEFT JOIN c ON c.key_group = g.key_group AND c.round = g.round""")
 def dq_report_q(t):
     """Q5: the validation report table (one row per check)."""
     return Q.report(t.spark, "fact_sales", t["fact_sales"], _KEY_GROUPS)
+
+
+_GATED = ("orders", "lineitem", "part", "customer")
+_CONTRACT = {"orders": ("o_orderkey", "o_custkey", "o_channel"), "part": ("p_partkey", "p_name", "p_vendor", "p_size")}
+
+
+@query("dq_empty", [], " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) = 0 AS is_empty" for n in _GATED))
+def dq_empty_q(t):
+    """Q1: the empty-input gate of every input table."""
+    return t.spark.createDataFrame([(n, Q.is_empty(t[n])) for n in _GATED], "table_name string, is_empty boolean")
+
+
+_HAVE = "SELECT table_name, list(column_name) AS have FROM information_schema.columns GROUP BY table_name"
+_WANT = " UNION ALL ".join(f"SELECT '{n}' AS table_name, {list(c)!r} AS want" for n, c in _CONTRACT.items())
+
+
+@query("dq_columns", [], f"""
+SELECT w.table_name, array_to_string(list_sort(list_filter(w.want, lambda c: NOT list_contains(h.have, c))), ',') AS missing,
+  array_to_string(list_sort(list_filter(h.have, lambda c: NOT list_contains(w.want, c))), ',') AS extra
+FROM ({_WANT}) w JOIN ({_HAVE}) h USING (table_name)""")
+def dq_columns_q(t):
+    """Q2: missing and extra columns of stored tables against their contracts."""
+    rows = [(n, Q.column_check(t[n], c)) for n, c in _CONTRACT.items()]
+    return t.spark.createDataFrame([(n, ",".join(r["missing"]), ",".join(r["extra"])) for n, r in rows],
+                                   "table_name string, missing string, extra string")
+
+
+@query("dq_required", [], f"""
+SELECT w.table_name, array_to_string(list_filter(w.want, lambda c: NOT list_contains(h.have, c)), ',') AS missing
+FROM ({_WANT}) w JOIN ({_HAVE}) h USING (table_name)""")
+def dq_required_q(t):
+    """Q4: required columns that a stored table lacks, in the order of the contract."""
+    return t.spark.createDataFrame([(n, ",".join(Q.required_columns(t[n], c))) for n, c in _CONTRACT.items()],
+                                   "table_name string, missing string")

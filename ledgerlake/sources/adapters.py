@@ -27,7 +27,7 @@ DRIVER_TABLES = (
 )
 
 _PL = "CASE {k} % 3 WHEN 0 THEN 'NB' WHEN 1 THEN 'NR' ELSE 'NV' END"
-_PART_NUMBER = ("'90' || " + _PL + " || lpad(CAST({k} AS STRING), 6, '0') || "
+_PART_NUMBER = ("'90' || " + _PL + " || lpad(CAST({k} AS STRING), CAST(greatest(6, length(CAST({k} AS STRING))) AS INT), '0') || "
                 "CASE WHEN {k} % 10 = 0 THEN '-A' ELSE '-M' END")
 _SHIP_PERIOD = "CAST(year({d}) * 100 + month({d}) AS STRING)"
 
@@ -59,7 +59,7 @@ SELECT p_partkey,
   {_PART_NUMBER.format(k='p_partkey')} AS part_number,
   p_brand AS model_name, p_type AS cpu, upper(p_name) AS item_desc,
   CAST(p_retailprice AS DECIMAL(12,2)) AS price,
-  lpad(CAST(p_partkey % 4 AS STRING), 2, '0') || lpad(CAST(p_partkey AS STRING), 6, '0') AS item_no,
+  lpad(CAST(p_partkey % 4 AS STRING), 2, '0') || lpad(CAST(p_partkey AS STRING), CAST(greatest(6, length(CAST(p_partkey AS STRING))) AS INT), '0') AS item_no,
   CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE 'AG' || CAST(p_partkey % 50 AS STRING) END AS ag_no
 FROM {{part}}""",
     "fx_rates": """
@@ -146,7 +146,7 @@ SELECT
   CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS row_key
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey""",
     "columnlist": """
-SELECT lpad(CAST(p.p_partkey AS STRING), 6, '0') AS column_id,
+SELECT lpad(CAST(p.p_partkey AS STRING), CAST(greatest(6, length(CAST(p.p_partkey AS STRING))) AS INT), '0') AS column_id,
   'col_' || CAST(p.p_partkey AS STRING) AS column_name,
   'tbl_' || CAST(p.p_partkey % 60 AS STRING) AS table_name,
   'model_' || CAST(p.p_partkey % 60 % 20 AS STRING) AS model_name,

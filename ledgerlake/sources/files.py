@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,20 +51,21 @@ def route_by_filename(spark: SparkSession, folder: str, routes: Mapping[str, str
 
 def read_matrix_sheet(spark: SparkSession, path: str, key: str = "period") -> DataFrame:
     """A sheet whose first line is a label and second line the header; the
-    first column is the key.  Label and header are two lines read once; the
-    data lines are parsed by the CSV reader with the header given as schema."""
-    lines = spark.read.text(path).limit(2).collect()
-    label = lines[0][0].split(",")[0].strip()
-    header = [h.strip() for h in lines[1][0].split(",")]
-    header[0] = key
-    schema = StructType([StructField(h, StringType(), True) for h in header])
-    data = (spark.read.schema(schema).option("header", False).option("nullValue", _NO_NULL_TOKEN)
-            .option("emptyValue", "").csv(path))
-    data = data.where((F.col(key) != lines[0][0].split(",")[0]) & (F.col(key) != lines[1][0].split(",")[0]))
-    return data.withColumn("label", F.lit(label))
+    first column is the key.  A file is read whole, so the first two lines are
+    known by their place and later lines that look like them stay data; fields
+    keep quotes and commas, a quoted field ends with its line."""
+    sheet = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.split("value", "\r?\n").alias("lines"))
+    first = sheet.orderBy("file").select(F.slice("lines", 1, 2)).first()[0]
+    label, header = (next(csv.reader([line])) for line in first)
+    names = [key, *[h.strip() for h in header[1:]]]
+    schema = ", ".join(f"`{n}` string" for n in names)
+    data = sheet.select(F.posexplode("lines").alias("place", "line")).where((F.col("place") >= 2) & (F.length("line") > 0))
+    cells = data.select(F.from_csv("line", schema, {"nullValue": _NO_NULL_TOKEN, "emptyValue": ""}).alias("c"))
+    return cells.select("c.*").withColumn("label", F.lit(label[0].strip()))
 
 
 def source_corpus(spark: SparkSession, root: str, glob: str = "*.{py,sql}") -> DataFrame:
     """Whole source files under ``root`` (recursive) as (path, text) rows."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-            .text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+            .text(root, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))

@@ -49,12 +49,12 @@ def anchor_value(df: DataFrame, column: str) -> Column:
 
 
 def read_self_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The model's own previous output (latest ``ds``) or None on first run."""
+    """The model's own previous output (latest ``ds``), or None on the first
+    run, when the path does not exist.  Any other failure to read is an error."""
+    from ledgerlake.operators.writers import path_exists
+    if not path_exists(spark, path):
+        return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    try:
-        df = reader.parquet(path)
-    except Exception:  # first run: nothing stored yet
-        return None
-    return latest_snapshot(df)
+    return latest_snapshot(reader.parquet(path))

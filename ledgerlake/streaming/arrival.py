@@ -5,8 +5,8 @@ consumed once.  Structured Streaming's file source does this natively: the
 checkpoint remembers which files were committed, ``trigger(availableNow=True)``
 processes everything that has arrived and stops, and ``foreachBatch`` hands
 each micro-batch to the ordinary batch pipeline.  Re-running picks up only new
-files; a lost executor re-runs the batch, and the idempotent partition write
-(K1) makes the retry safe.
+files.  A batch that fails after writing is run again with the same batch id, so
+``handle`` must replace what it wrote for that id: :func:`replace_batch` does.
 """
 
 from __future__ import annotations
@@ -14,9 +14,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.operators.writers import partition_replace
+from ledgerlake.session import ensure_checkpoint_dir
 
 
 def process_arrivals(spark: SparkSession, landing: str, schema: StructType,
@@ -24,7 +26,7 @@ def process_arrivals(spark: SparkSession, landing: str, schema: StructType,
                      options: dict | None = None, checkpoint: str | None = None) -> int:
     """Run ``handle(batch_df, batch_id)`` once for every not-yet-processed file
     under ``landing``; returns the number of micro-batches run."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/arrivals/{name}"
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/arrivals/{name}"
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {"header": "true"}).items():
         reader = reader.option(k, v)
@@ -39,3 +41,11 @@ def process_arrivals(spark: SparkSession, landing: str, schema: StructType,
          .trigger(availableNow=True).queryName(f"arrivals_{name}").start())
     q.awaitTermination()
     return len(batches)
+
+
+def replace_batch(out: str) -> Callable[[DataFrame, int], None]:
+    """A handler that writes each batch to its own partition ``batch_id`` of ``out``,
+    replacing what an earlier try of the same batch left there."""
+    def handle(df: DataFrame, batch_id: int) -> None:
+        partition_replace(df.withColumn("batch_id", F.lit(batch_id)), out, ("batch_id",))
+    return handle
