@@ -84,111 +84,88 @@ im_main AS (SELECT part_number_kp, part_number_90, sum(kp_qty) AS kp_qty FROM bo
 item_map AS (SELECT b.item_no, b.ag_no, b.item_desc, m.part_number_90 AS part_number, b.tag, m.kp_qty
              FROM im_best b LEFT JOIN im_main m ON b.item_no = m.part_number_kp)"""
 
-RANGE_SQL = """rep0 AS (SELECT * FROM keypart_report WHERE ds = (SELECT max(ds) FROM keypart_report)),
-rep AS (SELECT * FROM rep0 WHERE gl_yearmonth = (SELECT max(gl_yearmonth) FROM rep0)),
-rng AS (SELECT first_ym, strftime(strptime(first_ym, '%Y%m') + INTERVAL 1 MONTH, '%Y%m') AS second_ym,
-               strftime(strptime(first_ym, '%Y%m') + INTERVAL 2 MONTH, '%Y%m') AS third_ym
-        FROM (SELECT max(gl_yearmonth) AS first_ym FROM rep) a)"""
-
-MONTHS_IN = "((SELECT first_ym FROM rng), (SELECT second_ym FROM rng), (SELECT third_ym FROM rng))"
-
-KP_GAP_SQL = f"""scm AS (SELECT upper(q.product_no) AS product_line, q.ag_no, q.group_no, q.po_price,
-  CASE WHEN q.item_desc LIKE '%BRA%' THEN 'BR' WHEN ic.category IS NOT NULL THEN ic.category
-       WHEN q.item_desc LIKE 'GDDR%' THEN 'DDR' WHEN q.item_desc LIKE 'DDR%' THEN 'DDR'
-       WHEN q.item_desc LIKE 'LPD%' THEN 'DDR' WHEN q.item_desc LIKE 'LP%' THEN 'DDR' ELSE 'SSD' END AS category
-  FROM quotes q LEFT JOIN item_code ic ON substr(q.item_no, 1, 2) = ic.item_code
-  WHERE q.buying_mode = 'B' AND q.group_no IN {MONTHS_IN}),
-scm_avg AS (SELECT product_line, category, ag_no, group_no AS period,
-  CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS scm_price FROM scm
-  WHERE upper(category) IN ('BATT', 'SSD', 'LCD', 'HDD', 'DDR', 'FLASH') GROUP BY 1, 2, 3, 4),
-ntd AS (SELECT CAST(max(fx_rate) AS DOUBLE) AS r FROM fx_rates
-        WHERE period = (SELECT first_ym FROM rng) AND product_line = 'NB'),
-rep_sum AS (SELECT product_line, category, ag_no,
-  CAST(CAST(sum(TRY_CAST(net_sale_amount AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) AS net,
-  CAST(CAST(sum(TRY_CAST(material_cost AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) AS cost,
-  CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) AS qty
-  FROM rep GROUP BY 1, 2, 3),
-rep_data AS (SELECT product_line, category, ag_no,
-  (net / NULLIF(qty, 0)) / NULLIF((SELECT r FROM ntd), 0) AS rep_equo,
-  (cost / NULLIF(qty, 0)) / NULLIF((SELECT r FROM ntd), 0) AS rep_cogs FROM rep_sum),
-kp_final AS (SELECT coalesce(s.product_line, r.product_line) AS product_line, coalesce(s.category, r.category) AS category,
-  coalesce(s.ag_no, r.ag_no) AS ag_no, s.period,
-  CASE WHEN s.period = (SELECT first_ym FROM rng) THEN r.rep_equo ELSE s.scm_price END AS equo_price,
-  r.rep_cogs AS cogs_price
-  FROM scm_avg s FULL OUTER JOIN rep_data r
-    ON s.product_line = r.product_line AND s.category = r.category AND s.ag_no = r.ag_no),
-kp_hist AS (SELECT product_line, category, ag_no, period, equo_price, cogs_price FROM keypart_history
-            WHERE ds = (SELECT max(ds) FROM keypart_history)),
-kp_hist_max AS (SELECT * FROM kp_hist WHERE period = (SELECT max(period) FROM kp_hist)),
-kp_products AS (SELECT product_line, category, ag_no FROM kp_final UNION SELECT product_line, category, ag_no FROM kp_hist),
-kp_periods AS (SELECT period FROM kp_final UNION SELECT period FROM kp_hist),
-kp_skel AS (SELECT p.product_line, p.category, p.ag_no, t.period FROM kp_products p CROSS JOIN kp_periods t
-            WHERE t.period IS NOT NULL),
-kp_gap AS (SELECT s.product_line, s.category, s.ag_no, s.period,
-  coalesce(fd.equo_price, ka.equo_price, km.equo_price) AS equo_price,
-  coalesce(fd.cogs_price, ka.cogs_price, km.cogs_price) AS cogs_price,
-  coalesce(fd.cogs_price, ka.cogs_price, km.cogs_price) - coalesce(fd.equo_price, ka.equo_price, km.equo_price) AS bs_gap
-  FROM kp_skel s
-  LEFT JOIN kp_final fd ON s.product_line = fd.product_line AND s.category = fd.category AND s.ag_no = fd.ag_no
-    AND s.period = fd.period
-  LEFT JOIN kp_hist ka ON s.product_line = ka.product_line AND s.category = ka.category AND s.ag_no = ka.ag_no
-    AND s.period = ka.period
-  LEFT JOIN kp_hist_max km ON s.product_line = km.product_line AND s.category = km.category AND s.ag_no = km.ag_no)"""
-
-CG_GAP_SQL = f"""c_scm AS (SELECT upper(product_no) AS product_line, item_no, group_no AS period,
-  CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS scm_price FROM quotes
-  WHERE buying_mode = 'B' AND group_no IN {MONTHS_IN} AND (item_no LIKE '01%' OR item_no LIKE '02%')
-  GROUP BY 1, 2, 3),
-c_pac AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS pac FROM price_history),
-c_reb AS (SELECT product_line, item_no, period, CAST(sum(extra_rebate) AS DOUBLE) AS rebate FROM extra_rebate_src
-          GROUP BY 1, 2, 3),
-c_x AS (SELECT coalesce(s.product_line, p.product_line) AS product_line, coalesce(s.item_no, p.item_no) AS item_no,
-  coalesce(s.period, p.period) AS period, s.scm_price, p.pac
-  FROM c_scm s FULL OUTER JOIN c_pac p ON s.product_line = p.product_line AND s.item_no = p.item_no AND s.period = p.period),
-c_j AS (SELECT coalesce(x.product_line, r.product_line) AS product_line, coalesce(x.item_no, r.item_no) AS item_no,
-  coalesce(x.period, r.period) AS period, x.scm_price, x.pac, r.rebate
-  FROM c_x x FULL OUTER JOIN c_reb r ON x.product_line = r.product_line AND x.item_no = r.item_no AND x.period = r.period),
-c_final AS (SELECT product_line, item_no, period,
-  CASE WHEN coalesce(period = min(period) OVER (PARTITION BY product_line, item_no), false) THEN pac ELSE scm_price END
-    AS equo_price, pac AS cogs_price, rebate FROM c_j),
-c_hist AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS equo_price,
-  CAST(cogs_price AS DOUBLE) AS cogs_price, CAST(NULL AS DOUBLE) AS rebate FROM price_history),
-c_hist_max AS (SELECT * FROM c_hist WHERE period = (SELECT max(period) FROM c_hist)),
-c_products AS (SELECT product_line, item_no FROM c_final UNION SELECT product_line, item_no FROM c_hist),
-c_periods AS (SELECT period FROM c_final UNION SELECT period FROM c_hist),
-c_skel AS (SELECT p.product_line, p.item_no, t.period FROM c_products p CROSS JOIN c_periods t WHERE t.period IS NOT NULL),
-c_fill AS (SELECT s.product_line, s.item_no, s.period,
-  coalesce(f.equo_price, h.equo_price, m.equo_price) AS equo_price,
-  coalesce(f.cogs_price, h.cogs_price, m.cogs_price) AS cogs_price,
-  coalesce(f.rebate, h.rebate, m.rebate) AS rebate
-  FROM c_skel s
-  LEFT JOIN c_final f ON s.product_line = f.product_line AND s.item_no = f.item_no AND s.period = f.period
-  LEFT JOIN c_hist h ON s.product_line = h.product_line AND s.item_no = h.item_no AND s.period = h.period
-  LEFT JOIN c_hist_max m ON s.product_line = m.product_line AND s.item_no = m.item_no),
-cg_gap AS (SELECT *, CASE WHEN substr(item_no, 1, 2) = '01' THEN 'CPU' ELSE 'GPU' END AS category,
-  CASE WHEN equo_price IS NOT NULL AND cogs_price IS NOT NULL THEN cogs_price - equo_price END AS bs_gap FROM c_fill)"""
-
-_GAP_TERM = "CAST(r.bs_gap * CAST(coalesce(g.kp_qty, i.kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9))"
-_Z9 = "CAST(0 AS DECIMAL(38,9))"
-
-KP_PART_SQL = f"""missed AS (SELECT h.product_line, coalesce(ic.category, 'SSD') AS category, h.item_no, h.period,
-  CAST(h.cogs_price AS DOUBLE) - CAST(h.equo_price AS DOUBLE) AS bs_gap
-  FROM price_history h LEFT JOIN item_code ic ON substr(h.item_no, 1, 2) = ic.item_code WHERE h.ag_no IS NULL),
-kpp_rows AS (SELECT product_line, category, ag_no, CAST(NULL AS VARCHAR) AS item_no, period, bs_gap FROM kp_gap
-  UNION SELECT product_line, category, CAST(NULL AS VARCHAR) AS ag_no, item_no, period, bs_gap FROM missed),
-kpp_m AS (SELECT *, substr(part_number, 3, 2) AS map_pl FROM item_map),
-kpp_g AS (SELECT DISTINCT map_pl, ag_no, part_number, kp_qty FROM kpp_m),
-kpp_i AS (SELECT DISTINCT map_pl, item_no, part_number, kp_qty FROM kpp_m),
-kp_part AS (SELECT r.product_line, r.period, coalesce(g.part_number, i.part_number) AS part_number,
-  sum(CASE WHEN upper(r.category) IN ('LCD') THEN {_GAP_TERM} ELSE {_Z9} END) AS lcd_gap,
-  sum(CASE WHEN upper(r.category) IN ('SSD', 'HDD', 'FLASH') THEN {_GAP_TERM} ELSE {_Z9} END) AS ssd_gap,
-  sum(CASE WHEN upper(r.category) IN ('DDR') THEN {_GAP_TERM} ELSE {_Z9} END) AS ddr_gap,
-  sum(CASE WHEN upper(r.category) IN ('BATT') THEN {_GAP_TERM} ELSE {_Z9} END) AS batt_gap
-  FROM kpp_rows r LEFT JOIN kpp_g g ON r.product_line = g.map_pl AND r.ag_no = g.ag_no
-  LEFT JOIN kpp_i i ON r.product_line = i.map_pl AND r.item_no = i.item_no
-  GROUP BY 1, 2, 3)"""
+RANGE_SQL = """newest AS (SELECT max(ds) AS day FROM keypart_report),
+anchor AS (SELECT max(gl_yearmonth) AS m0 FROM keypart_report JOIN newest ON ds = day),
+gap_months AS (SELECT strftime(strptime(m0, '%Y%m') + to_months(CAST(k AS INT)), '%Y%m') AS month
+  FROM anchor, range(0, 3) AS steps(k))"""
+
+
+def _history_sql(name: str, now: str, stored: str, keys: str, measures: list[str], more_keys: str = "") -> str:
+    """Every key × every month; a measure is its youngest value: of this run, else stored for that month, else
+    stored for the last stored month.  ``now`` and ``stored`` hold one row per key and month."""
+    cells = ", ".join(measures)
+    picks = ", ".join(f"arg_min({m}, age) FILTER (WHERE {m} IS NOT NULL) AS {m}" for m in measures)
+    return f"""{name}_keys AS (SELECT {keys} FROM {now} UNION SELECT {keys} FROM {stored} {more_keys}),
+{name}_months AS (SELECT list(DISTINCT period) AS months
+  FROM (SELECT period FROM {now} UNION ALL SELECT period FROM {stored}) WHERE period IS NOT NULL),
+{name}_grid AS (SELECT {keys}, unnest(months) AS period FROM {name}_keys, {name}_months),
+{name}_cells AS (SELECT {keys}, period, 0 AS age, {cells} FROM {now}
+  UNION ALL SELECT {keys}, period, 1, {cells} FROM {stored}
+  UNION ALL SELECT {keys}, unnest(months), 2, {cells} FROM {stored}, {name}_months
+    WHERE period = (SELECT max(period) FROM {stored})),
+{name}_filled AS (SELECT {keys}, period, {picks} FROM {name}_grid LEFT JOIN {name}_cells USING ({keys}, period)
+  GROUP BY {keys}, period)"""
+
+
+KP_GAP_SQL = f"""kp_unit AS (SELECT product_line, category, ag_no,
+  CAST(CAST(sum(TRY_CAST(net_sale_amount AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE)
+    / NULLIF(CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE), 0) AS unit_net,
+  CAST(CAST(sum(TRY_CAST(material_cost AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE)
+    / NULLIF(CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE), 0) AS unit_cost
+  FROM keypart_report JOIN newest ON ds = day JOIN anchor ON gl_yearmonth = m0 GROUP BY ALL),
+kp_rate AS (SELECT NULLIF(CAST(max(fx_rate) AS DOUBLE), 0) AS rate FROM fx_rates JOIN anchor ON period = m0
+  WHERE product_line = 'NB'),
+kp_priced AS (SELECT product_line, category, ag_no, unit_net / rate AS equo, unit_cost / rate AS cogs FROM kp_unit, kp_rate),
+kp_quoted AS (SELECT upper(product_no) AS product_line, ag_no, group_no AS period, po_price,
+  CASE WHEN contains(item_desc, 'BRA') THEN 'BR'
+       ELSE coalesce(c.category, CASE WHEN regexp_matches(item_desc, '^(GDDR|DDR|LP)') THEN 'DDR' ELSE 'SSD' END) END AS category
+  FROM quotes JOIN gap_months ON group_no = month LEFT JOIN item_code c ON c.item_code = left(item_no, 2)
+  WHERE buying_mode = 'B'),
+kp_mean AS (SELECT product_line, category, ag_no, period, CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS quoted
+  FROM kp_quoted WHERE upper(category) IN ('BATT', 'SSD', 'LCD', 'HDD', 'DDR', 'FLASH') GROUP BY ALL),
+kp_now AS (SELECT m.product_line, m.category, m.ag_no, m.period, IF(m.period = m0, p.equo, m.quoted) AS equo_price, p.cogs AS cogs_price
+  FROM kp_mean m CROSS JOIN anchor LEFT JOIN kp_priced p USING (product_line, category, ag_no)),
+kp_stored AS (SELECT product_line, category, ag_no, period, equo_price, cogs_price FROM keypart_history
+  WHERE ds = (SELECT max(ds) FROM keypart_history)),
+{_history_sql("kp", "kp_now", "kp_stored", "product_line, category, ag_no", ["equo_price", "cogs_price"],
+              "UNION SELECT product_line, category, ag_no FROM kp_priced")},
+kp_gap AS (SELECT *, cogs_price - equo_price AS bs_gap FROM kp_filled)"""
+
+CG_GAP_SQL = f"""cg_facts AS (
+  SELECT upper(product_no) AS product_line, item_no, group_no AS period,
+    CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS quoted, CAST(NULL AS DOUBLE) AS pac, CAST(NULL AS DOUBLE) AS rebate
+  FROM quotes JOIN gap_months ON group_no = month WHERE buying_mode = 'B' AND left(item_no, 2) IN ('01', '02') GROUP BY ALL
+  UNION ALL SELECT product_line, item_no, period, NULL, CAST(equo_price AS DOUBLE), NULL FROM price_history
+  UNION ALL SELECT product_line, item_no, period, NULL, NULL, CAST(sum(extra_rebate) AS DOUBLE) FROM extra_rebate_src GROUP BY ALL),
+cg_rows AS (SELECT product_line, item_no, period, max(quoted) AS quoted, max(pac) AS pac, max(rebate) AS rebate
+  FROM cg_facts GROUP BY ALL),
+cg_now AS (SELECT product_line, item_no, period, pac AS cogs_price, rebate,
+  IF(row_number() OVER (PARTITION BY product_line, item_no ORDER BY period NULLS LAST) = 1, pac, quoted) AS equo_price FROM cg_rows),
+cg_stored AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS equo_price, CAST(cogs_price AS DOUBLE) AS cogs_price,
+  CAST(NULL AS DOUBLE) AS rebate FROM price_history),
+{_history_sql("cg", "cg_now", "cg_stored", "product_line, item_no", ["equo_price", "cogs_price", "rebate"])},
+cg_gap AS (SELECT *, CASE left(item_no, 2) WHEN '01' THEN 'CPU' ELSE 'GPU' END AS category, cogs_price - equo_price AS bs_gap FROM cg_filled)"""
+
+_FAMILIES = {"lcd_gap": "'LCD'", "ssd_gap": "'SSD', 'HDD', 'FLASH'", "ddr_gap": "'DDR'", "batt_gap": "'BATT'"}
+
+KP_PART_SQL = """kp_worth AS (
+  SELECT g.product_line, g.period, upper(g.category) AS family, m.part_number, g.bs_gap, m.kp_qty
+  FROM kp_gap g LEFT JOIN (SELECT DISTINCT ag_no, part_number, kp_qty FROM item_map) m
+    ON m.ag_no = g.ag_no AND substr(m.part_number, 3, 2) = g.product_line
+  UNION ALL
+  SELECT o.product_line, o.period, upper(o.family), m.part_number, o.bs_gap, m.kp_qty
+  FROM (SELECT DISTINCT h.product_line, h.period, h.item_no, coalesce(c.category, 'SSD') AS family,
+          CAST(h.cogs_price AS DOUBLE) - CAST(h.equo_price AS DOUBLE) AS bs_gap
+        FROM price_history h LEFT JOIN item_code c ON c.item_code = left(h.item_no, 2) WHERE h.ag_no IS NULL) o
+  LEFT JOIN (SELECT DISTINCT item_no, part_number, kp_qty FROM item_map) m
+    ON m.item_no = o.item_no AND substr(m.part_number, 3, 2) = o.product_line),
+kp_part AS (SELECT product_line, period, part_number, """ + ", ".join(
+    f"sum(IF(family IN ({names}), CAST(bs_gap * CAST(coalesce(kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9)), CAST(0 AS DECIMAL(38,9)))) AS {column}"
+    for column, names in _FAMILIES.items()) + """ FROM kp_worth GROUP BY ALL)"""
 
 _CG_TERM = "CAST({c} * CAST(coalesce(m.kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9))"
+_Z9 = "CAST(0 AS DECIMAL(38,9))"
+
 CG_PART_SQL = f"""cgp_m AS (SELECT DISTINCT item_no, part_number, kp_qty FROM item_map),
 cg_part AS (SELECT g.product_line, g.period, m.part_number,
   sum(CASE WHEN g.category = 'CPU' THEN {_CG_TERM.format(c='g.bs_gap')} ELSE {_Z9} END) AS cpu_gap,
