@@ -63,12 +63,13 @@ def candidate_costs(fact: DataFrame, cost_pn: DataFrame, cost_branch: DataFrame)
     return out
 
 
-# fixed values: cost waterfall order per (source, cost mode)
+# fixed values: cost waterfall order per (source, cost mode); the USD source has one order in either mode.
+# The families without a view here (standard costs, the USD source's own item cost) are left out.
 COST_WATERFALL = {
-    ("ACCRAW", "exact"): ["pn_exact", "model_exact", "pn_latest", "model_latest"],
+    ("ACCRAW", "exact"): ["pn_exact", "pn_latest", "model_exact", "model_latest"],
     ("ACCRAW", "latest"): ["pn_latest", "model_latest"],
-    ("ACIRAW", "exact"): ["branch_exact", "pn_exact", "branch_latest", "pn_latest", "model_latest"],
-    ("ACIRAW", "latest"): ["branch_latest", "pn_latest", "model_latest"],
+    ("ACIRAW", "exact"): ["pn_latest", "branch_exact"],
+    ("ACIRAW", "latest"): ["pn_latest", "branch_exact"],
 }
 
 
@@ -125,6 +126,8 @@ def enriched_fact(fact: DataFrame, part_attr: DataFrame, fx: DataFrame, cn: Data
     csc_ex = rev_ex * csc_ratio if monthly else F.when(~acc, rev_ex * csc_ratio)
     hq_fee = _d("freight_unit") / 2
     company = F.when(acc, per_unit_ratio(_d("freight_unit") * qty, "fx_rate"))
+    company_ex = F.when(acc, per_unit_ratio(_d("freight_unit") * qty, "fx_rate_ex"))
+    cogs_ex = F.when(acc, per_unit_ratio(_d("std_price") * qty * _d("fx_rate"), "fx_rate_ex")).otherwise(_d("std_price") * qty)
     return f.select(
         "l_orderkey", "l_linenumber", "source", "product_line_id", "part_number", "period", "branch",
         "business_type", "all_qty", "revenue",
@@ -136,6 +139,11 @@ def enriched_fact(fact: DataFrame, part_attr: DataFrame, fx: DataFrame, cn: Data
         cost_waterfall(F.col("source"), mode).alias("hq_asc"),
         (cost_waterfall(F.col("source"), mode) * qty).alias("cogs_amount"),
         (_d("std_price") * qty).alias("local_cogs_amount"),
+        cost_waterfall(F.col("source"), mode).alias("hq_asc_fxdiff"),  # no second set of cost tables among the views
+        (cost_waterfall(F.col("source"), mode) * qty).alias("cogs_amount_fxdiff"),
+        cogs_ex.alias("local_cogs_amount_fxdiff"),
+        company_ex.alias("total_ship_fee_company_fxdiff"),
+        F.when(acc, company_ex + hq_fee * qty).otherwise(_d("freight_unit") * qty).alias("total_ship_fee_fxdiff"),
         company.alias("total_ship_fee_company"),
         F.when(acc, company + hq_fee * qty).otherwise(_d("freight_unit") * qty).alias("total_ship_fee"),
         F.when(acc, hq_fee * qty).alias("total_ship_fee_hq"),
@@ -161,10 +169,11 @@ def gross_profit(mapped: DataFrame, fx: DataFrame) -> DataFrame:
     s1 = mapped.withColumns({
         "local_gp": z("revenue_usd_hedge_rate") - z("credit_note_hedge_rate") - z("local_cogs_amount")
         - z("total_ship_fee_company") - z("csc_amt"),
-        "local_gp_fxdiff": z("revenue_fxdiff") - z("credit_note_fxdiff") - z("local_cogs_amount")
-        - z("total_ship_fee_company") - z("csc_amt_fxdiff"),
+        "local_gp_fxdiff": z("revenue_fxdiff") - z("credit_note_fxdiff") - z("local_cogs_amount_fxdiff")
+        - z("total_ship_fee_company_fxdiff") - z("csc_amt_fxdiff"),
         "gp_pod": z("net_revenue_usd_agp") - z("cogs_amount") - z("total_ship_fee") - z("csc_amt"),
-        "gp_pod_fxdiff": z("net_revenue_fxdiff") - z("cogs_amount") - z("total_ship_fee") - z("csc_amt_fxdiff"),
+        "gp_pod_fxdiff": z("net_revenue_fxdiff") - z("cogs_amount_fxdiff") - z("total_ship_fee_fxdiff")
+        - z("csc_amt_fxdiff"),
     })
     os_usd = F.when(F.col("product_line_id") != "NV", z("os_incentive")).otherwise(F.lit(0.0))
     s2 = s1.withColumns({
@@ -179,7 +188,7 @@ def gross_profit(mapped: DataFrame, fx: DataFrame) -> DataFrame:
         "hq_gp_unit_fxdiff": F.when(no_qty, F.lit(0.0)).otherwise(F.col("hq_gp_usd_fxdiff") / _d("all_qty")),
     })
     s4 = s3.withColumns({"hq_asp": z("hq_asc") + F.col("hq_gp_unit"),
-                         "hq_asp_fxdiff": z("hq_asc") + F.col("hq_gp_unit_fxdiff")})
+                         "hq_asp_fxdiff": z("hq_asc_fxdiff") + F.col("hq_gp_unit_fxdiff")})
     s5 = s4.withColumns({"hq_rev": F.col("hq_asp") * z("all_qty"),
                          "hq_rev_usd_fxdiff": F.col("hq_asp_fxdiff") * z("all_qty")})
     rate = latest_snapshot(fx) if "ds" in fx.columns else fx

@@ -93,10 +93,9 @@ def cand_attach_sql(src: str, dst: str) -> str:
 
 
 WATERFALL_SQL = """CASE
-  WHEN source = 'ACCRAW' AND cmode = 'exact' THEN coalesce(pn_exact, model_exact, pn_latest, model_latest)
+  WHEN source = 'ACCRAW' AND cmode = 'exact' THEN coalesce(pn_exact, pn_latest, model_exact, model_latest)
   WHEN source = 'ACCRAW' AND cmode = 'latest' THEN coalesce(pn_latest, model_latest)
-  WHEN source = 'ACIRAW' AND cmode = 'exact' THEN coalesce(branch_exact, pn_exact, branch_latest, pn_latest, model_latest)
-  WHEN source = 'ACIRAW' AND cmode = 'latest' THEN coalesce(branch_latest, pn_latest, model_latest) END"""
+  WHEN source = 'ACIRAW' THEN coalesce(pn_latest, branch_exact) END"""
 
 
 def enriched_sql(monthly: bool) -> str:
@@ -132,7 +131,8 @@ e3 AS (SELECT e2.*, CAST(all_qty AS DOUBLE) AS qty,
   CASE WHEN cost_period = 'newest' THEN 'latest' ELSE 'exact' END AS cmode,
   CASE WHEN source = 'ACCRAW' THEN {_ratio('revenue', 'fx_rate')} ELSE CAST(revenue AS DOUBLE) END AS rev_usd,
   CASE WHEN source = 'ACCRAW' THEN {_ratio('revenue', 'fx_rate_ex')} ELSE CAST(revenue AS DOUBLE) END AS rev_ex,
-  CASE WHEN source = 'ACCRAW' THEN {_ratio('CAST(freight_unit AS DOUBLE) * CAST(all_qty AS DOUBLE)', 'fx_rate')} END AS company
+  CASE WHEN source = 'ACCRAW' THEN {_ratio('CAST(freight_unit AS DOUBLE) * CAST(all_qty AS DOUBLE)', 'fx_rate')} END AS company,
+  CASE WHEN source = 'ACCRAW' THEN {_ratio('CAST(freight_unit AS DOUBLE) * CAST(all_qty AS DOUBLE)', 'fx_rate_ex')} END AS company_ex
   FROM e2),
 mapped AS (SELECT l_orderkey, l_linenumber, source, product_line_id, part_number, period, branch, business_type,
   all_qty, revenue, cn AS credit_note_rate,
@@ -141,6 +141,12 @@ mapped AS (SELECT l_orderkey, l_linenumber, source, product_line_id, part_number
   rev_usd - rev_usd * CAST(cn AS DOUBLE) AS net_revenue_usd_agp, rev_ex - rev_ex * CAST(cn AS DOUBLE) AS net_revenue_fxdiff,
   {WATERFALL_SQL} AS hq_asc, ({WATERFALL_SQL}) * qty AS cogs_amount,
   CAST(std_price AS DOUBLE) * qty AS local_cogs_amount,
+  {WATERFALL_SQL} AS hq_asc_fxdiff, ({WATERFALL_SQL}) * qty AS cogs_amount_fxdiff,
+  CASE WHEN source <> 'ACCRAW' THEN CAST(std_price AS DOUBLE) * qty WHEN CAST(fx_rate_ex AS DOUBLE) <> 0
+       THEN CAST(std_price AS DOUBLE) * qty * CAST(fx_rate AS DOUBLE) / CAST(fx_rate_ex AS DOUBLE) END AS local_cogs_amount_fxdiff,
+  company_ex AS total_ship_fee_company_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN company_ex + CAST(freight_unit AS DOUBLE) / 2 * qty
+       ELSE CAST(freight_unit AS DOUBLE) * qty END AS total_ship_fee_fxdiff,
   company AS total_ship_fee_company,
   CASE WHEN source = 'ACCRAW' THEN company + CAST(freight_unit AS DOUBLE) / 2 * qty
        ELSE CAST(freight_unit AS DOUBLE) * qty END AS total_ship_fee,
@@ -165,9 +171,9 @@ def _z(x):
 
 GP_SQL = f"""g1 AS (SELECT *,
   {_z('revenue_usd_hedge_rate')} - {_z('credit_note_hedge_rate')} - {_z('local_cogs_amount')} - {_z('total_ship_fee_company')} - {_z('csc_amt')} AS local_gp,
-  {_z('revenue_fxdiff')} - {_z('credit_note_fxdiff')} - {_z('local_cogs_amount')} - {_z('total_ship_fee_company')} - {_z('csc_amt_fxdiff')} AS local_gp_fxdiff,
+  {_z('revenue_fxdiff')} - {_z('credit_note_fxdiff')} - {_z('local_cogs_amount_fxdiff')} - {_z('total_ship_fee_company_fxdiff')} - {_z('csc_amt_fxdiff')} AS local_gp_fxdiff,
   {_z('net_revenue_usd_agp')} - {_z('cogs_amount')} - {_z('total_ship_fee')} - {_z('csc_amt')} AS gp_pod,
-  {_z('net_revenue_fxdiff')} - {_z('cogs_amount')} - {_z('total_ship_fee')} - {_z('csc_amt_fxdiff')} AS gp_pod_fxdiff
+  {_z('net_revenue_fxdiff')} - {_z('cogs_amount_fxdiff')} - {_z('total_ship_fee_fxdiff')} - {_z('csc_amt_fxdiff')} AS gp_pod_fxdiff
   FROM mapped),
 g2 AS (SELECT *, gp_pod - local_gp AS hq_gp, gp_pod_fxdiff - local_gp_fxdiff AS hq_gp_usd_fxdiff,
   gp_pod + {_z('extra_rebate')} + {_z('nv_sellout_rebate')} + {_z('funding')}
@@ -177,7 +183,7 @@ g2 AS (SELECT *, gp_pod - local_gp AS hq_gp, gp_pod_fxdiff - local_gp_fxdiff AS
 g3 AS (SELECT *, CASE WHEN all_qty = 0 OR all_qty IS NULL THEN 0.0 ELSE hq_gp / CAST(all_qty AS DOUBLE) END AS hq_gp_unit,
   CASE WHEN all_qty = 0 OR all_qty IS NULL THEN 0.0 ELSE hq_gp_usd_fxdiff / CAST(all_qty AS DOUBLE) END AS hq_gp_unit_fxdiff
   FROM g2),
-g4 AS (SELECT *, {_z('hq_asc')} + hq_gp_unit AS hq_asp, {_z('hq_asc')} + hq_gp_unit_fxdiff AS hq_asp_fxdiff FROM g3),
+g4 AS (SELECT *, {_z('hq_asc')} + hq_gp_unit AS hq_asp, {_z('hq_asc_fxdiff')} + hq_gp_unit_fxdiff AS hq_asp_fxdiff FROM g3),
 g5 AS (SELECT *, hq_asp * {_z('all_qty')} AS hq_rev, hq_asp_fxdiff * {_z('all_qty')} AS hq_rev_usd_fxdiff FROM g4),
 g6 AS (SELECT g5.*, r.fx_rate AS rmb_fx_rate FROM g5 LEFT JOIN fx_rates r
   ON g5.product_line_id = r.product_line AND g5.period = r.period),
