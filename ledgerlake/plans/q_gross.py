@@ -7,6 +7,7 @@ from ledgerlake.functions.money import fixed6
 from ledgerlake.plans import grossprofit as GP
 from ledgerlake.plans.q_marts import ITEM_MAP_SQL, EXTRA_SQL, SELLOUT_SQL, extra, sellout
 from ledgerlake.plans.q_relational import CN_CASCADE_SQL, cn_cascade
+from ledgerlake.sources.snapshot import max_of
 from ledgerlake.plans.registry import query, shared
 
 _VIEWS = ["fact_sales", "part_attr", "fx_rates", "cn_rates", "branch_freight", "funding", "os_incentive",
@@ -261,27 +262,35 @@ def gross_profit_q(t):
     return gross(t, True)
 
 
+def newest(t, mapped):
+    """The rows of the fact's newest period: the batch that an accumulator takes in."""
+    return mapped.where(F.col("period") == max_of(t["fact_sales"], "period"))
+
+
 @query("monthly_accum", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(True)}, {GP_SQL},
+batch AS (SELECT * FROM gp WHERE period = (SELECT max(period) FROM fact_sales)),
 hist AS (SELECT * FROM gp_monthly_accum WHERE ds = (SELECT max(ds) FROM gp_monthly_accum)),
-keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM gp WHERE gp.period = h.period))
+keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.period = h.period))
 SELECT *, '{LOAD_TIME}' AS dw_ins_time, '{BATCH_DS}' AS ds FROM (
-  SELECT {_CONTRACT} FROM keep UNION ALL {_contract_from_gp('gp')}) u""")
+  SELECT {_CONTRACT} FROM keep UNION ALL {_contract_from_gp('batch')}) u""")
 def monthly_accum_q(t):
-    """Monthly accumulator — stored history minus the batch's periods ∪ the batch (all text)."""
-    batch = _text_ready(gross(t, True))
+    """Monthly accumulator — stored history minus the batch's period ∪ the batch (all text); the
+    batch is the newest period."""
+    batch = _text_ready(newest(t, gross(t, True)))
     return GP.accumulate(t["gp_monthly_accum"], batch, BATCH_DS, F.lit(LOAD_TIME))
 
 
 @query("weekly_accum", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(False)}, {GP_SQL},
+batch AS (SELECT * FROM gp WHERE period = (SELECT max(period) FROM fact_sales)),
 hist AS (SELECT * FROM gp_weekly_accum WHERE ds = (SELECT max(ds) FROM gp_weekly_accum)),
-keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM gp WHERE gp.period = h.period)),
-weekly AS (SELECT {_CONTRACT} FROM keep UNION ALL {_contract_from_gp('gp')}),
+keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.period = h.period)),
+weekly AS (SELECT {_CONTRACT} FROM keep UNION ALL {_contract_from_gp('batch')}),
 mon AS (SELECT * FROM gp_monthly_accum WHERE ds = (SELECT max(ds) FROM gp_monthly_accum)),
 restated AS (SELECT coalesce(max(period), '') AS p FROM mon)
 SELECT *, '{LOAD_TIME}' AS dw_ins_time, '{BATCH_DS}' AS ds FROM (
-  SELECT * FROM weekly WHERE period <> (SELECT p FROM restated)
+  SELECT * FROM weekly WHERE period IS DISTINCT FROM (SELECT p FROM restated)
   UNION ALL SELECT {_CONTRACT} FROM mon WHERE period = (SELECT p FROM restated)) u""")
 def weekly_accum_q(t):
     """Weekly accumulator whose restated month is taken from the monthly accumulator."""
-    batch = _text_ready(gross(t, False))
+    batch = _text_ready(newest(t, gross(t, False)))
     return GP.weekly_accumulate(t["gp_weekly_accum"], batch, t["gp_monthly_accum"], BATCH_DS, F.lit(LOAD_TIME))
