@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 from ledgerlake.session import ensure_checkpoint_dir
 
 TARGET_BYTES = 8 << 20
-"""Text bytes that one task should hold at a time."""
+"""Text bytes that a Python task receives at a time."""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch that a Python task receives at once: texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TARGET_BYTES))
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the lineage is cut, the rows survive
     the loss of executors, and later readers prune columns.  The files stay until the folder is cleaned

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import numbered, store
+from ledgerlake.llm.common import numbered, small_batches, store
 
 PASSAGE = 64
 CHUNK = 8
@@ -291,6 +291,7 @@ def search(codes: DataFrame, items: list[Item], weight: np.ndarray, space: np.nd
 def matches(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float = COSINE, doc_col: str = "doc_id",
             text_col: str = "text", item_col: str = "item_id", vocabulary: int = VOCABULARY) -> DataFrame:
     """``doc_id, found`` for every row of ``docs``: the benchmark items that it repeats."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{doc_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     parts = []
     for words, items in blocks_of(benchmark, item_col, "text", vocabulary):

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import select_columns
+from ledgerlake.llm.common import select_columns, small_batches
 
 CAPACITY = 4096
 END_ID = 2
@@ -164,6 +164,7 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = CAP
     if tokenizer_file is None:
         import public_tokenizers
         tokenizer_file = public_tokenizers.path(TOKENIZER)
+    small_batches(docs.sparkSession)
     rows = select_columns(docs, [doc_col, text_col])
     full = capacity * window
 

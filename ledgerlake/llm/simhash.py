@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, select_columns, store
+from ledgerlake.llm.common import components, select_columns, small_batches, store
 
 SHINGLE = 3
 BUDGET = 2
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text
             found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     rows = select_columns(docs, [doc_col, text_col])
     return rows.withColumn(doc_col, F.col(doc_col).cast("long")).mapInArrow(run, "doc_id long, fp long")
 

@@ -35,15 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import numbered, store
+from ledgerlake.llm.common import numbered, small_batches, store
 from ledgerlake.llm.suffixarray import permuted_common_prefixes, suffix_array
 
 LENGTH = 200
 GRAM = 40
-SHARD = 2 << 20
+SHARD = 1 << 20
 """Bytes of windows in a shard, before the last key's."""
 HOT = 20_000
-"""Windows of one key in a shard: with them a shard has 8 MB at most, and its arrays some 500 MB."""
+"""Windows of one key in a shard: with them a shard has 7 MB at most, and its arrays some 250 MB."""
 BLOCK = 1 << 22
 """Bytes hashed at a time."""
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -154,7 +154,7 @@ def repeated_in_shard(windows: list[bytes], strings: list[int], length: int) ->
     first = np.cumsum(sizes) - sizes
     raw = np.frombuffer(b"\x00".join(windows) + b"\x00\x00", np.uint8)
     # letters: 0 ends the shard, 1 ends a window, bytes follow
-    t = raw.astype(np.int64) + 2
+    t = raw.astype(np.int32) + 2
     t[first[1:] - 1] = 1
     t[-2], t[-1] = 1, 0
     sa = suffix_array(t)
@@ -246,6 +246,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
 
     ``docs`` must have one row per doc_col.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{doc_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     made = store(runs(texts, length, gram), "runs")
     keys = made.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
