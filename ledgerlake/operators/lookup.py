@@ -121,17 +121,36 @@ def ci_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(r, cond, how).drop(*[f"__ci{i}" for i in range(len(keys))])
 
 
+def _longest_literal(pattern: Column) -> Column:
+    """The longest run of a LIKE pattern without wildcards and escaped characters ('' if there is none)."""
+    runs = F.split(pattern, r"\\.|[%_]")
+    return F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("run")))).getField("run")
+
+
 def like_join(facts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
-              how: str = "inner", max_patterns: int = 100_000) -> DataFrame:
-    """``fact.text LIKE pattern.pattern`` with the pattern a column.
-
-    A non-equi join can only run as a nested loop; the pattern table is a
-    dimension (distinct tags), so it is broadcast after its size is proven.
-    Above the bound this raises rather than plan a cartesian product."""
-    n = patterns.limit(max_patterns + 1).count()
-    if n > max_patterns:
-        raise ValueError(f"pattern table exceeds {max_patterns} rows; refusing a nested-loop join")
-    return facts.join(F.broadcast(patterns), F.like(facts[text_col], patterns[pattern_col]), how)
+              how: str = "inner", gram: int = 8) -> DataFrame:
+    """``fact.text LIKE pattern.pattern`` with the pattern a column, as equi-joins.
+
+    A text can only match a pattern whose literal runs it contains.  Every pattern
+    is keyed by the first ``gram`` characters (or fewer) of its longest run; every
+    *distinct* text is cut into its distinct substrings of just those lengths that
+    some pattern has (at most ``gram + 1`` of them, a scalar subquery).  Both meet
+    on the key, the LIKE itself decides, and the matches go back to the facts by
+    text.  No bound on the number of patterns, no nested loop, nothing broadcast
+    by hand; a common key is a skewed equi-join that AQE splits.
+
+    Repeated patterns and facts keep their multiplicity; a NULL text or pattern
+    matches nothing (``how="left"`` keeps the fact); a pattern of wildcards only
+    meets every distinct text."""
+    pat = patterns.where(F.col(pattern_col).isNotNull()).withColumn(
+        "__gram", F.substring(_longest_literal(F.col(pattern_col)), 1, gram))
+    lengths = pat.select(F.array_sort(F.collect_set(F.length("__gram")))).scalar()
+    texts = facts.select(F.col(text_col).alias("__text")).where(F.col("__text").isNotNull()).distinct()
+    cuts = F.regexp_extract_all("__text", F.concat(F.lit("(?s)(?=(.{"), F.col("__n"), F.lit("}))")), F.lit(1))
+    keyed = texts.select("__text", F.explode(lengths).alias("__n")).select(
+        "__text", F.explode(F.array_distinct(cuts)).alias("__gram"))
+    matches = keyed.join(pat, "__gram").where(F.like("__text", F.col(pattern_col))).drop("__gram")
+    return facts.join(matches, facts[text_col] == matches["__text"], how).drop("__text")
 
 
 def match_cascade(fact: DataFrame, lookup: DataFrame, rules: Sequence[Mapping], value: str,

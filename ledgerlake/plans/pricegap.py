@@ -41,16 +41,17 @@ def _gap_exact(x) -> Column:
 def component_map(quotes: DataFrame, patterns: DataFrame, bom: DataFrame) -> DataFrame:
     """Component item → (group, description, tag) → finished parts.
 
-    Per item the quote row with a group number wins, then the latest month (W3);
-    the tag comes from a LIKE join to the pattern table (J3); the BOM is reduced
-    to main components with summed quantity (A4) and left-joined (J16)."""
+    Per item the quote row with a group number wins, then the latest month (W3).
+    Only the picked descriptions are matched to the pattern table (J3; the greatest
+    tag counts).  The BOM is reduced to main components with summed quantity (A4)
+    and left-joined (J16)."""
     q = latest_snapshot(quotes) if "ds" in quotes.columns else quotes
     q = q.where(F.col("buying_mode") == "B").where(F.upper("product_no").isin(QUOTE_PROJECTS))
-    tagged = L.like_join(q.select("item_no", "ag_no", "item_desc", "group_no"), "item_desc",
-                         patterns.select(F.col("pattern"), F.col("tag")), "pattern", how="left")
-    tagged = tagged.withColumn("tag", F.coalesce(F.col("tag"), F.lit("")))
     rank = F.when(F.col("ag_no").isNotNull(), F.lit(0)).otherwise(F.lit(1))
-    best = W.priority_pick(tagged, ["item_no"], rank, "group_no", ["ag_no", "item_desc", "tag"])
+    best = W.priority_pick(q, ["item_no"], rank, "group_no", ["ag_no", "item_desc"])
+    tags = (L.like_join(best.select("item_desc").distinct(), "item_desc", patterns.select("pattern", "tag"), "pattern")
+            .groupBy("item_desc").agg(F.max("tag").alias("tag")))
+    best = best.join(tags, "item_desc", "left").withColumn("tag", F.coalesce(F.col("tag"), F.lit("")))
     main = bom.where(F.col("substitute_type") == "M").groupBy("part_number_kp", "part_number_90").agg(
         F.sum("kp_qty").alias("kp_qty"))
     out = best.join(main, best["item_no"] == main["part_number_kp"], "left")
@@ -132,7 +133,8 @@ def cpugpu_gap(quotes: DataFrame, standard_price: DataFrame, rebate: DataFrame,
     hist = history.select("product_line", "item_no", "period", F.col("equo_price").cast("double").alias("equo_price"),
                           F.col("cogs_price").cast("double").alias("cogs_price"), F.lit(None).cast("double").alias("rebate"))
     filled = gap_history(final, hist, ["product_line", "item_no"], ["equo_price", "cogs_price", "rebate"])
-    category = F.when(F.substring("item_no", 1, 2) == "01", F.lit("CPU")).otherwise(F.lit("GPU"))
+    prefix = F.substring("item_no", 1, 2)
+    category = F.when(prefix == "01", F.lit("CPU")).when(prefix == "02", F.lit("GPU"))
     return filled.withColumn("category", category).withColumn(
         "bs_gap", F.when(F.col("equo_price").isNotNull() & F.col("cogs_price").isNotNull(),
                          F.col("cogs_price") - F.col("equo_price")))

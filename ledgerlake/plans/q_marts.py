@@ -144,7 +144,7 @@ cg_now AS (SELECT product_line, item_no, period, pac AS cogs_price, rebate,
 cg_stored AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS equo_price, CAST(cogs_price AS DOUBLE) AS cogs_price,
   CAST(NULL AS DOUBLE) AS rebate FROM price_history),
 {_history_sql("cg", "cg_now", "cg_stored", "product_line, item_no", ["equo_price", "cogs_price", "rebate"])},
-cg_gap AS (SELECT *, CASE left(item_no, 2) WHEN '01' THEN 'CPU' ELSE 'GPU' END AS category, cogs_price - equo_price AS bs_gap FROM cg_filled)"""
+cg_gap AS (SELECT *, CASE left(item_no, 2) WHEN '01' THEN 'CPU' WHEN '02' THEN 'GPU' END AS category, cogs_price - equo_price AS bs_gap FROM cg_filled)"""
 
 _FAMILIES = {"lcd_gap": "'LCD'", "ssd_gap": "'SSD', 'HDD', 'FLASH'", "ddr_gap": "'DDR'", "batt_gap": "'BATT'"}
 

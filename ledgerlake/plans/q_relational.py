@@ -62,7 +62,7 @@ WITH pat AS (SELECT DISTINCT '%' || upper(split_part(p_name, ' ', 2)) || '%' AS
                              upper(split_part(p_name, ' ', 2)) AS tag FROM part)
 SELECT a.p_partkey, pat.tag FROM part_attr a JOIN pat ON a.item_desc LIKE pat.pattern""")
 def like_join_q(t):
-    """``text LIKE pattern`` with the pattern a column (size-checked broadcast)."""
+    """``text LIKE pattern`` with the pattern a column, as equi-joins on literal runs."""
     noun = F.upper(F.split(F.col("p_name"), " ").getItem(1))
     pat = t["part"].select(F.concat(F.lit("%"), noun, F.lit("%")).alias("pattern"), noun.alias("tag")).distinct()
     return L.like_join(t["part_attr"].select("p_partkey", "item_desc"), "item_desc", pat, "pattern").select(

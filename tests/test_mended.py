@@ -1,5 +1,7 @@
 """Rules that earlier versions broke: ids at size, keyed writes, failures that must show, ties."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +105,27 @@ def test_matrix_sheet_by_place(spark, scratch):
         f.write('RATES,,\nmonth,"US, D",EUR\n202401,"1,5",2\nRATES,3,4\nmonth,5,6\n')
     rows = sorted(tuple(r) for r in read_matrix_sheet(spark, f"{scratch}/m.csv").collect())
     assert rows == [("202401", "1,5", "2", "RATES"), ("RATES", "3", "4", "RATES"), ("month", "5", "6", "RATES")]
+
+
+def test_like_join_equals_brute_force_without_a_bound(spark):
+    from ledgerlake.operators.lookup import like_join
+    texts = ["red bolt 12", "RED BOLT", "", None, "a%b", "axb", "ab", "日本語の鋼", "x😀y", "red bolt 12", "long " * 3000 + "tail", "back\\slash",
+             "line\nbreak"]
+    pats = ["%bolt%", "red%", "%", "___", "_", "", None, "a\\%b", "a_b", "%本語%", "%😀%", "%bolt%", "%tail", "long long long%", "back%",
+            "%e\nb%", "%B_LT", "%12"]
+    facts = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rules = spark.createDataFrame(list(enumerate(pats)), "j int, p string")
+
+    def like(t, p):
+        return re.fullmatch("".join({"%": ".*", "_": "."}.get(m, re.escape(m[-1])) for m in re.findall(r"\\.|.", p, re.S)), t, re.S)
+
+    want = sorted((i, j) for i, t in enumerate(texts) for j, p in enumerate(pats) if t is not None and p is not None and like(t, p))
+    for gram in (1, 3, 8):
+        got = like_join(facts, "t", rules, "p", gram=gram)
+        assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.i, r.j) for r in got.collect()) == want
+    left = like_join(facts, "t", rules, "p", how="left").collect()
+    assert sorted((r.i, r.j) for r in left if r.j is not None) == want
+    assert {r.i for r in left if r.j is None} == set(range(len(texts))) - {i for i, _ in want}
+    assert like_join(facts, "t", rules.limit(0), "p").isEmpty()
+    assert like_join(facts, "t", rules.limit(0), "p", how="left").count() == len(texts)

@@ -8,11 +8,6 @@ from ledgerlake.plans.registry import QUERIES, load_all
 
 load_all()
 
-# the one non-equi join of the reference (LIKE against a pattern column)
-NESTED_LOOP_ALLOWED = {"like_join", "item_bom_map", "keypart_gap_by_part", "cpugpu_gap_by_part", "extra_rebate",
-                       "sellout_rebate", "costgap_spine", "explode_item_list", "enriched_monthly", "enriched_weekly",
-                       "gross_profit", "monthly_accum", "weekly_accum"}
-
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -23,18 +18,12 @@ def test_no_python_and_no_cartesian(spark, key):
     plan = _plan(QUERIES[key](spark, SF_SMALL))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan
-    if key not in NESTED_LOOP_ALLOWED:
-        assert "BroadcastNestedLoopJoin" not in plan
-
-
-def test_like_join_is_broadcast_nested_loop(spark):
-    plan = _plan(QUERIES["like_join"](spark, SF_SMALL))
-    assert "BroadcastNestedLoopJoin" in plan and "BuildRight" in plan
+    assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_latest_snapshot_pushes_scalar_subquery(spark):
     plan = _plan(QUERIES["latest_snapshot"](spark, SF_SMALL))
-    assert "ScalarSubquery" in plan or "Subquery" in plan
+    assert "Subquery" in plan
 
 
 def test_partition_pruning_on_ds(spark, tmp_path):
