@@ -77,6 +77,23 @@ def gap_history(final: DataFrame, history: DataFrame, keys: list[str], values: l
     return filled
 
 
+def _report_window(report: DataFrame) -> tuple[DataFrame, Column, list[Column]]:
+    """The last month of the newest report, that month, and it with the two after it."""
+    rep = latest_snapshot(report)
+    rep = rep.where(F.col("gl_yearmonth") == max_of(rep, "gl_yearmonth"))
+    first = anchor_value(rep, "gl_yearmonth")
+    return rep, first, [first, add_months_period(first, 1), add_months_period(first, 2)]
+
+
+def _report_prices(rep: DataFrame, keys: list[str], ntd_fx: DataFrame, month: Column) -> DataFrame:
+    """Unit price ``rep_equo`` and unit cost ``rep_cogs`` of a report per key, at the month's rate."""
+    fx = ntd_fx.where((F.col("period") == month) & (F.col("product_line") == "NB")).select(F.max("fx_rate")).scalar()
+    total = {n: F.sum(F.col(c).try_cast("decimal(38,15)")).alias(n)
+             for n, c in (("net", "net_sale_amount"), ("cost", "material_cost"), ("qty", "quantity"))}
+    return rep.groupBy(*keys).agg(*total.values()).select(
+        *keys, M.ratio(M.ratio("net", "qty"), fx).alias("rep_equo"), M.ratio(M.ratio("cost", "qty"), fx).alias("rep_cogs"))
+
+
 def keypart_gap(quotes: DataFrame, report: DataFrame, ntd_fx: DataFrame, history: DataFrame,
                 item_code: DataFrame) -> DataFrame:
     """Key-part price gap with history.
@@ -85,24 +102,13 @@ def keypart_gap(quotes: DataFrame, report: DataFrame, ntd_fx: DataFrame, history
     (line, category, group, month); the report gives unit price and cost per
     group converted at the anchor month's rate; both are full-outer joined, then
     laid on the product × period skeleton and filled from the stored history."""
-    rep = latest_snapshot(report)
-    rep = rep.where(F.col("gl_yearmonth") == max_of(rep, "gl_yearmonth"))
-    first = anchor_value(rep, "gl_yearmonth")
-    months = [first, add_months_period(first, 1), add_months_period(first, 2)]
+    rep, first, months = _report_window(report)
     scm = quotes.where((F.col("buying_mode") == "B") & F.col("group_no").isin(*months))
     scm = _categorise(scm.withColumn("product_line", F.upper("product_no")), item_code, "item_desc", "item_no")
     scm_avg = (scm.where(F.upper("category").isin(KEYPART_CATEGORIES))
                .groupBy("product_line", "category", "ag_no", F.col("group_no").alias("period"))
                .agg(mean("po_price").alias("scm_price")))
-    fx = ntd_fx.where((F.col("period") == first) & (F.col("product_line") == "NB")).select(
-        F.max("fx_rate")).scalar()
-    rep_data = (rep.groupBy("product_line", "category", "ag_no")
-                .agg(F.sum(F.col("net_sale_amount").try_cast("decimal(38,15)")).alias("net"),
-                     F.sum(F.col("material_cost").try_cast("decimal(38,15)")).alias("cost"),
-                     F.sum(F.col("quantity").try_cast("decimal(38,15)")).alias("qty"))
-                .select("product_line", "category", "ag_no",
-                        M.ratio(M.ratio("net", "qty"), fx).alias("rep_equo"),
-                        M.ratio(M.ratio("cost", "qty"), fx).alias("rep_cogs")))
+    rep_data = _report_prices(rep, ["product_line", "category", "ag_no"], ntd_fx, first)
     final = S.full_outer_coalesce(scm_avg, rep_data, ["product_line", "category", "ag_no"]).select(
         "product_line", "category", "ag_no", "period",
         F.when(F.col("period") == first, F.col("rep_equo")).otherwise(F.col("scm_price")).alias("equo_price"),
@@ -112,32 +118,40 @@ def keypart_gap(quotes: DataFrame, report: DataFrame, ntd_fx: DataFrame, history
     return filled.withColumn("bs_gap", F.col("cogs_price") - F.col("equo_price"))
 
 
-def cpugpu_gap(quotes: DataFrame, standard_price: DataFrame, rebate: DataFrame, history: DataFrame,
-               anchor: Column) -> DataFrame:
-    """CPU/GPU price gap: quote average, standard price (pac) and rebate in a
-    three-way full outer join on coalesced keys (J6); the first month of each
-    item takes the standard price (W4); then skeleton + carry-forward."""
-    months = [anchor, add_months_period(anchor, 1), add_months_period(anchor, 2)]
-    scm = quotes.where((F.col("buying_mode") == "B") & F.col("group_no").isin(*months))
-    scm = R.prefix_filter(scm, "item_no", ["01", "02"])
+def processor_class(item) -> Column:
+    """D15's category of an item number (fixed values)."""
+    item = F.col(item) if isinstance(item, str) else item
+    return (F.when(item.startswith("02135") | item.startswith("01"), F.lit("CPU"))
+            .when(item.startswith("02"), F.lit("C.S")))
+
+
+def cpugpu_gap(quotes: DataFrame, report: DataFrame, ntd_fx: DataFrame, pac: DataFrame, history: DataFrame) -> DataFrame:
+    """CPU/GPU price gap.
+
+    Quote averages per (line, item, month) of the report's three months, the
+    report's unit price and cost per (line, item), and the anchor month's standard
+    price meet in full outer joins on (line, item) (J5, J6).  An item's first month
+    takes the report's price (W4); then skeleton and carry-forward.  An item without
+    category matches no stored value, and a standard price alone has no line (both
+    by SQL equality).  ``rebate`` is standard price less cost."""
+    rep, first, months = _report_window(report)
+    scm = R.prefix_filter(quotes.where((F.col("buying_mode") == "B") & F.col("group_no").isin(*months)), "item_no", ["01", "02"])
     scm_avg = (scm.groupBy(F.upper("product_no").alias("product_line"), "item_no", F.col("group_no").alias("period"))
                .agg(mean("po_price").alias("scm_price")))
-    pac = standard_price.select("product_line", "item_no", "period", F.col("equo_price").cast("double").alias("pac"))
-    reb = rebate.groupBy("product_line", "item_no", "period").agg(F.sum("extra_rebate").cast("double").alias("rebate"))
-    keys = ["product_line", "item_no", "period"]
-    j = S.full_outer_coalesce(S.full_outer_coalesce(scm_avg, pac, keys), reb, keys)
-    j = W.first_in_group(j, ["product_line", "item_no"], "period", "is_first")
-    final = j.select("product_line", "item_no", "period",
-                     F.when(F.col("is_first"), F.col("pac")).otherwise(F.col("scm_price")).alias("equo_price"),
-                     F.col("pac").alias("cogs_price"), "rebate")
-    hist = history.select("product_line", "item_no", "period", F.col("equo_price").cast("double").alias("equo_price"),
-                          F.col("cogs_price").cast("double").alias("cogs_price"), F.lit(None).cast("double").alias("rebate"))
-    filled = gap_history(final, hist, ["product_line", "item_no"], ["equo_price", "cogs_price", "rebate"])
-    prefix = F.substring("item_no", 1, 2)
-    category = F.when(prefix == "01", F.lit("CPU")).when(prefix == "02", F.lit("GPU"))
-    return filled.withColumn("category", category).withColumn(
-        "bs_gap", F.when(F.col("equo_price").isNotNull() & F.col("cogs_price").isNotNull(),
-                         F.col("cogs_price") - F.col("equo_price")))
+    priced = _report_prices(rep, ["product_line", "item_no"], ntd_fx, first)
+    standard = (latest_snapshot(pac).where(F.col("period") == first)
+                .groupBy(F.col("product_line").alias("p_line"), F.col("pn").alias("p_item"))
+                .agg(F.max("pac").cast("double").alias("pac")))
+    j = S.full_outer_coalesce(scm_avg, priced, ["product_line", "item_no"])
+    j = j.join(standard, (F.col("product_line") == F.col("p_line")) & (F.col("item_no") == F.col("p_item")), "full")
+    j = W.first_in_group(j.withColumn("category", processor_class(F.coalesce("item_no", "p_item"))),
+                         ["product_line", "item_no"], "period", "is_first")
+    keys = ["product_line", "category", "item_no"]
+    final = j.select(*keys, "period", F.when(F.col("is_first"), F.col("rep_equo")).otherwise(F.col("scm_price")).alias("equo_price"),
+                     F.col("rep_cogs").alias("cogs_price"), "pac")
+    hist = latest_snapshot(history).select(*keys, "period", "equo_price", "cogs_price", "pac").distinct()
+    filled = gap_history(final, hist, keys, ["equo_price", "cogs_price", "pac"])
+    return filled.withColumns({"bs_gap": F.col("cogs_price") - F.col("equo_price"), "rebate": F.col("pac") - F.col("cogs_price")})
 
 
 def keypart_gap_by_part(gap: DataFrame, missed: DataFrame, item_map: DataFrame) -> DataFrame:
@@ -167,10 +181,10 @@ def keypart_gap_by_part(gap: DataFrame, missed: DataFrame, item_map: DataFrame)
 
 
 def cpugpu_gap_by_part(gap: DataFrame, item_map: DataFrame) -> DataFrame:
-    """CPU/GPU gap and rebate per finished part (J1 + A3)."""
-    m = item_map.select("item_no", "part_number", "kp_qty").distinct()
-    j = gap.join(m, "item_no", "left")
-    qty = F.coalesce(F.col("kp_qty"), F.lit(0)).cast("double")
+    """CPU/GPU gap and rebate per finished part of the item's own line (J1 + A3)."""
+    m = item_map.select(F.substring("part_number", 3, 2).alias("product_line"), "item_no", "part_number", "kp_qty").distinct()
+    j = gap.join(m, ["product_line", "item_no"], "left")
+    qty = F.col("kp_qty").cast("double")
     zero = F.lit(0).cast("decimal(38,9)")
 
     def piv(cat, col):
@@ -178,7 +192,7 @@ def cpugpu_gap_by_part(gap: DataFrame, item_map: DataFrame) -> DataFrame:
 
     return j.groupBy("product_line", "period", "part_number").agg(
         piv("CPU", "bs_gap").alias("cpu_gap"), piv("CPU", "rebate").alias("cpu_rebate"),
-        piv("GPU", "bs_gap").alias("gpu_gap"), piv("GPU", "rebate").alias("gpu_rebate"))
+        piv("C.S", "bs_gap").alias("gpu_gap"), piv("C.S", "rebate").alias("gpu_rebate"))
 
 
 # fixed values: the one variant rule of the extra rebate (NV + this CPU only for this model)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.plans import pricegap as PG
 from ledgerlake.plans.registry import query, shared, stored
-from ledgerlake.sources.snapshot import max_of
 
 # ---------------------------------------------------------------- Spark side
 
@@ -30,9 +29,7 @@ def kp_gap(t):
 
 @stored
 def cg_gap(t):
-    rep = t["keypart_report"]
-    return PG.cpugpu_gap(t["quotes"], t["price_history"], t["extra_rebate_src"], t["price_history"],
-                         max_of(rep.where(F.col("ds") == max_of(rep, "ds")), "gl_yearmonth"))
+    return PG.cpugpu_gap(t["quotes"], t["keypart_report"], t["fx_rates"], t["pac_src"], t["cpugpu_history"])
 
 
 @shared
@@ -107,12 +104,12 @@ def _history_sql(name: str, now: str, stored: str, keys: str, measures: list[str
   GROUP BY {keys}, period)"""
 
 
-KP_GAP_SQL = f"""kp_unit AS (SELECT product_line, category, ag_no,
-  CAST(CAST(sum(TRY_CAST(net_sale_amount AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE)
-    / NULLIF(CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE), 0) AS unit_net,
-  CAST(CAST(sum(TRY_CAST(material_cost AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE)
-    / NULLIF(CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE), 0) AS unit_cost
-  FROM keypart_report JOIN newest ON ds = day JOIN anchor ON gl_yearmonth = m0 GROUP BY ALL),
+_QTY = "NULLIF(CAST(CAST(sum(TRY_CAST(quantity AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE), 0)"
+_UNITS = f"""CAST(CAST(sum(TRY_CAST(net_sale_amount AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) / {_QTY} AS unit_net,
+  CAST(CAST(sum(TRY_CAST(material_cost AS DECIMAL(38,15))) AS DECIMAL(38,4)) AS DOUBLE) / {_QTY} AS unit_cost
+  FROM keypart_report JOIN newest ON ds = day JOIN anchor ON gl_yearmonth = m0 GROUP BY ALL"""
+
+KP_GAP_SQL = f"""kp_unit AS (SELECT product_line, category, ag_no, {_UNITS}),
 kp_rate AS (SELECT NULLIF(CAST(max(fx_rate) AS DOUBLE), 0) AS rate FROM fx_rates JOIN anchor ON period = m0
   WHERE product_line = 'NB'),
 kp_priced AS (SELECT product_line, category, ag_no, unit_net / rate AS equo, unit_cost / rate AS cogs FROM kp_unit, kp_rate),
@@ -131,20 +128,25 @@ kp_stored AS (SELECT product_line, category, ag_no, period, equo_price, cogs_pri
               "UNION SELECT product_line, category, ag_no FROM kp_priced")},
 kp_gap AS (SELECT *, cogs_price - equo_price AS bs_gap FROM kp_filled)"""
 
-CG_GAP_SQL = f"""cg_facts AS (
-  SELECT upper(product_no) AS product_line, item_no, group_no AS period,
-    CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS quoted, CAST(NULL AS DOUBLE) AS pac, CAST(NULL AS DOUBLE) AS rebate
-  FROM quotes JOIN gap_months ON group_no = month WHERE buying_mode = 'B' AND left(item_no, 2) IN ('01', '02') GROUP BY ALL
-  UNION ALL SELECT product_line, item_no, period, NULL, CAST(equo_price AS DOUBLE), NULL FROM price_history
-  UNION ALL SELECT product_line, item_no, period, NULL, NULL, CAST(sum(extra_rebate) AS DOUBLE) FROM extra_rebate_src GROUP BY ALL),
-cg_rows AS (SELECT product_line, item_no, period, max(quoted) AS quoted, max(pac) AS pac, max(rebate) AS rebate
-  FROM cg_facts GROUP BY ALL),
-cg_now AS (SELECT product_line, item_no, period, pac AS cogs_price, rebate,
-  IF(row_number() OVER (PARTITION BY product_line, item_no ORDER BY period NULLS LAST) = 1, pac, quoted) AS equo_price FROM cg_rows),
-cg_stored AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS equo_price, CAST(cogs_price AS DOUBLE) AS cogs_price,
-  CAST(NULL AS DOUBLE) AS rebate FROM price_history),
-{_history_sql("cg", "cg_now", "cg_stored", "product_line, item_no", ["equo_price", "cogs_price", "rebate"])},
-cg_gap AS (SELECT *, CASE left(item_no, 2) WHEN '01' THEN 'CPU' WHEN '02' THEN 'GPU' END AS category, cogs_price - equo_price AS bs_gap FROM cg_filled)"""
+_CG_CLASS = "CASE WHEN starts_with(item_no, '01') OR starts_with(item_no, '02135') THEN 'CPU' WHEN starts_with(item_no, '02') THEN 'C.S' END"
+CG_GAP_SQL = f"""cg_unit AS (SELECT product_line, item_no, {_UNITS}),
+cg_rate AS (SELECT NULLIF(CAST(max(fx_rate) AS DOUBLE), 0) AS rate FROM fx_rates JOIN anchor ON period = m0
+  WHERE product_line = 'NB'),
+cg_priced AS (SELECT product_line, item_no, unit_net / rate AS equo, unit_cost / rate AS cogs FROM cg_unit, cg_rate),
+cg_quoted AS (SELECT upper(product_no) AS product_line, item_no, group_no AS period,
+    CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS quoted
+  FROM quotes JOIN gap_months ON group_no = month WHERE buying_mode = 'B' AND left(item_no, 2) IN ('01', '02') GROUP BY ALL),
+cg_pac AS (SELECT product_line, pn AS item_no, CAST(max(pac) AS DOUBLE) AS pac FROM pac_src JOIN anchor ON period = m0
+  WHERE ds = (SELECT max(ds) FROM pac_src) GROUP BY ALL),
+cg_now AS (SELECT product_line, {_CG_CLASS} AS category, item_no, period,
+  IF(period = min(period) OVER (PARTITION BY product_line, item_no), equo, quoted) AS equo_price, cogs AS cogs_price, pac
+  FROM cg_quoted LEFT JOIN cg_priced USING (product_line, item_no) LEFT JOIN cg_pac USING (product_line, item_no)),
+cg_stored AS (SELECT DISTINCT product_line, category, item_no, period, equo_price, cogs_price, pac FROM cpugpu_history
+  WHERE ds = (SELECT max(ds) FROM cpugpu_history)),
+{_history_sql("cg", "cg_now", "cg_stored", "product_line, category, item_no", ["equo_price", "cogs_price", "pac"],
+              f"UNION SELECT product_line, {_CG_CLASS}, item_no FROM cg_priced UNION SELECT NULL, {_CG_CLASS}, NULL FROM "
+              "(SELECT * FROM cg_pac ANTI JOIN cg_priced USING (product_line, item_no)) ANTI JOIN cg_quoted USING (product_line, item_no)")},
+cg_gap AS (SELECT *, cogs_price - equo_price AS bs_gap, pac - cogs_price AS rebate FROM cg_filled)"""
 
 _FAMILIES = {"lcd_gap": "'LCD'", "ssd_gap": "'SSD', 'HDD', 'FLASH'", "ddr_gap": "'DDR'", "batt_gap": "'BATT'"}
 
@@ -163,16 +165,16 @@ kp_part AS (SELECT product_line, period, part_number, """ + ", ".join(
     f"sum(IF(family IN ({names}), CAST(bs_gap * CAST(coalesce(kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9)), CAST(0 AS DECIMAL(38,9)))) AS {column}"
     for column, names in _FAMILIES.items()) + """ FROM kp_worth GROUP BY ALL)"""
 
-_CG_TERM = "CAST({c} * CAST(coalesce(m.kp_qty, 0) AS DOUBLE) AS DECIMAL(38,9))"
+_CG_TERM = "CAST({c} * CAST(m.kp_qty AS DOUBLE) AS DECIMAL(38,9))"
 _Z9 = "CAST(0 AS DECIMAL(38,9))"
 
-CG_PART_SQL = f"""cgp_m AS (SELECT DISTINCT item_no, part_number, kp_qty FROM item_map),
+CG_PART_SQL = f"""cgp_m AS (SELECT DISTINCT substr(part_number, 3, 2) AS line, item_no, part_number, kp_qty FROM item_map),
 cg_part AS (SELECT g.product_line, g.period, m.part_number,
   sum(CASE WHEN g.category = 'CPU' THEN {_CG_TERM.format(c='g.bs_gap')} ELSE {_Z9} END) AS cpu_gap,
   sum(CASE WHEN g.category = 'CPU' THEN {_CG_TERM.format(c='g.rebate')} ELSE {_Z9} END) AS cpu_rebate,
-  sum(CASE WHEN g.category = 'GPU' THEN {_CG_TERM.format(c='g.bs_gap')} ELSE {_Z9} END) AS gpu_gap,
-  sum(CASE WHEN g.category = 'GPU' THEN {_CG_TERM.format(c='g.rebate')} ELSE {_Z9} END) AS gpu_rebate
-  FROM cg_gap g LEFT JOIN cgp_m m ON g.item_no = m.item_no GROUP BY 1, 2, 3)"""
+  sum(CASE WHEN g.category = 'C.S' THEN {_CG_TERM.format(c='g.bs_gap')} ELSE {_Z9} END) AS gpu_gap,
+  sum(CASE WHEN g.category = 'C.S' THEN {_CG_TERM.format(c='g.rebate')} ELSE {_Z9} END) AS gpu_rebate
+  FROM cg_gap g LEFT JOIN cgp_m m ON g.item_no = m.item_no AND g.product_line = m.line GROUP BY 1, 2, 3)"""
 
 EXTRA_SQL = """ex_res AS (SELECT DISTINCT product_line, part_number, model_name FROM keypart_result
                 WHERE ds = (SELECT max(ds) FROM keypart_result)),
@@ -228,7 +230,7 @@ costgap AS (SELECT k.product_line, k.period, k.part_number,
     AND k.part_number IS NOT DISTINCT FROM e.part_number)"""
 
 _GAP_VIEWS = ["quotes", "bom", "keypart_report", "keypart_history", "fx_rates", "item_code", "price_history",
-              "extra_rebate_src", "sellout_src", "keypart_result", "opp_rebate", "os_incentive"]
+              "extra_rebate_src", "sellout_src", "keypart_result", "opp_rebate", "os_incentive", "cpugpu_history", "pac_src"]
 
 # ---------------------------------------------------------------- registered queries
 
@@ -248,11 +250,11 @@ def keypart_gap_q(t):
 
 
 @query("cpugpu_gap", _GAP_VIEWS, f"""WITH {RANGE_SQL}, {CG_GAP_SQL}
-SELECT product_line, item_no, period, category, equo_price, cogs_price, rebate, bs_gap FROM cg_gap""")
+SELECT product_line, item_no, period, category, equo_price, cogs_price, pac, rebate, bs_gap FROM cg_gap""")
 def cpugpu_gap_q(t):
-    """CPU/GPU gap: three-way full outer, first-period override, history fill."""
-    return cg_gap(t).select("product_line", "item_no", "period", "category", "equo_price", "cogs_price", "rebate",
-                            "bs_gap")
+    """CPU/GPU gap: quotes, report and standard prices, first-month override, history fill."""
+    return cg_gap(t).select("product_line", "item_no", "period", "category", "equo_price", "cogs_price", "pac",
+                            "rebate", "bs_gap")
 
 
 @query("keypart_gap_by_part", _GAP_VIEWS, f"""WITH {ITEM_MAP_SQL}, {RANGE_SQL}, {KP_GAP_SQL}, {KP_PART_SQL}

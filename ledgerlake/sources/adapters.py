@@ -88,7 +88,7 @@ SELECT ' ' || a.part_number || ' ' AS pn, m.period,
   CAST(a.p_partkey % 9 AS DECIMAL(10,4)) AS funding
 FROM {{part_attr}} a
 JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(23)}""",
-    # b = a + 1 and b = a + 7 are disjoint, so the OR-join is a UNION ALL of two equi-joins
+    # a + 1 is another product line, a + 6 the same; they are disjoint, so the OR-join is a UNION ALL of two equi-joins
     "bom": """
 SELECT a.item_no AS part_number_kp, b.part_number AS part_number_90,
   CAST(1 + a.p_partkey % 3 AS DECIMAL(10,2)) AS kp_qty,
@@ -98,7 +98,7 @@ UNION ALL
 SELECT a.item_no AS part_number_kp, b.part_number AS part_number_90,
   CAST(1 + a.p_partkey % 3 AS DECIMAL(10,2)) AS kp_qty,
   CASE WHEN a.p_partkey % 8 = 0 THEN 'S' ELSE 'M' END AS substitute_type
-FROM {part_attr} a JOIN {part_attr} b ON b.p_partkey = a.p_partkey + 7""",
+FROM {part_attr} a JOIN {part_attr} b ON b.p_partkey = a.p_partkey + 6""",
     "quotes": f"""
 SELECT a.item_no, a.ag_no, a.item_desc,
   CASE l.l_partkey % 3 WHEN 0 THEN 'nb' WHEN 1 THEN 'nr' ELSE 'nv' END AS product_no,
@@ -166,7 +166,7 @@ SELECT DISTINCT substr(item_no, 1, 2) AS item_code,
 FROM {part_attr} WHERE substr(item_no, 1, 2) <> '03'""",
     # financial key-part report (text amounts, one snapshot)
     "keypart_report": """
-SELECT f.product_line_id AS product_line, coalesce(ic.category, 'SSD') AS category, a.ag_no,
+SELECT f.product_line_id AS product_line, coalesce(ic.category, 'SSD') AS category, a.ag_no, a.item_no,
   f.period AS gl_yearmonth, CAST(f.revenue AS STRING) AS net_sale_amount,
   CAST(a.price AS STRING) AS material_cost, CAST(f.all_qty AS STRING) AS quantity, '20240131' AS ds
 FROM {fact_sales} f JOIN {part_attr} a ON f.l_partkey = a.p_partkey
@@ -179,6 +179,18 @@ SELECT h.product_line, coalesce(ic.category, 'SSD') AS category, h.ag_no, h.peri
   '20240131' AS ds
 FROM {price_history} h LEFT JOIN {item_code} ic ON substr(h.item_no, 1, 2) = ic.item_code
 GROUP BY h.product_line, coalesce(ic.category, 'SSD'), h.ag_no, h.period""",
+    # the CPU/GPU gap model's own stored output
+    "cpugpu_history": """
+SELECT product_line, CASE WHEN item_no LIKE '02135%' OR item_no LIKE '01%' THEN 'CPU' WHEN item_no LIKE '02%' THEN 'C.S' END AS category,
+  item_no, period, CAST(equo_price AS DOUBLE) AS equo_price, CAST(cogs_price AS DOUBLE) AS cogs_price,
+  CASE WHEN item_no LIKE '%3' THEN NULL ELSE CAST(equo_price AS DOUBLE) + 0.5e0 END AS pac, ds
+FROM {price_history}""",
+    # standard prices per item and month
+    "pac_src": f"""
+SELECT {_PL.format(k='a.p_partkey')} AS product_line, a.item_no AS pn, m.period,
+  CAST(a.price + a.p_partkey % 5 AS DECIMAL(20,8)) AS pac, '20240131' AS ds
+FROM {{part_attr}} a
+JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(3)}""",
     # finished-part attribute result (product line from the part number)
     "keypart_result": """
 SELECT substr(part_number, 3, 2) AS product_line, part_number, upper(cpu) AS cpu, model_name, '20240131' AS ds
@@ -354,7 +366,7 @@ def with_views(views, body: str) -> str:
 # recomputed from the fact for each query.  Fact-sized views stay lazy.
 DIMENSION_VIEWS = frozenset({
     "part_attr", "fx_rates", "cost_pn", "cost_branch", "branch_freight", "funding", "cn_rates", "price_history",
-    "bom", "item_code", "keypart_history", "keypart_result", "extra_rebate_src", "sellout_src", "opp_rebate",
+    "bom", "item_code", "keypart_history", "cpugpu_history", "pac_src", "keypart_result", "extra_rebate_src", "sellout_src", "opp_rebate",
     "os_incentive", "columnlist", "org_map", "ordertype_map", "distribution_map", "country_names", "ship_unit",
     "country_group", "fx_matrix",
 })

@@ -129,3 +129,39 @@ def test_like_join_equals_brute_force_without_a_bound(spark):
     assert {r.i for r in left if r.j is None} == set(range(len(texts))) - {i for i, _ in want}
     assert like_join(facts, "t", rules.limit(0), "p").isEmpty()
     assert like_join(facts, "t", rules.limit(0), "p", how="left").count() == len(texts)
+
+
+def test_cpugpu_gap_by_hand(spark):
+    from ledgerlake.plans.pricegap import cpugpu_gap, cpugpu_gap_by_part
+    quotes = spark.createDataFrame([
+        ("01a", "nb", "202401", 10.0, "B"), ("01a", "nb", "202401", 20.0, "B"), ("01a", "nb", "202402", 30.0, "B"),
+        ("01a", "nb", "202404", 99.0, "B"), ("02b", "nb", "202402", 7.0, "B"), ("02b", "nb", "202401", 1.0, "C"), ("03c", "nb", "202401", 5.0, "B")],
+        "item_no string, product_no string, group_no string, po_price double, buying_mode string").withColumn(
+            "po_price", F.col("po_price").cast("decimal(18,2)"))
+    report = spark.createDataFrame([
+        ("NB", "01a", "202401", "80", "120", "2", "2"), ("NB", "01a", "202312", "1", "1", "1", "2"), ("NB", "01a", "202401", "9", "9", "9", "1")],
+        "product_line string, item_no string, gl_yearmonth string, net_sale_amount string, material_cost string, quantity string, ds string")
+    fx = spark.createDataFrame([("NB", "202401", 2.0), ("NR", "202401", 5.0)], "product_line string, period string, fx_rate double").withColumn(
+        "fx_rate", F.col("fx_rate").cast("decimal(17,7)"))
+    pac = spark.createDataFrame([("NB", "01a", "202401", 50.0, "1"), ("NB", "02135x", "202401", 3.0, "1"), ("NB", "01a", "202402", 1.0, "1")],
+                                "product_line string, pn string, period string, pac double, ds string")
+    history = spark.createDataFrame([("NB", "C.S", "02b", "202312", 4.0, 6.0, None, "1"), ("NB", None, "03c", "202312", 1.0, 2.0, 3.0, "1")],
+                                    "product_line string, category string, item_no string, period string, equo_price double, "
+                                    "cogs_price double, pac double, ds string")
+    gap = cpugpu_gap(quotes, report, fx, pac, history)
+    got = {(r.item_no, r.category, r.period): (r.equo_price, r.cogs_price, r.pac, r.rebate, r.bs_gap) for r in gap.collect()}
+    none = (None,) * 5
+    assert got == {
+        ("01a", "CPU", "202312"): none,
+        ("01a", "CPU", "202401"): (20.0, 30.0, 50.0, 20.0, 10.0),  # the first month takes the report's price
+        ("01a", "CPU", "202402"): (30.0, 30.0, 50.0, 20.0, 0.0),
+        ("02b", "C.S", "202312"): (4.0, 6.0, None, None, 2.0),
+        ("02b", "C.S", "202401"): (4.0, 6.0, None, None, 2.0),  # carried forward
+        ("02b", "C.S", "202402"): (4.0, 6.0, None, None, 2.0),  # first month, not in the report: stored value
+        **{("03c", None, m): none for m in ("202312", "202401", "202402")},  # no category: matches nothing
+        **{(None, "CPU", m): none for m in ("202312", "202401", "202402")}}  # standard price alone: no line, no item
+    parts = spark.createDataFrame([("01a", "90NB1", 2.0), ("01a", "90NR1", 9.0), ("02b", "90NB1", None)],
+                                  "item_no string, part_number string, kp_qty double")
+    by = {r.period: r for r in cpugpu_gap_by_part(gap, parts).collect() if r.part_number == "90NB1"}
+    assert float(by["202401"].cpu_gap) == 20 and float(by["202401"].cpu_rebate) == 40 and float(by["202401"].gpu_gap) == 0
+    assert {r.part_number for r in cpugpu_gap_by_part(gap, parts).collect()} == {"90NB1", None}
