@@ -263,3 +263,36 @@ def load_model_cost(sheet: DataFrame) -> DataFrame:
 def load_funding(sheet: DataFrame) -> DataFrame:
     """D12 funding: zero rows dropped, NULL / unparseable kept."""
     return R.nonzero_or_null(sheet, "funding")
+
+
+# fixed values: the channels of the second rule of the USD source, and the name that the others start with
+RETAIL_CHANNELS = ["ACI-Retail", "Channel-SA"]
+OTHER_CHANNEL = "Other Channel"
+
+
+def credit_note_rate(fact: DataFrame, rates: DataFrame, ou: Column, branch2: Column, customer: Column) -> DataFrame:
+    """``cn`` per row, the first rule that finds a rate.
+
+    RMB source: (line, ou, distribution type, period).  USD source: 0 for
+    refurbished goods; else (line, branch2, period) among the retail channels;
+    (line, customer-country, period) among the named ones; (line, country, period)
+    among the other channels.  Keys are trimmed; of repeated keys the greatest rate
+    counts; a NULL key part finds nothing."""
+    codes = ["product_line", "legal_entity", "channel_code", "period"]
+    table = rates.select(F.upper(F.trim("source")).alias("source"), *[F.trim(c).alias(c) for c in codes], "cn")
+    rmb, usd = F.col("source") == "ACCRAW", F.col("source") == "ACIRAW"
+    channel = F.col("channel_code")
+    retail, other = channel.isin(RETAIL_CHANNELS), channel.startswith(OTHER_CHANNEL)
+    line = {"product_line": F.trim("product_line_id"), "period": F.trim("period")}
+    country = F.trim("country_code")
+    rules = [
+        {"where": rmb, "fact_where": rmb,
+         "keys": line | {"legal_entity": F.trim(ou), "channel_code": F.trim("distribution_type")}},
+        {"const": 0, "fact_where": usd & (F.upper(F.trim("business_type")) == "REFURBISH")},
+        {"where": usd & retail, "fact_where": usd, "keys": line | {"channel_code": F.trim(branch2)}},
+        {"where": usd & ~retail & ~other, "fact_where": usd,
+         "keys": line | {"channel_code": F.concat(F.trim(customer), F.lit("-"), country)}},
+        {"where": usd & other, "fact_where": usd, "keys": line | {"legal_entity": country}},
+    ]
+    out = L.match_cascade(fact, table, rules, "cn", "cn")
+    return out.withColumn("cn", F.col("cn").cast("decimal(8,4)"))

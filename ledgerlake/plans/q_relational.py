@@ -11,6 +11,7 @@ from ledgerlake.operators import asof as W
 from ledgerlake.operators import lookup as L
 from ledgerlake.operators import setops as U
 from ledgerlake.operators import spine as S
+from ledgerlake.plans import ingest as I
 from ledgerlake.plans.registry import query, shared
 from ledgerlake.sources.snapshot import latest_snapshot, max_of
 
@@ -186,43 +187,42 @@ def asof_latest_q(t):
     return W.asof_latest(t["cost_pn"], ["part_number"], "period", anchor, ["item_cost_usd"])
 
 
-CN_CASCADE_SQL = """cn_dedup AS (SELECT source, product_line, legal_entity, channel_code, period, max(cn) AS cn
-             FROM cn_rates GROUP BY source, product_line, legal_entity, channel_code, period),
-r2 AS (SELECT source, product_line, legal_entity, channel_code, period, max(cn) AS cn FROM cn_dedup GROUP BY 1, 2, 3, 4, 5),
-r3 AS (SELECT source, product_line, legal_entity, period, max(cn) AS cn FROM cn_dedup GROUP BY 1, 2, 3, 4),
-r4 AS (SELECT source, product_line, period, max(cn) AS cn FROM cn_dedup GROUP BY 1, 2, 3),
+CN_CASCADE_SQL = """cn_rules AS (
+  SELECT rule, product_line, code, period, max(cn) AS cn FROM (
+    SELECT product_line, period, cn,
+      CASE WHEN source = 'ACCRAW' THEN 'rmb' WHEN channel_code IN ('ACI-Retail', 'Channel-SA') THEN 'retail'
+           WHEN starts_with(channel_code, 'Other Channel') THEN 'other' ELSE 'named' END AS rule,
+      CASE WHEN source = 'ACCRAW' THEN legal_entity || '|' || channel_code
+           WHEN starts_with(channel_code, 'Other Channel') THEN legal_entity ELSE channel_code END AS code FROM cn_rates) x GROUP BY ALL),
+cn_codes AS (SELECT *, CASE WHEN source = 'ACCRAW' THEN 'OU1|' || distribution_type END AS c_rmb,
+    CASE WHEN source = 'ACIRAW' THEN CASE WHEN country_code <> 'US' THEN 'Online' WHEN branch = 'US-Retail' THEN 'ACI-Retail' ELSE branch END END AS c_retail,
+    CASE WHEN source = 'ACIRAW' THEN IF(distribution_type = 'F', 'Walmart', 'Other') || '-' || country_code END AS c_named,
+    CASE WHEN source = 'ACIRAW' THEN country_code END AS c_other FROM fact_sales),
 cascade AS (
-  SELECT f.*, coalesce(CASE WHEN f.business_type = 'REFURBISH' THEN CAST(0 AS DECIMAL(8,4)) END, r2.cn, r3.cn, r4.cn) AS cn
-  FROM fact_sales f
-  LEFT JOIN r2 ON r2.source = f.source AND r2.product_line = f.product_line_id
-    AND r2.legal_entity = CASE WHEN f.source = 'ACCRAW' THEN 'OU1' ELSE f.country_code END
-    AND r2.channel_code = f.branch AND r2.period = f.period
-  LEFT JOIN r3 ON r3.source = f.source AND r3.product_line = f.product_line_id
-    AND r3.legal_entity = CASE WHEN f.source = 'ACCRAW' THEN 'OU1' ELSE f.country_code END AND r3.period = f.period
-  LEFT JOIN r4 ON r4.source = f.source AND r4.product_line = f.product_line_id AND r4.period = f.period)"""
+  SELECT f.* EXCLUDE (c_rmb, c_retail, c_named, c_other), CASE WHEN f.source = 'ACIRAW' AND f.business_type = 'REFURBISH'
+    THEN CAST(0 AS DECIMAL(8,4)) ELSE coalesce(a.cn, b.cn, c.cn, d.cn) END AS cn
+  FROM cn_codes f
+  LEFT JOIN cn_rules a ON a.rule = 'rmb' AND a.product_line = f.product_line_id AND a.period = f.period AND a.code = f.c_rmb
+  LEFT JOIN cn_rules b ON b.rule = 'retail' AND b.product_line = f.product_line_id AND b.period = f.period AND b.code = f.c_retail
+  LEFT JOIN cn_rules c ON c.rule = 'named' AND c.product_line = f.product_line_id AND c.period = f.period AND c.code = f.c_named
+  LEFT JOIN cn_rules d ON d.rule = 'other' AND d.product_line = f.product_line_id AND d.period = f.period AND d.code = f.c_other)"""
 
 
 @shared
 def cn_cascade(t):
-    """Credit-note rate by a four-rule first-match cascade (shared by J12 and D8)."""
-    f = t["fact_sales"]
-    le = F.when(F.col("source") == "ACCRAW", F.lit("OU1")).otherwise(F.col("country_code"))
-    rules = [
-        {"const": 0, "fact_where": F.col("business_type") == "REFURBISH"},
-        {"keys": {"source": "source", "product_line": "product_line_id", "legal_entity": le,
-                  "channel_code": "branch", "period": "period"}},
-        {"keys": {"source": "source", "product_line": "product_line_id", "legal_entity": le, "period": "period"}},
-        {"keys": {"source": "source", "product_line": "product_line_id", "period": "period"}},
-    ]
-    out = L.match_cascade(f, t["cn_rates"], rules, "cn", "cn")
-    return out.withColumn("cn", F.col("cn").cast("decimal(8,4)"))
+    """Credit-note rate by the first matching rule (shared by J12, D8 and the enriched fact); the adapter
+    fact has no ou, branch2 and customer, so they are derived from branch, country and distribution type."""
+    branch2 = (F.when(F.col("country_code") != "US", F.lit("Online")).when(F.col("branch") == "US-Retail", F.lit("ACI-Retail"))
+               .otherwise(F.col("branch")))
+    customer = F.when(F.col("distribution_type") == "F", F.lit("Walmart")).otherwise(F.lit("Other"))
+    return I.credit_note_rate(t["fact_sales"], t["cn_rates"], F.lit("OU1"), branch2, customer)
 
 
 @query("match_cascade", ["fact_sales", "cn_rates"], f"""
 WITH {CN_CASCADE_SQL}
 SELECT l_orderkey, l_linenumber, l_partkey, cn FROM cascade""")
 def match_cascade_q(t):
-    """Literal rule, then three keyed rules of decreasing specificity."""
+    """Keyed rules over subsets of one lookup and a literal rule, first match wins."""
     return cn_cascade(t).select("l_orderkey", "l_linenumber", "l_partkey", "cn")
 
 

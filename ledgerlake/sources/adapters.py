@@ -108,15 +108,13 @@ SELECT a.item_no, a.ag_no, a.item_desc,
   CASE WHEN l.l_returnflag = 'A' THEN 'B' ELSE 'C' END AS buying_mode
 FROM {{lineitem}} l JOIN {{part_attr}} a ON l.l_partkey = a.p_partkey""",
     "cn_rates": """
-SELECT source, product_line_id AS product_line,
-  CASE WHEN source = 'ACCRAW' THEN 'OU1' ELSE country_code END AS legal_entity,
-  CASE WHEN source = 'ACCRAW' THEN distribution_type WHEN branch = 'Channel-SA' THEN 'Channel-SA'
-       WHEN branch = 'US-Retail' THEN 'ACI-Retail' WHEN country_code = 'CA' THEN 'Walmart-CA'
-       ELSE 'Other Channel 1' END AS channel_code,
-  period,
-  CAST(CAST(period AS BIGINT) % 10 * 0.01 AS DECIMAL(8,4)) AS cn
-FROM (SELECT DISTINCT product_line_id, period, source, branch, country_code, distribution_type
-      FROM {fact_sales}) q""",
+SELECT source, product_line, legal_entity, channel_code, period,
+  CAST(CAST(period AS BIGINT) % 10 * 0.01 + length(channel_code) * 0.001 AS DECIMAL(8,4)) AS cn
+FROM (SELECT DISTINCT source, product_line_id AS product_line,
+    CASE WHEN source = 'ACCRAW' THEN 'OU1' ELSE country_code END AS legal_entity,
+    CASE WHEN source = 'ACCRAW' THEN distribution_type WHEN country_code = 'CA' THEN 'Walmart-CA'
+         WHEN country_code <> 'US' THEN 'Other Channel 1' WHEN branch = 'US-Retail' THEN 'ACI-Retail' ELSE branch END AS channel_code,
+    period FROM {fact_sales}) q""",
     # one branch per snapshot day (o_orderkey % 3 <= d % 3) instead of a cross join
     "order_snapshots": "\nUNION ALL\n".join(
         f"""SELECT o_orderkey, o_custkey, {_SHIP_PERIOD.format(d='o_orderdate')} AS period,

@@ -165,3 +165,27 @@ def test_cpugpu_gap_by_hand(spark):
     by = {r.period: r for r in cpugpu_gap_by_part(gap, parts).collect() if r.part_number == "90NB1"}
     assert float(by["202401"].cpu_gap) == 20 and float(by["202401"].cpu_rebate) == 40 and float(by["202401"].gpu_gap) == 0
     assert {r.part_number for r in cpugpu_gap_by_part(gap, parts).collect()} == {"90NB1", None}
+
+
+def test_credit_note_rate_by_hand(spark):
+    from ledgerlake.plans.ingest import credit_note_rate
+    rates = spark.createDataFrame([
+        (" accraw ", "NB", "OU1", "F", "202401", 0.01), ("ACIRAW", "NB", "US", "ACI-Retail", "202401", 0.02),
+        ("ACIRAW", "NB", "CA", "Walmart-CA", "202401", 0.03), ("ACIRAW", "NB", "SA", "Other Channel 1", "202401", 0.04),
+        ("ACIRAW", "NB", "SA", "Other Channel 2", "202401", 0.05), ("ACIRAW", "NB", "US", "Channel-SA", "202401", None)],
+        "source string, product_line string, legal_entity string, channel_code string, period string, cn double").withColumn(
+            "cn", F.col("cn").cast("decimal(8,4)"))
+    rows = [  # source, ou, distribution, business, branch2, customer, country, wanted
+        ("ACCRAW", "OU1 ", "F", "REFURBISH", "ACI-Retail", "Walmart", "CA", 0.01),  # the literal rule is the USD source's
+        ("ACCRAW", "OU2", "F", "x", "ACI-Retail", "Walmart", "CA", None),
+        ("ACIRAW", "OU1", "F", " refurbish", "ACI-Retail", "Walmart", "CA", 0),
+        ("ACIRAW", "OU1", "F", "x", "ACI-Retail", "Walmart", "CA", 0.02),
+        ("ACIRAW", "OU1", "F", None, "Walmart-CA", "Walmart", "CA", 0.03),  # not among the retail channels: third rule
+        ("ACIRAW", "OU1", "F", "x", "Other Channel 1", "Shop", "SA", 0.05),  # repeated key: the greatest
+        ("ACIRAW", "OU1", "F", "x", "Channel-SA", None, "SA", 0.05),  # a rule with an empty rate passes on
+        ("ACIRAW", "OU1", "F", "x", None, None, None, None)]
+    fact = spark.createDataFrame([(i, *r[:-1], "NB", "202401") for i, r in enumerate(rows)],
+                                 "i int, source string, ou string, distribution_type string, business_type string, branch2 string, "
+                                 "customer string, country_code string, product_line_id string, period string")
+    got = credit_note_rate(fact, rates, F.col("ou"), F.col("branch2"), F.col("customer")).orderBy("i").collect()
+    assert [None if r.cn is None else float(r.cn) for r in got] == [r[-1] for r in rows]
