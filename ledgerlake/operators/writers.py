@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +85,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[tuple[str, Callable[[], bool]]]:
+    """The values of the folders ``column=value`` under ``path``, greatest first, each with a function
+    that tells whether it holds a data file."""
+    fs, root, jvm = _fs(spark, path)
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+
+    def holds_data(folder) -> bool:
+        return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder))
+
+    found = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{column}=") and not name.endswith("=__HIVE_DEFAULT_PARTITION__"):
+            found[unescape(name[len(column) + 1:])] = status.getPath()
+    return [(value, lambda folder=found[value]: holds_data(folder)) for value in sorted(found, reverse=True)]
+
+
 def full_replace(df: DataFrame, path: str, compression: str = "gzip") -> str:
     """K4: replace a whole (unpartitioned) table safely: write a new folder,
     then swap it in with file-system renames; the old data is kept until the

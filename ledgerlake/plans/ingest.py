@@ -296,3 +296,21 @@ def credit_note_rate(fact: DataFrame, rates: DataFrame, ou: Column, branch2: Col
     ]
     out = L.match_cascade(fact, table, rules, "cn", "cn")
     return out.withColumn("cn", F.col("cn").cast("decimal(8,4)"))
+
+
+# fixed values: the cost period of rows without a range, and the lines that have ranges, per source
+NEWEST_FIRST = "由新到舊"
+RANGE_LINES = {"ACCRAW": ["NB"], "ACIRAW": ["NR", "NV", "NB"]}
+
+
+def cost_period(fact: DataFrame, ranges: DataFrame, out: str = "cost_period") -> DataFrame:
+    """``cost_range`` of the row's (part, period as version) for the lines of its
+    source that have ranges (J14, J13: of repeated keys the greatest); newest first
+    for all others and where the range is missing or NULL.  Keys are trimmed."""
+    rows = L.dedupe_lookup(ranges, ["pn", "version"], ["cost_range"])
+    rows = rows.select(F.col("pn").alias("__pn"), F.col("version").alias("__version"), F.col("cost_range").alias("__range"))
+    ranged = F.lit(False)
+    for source, lines in RANGE_LINES.items():
+        ranged = ranged | ((F.col("source") == source) & F.upper("product_line_id").isin(lines))
+    found = fact.join(rows, ranged & (F.trim("part_number") == F.col("__pn")) & (F.trim("period") == F.col("__version")), "left")
+    return found.withColumn(out, F.coalesce("__range", F.lit(NEWEST_FIRST))).drop("__pn", "__version", "__range")

@@ -135,7 +135,7 @@ def aci_monthly_sql(name="aci_m"):
 
 
 _ING_VIEWS = ["acc_sheet", "aci_sheet", "org_map", "ordertype_map", "distribution_map", "country_names", "fx_rates",
-              "funding", "fact_sales", "cn_rates", "branch_freight", "cost_pn", "finance_detail", "item_code",
+              "funding", "fact_sales", "cn_rates", "cost_range", "branch_freight", "cost_pn", "finance_detail", "item_code",
               "ship_unit", "country_group", "fx_matrix", "opp_rebate", "cost_branch", "quotes"]
 
 # ---------------------------------------------------------------- registered queries
@@ -231,20 +231,13 @@ def shipping_fee_q(t):
 
 
 @query("cost_period", _ING_VIEWS, """
-WITH lp AS (SELECT part_number, max(period) AS p FROM cost_pn GROUP BY part_number)
-SELECT f.l_orderkey, f.l_linenumber,
-  CASE WHEN f.cost_period = 'newest' THEN coalesce(lp.p, f.period) ELSE f.cost_period END AS cost_period
-FROM fact_sales f LEFT JOIN lp ON lp.part_number = f.part_number""")
+WITH r AS (SELECT trim(pn) AS pn, trim(version) AS version, max(cost_range) AS cost_range FROM cost_range GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, CASE WHEN source = 'ACIRAW' OR product_line_id = 'NB' THEN coalesce(cost_range, '由新到舊')
+  ELSE '由新到舊' END AS cost_period
+FROM fact_sales f LEFT JOIN r ON r.pn = f.part_number AND r.version = f.period""")
 def cost_period_q(t):
-    """Rows asking for the newest cost take the part's latest cost period
-    (last version wins, J13); the others keep their own period (J14)."""
-    f = t["fact_sales"]
-    lp = L.dedupe_lookup(t["cost_pn"].select("part_number", F.col("period").alias("p"), F.col("period").alias("o")),
-                         ["part_number"], ["p"], order_by=["o"], normalize_keys=False)
-    out = L.subset_lookup(f, F.col("cost_period") == "newest", lp, f["part_number"], "part_number", "p",
-                          F.when(F.col("cost_period") == "newest", F.col("period")).otherwise(F.col("cost_period")),
-                          "cost_period_out")
-    return out.select("l_orderkey", "l_linenumber", F.col("cost_period_out").alias("cost_period"))
+    """Cost period by the (part, version) range table and the lines of each source."""
+    return I.cost_period(t["fact_sales"], t["cost_range"]).select("l_orderkey", "l_linenumber", "cost_period")
 
 
 @query("funding", _ING_VIEWS, """

@@ -107,6 +107,12 @@ SELECT a.item_no, a.ag_no, a.item_desc,
   CAST(l.l_extendedprice AS DECIMAL(18,2)) AS po_price,
   CASE WHEN l.l_returnflag = 'A' THEN 'B' ELSE 'C' END AS buying_mode
 FROM {{lineitem}} l JOIN {{part_attr}} a ON l.l_partkey = a.p_partkey""",
+    # cost period per part and version (a sheet: blanks around the keys, some cells empty)
+    "cost_range": f"""
+SELECT ' ' || a.part_number AS pn, m.period || ' ' AS version,
+  CASE a.p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '199601' ELSE m.period END AS cost_range
+FROM {{part_attr}} a
+JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(3)}""",
     "cn_rates": """
 SELECT source, product_line, legal_entity, channel_code, period,
   CAST(CAST(period AS BIGINT) % 10 * 0.01 + length(channel_code) * 0.001 AS DECIMAL(8,4)) AS cn
@@ -363,7 +369,7 @@ def with_views(views, body: str) -> str:
 # cuts their lineage — every plan that uses them stays small and they are not
 # recomputed from the fact for each query.  Fact-sized views stay lazy.
 DIMENSION_VIEWS = frozenset({
-    "part_attr", "fx_rates", "cost_pn", "cost_branch", "branch_freight", "funding", "cn_rates", "price_history",
+    "part_attr", "fx_rates", "cost_pn", "cost_branch", "branch_freight", "funding", "cn_rates", "cost_range", "price_history",
     "bom", "item_code", "keypart_history", "cpugpu_history", "pac_src", "keypart_result", "extra_rebate_src", "sellout_src", "opp_rebate",
     "os_incentive", "columnlist", "org_map", "ordertype_map", "distribution_map", "country_names", "ship_unit",
     "country_group", "fx_matrix",

@@ -48,13 +48,28 @@ def anchor_value(df: DataFrame, column: str) -> Column:
     return max_of(df, column)
 
 
+def newest_partition(spark: SparkSession, path: str, ds: str = "ds") -> str | None:
+    """The greatest ``ds`` among the table's partition folders that hold a data file, or None if
+    there is none: names are listed, no file is opened."""
+    from ledgerlake.operators.writers import partition_folders
+    for value, holds_data in partition_folders(spark, path, ds):
+        if holds_data():
+            return value
+    return None
+
+
 def read_self_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The model's own previous output (latest ``ds``), or None on the first
-    run, when the path does not exist.  Any other failure to read is an error."""
+    run, when the path does not exist.  Any other failure to read is an error.
+
+    The newest copy of a ``ds``-partitioned table is known from its folder names, so
+    only that folder is read; a plain table is searched for its greatest ``ds``."""
     from ledgerlake.operators.writers import path_exists
     if not path_exists(spark, path):
         return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return latest_snapshot(reader.parquet(path))
+    newest = newest_partition(spark, path)
+    stored = reader.parquet(path)
+    return latest_snapshot(stored) if newest is None else stored.where(F.col("ds") == F.lit(newest))

@@ -189,3 +189,29 @@ def test_credit_note_rate_by_hand(spark):
                                  "customer string, country_code string, product_line_id string, period string")
     got = credit_note_rate(fact, rates, F.col("ou"), F.col("branch2"), F.col("customer")).orderBy("i").collect()
     assert [None if r.cn is None else float(r.cn) for r in got] == [r[-1] for r in rows]
+
+
+def test_cost_period_by_hand(spark):
+    from ledgerlake.plans.ingest import NEWEST_FIRST, cost_period
+    ranges = spark.createDataFrame([(" p1", "202401 ", "202312"), ("p1", "202402", None), ("p1", "202401", "202311")],
+                                   "pn string, version string, cost_range string")
+    rows = [("ACCRAW", "nb", "p1", "202401", "202312"), ("ACCRAW", "NR", "p1", "202401", NEWEST_FIRST),
+            ("ACIRAW", "NR", "p1 ", "202401", "202312"), ("ACIRAW", "XX", "p1", "202401", NEWEST_FIRST),
+            ("ACIRAW", "NB", "p1", "202402", NEWEST_FIRST), ("ACIRAW", "NB", None, "202401", NEWEST_FIRST)]
+    fact = spark.createDataFrame([(i, *r[:-1]) for i, r in enumerate(rows)],
+                                 "i int, source string, product_line_id string, part_number string, period string")
+    got = cost_period(fact, ranges).orderBy("i").collect()
+    assert [r.cost_period for r in got] == [r[-1] for r in rows]
+
+
+def test_self_snapshot_knows_its_newest_folder_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "20240101"), (2, "20240102"), (3, "20240102"), (4, None)], "a int, ds string")
+    df.write.partitionBy("ds").parquet(path)
+    (tmp_path / "t" / "ds=20240103").mkdir()  # a copy without files is none
+    got = read_self_snapshot(spark, path, schema=df.schema)
+    assert "ubquery" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.a for r in got.collect()} == {2, 3}
+    plain = str(tmp_path / "plain")
+    df.write.parquet(plain)
+    assert {r.a for r in read_self_snapshot(spark, plain).collect()} == {2, 3}
