@@ -30,6 +30,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,7 +142,7 @@ class Wrapper:
     def __init__(self, cores: list, pages: int = 1, support: list[int] | None = None, slots: dict | None = None):
         self.cores, self.pages = cores, pages
         self.support = support if support is not None else [pages] * len(cores)
-        self.slots = slots if slots is not None else {}  # container -> [characters, pages, a text or None if texts differ, aside]
+        self.slots = slots if slots is not None else {}  # container -> [characters, pages, hash of its text or None if texts differ, aside]
 
     @classmethod
     def of_page(cls, page: str) -> Wrapper:
@@ -150,13 +151,15 @@ class Wrapper:
             if kind == "text":
                 text = value.strip()
                 if text:
-                    seen = slots.setdefault(path, [0, 1, "", aside])
+                    seen = slots.setdefault(path, [0, 1, xxhash.xxh3_128(), aside])
                     seen[0] += len(text)
-                    seen[2] += text[:64] if len(seen[2]) < 256 else ""
+                    seen[2].update(text.encode("utf-8", "surrogatepass") + b"\0")
                     if not (cores and cores[-1] == SLOT):
                         cores.append(SLOT)
             elif kind in ("open", "close"):
                 cores.append(value if kind == "open" else "/" + value)
+        for seen in slots.values():
+            seen[2] = seen[2].hexdigest()
         return cls(fold(cores), slots=slots)
 
     def merge(self, other: Wrapper) -> Wrapper:

@@ -37,6 +37,19 @@ def test_pages_without_semantic_tags(spark):
     assert got[0] == "Title 1\nLong varying text number 1 word\nextra" and got[1] == "Title 2\nLong varying text number 2 word word"
 
 
+def test_text_that_starts_alike_varies(spark):
+    """A container's text is compared whole: neither a long common opening nor several common nodes hide what follows."""
+    opening = "The same opening words of every page on this host, which are far longer than a prefix of 64 letters, "
+
+    def page(k):
+        lead = "".join(f"<p>Common lead-in paragraph number {i}, with the very same sixty-four and more letters on all pages</p>" for i in range(5))
+        return f"<div class=count>{k} views</div><div class=body>{lead if k % 2 else ''}<p>{opening}then number {k} goes on</p></div><div class=foot>Same words below</div>"
+    for odd in (0, 1):
+        got = texts(spark, [(f"http://c{odd}.org/{k}", page(2 * k + odd)) for k in range(1, 4)])
+        assert all(f"then number {2 * k + 1 + odd + 1} goes on" in got[k] for k in range(3))
+        assert all("Same words below" not in t for t in got.values())
+
+
 def test_broken_markup():
     assert main_text("<article><p>a<b>b</article>c", ["/article"]) == "ab"
     assert main_text("<article>x <a title='q>r'>s</a> < t <script>never closed", ["/article"]) == "x s < t"
