@@ -6,9 +6,11 @@ side repeats becomes a repeated group on both, and differing texts become one sl
 expression of tags, slots, optional and repeated groups without unions.  It also carries, for each slot,
 its container, in how many pages it stands, how much text it held, and whether that text varies.
 
-The wrapper tells which containers hold the article: ``article`` or ``main`` elements where the host has them, else
-the smallest container with most of the varying text.  Extraction walks each page, takes the text of those containers, and
-leaves out navigation, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+The wrapper tells which containers hold the article: ``article`` or ``main`` elements; for pages without text in one, the
+common container of all text that varies among such pages of the host, without its sections that never vary; for pages without text there, the whole page.
+Extraction walks each page, takes the text of those containers, and
+leaves out navigation, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.  Class words tell these
+by, but not of ``html``, ``body`` and ``main``, nor of an ``article`` outside other articles.
 
 Scale: a task folds its pages into one partial wrapper per host (as partial aggregation does), so a
 host with a third of all pages sends one row per task; partial wrappers are merged in two steps, salted first.
@@ -23,10 +25,11 @@ from __future__ import annotations
 
 import html as entities
 import json
+import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -49,18 +52,37 @@ ASIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo cookie cookies consent notice notices alert popup modal "
     "newsletter subscribe subscription sidebar widget related breadcrumb breadcrumbs menu nav navbar navigation footer header "
     "comment comments disqus reply replies respond social share sharing paywall login signup".split())
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+NAMES = re.compile(r"\b(?P<kind>class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 SLOT = "#"
-MOST_OF_TEXT = 0.6
-
-
-def is_aside(tag: str, attributes: str) -> bool:
+SECTION = re.compile(r"/(?:div|section|center)(?:[.@][^/]*)?$")
+OTHER = "!"
+"""Before a section within the content containers whose text is the same on all of at least half the host's pages."""
+PLAIN = "-"
+"""Before the containers of a page that has no text in an article or main element."""
+WHOLE = frozenset("html body main article".split())
+"""Elements that hold the page or its article: what their class says is about the page, not that they are none of it."""
+ARTICLE = re.compile(r"(.*?/(?:article|main)(?:[.@][^/]*)?)(?:/|$)")
+PAGE_NUMBERS = re.compile(r"[0-9a-f]*[0-9][0-9a-f]{7,}|[0-9]+", re.I)
+
+
+def is_aside(tag: str, attributes: str, nested: bool = False) -> bool:
+    """Whether an element is none of the article; ``nested`` tells that it stands within an article element."""
     if tag in ASIDE_TAGS:
         return True
-    if not attributes or "=" not in attributes:
+    if not attributes or "=" not in attributes or tag in WHOLE and not (nested and tag == "article"):
         return False
-    return any(not ASIDE_WORDS.isdisjoint(WORDS.findall("".join(m).lower())) for m in NAMES.findall(attributes))
+    return any(not ASIDE_WORDS.isdisjoint(WORDS.findall("".join(m[1:]).lower())) for m in NAMES.findall(attributes))
+
+
+@lru_cache(1 << 12)
+def label_of(tag: str, attributes: str) -> str:
+    """The tag with its first class, or its id or role where it has no class; numbers of single pages are left out."""
+    found = {m[0].lower(): "".join(m[1:]).split() for m in reversed(NAMES.findall(attributes))} if attributes else {}
+    for kind, mark in (("class", "."), ("id", "@"), ("role", "@")):
+        if found.get(kind):
+            return tag + mark + PAGE_NUMBERS.sub("0", found[kind][0]).replace("/", "_")
+    return tag
 
 
 def stream(page: str) -> Iterator[tuple[str, str, str, bool]]:
@@ -85,10 +107,9 @@ def stream(page: str) -> Iterator[tuple[str, str, str, bool]]:
             yield "close", name, path, aside
             continue
         attributes = m["attributes"] or ""
-        if name in CONTAINERS or is_aside(name, attributes):
-            found = NAMES.search(attributes) if attributes else None
-            label = name + ("." + "".join(x or "" for x in found.groups()).split(" ")[0] if found else "")
-            path, aside = f"{path}/{label}", aside or is_aside(name, attributes)
+        off = is_aside(name, attributes, name == "article" and any(s[0] == name for s in stack))
+        if name in CONTAINERS or off:
+            path, aside = f"{path}/{label_of(name, attributes)}", aside or off
             if name not in ("p", "button") and not attributes.endswith("/") or name in CONTAINERS:
                 stack.append((name, path, aside))
         yield "open", name, path, aside
@@ -146,7 +167,7 @@ class Wrapper:
 
     @classmethod
     def of_page(cls, page: str) -> Wrapper:
-        cores, slots = [], {}
+        cores, slots, named = [], {}, False
         for kind, value, path, aside in stream(page):
             if kind == "text":
                 text = value.strip()
@@ -154,13 +175,14 @@ class Wrapper:
                     seen = slots.setdefault(path, [0, 1, xxhash.xxh3_128(), aside])
                     seen[0] += len(text)
                     seen[2].update(text.encode("utf-8", "surrogatepass") + b"\0")
+                    named = named or not aside and ARTICLE.match(path) is not None
                     if not (cores and cores[-1] == SLOT):
                         cores.append(SLOT)
             elif kind in ("open", "close"):
                 cores.append(value if kind == "open" else "/" + value)
         for seen in slots.values():
             seen[2] = seen[2].hexdigest()
-        return cls(fold(cores), slots=slots)
+        return cls(fold(cores), slots=slots if named else {PLAIN + path: seen for path, seen in slots.items()})
 
     def merge(self, other: Wrapper) -> Wrapper:
         bodies = {c[1] for w in (self, other) for c in w.cores if isinstance(c, tuple)}
@@ -206,24 +228,20 @@ class Wrapper:
             i = j
         return "".join(out)
 
-    def content(self) -> list[str]:
-        """Containers that hold the article."""
+    def content(self) -> list[list[str]]:
+        """Containers that hold the article; each list is for the pages on which those before it hold no text."""
         real = {k: v for k, v in self.slots.items() if not v[3]}
-        named = sorted({m[0] for k in real for m in [re.match(r".*?/(?:article|main)(?:\.[^/]*)?(?=/|$)", k)] if m})
-        if named:
-            return named
-        mass = Counter()
-        for k, v in real.items():
-            if v[2] is None or self.pages == 1:  # varying text
-                at = k
-                while True:
-                    mass[at] += v[0]
-                    if not at:
-                        break
-                    at = at.rpartition("/")[0]
-        total = mass[""] if mass else 0
-        good = [k for k, n in mass.items() if n >= MOST_OF_TEXT * total]
-        return [max(good, key=lambda k: (k.count("/"), k))] if total else [""]
+        named = sorted({m[1] for k in real for m in [ARTICLE.match(k)] if m})
+        # of the pages without them: the container of all text that varies (text of a single page is not known to be constant)
+        plain = {k[1:]: v for k, v in real.items() if k[:1] == PLAIN}
+        varying = [k for k, v in plain.items() if v[2] is None or v[1] == 1]
+        if not varying:
+            return [x for x in (named,) if x] + [[""]]
+        common = "".join("/" + c for c in os.path.commonprefix([k.split("/")[1:] for k in varying]))
+        half = max(v[1] for v in plain.values()) / 2
+        same = [OTHER + k for k, v in plain.items() if k != common and f"{k}/".startswith(f"{common}/") and v[1] >= half
+                and SECTION.search(k) and not any(f"{x}/".startswith(f"{k}/") for x in varying)]
+        return [x for x in (named, [common, *sorted(same)]) if x] + [[""]]
 
     def to_json(self) -> str:
         return json.dumps([self.cores, self.pages, self.support, self.slots])
@@ -246,11 +264,12 @@ def main_text(page: str, content: list[str]) -> str:
             blocks.append(line)
         now.clear()
 
-    inside = {}
+    inside, other = {}, [c[len(OTHER):] for c in content if c.startswith(OTHER)]
     for kind, value, path, aside in stream(page):
         own = inside.get(path)
         if own is None:
-            own = inside[path] = any(c == "" or path == c or path.startswith(c + "/") for c in content)
+            own = inside[path] = (any(c == "" or path == c or path.startswith(c + "/") for c in content)
+                                  and not any(path == c or path.startswith(c + "/") for c in other))
         if kind == "text":
             if own and not aside:
                 now.append(entities.unescape(value))
@@ -263,6 +282,11 @@ def main_text(page: str, content: list[str]) -> str:
     return "\n".join(blocks)
 
 
+def first_text(page: str, content: list[list[str]]) -> str:
+    """The text by the first containers that hold any on this page."""
+    return next((text for text in (main_text(page, c) for c in content) if text), "")
+
+
 def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """``host, wrapper, content, pages``: each host's wrapper as an expression, its content containers and its pages."""
     rows = hosted(pages, id_col, url_col, html_col).select("host", "html")
@@ -290,7 +314,7 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col
 
     found = rows.mapInArrow(partial, "host string, wrapper string").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
     some = found.groupBy("host", "salt").applyInPandas(merge, "host string, wrapper string")
-    return some.groupBy("host").applyInPandas(finish, "host string, wrapper string, content array<string>, pages long")
+    return some.groupBy("host").applyInPandas(finish, "host string, wrapper string, content array<array<string>>, pages long")
 
 
 def hosted(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -308,7 +332,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(page, content or [""]) for page, content in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [first_text(page, content or [[""]]) for page, content in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = rows.schema["page_id"].dataType.simpleString()

@@ -50,6 +50,24 @@ def test_text_that_starts_alike_varies(spark):
         assert all("Same words below" not in t for t in got.values())
 
 
+def test_pages_unlike_their_host(spark):
+    """Another template, class words on the page's own elements, numbered ids and mixed containers lose no text."""
+    def page(body, more=""):
+        return f"<html><body{more}><div class=top>Same words on top</div>{body}</body></html>"
+    got = texts(spark, [(f"http://d.org/{k}", p) for k, p in enumerate([
+        page("<article class=story><p>First story</p></article>"),
+        page("<article class=story><p>Second story</p></article>", " class='has-sidebar'"),
+        page("<article class='post comments-open'><p>Third story</p><article class=comment><p>I disagree</p></article></article>"),
+        page("<main class='content footer-on'><p>Fourth story</p></main>"),
+        page("<div class=old><p>Fifth story</p></div>"),
+        page("<div class=old><p>Sixth story</p></div>"),
+        page("<article class=story></article><div class=old><p>Seventh story</p></div>")])])
+    assert got == {k: f"{w} story" for k, w in enumerate("First Second Third Fourth Fifth Sixth Seventh".split())}
+    got = texts(spark, [(f"http://e.org/{k}", page(f"<div id='post-{k}17'><p>Paragraph {k}</p><ul><li>{f'many listed words {k} ' * 20}</li></ul>"
+                                                   f"<blockquote>{k} said</blockquote></div>")) for k in range(4)])
+    assert got == {k: f"Paragraph {k}\n{' '.join([f'many listed words {k}'] * 20)}\n{k} said" for k in range(4)}
+
+
 def test_broken_markup():
     assert main_text("<article><p>a<b>b</article>c", ["/article"]) == "ab"
     assert main_text("<article>x <a title='q>r'>s</a> < t <script>never closed", ["/article"]) == "x s < t"
