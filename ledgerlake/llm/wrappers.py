@@ -11,10 +11,14 @@ common container of all text that varies among such pages of the host, without i
 Extraction walks each page, takes the text of those containers, and
 leaves out navigation, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.  Class words tell these
 by, but not of ``html``, ``body`` and ``main``, nor of an ``article`` outside other articles.
+Then each page's tokens are aligned with the host's wrapper: a block of text goes if its slot there is on at least 0.8 of the
+host's pages with that same text (share lines, notices), also one of several in a repeated group.  It stays on
+hosts of fewer than four pages, and where such blocks are more than half of the page's article, as in copies of one page.
+Counts of a slot's texts are summaries of a fixed size, at most a sixteenth of the pages too low.
 
 Scale: a task folds its pages into one partial wrapper per host (as partial aggregation does), so a
 host with a third of all pages sends one row per task; partial wrappers are merged in two steps, salted first.
-Pages are joined with their host's containers, a small table that Spark broadcasts or joins with skew splitting.
+Pages are joined with their host's containers and, where it has constant lines, its wrapper: a small table that Spark broadcasts or joins with skew splitting.
 
 Defined results: null or empty html gives the empty text; a null url belongs to the empty host; repeated rows are all
 returned; an empty table gives no rows; extra columns are ignored.  Unclosed elements end with their parent; an
@@ -27,9 +31,11 @@ import html as entities
 import json
 import os
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -55,6 +61,9 @@ ASIDE_WORDS = frozenset(
 NAMES = re.compile(r"\b(?P<kind>class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 SLOT = "#"
+SAME, FEW = 0.8, 4
+"""A line is the host's if it begins in the same slot on this share of its pages, and the host has that many pages."""
+COUNTED = 16
 SECTION = re.compile(r"/(?:div|section|center)(?:[.@][^/]*)?$")
 OTHER = "!"
 """Before a section within the content containers whose text is the same on all of at least half the host's pages."""
@@ -115,86 +124,164 @@ def stream(page: str) -> Iterator[tuple[str, str, str, bool]]:
         yield "open", name, path, aside
 
 
-def fold(cores: list) -> list:
-    """Tandem repeats become repeated groups, short bodies first."""
+def parse(page: str) -> tuple[list[str], list[tuple[int, list[tuple[str, bool, str]]]]]:
+    """The page's tokens (tags and slots), and its blocks of text: the number of the first slot, and ``container, aside, text``
+    of each text in it.  Inline tags do not end a block."""
+    cores: list[str] = []
+    blocks: list[tuple[int, list[tuple[str, bool, str]]]] = []
+    now: list[tuple[str, bool, str]] = []
+    first = -1
+    for kind, value, path, aside in stream(page):
+        if kind == "text":
+            now.append((path, aside, value))
+            if not value.isspace():
+                if not (cores and cores[-1] == SLOT):
+                    cores.append(SLOT)
+                if first < 0:
+                    first = len(cores) - 1
+        elif kind != "raw":
+            cores.append(value if kind == "open" else "/" + value)
+            if value == "br":
+                now.append((path, aside, " "))
+            elif value not in INLINE:
+                if first >= 0:
+                    blocks.append((first, now))
+                now, first = [], -1
+    if first >= 0:
+        blocks.append((first, now))
+    return cores, blocks
+
+
+def line_of(texts: list[str]) -> str:
+    return " ".join(entities.unescape("".join(texts)).split())
+
+
+def line_hash(block: list[tuple[str, bool, str]]) -> str | None:
+    """The hash of a block's text outside asides; None if there is none."""
+    line = line_of([text for _, aside, text in block if not aside])
+    return xxhash.xxh3_64_hexdigest(line.encode("utf-8", "surrogatepass")) if line else None
+
+
+def folded(cores: list, widths: list[int]) -> tuple[list, list[int]]:
+    """Tandem repeats become repeated groups, short bodies first; ``widths`` tells how many tokens each core stands for."""
     size = 1
     while size <= len(cores) // 2 and size <= 40:
-        out, i, changed = [], 0, False
+        out, wide, i, changed = [], [], 0, False
         while i < len(cores):
             body, k = cores[i:i + size], 1
             if len(body) == size and cores[i + size:i + size + 1] == body[:1]:
                 while cores[i + k * size:i + (k + 1) * size] == body:
                     k += 1
-            if k > 1 and not (size == 1 and isinstance(body[0], tuple) and body[0][0] == "rep"):
-                out.append(("rep", tuple(body)))
+            if k > 1:
+                out.append(body[0] if size == 1 and isinstance(body[0], tuple) and body[0][0] == "rep" else ("rep", tuple(body)))
+                wide.append(sum(widths[i:i + k * size]))
                 i, changed = i + k * size, True
-            elif k > 1:
-                out.append(body[0])
-                i, changed = i + k, True
             else:
                 out.append(cores[i])
+                wide.append(widths[i])
                 i += 1
-        cores = out
+        cores, widths = out, wide
         size = 1 if changed and size > 1 else size + 1
-    return cores
+    return cores, widths
 
 
-def regroup(cores: list, bodies: set[tuple]) -> list:
+def fold(cores: list) -> list:
+    return folded(cores, [1] * len(cores))[0]
+
+
+def regroup(cores: list, widths: list[int], bodies: set[tuple]) -> tuple[list, list[int]]:
     """Single or repeated occurrences of known repeated bodies become the repeated group."""
-    for body in sorted(bodies, key=len):
-        out, i, n = [], 0, len(body)
+    for body in sorted(bodies, key=lambda b: (len(b), repr(b))):
+        out, wide, i, n = [], [], 0, len(body)
         while i < len(cores):
-            if tuple(cores[i:i + n]) == body:
-                if not (out and out[-1] == ("rep", body)):
+            whole = tuple(cores[i:i + n]) == body
+            if whole or cores[i] == ("rep", body):
+                m = n if whole else 1
+                if out and out[-1] == ("rep", body):
+                    wide[-1] += sum(widths[i:i + m])
+                else:
                     out.append(("rep", body))
-                i += n
-            elif cores[i] == ("rep", body) and out and out[-1] == cores[i]:
-                i += 1
+                    wide.append(sum(widths[i:i + m]))
+                i += m
             else:
                 out.append(cores[i])
+                wide.append(widths[i])
                 i += 1
-        cores = out
-    return cores
+        cores, widths = out, wide
+    return cores, widths
+
+
+def bodies_of(cores: list) -> set[tuple]:
+    return {c[1] for c in cores if isinstance(c, tuple)}
+
+
+def counted(one: list | None, two: list | None, most: int) -> list | None:
+    """The lines of two cores, or of one core in two wrappers: the most lines of a page, and pages by line hash (at most
+    ``most``).  ``one`` is taken over.
+
+    Of more than 2 * COUNTED times the lines of a page, the rarest go and the others lose as much (the summary of Misra
+    and Gries), so a line's pages are at most 1 / COUNTED of all pages too few and never too many."""
+    if not one or not two:
+        return one or two
+    counts = one[1]
+    for k, n in two[1].items():
+        counts[k] = min(counts.get(k, 0) + n, most)
+    room = COUNTED * max(one[0], two[0])
+    if len(counts) > 2 * room:
+        less = sorted(counts.values(), reverse=True)[room]
+        counts = {k: n - less for k, n in counts.items() if n > less}
+    return [max(one[0], two[0]), counts]
 
 
 class Wrapper:
-    """Cores in order with the number of pages that have each; and facts about the text in each container."""
+    """Cores in order with the number of pages that have each and the lines that begin in each; and facts about the
+    text in each container."""
 
-    def __init__(self, cores: list, pages: int = 1, support: list[int] | None = None, slots: dict | None = None):
+    def __init__(self, cores: list, pages: int = 1, support: list[int] | None = None, slots: dict | None = None, lines: list | None = None):
         self.cores, self.pages = cores, pages
         self.support = support if support is not None else [pages] * len(cores)
         self.slots = slots if slots is not None else {}  # container -> [characters, pages, hash of its text or None if texts differ, aside]
+        self.lines = lines if lines is not None else [None] * len(cores)
 
     @classmethod
     def of_page(cls, page: str) -> Wrapper:
-        cores, slots, named = [], {}, False
-        for kind, value, path, aside in stream(page):
-            if kind == "text":
+        tokens, blocks = parse(page)
+        slots, named = {}, False
+        for _, block in blocks:
+            for path, aside, value in block:
                 text = value.strip()
                 if text:
                     seen = slots.setdefault(path, [0, 1, xxhash.xxh3_128(), aside])
                     seen[0] += len(text)
                     seen[2].update(text.encode("utf-8", "surrogatepass") + b"\0")
                     named = named or not aside and ARTICLE.match(path) is not None
-                    if not (cores and cores[-1] == SLOT):
-                        cores.append(SLOT)
-            elif kind in ("open", "close"):
-                cores.append(value if kind == "open" else "/" + value)
         for seen in slots.values():
             seen[2] = seen[2].hexdigest()
-        return cls(fold(cores), slots=slots if named else {PLAIN + path: seen for path, seen in slots.items()})
+        cores, widths = folded(tokens, [1] * len(tokens))
+        lines: list = [None] * len(cores)
+        for k, (_, block) in zip(places(widths, blocks), blocks):
+            found = line_hash(block)
+            if found:
+                lines[k] = lines[k] or [0, {}]
+                lines[k][1][found] = 1
+                lines[k][0] = len(lines[k][1])
+        return cls(cores, slots=slots if named else {PLAIN + path: seen for path, seen in slots.items()}, lines=lines)
 
     def merge(self, other: Wrapper) -> Wrapper:
-        bodies = {c[1] for w in (self, other) for c in w.cores if isinstance(c, tuple)}
+        """The wrapper of the pages of both; their counts of lines are taken over."""
+        bodies = bodies_of(self.cores) | bodies_of(other.cores)
         one, two = (w.regrouped(bodies) for w in (self, other))
-        cores, support = [], []
-        for op, a, b, c, d in SequenceMatcher(None, one.cores, two.cores, autojunk=False).get_opcodes():
+        pages = one.pages + two.pages
+        cores, support, lines = [], [], []
+        for op, a, b, c, d in aligned(one.cores, two.cores):
             if op == "equal":
                 cores += one.cores[a:b]
                 support += [x + y for x, y in zip(one.support[a:b], two.support[c:d])]
+                lines += [counted(x, y, pages) for x, y in zip(one.lines[a:b], two.lines[c:d])]
             else:  # optional parts of either side
                 cores += one.cores[a:b] + two.cores[c:d]
                 support += one.support[a:b] + two.support[c:d]
+                lines += one.lines[a:b] + two.lines[c:d]
         slots = {k: list(v) for k, v in one.slots.items()}
         for k, v in two.slots.items():
             if k in slots:
@@ -202,17 +289,31 @@ class Wrapper:
                 slots[k] = [s[0] + v[0], s[1] + v[1], s[2] if s[2] == v[2] else None, s[3] and v[3]]
             else:
                 slots[k] = list(v)
-        return Wrapper(cores, one.pages + two.pages, support, slots)
+        return Wrapper(cores, pages, support, slots, lines)
 
     def regrouped(self, bodies: set[tuple]) -> Wrapper:
-        cores = regroup(self.cores, bodies)
-        if len(cores) == len(self.cores):
+        cores, widths = regroup(self.cores, [1] * len(self.cores), bodies)
+        if cores == self.cores:
             return self
-        most = {}
-        for c, s in zip(self.cores, self.support):
-            most[c] = max(most.get(c, 0), s)
-        support = [most.get(c) or max(most.get(x, 1) for x in c[1]) for c in cores]
-        return Wrapper(cores, self.pages, support, self.slots)
+        support, lines, at = [], [], 0
+        for n in widths:
+            support.append(max(self.support[at:at + n]))
+            joint = None
+            for x in self.lines[at:at + n]:
+                wide = (joint[0] if joint else 0) + (x[0] if x else 0)
+                joint = counted(joint, x, self.pages)
+                if joint:
+                    joint = [wide, joint[1]]
+            lines.append(joint)
+            at += n
+        return Wrapper(cores, self.pages, support, self.slots, lines)
+
+    def guide(self) -> str | None:
+        """The cores, and for each the lines that begin there on at least ``SAME`` of the host's pages; None if there are none."""
+        same = {k: sorted(x for x, n in lines[1].items() if n >= SAME * self.pages)
+                for k, lines in enumerate(self.lines) if lines and self.support[k] >= SAME * self.pages}
+        same = {k: v for k, v in same.items() if v}
+        return json.dumps([self.cores, list(same.items())]) if same and self.pages >= FEW else None
 
     def expression(self) -> str:
         """The wrapper written as a regular expression; consecutive parts of equal support are one optional group."""
@@ -244,51 +345,100 @@ class Wrapper:
         return [x for x in (named, [common, *sorted(same)]) if x] + [[""]]
 
     def to_json(self) -> str:
-        return json.dumps([self.cores, self.pages, self.support, self.slots])
+        return json.dumps([self.cores, self.pages, self.support, self.slots, self.lines])
 
     @classmethod
     def from_json(cls, text: str) -> Wrapper:
-        def core(x):
-            return (x[0], tuple(core(y) for y in x[1])) if isinstance(x, list) else x
-        cores, pages, support, slots = json.loads(text)
-        return cls([core(c) for c in cores], pages, support, slots)
+        cores, pages, support, slots, lines = json.loads(text)
+        return cls([core_of(c) for c in cores], pages, support, slots, lines)
+
+
+def core_of(x):
+    return (x[0], tuple(core_of(y) for y in x[1])) if isinstance(x, list) else x
+
+
+def aligned(one: list, two: list) -> list[tuple[str, int, int, int, int]]:
+    if one == two:
+        return [("equal", 0, len(one), 0, len(two))]
+    return SequenceMatcher(None, one, two, autojunk=False).get_opcodes()
+
+
+def places(widths: list[int], blocks: list) -> list[int]:
+    """The core in which each block begins."""
+    ends = list(accumulate(widths))
+    return [bisect_right(ends, first) for first, _ in blocks]
+
+
+class Guide:
+    """A host's wrapper as extraction needs it: its cores, and the lines that do not vary in each."""
+
+    def __init__(self, text: str):
+        cores, same = json.loads(text)
+        self.cores = [core_of(c) for c in cores]
+        self.bodies = bodies_of(self.cores)
+        self.same = {k: frozenset(v) for k, v in same}
+        self.known: dict[tuple, dict[int, int]] = {}
+
+    def constant(self, tokens: list, blocks: list) -> set[int]:
+        """The blocks that stand in a slot of the wrapper with a text that does not vary there."""
+        cores, widths = regroup(*folded(tokens, [1] * len(tokens)), self.bodies)
+        key = tuple(cores)
+        slot = self.known.get(key)
+        if slot is None:
+            slot = {a + i: c + i for op, a, b, c, d in aligned(cores, self.cores) if op == "equal" for i in range(b - a)}
+            if len(self.known) < 4096:
+                self.known[key] = slot
+        none: frozenset = frozenset()
+        return {i for i, (k, (_, block)) in enumerate(zip(places(widths, blocks), blocks))
+                if k in slot and (same := self.same.get(slot[k], none)) and line_hash(block) in same}
+
+
+@lru_cache(256)
+def guide_of(text: str) -> Guide:
+    return Guide(text)
+
+
+def lines_in(blocks: list, content: list[str]) -> list[tuple[int, str]]:
+    """Number and text of the blocks with text in the content containers."""
+    inside: dict[str, bool] = {}
+    other = [c[len(OTHER):] for c in content if c.startswith(OTHER)]
+    out = []
+    for i, (_, block) in enumerate(blocks):
+        texts = []
+        for path, aside, text in block:
+            own = inside.get(path)
+            if own is None:
+                own = inside[path] = (any(c == "" or path == c or path.startswith(c + "/") for c in content)
+                                      and not any(path == c or path.startswith(c + "/") for c in other))
+            if own and not aside:
+                texts.append(text)
+        line = line_of(texts)
+        if line:
+            out.append((i, line))
+    return out
 
 
 def main_text(page: str, content: list[str]) -> str:
     """The blocks of the content containers, one a line."""
-    blocks, now = [], []
-
-    def end() -> None:
-        line = " ".join("".join(now).split())
-        if line:
-            blocks.append(line)
-        now.clear()
-
-    inside, other = {}, [c[len(OTHER):] for c in content if c.startswith(OTHER)]
-    for kind, value, path, aside in stream(page):
-        own = inside.get(path)
-        if own is None:
-            own = inside[path] = (any(c == "" or path == c or path.startswith(c + "/") for c in content)
-                                  and not any(path == c or path.startswith(c + "/") for c in other))
-        if kind == "text":
-            if own and not aside:
-                now.append(entities.unescape(value))
-        elif kind != "raw":
-            if value not in INLINE:
-                end()
-            elif value == "br":
-                now.append(" ")
-    end()
-    return "\n".join(blocks)
+    return "\n".join(line for _, line in lines_in(parse(page)[1], content))
 
 
-def first_text(page: str, content: list[list[str]]) -> str:
-    """The text by the first containers that hold any on this page."""
-    return next((text for text in (main_text(page, c) for c in content) if text), "")
+def first_text(page: str, content: list[list[str]], guide: str | None = None) -> str:
+    """The text by the first containers that hold any on this page, without the host's constant lines; if those are the
+    greater part (copies of one page), they stay."""
+    tokens, blocks = parse(page)
+    found = next((x for x in (lines_in(blocks, c) for c in content) if x), [])
+    if found and guide:
+        constant = guide_of(guide).constant(tokens, blocks)
+        kept = [(i, line) for i, line in found if i not in constant]
+        if sum(len(line) for _, line in kept) * 2 >= sum(len(line) for _, line in found):
+            found = kept
+    return "\n".join(line for _, line in found)
 
 
 def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    """``host, wrapper, content, pages``: each host's wrapper as an expression, its content containers and its pages."""
+    """``host, wrapper, content, guide, pages``: each host's wrapper as an expression, its content containers, the slots
+    with constant lines and its pages."""
     rows = hosted(pages, id_col, url_col, html_col).select("host", "html")
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,11 +460,12 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col
 
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
         w = Wrapper.from_json(merge(frame)["wrapper"].iloc[0])
-        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [w.expression()], "content": [w.content()], "pages": [w.pages]})
+        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [w.expression()], "content": [w.content()],
+                             "guide": [w.guide()], "pages": [w.pages]})
 
     found = rows.mapInArrow(partial, "host string, wrapper string").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
     some = found.groupBy("host", "salt").applyInPandas(merge, "host string, wrapper string")
-    return some.groupBy("host").applyInPandas(finish, "host string, wrapper string, content array<array<string>>, pages long")
+    return some.groupBy("host").applyInPandas(finish, "host string, wrapper string, content array<array<string>>, guide string, pages long")
 
 
 def hosted(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -327,12 +478,12 @@ def hosted(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every page, by its host's wrapper."""
     rows = hosted(pages, id_col, url_col, html_col)
-    known = infer(pages, url_col, html_col, id_col).select("host", "content")
-    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "content")
+    known = infer(pages, url_col, html_col, id_col).select("host", "content", "guide")
+    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "content", "guide")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [first_text(page, content or [[""]]) for page, content in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [first_text(page, content or [[""]], guide) for page, content, guide in zip(*(c.to_pylist() for c in b.columns[2:5]))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = rows.schema["page_id"].dataType.simpleString()

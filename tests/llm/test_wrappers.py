@@ -68,6 +68,32 @@ def test_pages_unlike_their_host(spark):
     assert got == {k: f"Paragraph {k}\n{' '.join([f'many listed words {k}'] * 20)}\n{k} said" for k in range(4)}
 
 
+def test_aligned_slots_that_do_not_vary(spark):
+    """The wrapper's slots decide: the same line goes where it is constant and stays where it varies."""
+    def page(k):
+        more = "".join(f"<p>Paragraph {k} {i}, of some length</p>" for i in range(k % 3))
+        odd = "<h2>Share this story</h2>" if k == 3 else f"<h2>Heading {k}</h2>"
+        return (f"<article><h1>Story {k}</h1>{odd}<p>Text {k} with <b>bold</b> words in it</p>{more}<p>Share this story</p>"
+                f"<div>Reprints need leave.</div><ul><li>point {k}</li></ul></article>")
+    got = texts(spark, [(f"http://f.org/{k}", page(k)) for k in range(12)] + [("http://g.org/1", page(1))] * 5)
+    for k in range(12):
+        head = "Share this story" if k == 3 else f"Heading {k}"
+        body = [f"Text {k} with bold words in it", *(f"Paragraph {k} {i}, of some length" for i in range(k % 3))]
+        assert got[k] == "\n".join([f"Story {k}", head, *body, f"point {k}"])
+    assert {got[k] for k in range(12, 17)} == {main_text(page(1), [""])}  # copies of one page: nothing varies
+
+
+def test_line_counts_are_bounded():
+    """A line of every page keeps nearly all its pages while thousands of others pass."""
+    whole = None
+    for k in range(600):
+        one = Wrapper.from_json(Wrapper.of_page(f"<article><p>Share</p>{''.join(f'<p>{k} {i}</p>' for i in range(5))}</article>").to_json())
+        whole = one if whole is None else whole.merge(one)
+    widest, counts = max((x for x in whole.lines if x), key=lambda x: len(x[1]))
+    assert widest == 6 and len(counts) <= 2 * 16 * 6 and max(counts.values()) >= 600 * 15 / 16
+    assert sum(map(len, (v for _, v in __import__("json").loads(whole.guide())[1]))) == 1
+
+
 def test_broken_markup():
     assert main_text("<article><p>a<b>b</article>c", ["/article"]) == "ab"
     assert main_text("<article>x <a title='q>r'>s</a> < t <script>never closed", ["/article"]) == "x s < t"
