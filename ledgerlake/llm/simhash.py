@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, select_columns, small_batches, store
+from ledgerlake.llm.common import components, numbered, select_columns, small_batches, store
 
 SHINGLE = 3
 BUDGET = 2
@@ -182,10 +182,17 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, doc_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id, once."""
-    found = near_duplicates(docs, doc_col=doc_col, **options)
-    firsts = store(found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")), "firsts")
-    kept = docs.join(firsts.distinct(), docs[doc_col] == F.col("__first"), "left_semi")
-    if firsts.groupBy("__first").count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates([doc_col])
+    """``docs`` with one row of each component: the one with the smallest doc_id.
+
+    Rows, not ids, are judged where ids repeat or are null: each such row is numbered, unlike texts under one id are documents
+    of their own, a null id counts after all others, and among rows of the smallest id the first stays."""
+    rows, key = numbered(docs, doc_col)
+    found = near_duplicates(rows, doc_col=key, **options)
+    if key == doc_col:
+        first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first"))
+    else:
+        ids = rows.select(F.col(key).alias("doc_id"), F.col(f"`{doc_col}`").cast("long").alias("id"))
+        order = F.struct(F.isnull("id").alias("none"), "id", "doc_id")
+        first = found.join(ids, "doc_id").groupBy("component_id").agg(F.min(order).alias("least")).select(F.col("least.doc_id").alias("__first"))
+    kept = rows.join(store(first, "firsts"), rows[key].cast("long") == F.col("__first"), "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -78,6 +78,16 @@ def test_chains_ties_nulls_and_repeats(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_keep_one_judges_rows(spark):
+    """Null ids and one id with unlike texts: every group keeps exactly one row, the one with the smallest id."""
+    one, two, three, four, five = (" ".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=80)) for k in range(5))
+    docs = [(None, one, "unique null"), (None, two, "nulls only"), (None, two, "nulls only"), (7, three, "repeated id"),
+            (7, four, "larger id"), (3, four, "smaller id"), (None, four, "null id"), (9, five, "copies"), (9, five, "copies")]
+    kept = simhash.keep_one(spark.createDataFrame(docs, SCHEMA))
+    assert kept.columns == ["doc_id", "text", "fp"]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, (docs[k] for k in (0, 1, 3, 5, 7))))
+
+
 def test_long_chain_is_one_component(spark):
     chain, x = [0], 0
     for b in range(40):
