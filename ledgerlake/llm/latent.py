@@ -7,6 +7,9 @@
    summed by Spark in two salted steps, and their orthonormal basis (vocabulary x ``RANK``) spans the latent space.
 4. Search.  Every document's windows of two widths are projected, and pairs with an item at a cosine of ``COSINE`` or more are
    candidates; no pair is dropped for rank.
+   So are places with enough of an item's words: of its rarest words (``RARE`` of its positions) all but as many as the checks
+   let a copy lack, within half as many words again as the item has.  No copy that the checks accept has fewer, so neither the
+   windows' width nor the cosine decides what is found; both kinds of candidates are checked.
 5. Checks.  A candidate's region must hold the item's words in order: its longest common subsequence covers ``SURE`` of the item, or
    ``LIKELY`` of it and ``ANSWER`` of the item's last sentence (its answer) as well, as in a paraphrase.
 
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -47,6 +51,9 @@ LIGHT = 0.02
 COSINE = 0.75
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 SHORT = 8
+RARE = 0.7
+SLICE = 1 << 13
+"""Words of a text that are held against the items' rare words at a time."""
 PIECE = 60
 VOCABULARY = 60_000
 AT_ONCE = 1 << 18
@@ -220,6 +227,71 @@ def basis(codes: DataFrame, weight: np.ndarray, rank: int, seed: int = 7) -> np.
     return (q @ u)[:, :rank]
 
 
+def lacking(n: int) -> int:
+    """How many of an item's ``n`` words a copy may lack."""
+    return 0 if n < SHORT else n - next(k for k in range(n + 1) if k / n >= LIKELY)
+
+
+def reach(n: int) -> int:
+    return n + n // 2 + CHUNK
+
+
+class Rare:
+    """The items' rarest words: for each word number the items that it is looked up for."""
+
+    def __init__(self, items: list[Item], weight: np.ndarray):
+        pairs, need = [], []
+        for k, item in enumerate(items):
+            n, less = len(item.codes), lacking(len(item.codes))
+            words = Counter(item.codes)
+            total = 0
+            for c in sorted(words, key=lambda c: (-weight[c], c)):  # whole words: their positions cannot be told apart in a text
+                if total >= RARE * n and total > less:
+                    break
+                total += words[c]
+                pairs.append((c, k))
+            need.append(total - less)
+        pairs.sort()
+        word = np.array([c for c, _ in pairs], np.int64)
+        self.item = np.array([k for _, k in pairs], np.int64)
+        self.first = np.searchsorted(word, np.arange(len(weight) + 1))
+        self.need = np.array(need, np.int64)
+        self.length = np.array([len(i.codes) for i in items], np.int64)
+        self.reach = np.array([reach(len(i.codes)) for i in items], np.int64)
+
+    def places(self, own: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``item, start, end`` of the regions with enough of an item's rare words."""
+        over = int(self.reach.max()) + 1
+        for at in range(0, len(own), SLICE):  # slices overlap by the longest reach
+            part = own[at:at + SLICE + over]
+            many = self.first[part + np.int64(1)] - self.first[part]
+            where = np.flatnonzero(many)
+            each = many[where]
+            if not len(where):
+                continue
+            ends = np.cumsum(each)
+            item = self.item[np.repeat(self.first[part[where]] - (ends - each), each) + np.arange(ends[-1])]
+            enough = (np.bincount(item, minlength=len(self.need)) >= self.need)[item]
+            item, where = item[enough], np.repeat(where, each)[enough]
+            order = np.argsort(item, kind="stable")
+            item, where = item[order], where[order]
+            last = np.arange(len(item)) + self.need[item] - 1
+            within = last < len(item)
+            j, last = np.flatnonzero(within), last[within]
+            good = j[(item[last] == item[j]) & (where[last] - where[j] <= self.reach[item[j]])]
+            old = start = end = -1
+            for k, w in zip(item[good].tolist(), where[good].tolist()):
+                n = int(self.length[k])
+                if k == old and w - start <= n // 2:  # near starts share a region
+                    end = w
+                    continue
+                if old >= 0:
+                    yield old, max(0, at + start - int(self.length[old])), at + end + int(self.reach[old]) + 1
+                old, start, end = k, w, w
+            if old >= 0:
+                yield old, max(0, at + start - int(self.length[old])), at + end + int(self.reach[old]) + 1
+
+
 def check(item: Item, region: Sequence[int]) -> tuple[float, bool] | None:
     """The covered share of the item and whether the answer is there, if the region repeats the item."""
     n = len(item.codes)
@@ -227,7 +299,7 @@ def check(item: Item, region: Sequence[int]) -> tuple[float, bool] | None:
         whole = any(list(region[k:k + n]) == item.codes for k in range(len(region) - n + 1))
         return (1.0, True) if whole else None
     known = sum(c in item.distinct for c in set(region))
-    if known < LIKELY * len(item.distinct) * 0.9:
+    if known < len(item.distinct) - lacking(n):
         return None
     share = common_subsequence(item.masks, n, region) / n
     if share < LIKELY:
@@ -241,10 +313,18 @@ def search(codes: DataFrame, items: list[Item], weight: np.ndarray, space: np.nd
     vectors = (space * weight[:, None]).astype(np.float32)
     queries = np.stack([vectors[i.codes].sum(axis=0) for i in items])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-    sent = codes.sparkSession.sparkContext.broadcast((vectors, queries, [(i.item_id, i.codes, i.answer) for i in items]))
+    sent = codes.sparkSession.sparkContext.broadcast((vectors, queries, [(i.item_id, i.codes, i.answer) for i in items], Rare(items, weight)))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answered", pa.bool_())]))
 
-    def found(own: np.ndarray, vectors: np.ndarray, used: np.ndarray, queries: np.ndarray, known: list[Item], best: dict) -> None:
+    def found(own: np.ndarray, vectors: np.ndarray, used: np.ndarray, queries: np.ndarray, known: list[Item], rare: Rare, best: dict) -> None:
+        for i, a, z in rare.places(own):
+            old = best.get(known[i].item_id)
+            if old and old[1] == 1.0 and old[2]:
+                continue
+            good = check(known[i], own[a:z].tolist())
+            if good and (old is None or good > old[1:]):
+                near = vectors[own[a:z]].sum(axis=0)
+                best[known[i].item_id] = (float(near @ queries[i] / max(np.linalg.norm(near), 1e-9)), *good)
         where = np.flatnonzero(used[own])
         if not len(where):
             return
@@ -272,15 +352,15 @@ def search(codes: DataFrame, items: list[Item], weight: np.ndarray, space: np.nd
                     best[item.item_id] = (float(score[w, i]), *good)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, queries, plain = sent.value
+        vectors, queries, plain, rare = sent.value
         used = vectors.any(axis=1)
         known = [Item(*p) for p in plain]
         for b in batches:
             out = []
             for data in b.column(1):
                 own, best = np.frombuffer(data.as_buffer(), "<u2"), {}
-                for k in range(0, max(1, len(own)), AT_ONCE):  # pieces overlap by the widest window and its margins
-                    found(own[max(0, k - 16 * CHUNK):k + AT_ONCE], vectors, used, queries, known, best)
+                for k in range(0, max(1, len(own)), AT_ONCE):  # pieces overlap by the widest window or region and its margins
+                    found(own[max(0, k - 32 * CHUNK):k + AT_ONCE], vectors, used, queries, known, rare, best)
                 out.append([{"item_id": i, "cosine": v[0], "share": v[1], "answered": v[2]} for i, v in sorted(best.items())])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], names=["doc", "found"])
 

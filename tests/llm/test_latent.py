@@ -74,6 +74,27 @@ def test_planted_items_and_paraphrases(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted([d for d, own in want.items() if not own] + [d for d in (0, 1) if not want[d]])
 
 
+def test_changed_copies_in_ordinary_text(spark):
+    """Every copy that the checks accept is found: words replaced up to the limits, and short items, between ordinary words."""
+    rng = random.Random(4)
+    common, rarer = [f"c{k}" for k in range(60)], [f"r{k}" for k in range(4000)]
+    text = lambda n: [rng.choice(common if rng.random() < 0.5 else rarer) for _ in range(n)]
+    items = [text(n) for n in [5, 7, 8, 9, 11, 14] * 5 + [20, 30, 45, 60] * 10]
+    docs, want = [], {}
+    for k, item in enumerate(items):
+        for share in (0, 0.1, 0.15, 0.2, 0.3, 0.4):
+            own, n = list(item), len(item)
+            if n >= 8:
+                for i in rng.sample(range(max(0, n - 5) if share > 0.2 else n), min(int(share * n), max(0, n - 5) if share > 0.2 else n)):
+                    own[i] = "zz"
+            want[len(docs)] = k
+            docs.append((len(docs), " ".join(text(100) + own + text(100)), "x"))
+    table = spark.createDataFrame([(k, " ".join(item[:-5]) + ". " + " ".join(item[-5:]), "x") for k, item in enumerate(items)], "item_id long, text string, y string")
+    got = {r["doc_id"]: set(r["item_ids"]) for r in latent.report(spark.createDataFrame(docs, SCHEMA), table).collect()}
+    missed = [(k, len(items[i])) for k, i in want.items() if i not in got[k]]
+    assert not missed, (len(missed), len(want), missed[:20])
+
+
 def test_empty(spark):
     docs, items, _ = shared(spark)
     assert latent.report(docs.limit(0), items).collect() == []
