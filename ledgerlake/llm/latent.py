@@ -13,8 +13,8 @@
 5. Checks.  A candidate's region must hold the item's words in order: its longest common subsequence covers ``SURE`` of the item, or
    ``LIKELY`` of it and ``ANSWER`` of the item's last sentence (its answer) as well, as in a paraphrase.
 
-Scale: the benchmark is the stated query set.  It is taken in blocks of at most ``VOCABULARY`` distinct words,
-which bounds everything that is broadcast (basis 15 MB, items); each block is searched against all
+Scale: the benchmark is the stated query set.  It is taken in blocks of at most ``VOCABULARY`` distinct words
+and ``ITEMS`` queries, which bounds everything that is broadcast (basis 15 MB, items); each block is searched against all
 documents.  Documents are only scanned, never shuffled; what is shuffled are sums of a fixed size per task.  Very
 long texts are processed in pieces of ``AT_ONCE`` words.
 
@@ -56,6 +56,7 @@ SLICE = 1 << 13
 """Words of a text that are held against the items' rare words at a time."""
 PIECE = 60
 VOCABULARY = 60_000
+ITEMS = 4096
 AT_ONCE = 1 << 18
 ROWS = 64
 """Vocabulary rows of a partial sum that travel together."""
@@ -93,12 +94,12 @@ def common_subsequence(pattern: dict[int, int], n: int, text: Sequence[int]) ->
 
 
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, vocabulary: int) -> Iterator[tuple[dict[str, int], list[Item]]]:
-    """The items in blocks of at most ``vocabulary`` distinct words."""
+    """The items in blocks of at most ``vocabulary`` distinct words and ``ITEMS`` queries, or one item that has more."""
     words: dict[str, int] = {}
     items: list[Item] = []
     for item_id, text in benchmark.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).toLocalIterator():
         own = words_of(text or "")
-        if len(set(own).union(words)) > vocabulary and items:
+        if items and (len(set(own).union(words)) > vocabulary or len(items) + -(-len(own) // PIECE) > ITEMS):
             yield words, items
             words, items = {}, []
         last = [s for s in (words_of(x) for x in re.split(r"[.!?]+(?:\s+|$)", text or "")) if s][-1:]

@@ -95,6 +95,19 @@ def test_changed_copies_in_ordinary_text(spark):
     assert not missed, (len(missed), len(want), missed[:20])
 
 
+def test_blocks_are_bounded_and_light_words_found(spark, monkeypatch):
+    """A block closes at a number of items too, and an item made of words without weight in the latent space is found."""
+    monkeypatch.setattr(latent, "ITEMS", 3, raising=False)
+    common, rng = [f"c{k}" for k in range(12)], random.Random(3)
+    texts = [(k, " ".join([rng.choice(common) for _ in range(80)] + [f"r{k}"]), "x") for k in range(60)]
+    light = "c1 c1 c7 c3 c3 c9 c2 c2 c5 c8 c8 c1"
+    texts.append((60, "c4 c4 " + light + " c6", "x"))
+    items = spark.createDataFrame([(0, light, "x")] + [(k, f"r{k} q{k} p{k}", "x") for k in range(1, 8)], "item_id long, text string, y string")
+    assert [len(b[1]) for b in latent.blocks_of(items, "item_id", "text", 60_000)] == [3, 3, 2]
+    got = {r["doc_id"]: set(r["item_ids"]) for r in latent.report(spark.createDataFrame(texts, SCHEMA), items).collect()}
+    assert 0 in got[60]
+
+
 def test_empty(spark):
     docs, items, _ = shared(spark)
     assert latent.report(docs.limit(0), items).collect() == []
