@@ -7,9 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = os.environ.get("LEDGERLAKE_TEST_SF", "/root/testdata/sf0.001")
-SF_ORACLE = os.environ.get("LEDGERLAKE_ORACLE_SF", "/root/testdata/sf0.01")
-
 
 @pytest.fixture(scope="session")
 def spark():

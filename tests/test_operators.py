@@ -129,7 +129,7 @@ def test_cost_waterfall_value_is_a_candidate(spark):
                                "source string, mode string, pn_exact double, model_exact double, pn_latest double, "
                                "model_latest double, branch_exact double, branch_latest double")
     out = df.select(GP.cost_waterfall(F.col("source"), F.col("mode")).alias("c"))
-    assert [r[0] for r in out.collect()] == [2.0, 6.0]
+    assert [r[0] for r in out.collect()] == [3.0, 4.0]
 
 
 def test_contract_and_names(spark):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle_compare import compare, duck_connect
 
 from ledgerlake.plans.registry import ORACLE, QUERIES, load_all
