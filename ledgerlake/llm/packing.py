@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import gc
 import itertools
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -61,14 +62,23 @@ class Numbers(dict):
 
 
 class WordTokenizer:
-    """Ids of a word-level BPE file, remembered per piece of a word.
+    """Ids of a tokenizer file; of the known word-level BPE file remembered per piece of a word.
 
-    Texts whose characters are all below U+0100 are split on white space; each distinct word is lower-cased and
-    split into pieces by the file's own pattern, and the pieces' ids are looked up.  The file's normaliser and
-    splitter never look across white space, so the ids equal those of the whole text.  Other texts go through
-    the library unchanged.  The memory of pieces is emptied when it grows past ``most`` pieces.
+    With that file's normaliser and splitter (``KNOWN``), texts whose characters are all below U+0100 are split
+    on white space; each distinct word is lower-cased and split into pieces by the file's own pattern, and the
+    pieces' ids are looked up.  The file's normaliser and splitter never look across white space, so the ids equal those of the whole text.  Other texts go through
+    the library unchanged, as do texts that hold an added token's string, and all texts with any other file.
+    The memory of pieces is emptied when it grows past ``most`` pieces.
     """
 
+    # fixed values: how the word-level file normalises and splits
+    KNOWN = ({"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+                                                  {"type": "Lowercase"}]},
+             {"type": "Sequence", "pretokenizers": [
+                 {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                  "behavior": "Removed", "invert": True},
+                 {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+
     LETTERS = "a-zªµºß-öø-ÿ"
     DIGITS = "0-9²³¹¼-¾"
 
@@ -76,6 +86,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(file)
         self.most = most
+        told = json.loads(self.whole.to_str())
+        self.known = (told["normalizer"], told["pre_tokenizer"]) == self.KNOWN
+        self.added = [t["content"] for t in told["added_tokens"]]
         self.plain = re.compile("[\t-\r\x20-\x7e¡-ÿ]*").fullmatch
         self.pieces_of = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTERS}]+|[{self.DIGITS}]"
                                     f"|[^\\s{self.LETTERS}{self.DIGITS}]+").findall
@@ -102,7 +115,13 @@ class WordTokenizer:
             self.forget()
         texts = pc.fill_null(texts, "")
         strings = texts.to_pylist()
-        simple = [bool(self.plain(t)) and (t.isascii() or unicodedata.is_normalized("NFC", t)) for t in strings]
+        if not self.known:
+            return [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) for t in strings]
+        special = pa.array(np.zeros(len(strings), bool))
+        for token in self.added:
+            special = pc.or_(special, pc.match_substring(texts, token))
+        simple = [not s and bool(self.plain(t)) and (t.isascii() or unicodedata.is_normalized("NFC", t))
+                  for t, s in zip(strings, special.to_pylist())]
         split = pc.ascii_split_whitespace(pc.if_else(pa.array(simple), texts, pa.scalar("", texts.type)))
         words = split.flatten().dictionary_encode()
         pieces = [self.pieces_of(w.lower()) for w in words.dictionary.to_pylist()]
