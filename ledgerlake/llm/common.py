@@ -23,12 +23,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TARGET_BYTES))
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared checkpoint folder that nothing has used."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the lineage is cut, the rows survive
     the loss of executors, and later readers prune columns.  The files stay until the folder is cleaned
     or :func:`discard` is called."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path

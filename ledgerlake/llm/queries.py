@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, latent, lmscore, packing, quality, simhash, substrings, urls, warc, wrappers
-from ledgerlake.llm.common import table
+from ledgerlake.llm import (chat, latent, lmscore, packing, quality, ranked, simhash, spelling, substrings, tokenfiles,
+                            urls, warc, wrappers)
+from ledgerlake.llm.common import fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +87,26 @@ def op9_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stupid-backoff score of every document under the corpus's own trigram counts."""
     return lmscore.scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_ranked"] = ranked.ORACLE_SQL
+
+
+@query
+def op12_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the token files."""
+    path = fresh_path(spark, "token-files")
+    tokenfiles.write(table(spark, sf_dir, "documents"), path)
+    return tokenfiles.read(spark, path, with_ids=False)
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, root and number of near words of every word of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
