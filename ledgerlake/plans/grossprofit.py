@@ -1,30 +1,27 @@
-"""Candidate costs, enriched fact, gross profit and accumulators.
-
-* D22 turns the cost tables into per-key averages and attaches, per fact row,
-  the exact-period value and the latest value at or before the row's period
-  (:func:`asof_attach`; the reference's single batch anchor is the special case
-  of a one-period batch).
-* D23 is the wide star enrichment: every lookup deduplicated on its key and
-  left-joined, so the fact's row count never changes.
-* D24 is eight dependent projection stages (Catalyst collapses them into one
-  projection inside whole-stage codegen) plus one FX lookup.
-* D25/D26 replace the batch's periods in the stored accumulator (anti-join on
-  the small period set) and write the all-text contract.
-
-Amounts derived from ratios (FX division, averaged costs) are DOUBLE; see
-README "Numeric semantics".
+"""Combined fact, candidate costs, enriched fact, gross profit and accumulators.
+
+* D10 computes the fact's currency amounts, shipping fee, cost period, funding, credit note and net revenue.
+* D22 describes every cost family as a :class:`~ledgerlake.operators.fusion.Series` per key shape (part, model + cpu,
+  branch + model + cpu): averages and SUM/SUM ratios, the exact period and the latest at or before the row's own
+  period (the reference's single batch anchor is the special case of a one-period batch), with the second (``_ex``) set.
+* D23 attaches all lookups by :mod:`ledgerlake.operators.fusion`: one table and one join per key set.
+* D24 is eight dependent projection stages plus one FX lookup.
+* D25/D26 replace the batch's periods in the stored accumulator and write the all-text contract.
+
+Amounts derived from ratios (FX division, averaged costs) are DOUBLE; see README "Numeric semantics".
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.dates import add_months_period
-from ledgerlake.operators import lookup as L
-from ledgerlake.operators.aggregate import mean
-from ledgerlake.operators.asof import asof_attach
 from ledgerlake.operators.cleanse import stringify_contract
+from ledgerlake.operators.fusion import Fused, Series, Value, attach, fuse
+from ledgerlake.plans.ingest import NEWEST_FIRST, RANGE_LINES, credit_note_rate
+from ledgerlake.sources.adapters import ACCUM_CONTRACT
 from ledgerlake.sources.snapshot import latest_snapshot
 
 
@@ -42,123 +39,229 @@ def per_unit_ratio(num, den) -> Column:
     return F.when(d != 0, _d(num) / d)
 
 
-def candidate_costs(fact: DataFrame, cost_pn: DataFrame, cost_branch: DataFrame) -> DataFrame:
-    """Exact and latest candidate costs per part, per model+cpu and per
-    branch+model+cpu (averages per key and period first, A1)."""
-    pn = cost_pn.groupBy("part_number", "period").agg(mean("item_cost_usd").alias("c"))
-    model = cost_pn.groupBy("model_name", "cpu", "period").agg(mean("item_cost_usd").alias("c"))
-    branch = cost_branch.groupBy("sales_team", "model_name", "cpu", "period").agg(mean("item_cost_usd").alias("c"))
-    out = fact
-    specs = [
-        ("pn", pn, {"part_number": "part_number"}),
-        ("model", model, {"model_name": "model_name", "cpu": "cpu"}),
-        ("branch", branch, {"sales_team": "branch", "model_name": "model_name", "cpu": "cpu"}),
-    ]
-    for name, table, on in specs:
-        ex = table.select(*[F.col(k).alias(f"__x_{k}") for k in on], F.col("period").alias("__x_p"),
-                          F.col("c").alias(f"{name}_exact"))
-        cond = [F.col(fcol) == F.col(f"__x_{k}") for k, fcol in on.items()] + [F.col("period") == F.col("__x_p")]
-        out = out.join(ex, cond, "left").drop(*[f"__x_{k}" for k in on], "__x_p")
-        out = asof_attach(out, table, dict(on), "period", "c", f"{name}_latest")
+# fixed values: customer names by keyword, first match wins; the monthly and the weekly load name one of them differently
+CUSTOMERS = {"WALMART": "Walmart", "BEST BUY": "BBY", "AMAZON": "Amazon", "TARGET": "Target", "STAPLES": "Staples",
+             "COSTCO": "Costco", "SAMS": "Sam's Club"}
+WEEKLY_CUSTOMERS = CUSTOMERS | {"BEST BUY": "Best Buy"}
+OTHER_CUSTOMER = "Others"
+# fixed values: second-level branches of the USD source by keyword, first match wins
+BRANCHES = {"RETAIL": "ACI-Retail", "CA": "CA", "MX": "ACMX", "SA": "Channel-SA"}
+OTHER_BRANCH = "Channel-US"
+RMB_BRANCH = "ACC"
+
+
+def by_keyword(text: str, names: dict[str, str], default: str) -> Column:
+    """The name of the first keyword that the upper-cased text holds."""
+    return F.coalesce(*[F.when(F.contains(F.upper(text), F.lit(k)), F.lit(v)) for k, v in names.items()], F.lit(default))
+
+
+# the columns of the combined fact that later stages read, in order
+LOCAL_COLUMNS = [
+    "l_orderkey", "l_linenumber", "source", "product_line_id", "year", "quarter", "month", "period", "sold_to_customer", "customer",
+    "order_type", "business_type", "product_type", "distribution", "distribution_type", "territory", "territory2", "branch",
+    "branch2", "country_id", "country_chinese", "country_code", "ou", "warranty", "csid", "part_number", "description", "all_qty",
+    "revenue_usd_hedge_rate", "revenue_fxdiff", "net_revenue_usd_agp", "net_revenue_fxdiff", "local_cogs_amount",
+    "local_cogs_amount_fxdiff", "credit_note_hedge_rate", "credit_note_fxdiff", "total_ship_fee_company",
+    "total_ship_fee_company_fxdiff", "total_ship_fee_company_rmb", "cost_period", "funding", "revenue_rmb", "net_revenue_rmb",
+    "local_cogs_amount_rmb", "credit_note_rmb", "sheet_csc_ratio", "sheet_csc_amt"]
+
+
+def local_data(sales: DataFrame, fx: DataFrame, freight: DataFrame, funding: DataFrame, ranges: DataFrame, rates: DataFrame,
+               monthly: bool) -> DataFrame:
+    """D10 with D5-D9: the combined fact of both sources.
+
+    RMB amounts are converted at the hedge and the ex rate, USD amounts kept; a rate of 0 gives NULL.  Shipping fee =
+    -(freight per unit x quantity); cost period by the (part, version) ranges; funding per unit x quantity (monthly: none for
+    negative quantities); credit note = rate x revenue (monthly: the rate of the rule cascade, weekly: the sheet's own);
+    net revenue = revenue - credit note, NULL as 0."""
+    acc = F.col("source") == "ACCRAW"
+    f = sales.withColumns({
+        "customer": F.when(~acc, by_keyword("sold_to_customer", CUSTOMERS if monthly else WEEKLY_CUSTOMERS, OTHER_CUSTOMER)),
+        "branch2": F.when(acc, F.lit(RMB_BRANCH)).otherwise(by_keyword("branch", BRANCHES, OTHER_BRANCH)),
+        "__team": F.upper(F.trim("branch"))})
+    f = attach(f, fuse([
+        Value(fx, {"product_line_id": "product_line", "period": "period"}, {"fx_rate": "fx_rate", "fx_rate_ex": "fx_rate_ex"}),
+        Value(freight.withColumn("team", F.upper(F.trim("sales_team"))),
+              {"product_line_id": "product_line", "__team": "team", "period": "period"}, {"freight": "freight"}),
+        Series(funding.withColumn("pn", F.trim("pn")), {"part_number": "pn"}, "max", "funding", exact={"funding_unit": "period"}),
+        Series(ranges.withColumns({"pn": F.trim("pn"), "version": F.trim("version")}), {"part_number": "pn"}, "max", "cost_range",
+               period="version", exact={"__range": "period"})]))
+    if monthly:
+        f = credit_note_rate(f, rates, F.col("ou"), F.col("branch2"), F.col("customer"))
+    else:
+        f = f.withColumn("cn", F.col("cn_rate"))
+    ranged = F.lit(False)
+    for source, lines in RANGE_LINES.items():
+        ranged = ranged | ((F.col("source") == source) & F.upper("product_line_id").isin(lines))
+    qty, fee = _d("all_qty"), -(_d("freight") * _d("all_qty"))
+
+    def converted(amount: Column, rate: str) -> Column:
+        return F.when(acc, per_unit_ratio(amount, rate)).otherwise(amount)
+
+    f = f.withColumns({
+        "revenue_usd_hedge_rate": converted(_d("revenue"), "fx_rate"), "revenue_fxdiff": converted(_d("revenue"), "fx_rate_ex"),
+        "revenue_rmb": F.when(acc, _d("revenue")),
+        "local_cogs_amount": converted(_d("local_cogs"), "fx_rate"),
+        "local_cogs_amount_fxdiff": converted(_d("local_cogs"), "fx_rate_ex"), "local_cogs_amount_rmb": F.when(acc, _d("local_cogs")),
+        "total_ship_fee_company": converted(fee, "fx_rate"), "total_ship_fee_company_fxdiff": converted(fee, "fx_rate_ex"),
+        "total_ship_fee_company_rmb": F.when(acc, fee),
+        "cost_period": F.when(ranged, F.coalesce("__range", F.lit(NEWEST_FIRST))).otherwise(F.lit(NEWEST_FIRST)),
+        "funding": _d("funding_unit") * (F.when(qty < 0, F.lit(0.0)).otherwise(qty) if monthly else qty)})
+    f = f.withColumns({
+        "credit_note_hedge_rate": _d("cn") * z("revenue_usd_hedge_rate"), "credit_note_fxdiff": _d("cn") * z("revenue_fxdiff"),
+        "credit_note_rmb": F.when(acc, _d("cn") * z("revenue_rmb"))})
+    f = f.withColumns({
+        "net_revenue_usd_agp": z("revenue_usd_hedge_rate") - z("credit_note_hedge_rate"),
+        "net_revenue_fxdiff": z("revenue_fxdiff") - z("credit_note_fxdiff"),
+        "net_revenue_rmb": F.when(acc, z("revenue_rmb") - z("credit_note_rmb"))})
+    return f.select(*LOCAL_COLUMNS)
+
+
+# fixed values: territories of the simulation rows per source
+TERRITORIES = {"ACCRAW": ["CHINA"], "ACIRAW": ["NA", "LATAM"]}
+
+PART = {"part_number": "part_number"}
+MODEL = {"model": "model_name", "cpu_sku": "cpu"}
+SIM_MODEL = {"model": "model", "cpu_sku": "cpu_sku"}
+BRANCH = {"branch": "sales_team"} | MODEL
+
+
+def cost_families(cost_pn: DataFrame, cost_pn_ex: DataFrame, simulation: DataFrame, aci_cost: DataFrame, aci_cost_ex: DataFrame,
+                  cost_branch: DataFrame, cost_branch_ex: DataFrame) -> list[Series]:
+    """The candidate costs of all families and both sets, as series for :func:`fuse`.
+
+    Standard and ex item costs are averages per part and per model + cpu, exact at the row's cost period; simulation costs
+    are SUM/SUM per unit and source, exact at the row's period; the USD source's own costs are exact only, the
+    branches' averages latest only.  Simulation columns carry their source as a suffix until :func:`per_source`."""
+    out = []
+    for table, sfx in ((cost_pn, ""), (cost_pn_ex, "_ex")):
+        for on, shape in ((PART, "hqpn"), (MODEL, "hqmodelcpu")):
+            out.append(Series(table, on, "mean", "item_cost_usd", exact={f"item_cost_usd_{shape}{sfx}": "cost_period"},
+                              latest={f"item_cost_usd_{shape}_max{sfx}": "period"}))
+    for source, territories in TERRITORIES.items():
+        rows = simulation.where(F.col("territory").isin(territories)).withColumn("month", F.substring("estimate_revenue_date", 1, 6))
+        for on, shape in ((PART, "1179pn"), (SIM_MODEL, "1179modelcpu")):
+            for value, sfx in (("cogs_amount", ""), ("cogs_amount_fxdiff", "_fxdiff")):
+                out.append(Series(rows, on, "ratio", value, "all_qty", "month",
+                                  exact={f"cogs_amount_{shape}{sfx}|{source}": "period"},
+                                  latest={f"cogs_amount_{shape}_max{sfx}|{source}": "period"}))
+    for table, sfx in ((aci_cost, ""), (aci_cost_ex, "_ex")):
+        out.append(Series(table, {"part_number": "item"}, "max", "item_cost_usd", exact={f"aci_cost_item_cost_usd{sfx}": "period"}))
+    for table, sfx in ((cost_branch, ""), (cost_branch_ex, "_ex")):
+        out.append(Series(table, BRANCH, "mean", "item_cost_usd", latest={f"hq_model_cpu_branch_item_cost_usd{sfx}": "period"}))
     return out
 
 
-# fixed values: cost waterfall order per (source, cost mode); the USD source has one order in either mode.
-# The families without a view here (standard costs, the USD source's own item cost) are left out.
+CANDIDATES = [f"{name}{sfx}" for sfx, sim in (("", ""), ("_ex", "_fxdiff")) for name in (
+    "item_cost_usd_hqpn", "item_cost_usd_hqpn_max", "item_cost_usd_hqmodelcpu", "item_cost_usd_hqmodelcpu_max",
+    "aci_cost_item_cost_usd", "hq_model_cpu_branch_item_cost_usd")] + [
+    f"cogs_amount_1179{shape}{sfx}" for sfx in ("", "_fxdiff") for shape in ("pn", "pn_max", "modelcpu", "modelcpu_max")]
+
+
+def per_source(f: DataFrame) -> DataFrame:
+    """The simulation candidates of the row's own source."""
+    names = sorted({c.split("|")[0] for c in f.columns if "|" in c})
+    picked = {n: F.coalesce(*[F.when(F.col("source") == s, _d(F.col(f"`{n}|{s}`"))) for s in TERRITORIES]) for n in names}
+    return f.withColumns(picked).drop(*[c for c in f.columns if "|" in c])
+
+
+# fixed values: the candidates per (source, cost mode) in order, for the costs and for the costs at the ex rate
 COST_WATERFALL = {
-    ("ACCRAW", "exact"): ["pn_exact", "pn_latest", "model_exact", "model_latest"],
-    ("ACCRAW", "latest"): ["pn_latest", "model_latest"],
-    ("ACIRAW", "exact"): ["pn_latest", "branch_exact"],
-    ("ACIRAW", "latest"): ["pn_latest", "branch_exact"],
+    "hq_asc": {
+        ("ACCRAW", "exact"): ["item_cost_usd_hqpn", "item_cost_usd_hqpn_max", "item_cost_usd_hqmodelcpu", "item_cost_usd_hqmodelcpu_max",
+                              "cogs_amount_1179pn", "cogs_amount_1179pn_max", "cogs_amount_1179modelcpu",
+                              "cogs_amount_1179modelcpu_max"],
+        ("ACCRAW", "newest"): ["item_cost_usd_hqpn_max", "item_cost_usd_hqmodelcpu_max", "cogs_amount_1179pn_max",
+                               "cogs_amount_1179modelcpu_max"],
+        ("ACIRAW", None): ["aci_cost_item_cost_usd", "item_cost_usd_hqpn_max", "hq_model_cpu_branch_item_cost_usd",
+                           "cogs_amount_1179pn_max", "cogs_amount_1179modelcpu_max"],
+    },
+    "hq_asc_fxdiff": {
+        ("ACCRAW", "exact"): ["item_cost_usd_hqpn_ex", "item_cost_usd_hqpn_max_ex", "item_cost_usd_hqmodelcpu_ex",
+                              "item_cost_usd_hqmodelcpu_max_ex", "cogs_amount_1179pn_fxdiff", "cogs_amount_1179pn_max_fxdiff",
+                              "cogs_amount_1179modelcpu_fxdiff", "cogs_amount_1179modelcpu_max_fxdiff"],
+        ("ACCRAW", "newest"): ["item_cost_usd_hqpn_max_ex", "item_cost_usd_hqmodelcpu_max_ex", "cogs_amount_1179pn_fxdiff",
+                               "cogs_amount_1179pn_max_fxdiff", "cogs_amount_1179modelcpu_fxdiff",
+                               "cogs_amount_1179modelcpu_max_fxdiff"],
+        ("ACIRAW", None): ["aci_cost_item_cost_usd_ex", "item_cost_usd_hqpn_max_ex", "hq_model_cpu_branch_item_cost_usd_ex",
+                           "cogs_amount_1179pn_max_fxdiff", "cogs_amount_1179modelcpu_max_fxdiff"],
+    },
 }
 
 
-def cost_waterfall(source: Column, mode: Column) -> Column:
-    """Per (source, cost mode) a different ordered COALESCE of candidates."""
-    expr = None
-    for (src, md), cands in COST_WATERFALL.items():
-        cond = (source == src) & (mode == md)
-        val = F.coalesce(*[F.col(c) for c in cands])
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
-
-
-def enriched_fact(fact: DataFrame, part_attr: DataFrame, fx: DataFrame, cn: DataFrame, freight: DataFrame,
-                  funding: DataFrame, os_inc: DataFrame, opp: DataFrame, extra: DataFrame, sellout: DataFrame,
-                  cost_pn: DataFrame, cost_branch: DataFrame, monthly: bool) -> DataFrame:
-    """The enriched (DWD mapping) fact, weekly or monthly flavour.
-
-    ``cn`` is the fact with its credit-note rate already resolved (J12 cascade).
-    Monthly clamps negative quantities to 0 for per-unit amounts (C11) and
-    applies the CSC ratio to every source; weekly only to the USD source."""
-    f = cn
-    f = L.star_enrich(f, [
-        L.LookupSpec(part_attr, {"part_number": "part_number"},
-                     {"model_name": "model_name", "cpu": "cpu", "price": "std_price"}),
-        L.LookupSpec(fx, {"product_line": "product_line_id", "period": "period"},
-                     {"fx_rate": "fx_rate", "fx_rate_ex": "fx_rate_ex"}),
-        L.LookupSpec(funding.select(F.trim("pn").alias("pn"), "period", "funding"),
-                     {"pn": "part_number", "period": "period"}, {"funding": "funding_unit"}),
-        L.LookupSpec(os_inc, {"os_part_number": "part_number", "period": "period"}, {"inc": "os_unit"}),
-        L.LookupSpec(opp.groupBy("sku90pn", "product_line", "period").agg(F.sum("opp_rebate").alias("opp_rebate")),
-                     {"sku90pn": "part_number", "product_line": "product_line_id", "period": "period"},
-                     {"opp_rebate": "opp_unit"}, dedupe=False),
-        L.LookupSpec(extra.groupBy("part_number", "product_line", "period").agg(F.sum("extra_rebate").alias("x")),
-                     {"part_number": "part_number", "product_line": "product_line_id", "period": "period"},
-                     {"x": "extra_unit"}, dedupe=False),
-        L.LookupSpec(sellout.groupBy("part_number", "product_line", "period").agg(F.sum("reb").alias("x")),
-                     {"part_number": "part_number", "product_line": "product_line_id", "period": "period"},
-                     {"x": "sellout_unit"}, dedupe=False),
-    ])
-    f = L.fallback_lookup(f, freight, [
-        {"product_line": "product_line_id", "sales_team": F.lower(F.col("branch")), "period": "period"},
-        {"product_line": "product_line_id", "sales_team": F.lower(F.col("branch")),
-         "period": add_months_period("period", -1)}], "freight", "freight_unit")
-    f = candidate_costs(f, cost_pn, cost_branch)
-    mode = F.when(F.col("cost_period") == "newest", F.lit("latest")).otherwise(F.lit("exact"))
-    acc = F.col("source") == "ACCRAW"
-    qty = _d("all_qty")
-    unit_qty = F.when(qty < 0, F.lit(0.0)).otherwise(qty) if monthly else qty
-    rev_usd = F.when(acc, per_unit_ratio("revenue", "fx_rate")).otherwise(_d("revenue"))
-    rev_ex = F.when(acc, per_unit_ratio("revenue", "fx_rate_ex")).otherwise(_d("revenue"))
-    csc_ratio = _d("cn") / 2
-    csc = rev_usd * csc_ratio if monthly else F.when(~acc, rev_usd * csc_ratio)
-    csc_ex = rev_ex * csc_ratio if monthly else F.when(~acc, rev_ex * csc_ratio)
-    hq_fee = _d("freight_unit") / 2
-    company = F.when(acc, per_unit_ratio(_d("freight_unit") * qty, "fx_rate"))
-    company_ex = F.when(acc, per_unit_ratio(_d("freight_unit") * qty, "fx_rate_ex"))
-    cogs_ex = F.when(acc, per_unit_ratio(_d("std_price") * qty * _d("fx_rate"), "fx_rate_ex")).otherwise(_d("std_price") * qty)
+def cost_waterfall(which: str) -> Column:
+    """Per (source, cost mode) a different ordered COALESCE of candidates; a NULL cost period of the RMB source
+    has no mode and no cost."""
+    newest = F.col("cost_period") == NEWEST_FIRST
+    modes = {"exact": ~newest, "newest": newest, None: F.lit(True)}
+    return F.coalesce(*[F.when((F.col("source") == source) & modes[mode], F.coalesce(*[_d(c) for c in names]))
+                        for (source, mode), names in COST_WATERFALL[which].items()])
+
+
+def enrichment(part_attrs: DataFrame, simulation: DataFrame, hq_fee: DataFrame, opp: DataFrame, extra: DataFrame,
+               sellout: DataFrame, incentives: DataFrame, item_map: DataFrame, csc: DataFrame, csc_local: DataFrame, fx: DataFrame,
+               costs: Sequence[Series]) -> list[Fused]:
+    """J1 of D23: all lookups of the enriched fact, fused per key set.  Stored snapshots are read at their latest day;
+    incentives per component reach finished parts through the component map (J16-J18)."""
+    attrs = {"model": "model_name", "segment": "segmentation", "gpu": "gpu", "cpu_vendor": "cpu_vendor", "cpu_platform": "cpu_platform",
+             "cpu_sku": "cpu", "lcd_code": "lcd_code", "cpu_n": "cpu_n", "acc_segment": "acc_segment", "is_cte": "cte"}
+    sim = simulation.withColumns({"month": F.substring("estimate_revenue_date", 1, 6), "freight_amt": F.col("freight_cost") * F.col("all_qty")})
+    to_parts = item_map.select(F.col("item_no").alias("os_part_number"), "part_number").where("part_number IS NOT NULL").distinct()
+    line = {"product_line_id": "product_line", "period": "period"}
+    return fuse([
+        Value(latest_snapshot(part_attrs), PART, attrs),
+        Series(opp, {"part_number": "sku90pn"}, "sum", "opp_rebate", exact={"opp_unit": "period"}),
+        Series(extra, PART, "sum", "extra_rebate", exact={"extra_unit": "period"}),
+        Series(sellout, PART, "sum", "reb", exact={"sellout_unit": "period"}),
+        Series(sim, PART, "ratio", "freight_amt", "all_qty", "month", exact={"freight_cost_unit": "period"}),
+        Series(latest_snapshot(incentives).join(to_parts, "os_part_number"), PART, "max", "inc", exact={"os_unit": "period"}),
+        Value(hq_fee, line, {"acc_hqshipfee": "acc_hqshipfee"}),
+        Value(fx, line, {"fx_rate": "fx_rate", "fx_rate_ex": "fx_rate_ex"}),
+        Value(csc.where(F.col("country_code") == "CN"), line | {"warranty": "warranty", "ou": "ledger_short_name"},
+              {"reserve_margin": "reserve_margin"}),
+        Value(csc_local, line | {"__channel": "channel_code"}, {"csc_local": "csc"}),
+        *costs])
+
+
+# the columns of the enriched fact that are the combined fact's own
+PASSED = [c for c in LOCAL_COLUMNS if c not in ("country_code", "sheet_csc_ratio", "sheet_csc_amt")]
+
+
+def with_candidates(local: DataFrame, fused: Sequence[Fused]) -> DataFrame:
+    """The combined fact with every lookup and candidate cost."""
+    refurbish = F.col("business_type") == "REFURBISH"
+    channel = F.when(refurbish, F.col("business_type")).otherwise(F.concat("business_type", F.lit("-"), "country_code"))
+    return per_source(attach(local.withColumn("__channel", channel), fused))
+
+
+def enriched_fact(local: DataFrame, fused: Sequence[Fused], monthly: bool) -> DataFrame:
+    """The enriched fact.  Monthly takes 0 for the per-unit amounts of negative quantities (C11) and the USD
+    source's CSC ratio from the channel table; weekly takes ratio and amount from the sheet."""
+    f = with_candidates(local, fused)
+    acc, qty = F.col("source") == "ACCRAW", _d("all_qty")
+
+    def amount(unit: str) -> Column:
+        return F.when(qty < 0, F.lit(0.0)).otherwise(_d(unit) * qty) if monthly else _d(unit) * qty
+
+    fee, other_fee = _d("acc_hqshipfee"), _d("freight_cost_unit") * qty
+    ratio = F.when(acc, _d("reserve_margin")).otherwise(_d("csc_local") if monthly else _d("sheet_csc_ratio"))
+    rmb_margin = _d("revenue_rmb") * ratio
+
+    def csc(rate: str, revenue: str) -> Column:
+        return F.when(acc, per_unit_ratio(rmb_margin, rate)).otherwise(_d(revenue) * ratio if monthly else _d("sheet_csc_amt"))
+
+    asc, asc_fx = cost_waterfall("hq_asc"), cost_waterfall("hq_asc_fxdiff")
     return f.select(
-        "l_orderkey", "l_linenumber", "source", "product_line_id", "part_number", "period", "branch",
-        "business_type", "all_qty", "revenue",
-        F.col("cn").alias("credit_note_rate"),
-        rev_usd.alias("revenue_usd_hedge_rate"), rev_ex.alias("revenue_fxdiff"),
-        (rev_usd * _d("cn")).alias("credit_note_hedge_rate"), (rev_ex * _d("cn")).alias("credit_note_fxdiff"),
-        (rev_usd - rev_usd * _d("cn")).alias("net_revenue_usd_agp"),
-        (rev_ex - rev_ex * _d("cn")).alias("net_revenue_fxdiff"),
-        cost_waterfall(F.col("source"), mode).alias("hq_asc"),
-        (cost_waterfall(F.col("source"), mode) * qty).alias("cogs_amount"),
-        (_d("std_price") * qty).alias("local_cogs_amount"),
-        cost_waterfall(F.col("source"), mode).alias("hq_asc_fxdiff"),  # no second set of cost tables among the views
-        (cost_waterfall(F.col("source"), mode) * qty).alias("cogs_amount_fxdiff"),
-        cogs_ex.alias("local_cogs_amount_fxdiff"),
-        company_ex.alias("total_ship_fee_company_fxdiff"),
-        F.when(acc, company_ex + hq_fee * qty).otherwise(_d("freight_unit") * qty).alias("total_ship_fee_fxdiff"),
-        company.alias("total_ship_fee_company"),
-        F.when(acc, company + hq_fee * qty).otherwise(_d("freight_unit") * qty).alias("total_ship_fee"),
-        F.when(acc, hq_fee * qty).alias("total_ship_fee_hq"),
-        csc.alias("csc_amt"), csc_ex.alias("csc_amt_fxdiff"),
-        (_d("opp_unit") * unit_qty).alias("opp_amount"),
-        (_d("extra_unit") * unit_qty).alias("extra_rebate"),
-        (_d("sellout_unit") * unit_qty).alias("nv_sellout_rebate"),
-        (_d("funding_unit") * unit_qty).alias("funding"),
-        (_d("os_unit") * unit_qty).alias("os_incentive"),
-        F.when(acc, _d("revenue")).alias("revenue_rmb"),
-        F.when(acc, _d("revenue") * _d("cn")).alias("credit_note_rmb"),
-        F.when(acc, _d("std_price") * qty * _d("fx_rate")).alias("local_cogs_amount_rmb"),
-        F.when(acc, _d("freight_unit") * qty).alias("total_ship_fee_company_rmb"),
-        F.when(acc, csc * _d("fx_rate")).alias("csc_amt_rmb"),
-    )
+        *PASSED, *[_d(c).alias(c) for c in CANDIDATES],
+        "model", "segment", "gpu", "cpu_vendor", "cpu_platform", "cpu_sku", "lcd_code", "cpu_n", "acc_segment", "is_cte",
+        ratio.alias("csc_ratio"), csc("fx_rate", "revenue_usd_hedge_rate").alias("csc_amt"),
+        csc("fx_rate_ex", "revenue_fxdiff").alias("csc_amt_fxdiff"), F.when(acc, rmb_margin).alias("csc_amt_rmb"),
+        F.when(acc, fee).alias("ship_fee_hq"), F.when(acc, fee * qty).alias("total_ship_fee_hq"),
+        F.when(acc, _d("total_ship_fee_company") + fee * qty).otherwise(other_fee).alias("total_ship_fee"),
+        F.when(acc, _d("total_ship_fee_company_fxdiff") + fee * qty).otherwise(other_fee).alias("total_ship_fee_fxdiff"),
+        asc.alias("hq_asc"), asc_fx.alias("hq_asc_fxdiff"), (asc * qty).alias("cogs_amount"), (asc_fx * qty).alias("cogs_amount_fxdiff"),
+        amount("opp_unit").alias("opp_amount"), amount("extra_unit").alias("extra_rebate"),
+        amount("sellout_unit").alias("nv_sellout_rebate"), amount("os_unit").alias("os_incentive"))
 
 
 def gross_profit(mapped: DataFrame, fx: DataFrame) -> DataFrame:
@@ -192,10 +295,7 @@ def gross_profit(mapped: DataFrame, fx: DataFrame) -> DataFrame:
     s5 = s4.withColumns({"hq_rev": F.col("hq_asp") * z("all_qty"),
                          "hq_rev_usd_fxdiff": F.col("hq_asp_fxdiff") * z("all_qty")})
     rate = latest_snapshot(fx) if "ds" in fx.columns else fx
-    rate = rate.select(F.col("product_line").alias("__fx_pl"), F.col("period").alias("__fx_p"),
-                       F.col("fx_rate").alias("rmb_fx_rate"))
-    s6 = s5.join(rate, (F.col("product_line_id") == F.col("__fx_pl")) & (F.col("period") == F.col("__fx_p")),
-                 "left").drop("__fx_pl", "__fx_p")
+    s6 = attach(s5, fuse([Value(rate, {"product_line_id": "product_line", "period": "period"}, {"rmb_fx_rate": "fx_rate"})]))
     acc = F.col("source") == "ACCRAW"
     fxr = z("rmb_fx_rate")
     s6 = s6.withColumns({
@@ -220,11 +320,6 @@ def gross_profit(mapped: DataFrame, fx: DataFrame) -> DataFrame:
     })
 
 
-# fixed values: the accumulator output contract (all text) and its audit columns
-ACCUM_CONTRACT = ["l_orderkey", "l_linenumber", "source", "product_line_id", "part_number", "period", "all_qty",
-                  "gp_pod", "gp_net", "hq_rev"]
-
-
 def accumulate(history: DataFrame, batch: DataFrame, ds: str, load_time: Column) -> DataFrame:
     """The stored accumulator (latest snapshot) without the batch's periods
     ∪ the batch, as the all-text contract with audit columns (U5 + K9 + K7).

@@ -1,18 +1,21 @@
-"""Verified queries: candidate costs, enriched fact, gross profit, accumulators."""
+"""Verified queries: combined fact, candidate costs, enriched fact, gross profit, accumulators."""
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerlake.functions.money import fixed6
+from ledgerlake.operators.fusion import Fused
 from ledgerlake.plans import grossprofit as GP
-from ledgerlake.plans.q_marts import ITEM_MAP_SQL, EXTRA_SQL, SELLOUT_SQL, extra, sellout
-from ledgerlake.plans.q_relational import CN_CASCADE_SQL, cn_cascade
-from ledgerlake.sources.snapshot import max_of
+from ledgerlake.plans.q_marts import ITEM_MAP_SQL, EXTRA_SQL, SELLOUT_SQL, extra, item_map, sellout
 from ledgerlake.plans.registry import query, shared
+from ledgerlake.sources.adapters import ACCUM_CONTRACT, store_table
+from ledgerlake.sources.snapshot import max_of
 
-_VIEWS = ["fact_sales", "part_attr", "fx_rates", "cn_rates", "branch_freight", "funding", "os_incentive",
-          "opp_rebate", "cost_pn", "cost_branch", "quotes", "bom", "keypart_result", "extra_rebate_src",
-          "sellout_src", "gp_monthly_accum", "gp_weekly_accum"]
+_LOCAL_VIEWS = ["sales_detail", "fx_rates", "cn_rates", "branch_freight", "funding", "cost_range"]
+_VIEWS = [*_LOCAL_VIEWS, "keypart_gp", "os_incentive_kp", "opp_rebate", "cost_pn", "cost_pn_ex", "cost_branch", "cost_branch_ex",
+          "aci_cost", "aci_cost_ex", "simulation", "hq_ship_fee", "csc_percentage", "csc_local", "quotes", "bom", "keypart_result",
+          "extra_rebate_src", "sellout_src"]
+_ACCUM_VIEWS = [*_VIEWS, "gp_monthly_accum", "gp_weekly_accum"]
 
 LOAD_TIME = "2024-02-01 08:00:00"
 BATCH_DS = "20240201"
@@ -20,17 +23,30 @@ BATCH_DS = "20240201"
 # ---------------------------------------------------------------- Spark side
 
 
+@shared
+def local(t, monthly: bool):
+    return GP.local_data(t["sales_detail"], t["fx_rates"], t["branch_freight"], t["funding"], t["cost_range"], t["cn_rates"], monthly)
+
+
+@shared
+def lookups(t):
+    """The fused lookup tables of the enriched fact, stored once: Spark knows their sizes when it plans the joins."""
+    costs = GP.cost_families(t["cost_pn"], t["cost_pn_ex"], t["simulation"], t["aci_cost"], t["aci_cost_ex"], t["cost_branch"],
+                             t["cost_branch_ex"])
+    fused = GP.enrichment(t["keypart_gp"], t["simulation"], t["hq_ship_fee"], t["opp_rebate"], extra(t), sellout(t),
+                          t["os_incentive_kp"], item_map(t), t["csc_percentage"], t["csc_local"], t["fx_rates"], costs)
+    return [Fused(f.keys, store_table(f.table, "lookup-" + "-".join(f.keys).strip("_")) if t.materialize else f.table, f.values, f.series)
+            for f in fused]
+
+
 @shared
 def candidates(t):
-    f = t["fact_sales"].join(t["part_attr"].select("part_number", "model_name", "cpu"), "part_number", "left")
-    return GP.candidate_costs(f, t["cost_pn"], t["cost_branch"])
+    return GP.with_candidates(local(t, True), lookups(t))
 
 
 @shared
 def enriched(t, monthly: bool):
-    return GP.enriched_fact(t["fact_sales"], t["part_attr"], t["fx_rates"], cn_cascade(t), t["branch_freight"],
-                            t["funding"], t["os_incentive"], t["opp_rebate"], extra(t), sellout(t), t["cost_pn"],
-                            t["cost_branch"], monthly)
+    return GP.enriched_fact(local(t, monthly), lookups(t), monthly)
 
 
 GP_COLUMNS = ["l_orderkey", "l_linenumber", "source", "product_line_id", "part_number", "period", "all_qty",
@@ -43,7 +59,7 @@ GP_COLUMNS = ["l_orderkey", "l_linenumber", "source", "product_line_id", "part_n
 
 @shared
 def gross(t, monthly: bool = True):
-    return GP.gross_profit(enriched(t, monthly), t["fx_rates"]).select(*GP_COLUMNS)
+    return GP.gross_profit(enriched(t, monthly), t["fx_rates"])
 
 
 def _text_ready(df):
@@ -58,112 +74,164 @@ def _ratio(a, b):
     return f"(CASE WHEN CAST({b} AS DOUBLE) <> 0 THEN CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
 
 
-CAND_SQL = """c_pn AS (SELECT part_number, period, CAST(sum(item_cost_usd) AS DOUBLE) / CAST(count(item_cost_usd) AS DOUBLE) AS c
-  FROM cost_pn GROUP BY 1, 2),
-c_model AS (SELECT model_name, cpu, period, CAST(sum(item_cost_usd) AS DOUBLE) / CAST(count(item_cost_usd) AS DOUBLE) AS c
-  FROM cost_pn GROUP BY 1, 2, 3),
-c_branch AS (SELECT sales_team, model_name, cpu, period,
-  CAST(sum(item_cost_usd) AS DOUBLE) / CAST(count(item_cost_usd) AS DOUBLE) AS c FROM cost_branch GROUP BY 1, 2, 3, 4)"""
-
-
-def cand_attach_sql(src: str, dst: str) -> str:
-    """CTEs adding the six candidate columns to ``src`` (needs part_number, model_name, cpu, branch, period)."""
-    return f"""{dst}_x AS (SELECT s.*, p1.c AS pn_exact, m1.c AS model_exact, b1.c AS branch_exact FROM {src} s
-  LEFT JOIN c_pn p1 ON p1.part_number = s.part_number AND p1.period = s.period
-  LEFT JOIN c_model m1 ON m1.model_name = s.model_name AND m1.cpu = s.cpu AND m1.period = s.period
-  LEFT JOIN c_branch b1 ON b1.sales_team = s.branch AND b1.model_name = s.model_name AND b1.cpu = s.cpu
-    AND b1.period = s.period),
-{dst}_apn AS (SELECT f.part_number, f.period, max(t.period) AS asof
-  FROM (SELECT DISTINCT part_number, period FROM {src}) f JOIN c_pn t ON t.part_number = f.part_number AND t.period <= f.period
-  GROUP BY 1, 2),
-{dst}_amo AS (SELECT f.model_name, f.cpu, f.period, max(t.period) AS asof
-  FROM (SELECT DISTINCT model_name, cpu, period FROM {src}) f
-  JOIN c_model t ON t.model_name = f.model_name AND t.cpu = f.cpu AND t.period <= f.period GROUP BY 1, 2, 3),
-{dst}_abr AS (SELECT f.branch, f.model_name, f.cpu, f.period, max(t.period) AS asof
-  FROM (SELECT DISTINCT branch, model_name, cpu, period FROM {src}) f
-  JOIN c_branch t ON t.sales_team = f.branch AND t.model_name = f.model_name AND t.cpu = f.cpu AND t.period <= f.period
-  GROUP BY 1, 2, 3, 4),
-{dst} AS (SELECT x.*, tp.c AS pn_latest, tm.c AS model_latest, tb.c AS branch_latest FROM {dst}_x x
-  LEFT JOIN {dst}_apn ap ON ap.part_number = x.part_number AND ap.period = x.period
-  LEFT JOIN c_pn tp ON tp.part_number = ap.part_number AND tp.period = ap.asof
-  LEFT JOIN {dst}_amo am ON am.model_name = x.model_name AND am.cpu = x.cpu AND am.period = x.period
-  LEFT JOIN c_model tm ON tm.model_name = am.model_name AND tm.cpu = am.cpu AND tm.period = am.asof
-  LEFT JOIN {dst}_abr ab ON ab.branch = x.branch AND ab.model_name = x.model_name AND ab.cpu = x.cpu AND ab.period = x.period
-  LEFT JOIN c_branch tb ON tb.sales_team = ab.branch AND tb.model_name = ab.model_name AND tb.cpu = ab.cpu
-    AND tb.period = ab.asof)"""
-
-
-WATERFALL_SQL = """CASE
-  WHEN source = 'ACCRAW' AND cmode = 'exact' THEN coalesce(pn_exact, pn_latest, model_exact, model_latest)
-  WHEN source = 'ACCRAW' AND cmode = 'latest' THEN coalesce(pn_latest, model_latest)
-  WHEN source = 'ACIRAW' THEN coalesce(pn_latest, branch_exact) END"""
+def _conv(amount, rate):
+    return f"CASE WHEN source = 'ACCRAW' THEN {_ratio(amount, rate)} ELSE {amount} END"
+
+
+def _keyword_sql(text, names, default):
+    arms = " ".join("WHEN contains(upper({}), '{}') THEN '{}'".format(text, k, v.replace("'", "''")) for k, v in names.items())
+    return f"CASE {arms} ELSE '{default}' END"
+
+
+def local_sql(monthly: bool) -> str:
+    """CTE chain ending in ``local_data``."""
+    names = GP.CUSTOMERS if monthly else GP.WEEKLY_CUSTOMERS
+    rate = """CASE WHEN source = 'ACIRAW' AND upper(trim(business_type)) = 'REFURBISH' THEN CAST(0 AS DECIMAL(8,4))
+    ELSE coalesce(ra.cn, rb.cn, rc.cn, rd.cn) END""" if monthly else "cn_rate"
+    qty = "CASE WHEN CAST(all_qty AS DOUBLE) < 0 THEN 0.0 ELSE CAST(all_qty AS DOUBLE) END" if monthly else "CAST(all_qty AS DOUBLE)"
+    return f"""ld_cn AS (SELECT CASE WHEN source = 'ACCRAW' THEN 'rmb' WHEN channel_code IN ('ACI-Retail', 'Channel-SA') THEN 'retail'
+    WHEN starts_with(channel_code, 'Other Channel') THEN 'other' ELSE 'named' END AS rule, product_line, legal_entity, channel_code, period,
+    cn FROM cn_rates),
+ld_rmb AS (SELECT product_line, legal_entity, channel_code, period, max(cn) AS cn FROM ld_cn WHERE rule = 'rmb' GROUP BY ALL),
+ld_ret AS (SELECT product_line, channel_code, period, max(cn) AS cn FROM ld_cn WHERE rule = 'retail' GROUP BY ALL),
+ld_nam AS (SELECT product_line, channel_code, period, max(cn) AS cn FROM ld_cn WHERE rule = 'named' GROUP BY ALL),
+ld_oth AS (SELECT product_line, legal_entity, period, max(cn) AS cn FROM ld_cn WHERE rule = 'other' GROUP BY ALL),
+ld_fr AS (SELECT product_line, upper(trim(sales_team)) AS team, period, max(freight) AS freight FROM branch_freight GROUP BY ALL),
+ld_fu AS (SELECT trim(pn) AS pn, period, max(funding) AS funding FROM funding GROUP BY ALL),
+ld_cr AS (SELECT trim(pn) AS pn, trim(version) AS version, max(cost_range) AS cost_range FROM cost_range GROUP BY ALL),
+ld0 AS (SELECT *, CASE WHEN source = 'ACIRAW' THEN {_keyword_sql('sold_to_customer', names, GP.OTHER_CUSTOMER)} END AS customer,
+  CASE WHEN source = 'ACCRAW' THEN 'ACC' ELSE {_keyword_sql('branch', GP.BRANCHES, GP.OTHER_BRANCH)} END AS branch2 FROM sales_detail),
+ld1 AS (SELECT s.*, x.fx_rate, x.fx_rate_ex, -(CAST(fr.freight AS DOUBLE) * CAST(s.all_qty AS DOUBLE)) AS fee, fu.funding AS funding_unit,
+  CASE WHEN s.source = 'ACIRAW' OR s.product_line_id = 'NB' THEN coalesce(cr.cost_range, '由新到舊') ELSE '由新到舊' END AS cost_period,
+  CAST({rate} AS DOUBLE) AS cn
+  FROM ld0 s LEFT JOIN fx_rates x ON x.product_line = s.product_line_id AND x.period = s.period
+  LEFT JOIN ld_fr fr ON fr.product_line = s.product_line_id AND fr.team = upper(s.branch) AND fr.period = s.period
+  LEFT JOIN ld_fu fu ON fu.pn = s.part_number AND fu.period = s.period
+  LEFT JOIN ld_cr cr ON cr.pn = s.part_number AND cr.version = s.period
+  LEFT JOIN ld_rmb ra ON s.source = 'ACCRAW' AND ra.product_line = s.product_line_id AND ra.legal_entity = s.ou
+    AND ra.channel_code = s.distribution_type AND ra.period = s.period
+  LEFT JOIN ld_ret rb ON s.source = 'ACIRAW' AND rb.product_line = s.product_line_id AND rb.channel_code = s.branch2 AND rb.period = s.period
+  LEFT JOIN ld_nam rc ON s.source = 'ACIRAW' AND rc.product_line = s.product_line_id
+    AND rc.channel_code = s.customer || '-' || s.country_code AND rc.period = s.period
+  LEFT JOIN ld_oth rd ON s.source = 'ACIRAW' AND rd.product_line = s.product_line_id AND rd.legal_entity = s.country_code
+    AND rd.period = s.period),
+ld2 AS (SELECT *, CAST(revenue AS DOUBLE) AS rv, CAST(local_cogs AS DOUBLE) AS lc FROM ld1),
+ld3 AS (SELECT *, {_conv('rv', 'fx_rate')} AS revenue_usd_hedge_rate, {_conv('rv', 'fx_rate_ex')} AS revenue_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN rv END AS revenue_rmb,
+  {_conv('lc', 'fx_rate')} AS local_cogs_amount, {_conv('lc', 'fx_rate_ex')} AS local_cogs_amount_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN lc END AS local_cogs_amount_rmb,
+  {_conv('fee', 'fx_rate')} AS total_ship_fee_company, {_conv('fee', 'fx_rate_ex')} AS total_ship_fee_company_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN fee END AS total_ship_fee_company_rmb, CAST(funding_unit AS DOUBLE) * ({qty}) AS funding FROM ld2),
+ld4 AS (SELECT *, cn * coalesce(revenue_usd_hedge_rate, 0.0) AS credit_note_hedge_rate, cn * coalesce(revenue_fxdiff, 0.0) AS credit_note_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN cn * coalesce(revenue_rmb, 0.0) END AS credit_note_rmb FROM ld3),
+local_all AS (SELECT *, coalesce(revenue_usd_hedge_rate, 0.0) - coalesce(credit_note_hedge_rate, 0.0) AS net_revenue_usd_agp,
+  coalesce(revenue_fxdiff, 0.0) - coalesce(credit_note_fxdiff, 0.0) AS net_revenue_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN coalesce(revenue_rmb, 0.0) - coalesce(credit_note_rmb, 0.0) END AS net_revenue_rmb FROM ld4),
+local_data AS (SELECT {', '.join(GP.LOCAL_COLUMNS)} FROM local_all)"""
+
+
+def _avg(value, keys, table):
+    return (f"SELECT {keys}, period, CAST(sum({value}) AS DOUBLE) / CAST(count({value}) AS DOUBLE) AS c "
+            f"FROM {table} GROUP BY {keys}, period")
+
+
+def _asof(alias, table, keys):
+    on = " AND ".join(f"{alias}.{k} = {f}" for k, f in keys.items())
+    return f"ASOF LEFT JOIN {table} {alias} ON {on} AND f.period >= {alias}.period"
+
+
+_PN, _MC, _SM = {"part_number": "f.part_number"}, {"model_name": "f.model", "cpu": "f.cpu_sku"}, {"model": "f.model", "cpu_sku": "f.cpu_sku"}
+_BR = {"sales_team": "f.branch"} | _MC
+
+
+def candidates_sql() -> str:
+    """CTE chain from ``local_data`` to ``cands``: one join per candidate, as-of joins for the latest ones."""
+    ctes, columns, joins = [], [], []
+    for name, table, sfx in (("", "cost_pn", ""), ("x", "cost_pn_ex", "_ex")):
+        ctes += [f"cf_p{name} AS ({_avg('item_cost_usd', 'part_number', table)})", f"cf_m{name} AS ({_avg('item_cost_usd', 'model_name, cpu', table)})"]
+        for shape, short, keys in (("hqpn", "p", _PN), ("hqmodelcpu", "m", _MC)):
+            a, b = f"e_{short}{name}", f"l_{short}{name}"
+            on = " AND ".join(f"{a}.{k} = {f}" for k, f in keys.items())
+            joins += [f"LEFT JOIN cf_{short}{name} {a} ON {on} AND {a}.period = f.cost_period", _asof(b, f"cf_{short}{name}", keys)]
+            columns += [f"{a}.c AS item_cost_usd_{shape}{sfx}", f"{b}.c AS item_cost_usd_{shape}_max{sfx}"]
+    for short, keys, shape, on in (("sp", "part_number", "1179pn", _PN), ("sm", "model, cpu_sku", "1179modelcpu", _SM)):
+        ctes.append(f"""cf_{short} AS (SELECT {keys}, source, period, {_ratio('sum(cogs_amount)', 'sum(all_qty)')} AS c,
+    {_ratio('sum(cogs_amount_fxdiff)', 'sum(all_qty)')} AS cx FROM sim GROUP BY {keys}, source, period)""")
+        same = " AND ".join(f"e_{short}.{k} = {f}" for k, f in on.items())
+        joins += [f"LEFT JOIN cf_{short} e_{short} ON {same} AND e_{short}.source = f.source AND e_{short}.period = f.period",
+                  _asof(f"l_{short}", f"cf_{short}", on | {"source": "f.source"})]
+        for c, sfx in (("c", ""), ("cx", "_fxdiff")):
+            columns += [f"e_{short}.{c} AS cogs_amount_{shape}{sfx}", f"l_{short}.{c} AS cogs_amount_{shape}_max{sfx}"]
+    for name, sfx in (("aci_cost", ""), ("aci_cost_ex", "_ex")):
+        joins.append(f"LEFT JOIN (SELECT item, period, max(item_cost_usd) AS c FROM {name} GROUP BY ALL) {name}_1 "
+                     f"ON {name}_1.item = f.part_number AND {name}_1.period = f.period")
+        columns.append(f"CAST({name}_1.c AS DOUBLE) AS aci_cost_item_cost_usd{sfx}")
+    for name, table, sfx in (("b", "cost_branch", ""), ("bx", "cost_branch_ex", "_ex")):
+        ctes.append(f"cf_{name} AS ({_avg('item_cost_usd', 'sales_team, model_name, cpu', table)})")
+        joins.append(_asof(f"l_{name}", f"cf_{name}", _BR))
+        columns.append(f"l_{name}.c AS hq_model_cpu_branch_item_cost_usd{sfx}")
+    nl = "\n  "
+    return f"""sim AS (SELECT *, substr(estimate_revenue_date, 1, 6) AS period, CASE WHEN territory IN ('NA', 'LATAM') THEN 'ACIRAW'
+    WHEN territory = 'CHINA' THEN 'ACCRAW' END AS source, freight_cost * all_qty AS freight_amt FROM simulation),
+{(',' + nl).join(ctes)},
+attrs AS (SELECT part_number, model_name AS model, segmentation AS segment, gpu, cpu_vendor, cpu_platform, cpu AS cpu_sku, lcd_code, cpu_n,
+  acc_segment, cte AS is_cte FROM keypart_gp WHERE ds = (SELECT max(ds) FROM keypart_gp)),
+withattrs AS (SELECT s.*, a.* EXCLUDE (part_number) FROM local_data s LEFT JOIN attrs a ON a.part_number = s.part_number),
+cands AS (SELECT f.*, {', '.join(columns)}
+  FROM withattrs f
+  {nl.join(joins)})"""
+
+
+def waterfall_sql(which: str) -> str:
+    """The CASE as the rules state it: RMB source with a cost period, RMB source newest first, USD source."""
+    rules = GP.COST_WATERFALL[which]
+    return f"""CASE WHEN source = 'ACCRAW' AND cost_period <> '由新到舊' THEN coalesce({', '.join(rules['ACCRAW', 'exact'])})
+    WHEN source = 'ACCRAW' AND cost_period = '由新到舊' THEN coalesce({', '.join(rules['ACCRAW', 'newest'])})
+    WHEN source = 'ACIRAW' THEN coalesce({', '.join(rules['ACIRAW', None])}) END"""
 
 
 def enriched_sql(monthly: bool) -> str:
-    """CTE chain ending in ``mapped`` (needs cascade, extra, sellout CTEs first)."""
-    unit_qty = "CASE WHEN qty < 0 THEN 0.0 ELSE qty END" if monthly else "qty"
-    csc = "rev_usd * (CAST(cn AS DOUBLE) / 2)" if monthly else \
-        "CASE WHEN NOT (source = 'ACCRAW') THEN rev_usd * (CAST(cn AS DOUBLE) / 2) END"
-    csc_ex = "rev_ex * (CAST(cn AS DOUBLE) / 2)" if monthly else \
-        "CASE WHEN NOT (source = 'ACCRAW') THEN rev_ex * (CAST(cn AS DOUBLE) / 2) END"
-    return f"""e0 AS (SELECT c.*, a.model_name, a.cpu, a.price AS std_price, x.fx_rate, x.fx_rate_ex,
-    fu.funding AS funding_unit, oi.inc AS os_unit, op.opp_rebate AS opp_unit, ex.x AS extra_unit, so.x AS sellout_unit
-  FROM cascade c
-  LEFT JOIN part_attr a ON a.part_number = c.part_number
+    """CTE chain from ``cands`` to ``mapped`` (needs the extra, sellout and component-map CTEs)."""
+    def amount(unit):
+        plain = f"CAST({unit} AS DOUBLE) * qty"
+        return f"CASE WHEN qty < 0 THEN 0.0 ELSE {plain} END" if monthly else plain
+    ratio = "csc" if monthly else "CAST(sheet_csc_ratio AS DOUBLE)"
+    other = (lambda rev: f"{rev} * csc_ratio") if monthly else (lambda rev: "CAST(sheet_csc_amt AS DOUBLE)")
+    return f"""e_os AS (SELECT m.part_number, o.period, max(o.inc) AS inc FROM os_incentive_kp o
+  JOIN (SELECT DISTINCT item_no, part_number FROM item_map WHERE part_number IS NOT NULL) m ON m.item_no = o.os_part_number
+  WHERE o.ds = (SELECT max(ds) FROM os_incentive_kp) GROUP BY ALL),
+e1 AS (SELECT c.*, CAST(c.all_qty AS DOUBLE) AS qty, op.u AS opp_unit, ex.u AS extra_unit, so.u AS sellout_unit, os.inc AS os_unit,
+  fr.u AS freight_unit, CAST(h.fee AS DOUBLE) AS hq_fee, x.fx_rate, x.fx_rate_ex, CAST(m.margin AS DOUBLE) AS margin,
+  CAST(cl.csc AS DOUBLE) AS csc
+  FROM cands c
+  LEFT JOIN (SELECT sku90pn, period, sum(opp_rebate) AS u FROM opp_rebate GROUP BY ALL) op ON op.sku90pn = c.part_number AND op.period = c.period
+  LEFT JOIN (SELECT part_number, period, sum(extra_rebate) AS u FROM extra GROUP BY ALL) ex ON ex.part_number = c.part_number AND ex.period = c.period
+  LEFT JOIN (SELECT part_number, period, sum(reb) AS u FROM sellout GROUP BY ALL) so ON so.part_number = c.part_number AND so.period = c.period
+  LEFT JOIN e_os os ON os.part_number = c.part_number AND os.period = c.period
+  LEFT JOIN (SELECT part_number, period, {_ratio('sum(freight_amt)', 'sum(all_qty)')} AS u FROM sim GROUP BY ALL) fr
+    ON fr.part_number = c.part_number AND fr.period = c.period
+  LEFT JOIN (SELECT product_line, period, max(acc_hqshipfee) AS fee FROM hq_ship_fee GROUP BY ALL) h
+    ON h.product_line = c.product_line_id AND h.period = c.period
   LEFT JOIN fx_rates x ON x.product_line = c.product_line_id AND x.period = c.period
-  LEFT JOIN (SELECT trim(pn) AS pn, period, max(funding) AS funding FROM funding GROUP BY 1, 2) fu
-    ON fu.pn = c.part_number AND fu.period = c.period
-  LEFT JOIN (SELECT os_part_number, period, max(inc) AS inc FROM os_incentive GROUP BY 1, 2) oi
-    ON oi.os_part_number = c.part_number AND oi.period = c.period
-  LEFT JOIN (SELECT sku90pn, product_line, period, sum(opp_rebate) AS opp_rebate FROM opp_rebate GROUP BY 1, 2, 3) op
-    ON op.sku90pn = c.part_number AND op.product_line = c.product_line_id AND op.period = c.period
-  LEFT JOIN (SELECT part_number, product_line, period, sum(extra_rebate) AS x FROM extra GROUP BY 1, 2, 3) ex
-    ON ex.part_number = c.part_number AND ex.product_line = c.product_line_id AND ex.period = c.period
-  LEFT JOIN (SELECT part_number, product_line, period, sum(reb) AS x FROM sellout GROUP BY 1, 2, 3) so
-    ON so.part_number = c.part_number AND so.product_line = c.product_line_id AND so.period = c.period),
-fr AS (SELECT product_line, sales_team, period, max(freight) AS freight FROM branch_freight GROUP BY 1, 2, 3),
-e1 AS (SELECT e0.*, coalesce(f1.freight, f2.freight) AS freight_unit FROM e0
-  LEFT JOIN fr f1 ON f1.product_line = e0.product_line_id AND f1.sales_team = lower(e0.branch) AND f1.period = e0.period
-  LEFT JOIN fr f2 ON f2.product_line = e0.product_line_id AND f2.sales_team = lower(e0.branch)
-    AND f2.period = strftime(strptime(e0.period, '%Y%m') - INTERVAL 1 MONTH, '%Y%m')),
-{CAND_SQL},
-{cand_attach_sql('e1', 'e2')},
-e3 AS (SELECT e2.*, CAST(all_qty AS DOUBLE) AS qty,
-  CASE WHEN cost_period = 'newest' THEN 'latest' ELSE 'exact' END AS cmode,
-  CASE WHEN source = 'ACCRAW' THEN {_ratio('revenue', 'fx_rate')} ELSE CAST(revenue AS DOUBLE) END AS rev_usd,
-  CASE WHEN source = 'ACCRAW' THEN {_ratio('revenue', 'fx_rate_ex')} ELSE CAST(revenue AS DOUBLE) END AS rev_ex,
-  CASE WHEN source = 'ACCRAW' THEN {_ratio('CAST(freight_unit AS DOUBLE) * CAST(all_qty AS DOUBLE)', 'fx_rate')} END AS company,
-  CASE WHEN source = 'ACCRAW' THEN {_ratio('CAST(freight_unit AS DOUBLE) * CAST(all_qty AS DOUBLE)', 'fx_rate_ex')} END AS company_ex
-  FROM e2),
-mapped AS (SELECT l_orderkey, l_linenumber, source, product_line_id, part_number, period, branch, business_type,
-  all_qty, revenue, cn AS credit_note_rate,
-  rev_usd AS revenue_usd_hedge_rate, rev_ex AS revenue_fxdiff,
-  rev_usd * CAST(cn AS DOUBLE) AS credit_note_hedge_rate, rev_ex * CAST(cn AS DOUBLE) AS credit_note_fxdiff,
-  rev_usd - rev_usd * CAST(cn AS DOUBLE) AS net_revenue_usd_agp, rev_ex - rev_ex * CAST(cn AS DOUBLE) AS net_revenue_fxdiff,
-  {WATERFALL_SQL} AS hq_asc, ({WATERFALL_SQL}) * qty AS cogs_amount,
-  CAST(std_price AS DOUBLE) * qty AS local_cogs_amount,
-  {WATERFALL_SQL} AS hq_asc_fxdiff, ({WATERFALL_SQL}) * qty AS cogs_amount_fxdiff,
-  CASE WHEN source <> 'ACCRAW' THEN CAST(std_price AS DOUBLE) * qty WHEN CAST(fx_rate_ex AS DOUBLE) <> 0
-       THEN CAST(std_price AS DOUBLE) * qty * CAST(fx_rate AS DOUBLE) / CAST(fx_rate_ex AS DOUBLE) END AS local_cogs_amount_fxdiff,
-  company_ex AS total_ship_fee_company_fxdiff,
-  CASE WHEN source = 'ACCRAW' THEN company_ex + CAST(freight_unit AS DOUBLE) / 2 * qty
-       ELSE CAST(freight_unit AS DOUBLE) * qty END AS total_ship_fee_fxdiff,
-  company AS total_ship_fee_company,
-  CASE WHEN source = 'ACCRAW' THEN company + CAST(freight_unit AS DOUBLE) / 2 * qty
-       ELSE CAST(freight_unit AS DOUBLE) * qty END AS total_ship_fee,
-  CASE WHEN source = 'ACCRAW' THEN CAST(freight_unit AS DOUBLE) / 2 * qty END AS total_ship_fee_hq,
-  {csc} AS csc_amt, {csc_ex} AS csc_amt_fxdiff,
-  CAST(opp_unit AS DOUBLE) * ({unit_qty}) AS opp_amount,
-  CAST(extra_unit AS DOUBLE) * ({unit_qty}) AS extra_rebate,
-  CAST(sellout_unit AS DOUBLE) * ({unit_qty}) AS nv_sellout_rebate,
-  CAST(funding_unit AS DOUBLE) * ({unit_qty}) AS funding,
-  CAST(os_unit AS DOUBLE) * ({unit_qty}) AS os_incentive,
-  CASE WHEN source = 'ACCRAW' THEN CAST(revenue AS DOUBLE) END AS revenue_rmb,
-  CASE WHEN source = 'ACCRAW' THEN CAST(revenue AS DOUBLE) * CAST(cn AS DOUBLE) END AS credit_note_rmb,
-  CASE WHEN source = 'ACCRAW' THEN CAST(std_price AS DOUBLE) * qty * CAST(fx_rate AS DOUBLE) END AS local_cogs_amount_rmb,
-  CASE WHEN source = 'ACCRAW' THEN CAST(freight_unit AS DOUBLE) * qty END AS total_ship_fee_company_rmb,
-  CASE WHEN source = 'ACCRAW' THEN ({csc}) * CAST(fx_rate AS DOUBLE) END AS csc_amt_rmb
-  FROM e3)"""
+  LEFT JOIN (SELECT product_line, warranty, ledger_short_name, period, max(reserve_margin) AS margin FROM csc_percentage
+             WHERE country_code = 'CN' GROUP BY ALL) m
+    ON m.product_line = c.product_line_id AND m.warranty = c.warranty AND m.ledger_short_name = c.ou AND m.period = c.period
+  LEFT JOIN (SELECT product_line, channel_code, period, max(csc) AS csc FROM csc_local GROUP BY ALL) cl ON cl.product_line = c.product_line_id
+    AND cl.channel_code = CASE WHEN c.business_type = 'REFURBISH' THEN c.business_type ELSE c.business_type || '-' || c.country_code END
+    AND cl.period = c.period),
+e2 AS (SELECT *, CASE WHEN source = 'ACCRAW' THEN margin ELSE {ratio} END AS csc_ratio, {waterfall_sql('hq_asc')} AS hq_asc,
+  {waterfall_sql('hq_asc_fxdiff')} AS hq_asc_fxdiff FROM e1),
+mapped AS (SELECT {', '.join(GP.PASSED)}, {', '.join(GP.CANDIDATES)},
+  model, segment, gpu, cpu_vendor, cpu_platform, cpu_sku, lcd_code, cpu_n, acc_segment, is_cte, csc_ratio,
+  CASE WHEN source = 'ACCRAW' THEN {_ratio('revenue_rmb * csc_ratio', 'fx_rate')} ELSE {other('revenue_usd_hedge_rate')} END AS csc_amt,
+  CASE WHEN source = 'ACCRAW' THEN {_ratio('revenue_rmb * csc_ratio', 'fx_rate_ex')} ELSE {other('revenue_fxdiff')} END AS csc_amt_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN revenue_rmb * csc_ratio END AS csc_amt_rmb,
+  CASE WHEN source = 'ACCRAW' THEN hq_fee END AS ship_fee_hq, CASE WHEN source = 'ACCRAW' THEN hq_fee * qty END AS total_ship_fee_hq,
+  CASE WHEN source = 'ACCRAW' THEN total_ship_fee_company + hq_fee * qty ELSE freight_unit * qty END AS total_ship_fee,
+  CASE WHEN source = 'ACCRAW' THEN total_ship_fee_company_fxdiff + hq_fee * qty ELSE freight_unit * qty END AS total_ship_fee_fxdiff,
+  hq_asc, hq_asc_fxdiff, hq_asc * qty AS cogs_amount, hq_asc_fxdiff * qty AS cogs_amount_fxdiff,
+  {amount('opp_unit')} AS opp_amount, {amount('extra_unit')} AS extra_rebate, {amount('sellout_unit')} AS nv_sellout_rebate,
+  {amount('os_unit')} AS os_incentive FROM e2)"""
 
 
 def _z(x):
@@ -186,7 +254,7 @@ g3 AS (SELECT *, CASE WHEN all_qty = 0 OR all_qty IS NULL THEN 0.0 ELSE hq_gp /
   FROM g2),
 g4 AS (SELECT *, {_z('hq_asc')} + hq_gp_unit AS hq_asp, {_z('hq_asc_fxdiff')} + hq_gp_unit_fxdiff AS hq_asp_fxdiff FROM g3),
 g5 AS (SELECT *, hq_asp * {_z('all_qty')} AS hq_rev, hq_asp_fxdiff * {_z('all_qty')} AS hq_rev_usd_fxdiff FROM g4),
-g6 AS (SELECT g5.*, r.fx_rate AS rmb_fx_rate FROM g5 LEFT JOIN fx_rates r
+g6 AS (SELECT g5.*, r.fx_rate AS rmb_fx_rate FROM g5 LEFT JOIN (SELECT product_line, period, max(fx_rate) AS fx_rate FROM fx_rates GROUP BY ALL) r
   ON g5.product_line_id = r.product_line AND g5.period = r.period),
 g6b AS (SELECT *,
   CASE WHEN source = 'ACCRAW' THEN {_z('total_ship_fee_company_rmb')} + {_z('total_ship_fee_hq')} * {_z('rmb_fx_rate')} END AS total_ship_fee_rmb,
@@ -205,85 +273,98 @@ gp AS (SELECT *,
   CASE WHEN source = 'ACCRAW' THEN {_z('gp_pod_rmb')} + {_z('extra_rebate_rmb')} + {_z('nv_sellout_rebate_rmb')} + {_z('funding_rmb')} + {_z('os_incentive_rmb')} END AS gp_net_rmb
   FROM g7)"""
 
-_HEAD = f"{CN_CASCADE_SQL}, {ITEM_MAP_SQL}, {EXTRA_SQL}, {SELLOUT_SQL}"
-_CONTRACT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in GP.ACCUM_CONTRACT)
+
+def _chain(monthly: bool, upto: str) -> str:
+    parts = {"local": local_sql(monthly), "cands": candidates_sql(),
+             "mapped": f"{ITEM_MAP_SQL}, {EXTRA_SQL}, {SELLOUT_SQL}, {enriched_sql(monthly)}", "gp": GP_SQL}
+    names = list(parts)
+    return "WITH " + ",\n".join(parts[n] for n in names[:names.index(upto) + 1])
+
+
+_CONTRACT = ", ".join(ACCUM_CONTRACT)
+_DOUBLES = set(ACCUM_CONTRACT[ACCUM_CONTRACT.index("revenue_usd_hedge_rate"):]) - {
+    "cost_period", "model", "segment", "gpu", "cpu_vendor", "cpu_platform", "cpu_sku", "lcd_code", "cpu_n", "acc_segment", "is_cte"}
 
 
 def _contract_from_gp(name: str) -> str:
-    dbl = {"gp_pod", "gp_net", "hq_rev"}
     cols = [f"CAST(CAST(floor(CAST({c} AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0 AS DECIMAL(38,6)) AS VARCHAR) AS {c}"
-            if c in dbl else f"CAST({c} AS VARCHAR) AS {c}" for c in GP.ACCUM_CONTRACT]
+            if c in _DOUBLES else f"CAST({c} AS VARCHAR) AS {c}" for c in ACCUM_CONTRACT]
     return f"SELECT {', '.join(cols)} FROM {name}"
 
 # ---------------------------------------------------------------- registered queries
 
 
-@query("candidate_costs", _VIEWS, f"""WITH s0 AS (SELECT f.*, a.model_name, a.cpu FROM fact_sales f
-  LEFT JOIN part_attr a ON a.part_number = f.part_number),
-{CAND_SQL}, {cand_attach_sql('s0', 'cands')}
-SELECT l_orderkey, l_linenumber, l_partkey, pn_exact, pn_latest, model_exact, model_latest, branch_exact, branch_latest
-FROM cands""")
+@query("local_data_monthly", _LOCAL_VIEWS, f"""{_chain(True, 'local')}
+SELECT * FROM local_data""")
+def local_data_monthly_q(t):
+    """D10 monthly over the stored facts: fees, cost period, funding, credit note by the rule cascade, net revenue."""
+    return local(t, True)
+
+
+@query("local_data_weekly", _LOCAL_VIEWS, f"""{_chain(False, 'local')}
+SELECT * FROM local_data""")
+def local_data_weekly_q(t):
+    """D10 weekly: the sheet's own credit note, funding also for negative quantities."""
+    return local(t, False)
+
+
+@query("candidate_costs", _VIEWS, f"""{_chain(True, 'cands')}
+SELECT l_orderkey, l_linenumber, part_number, {', '.join(GP.CANDIDATES)} FROM cands""")
 def candidate_costs_q(t):
-    """D22 (+J11 per row): exact-period and latest-at-or-before candidate costs."""
-    return candidates(t).select("l_orderkey", "l_linenumber", "l_partkey", "pn_exact", "pn_latest", "model_exact",
-                                "model_latest", "branch_exact", "branch_latest")
+    """D22 (+J11 per row): candidate costs of all families, exact and latest, both sets."""
+    return candidates(t).select("l_orderkey", "l_linenumber", "part_number", *[F.col(c).cast("double").alias(c) for c in GP.CANDIDATES])
 
 
-@query("cost_waterfall", _VIEWS, f"""WITH s0 AS (SELECT f.*, a.model_name, a.cpu FROM fact_sales f
-  LEFT JOIN part_attr a ON a.part_number = f.part_number),
-{CAND_SQL}, {cand_attach_sql('s0', 'cands')},
-w AS (SELECT *, CASE WHEN cost_period = 'newest' THEN 'latest' ELSE 'exact' END AS cmode FROM cands)
-SELECT l_orderkey, l_linenumber, l_partkey, {WATERFALL_SQL} AS hq_asc FROM w""")
+@query("cost_waterfall", _VIEWS, f"""{_chain(True, 'cands')}
+SELECT l_orderkey, l_linenumber, part_number, {waterfall_sql('hq_asc')} AS hq_asc, {waterfall_sql('hq_asc_fxdiff')} AS hq_asc_fxdiff FROM cands""")
 def cost_waterfall_q(t):
-    """Per (source, cost mode) ordered COALESCE over the candidate costs."""
-    c = candidates(t)
-    mode = F.when(F.col("cost_period") == "newest", F.lit("latest")).otherwise(F.lit("exact"))
-    return c.select("l_orderkey", "l_linenumber", "l_partkey", GP.cost_waterfall(F.col("source"), mode).alias("hq_asc"))
+    """Per (source, cost mode) ordered COALESCE over the candidate costs, 8, 4 and 5 or 8, 6 and 5 of them."""
+    return candidates(t).select("l_orderkey", "l_linenumber", "part_number", *[GP.cost_waterfall(w).alias(w) for w in GP.COST_WATERFALL])
 
 
-@query("enriched_monthly", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(True)}
+@query("enriched_monthly", _VIEWS, f"""{_chain(True, 'mapped')}
 SELECT * FROM mapped""")
 def enriched_monthly_q(t):
-    """D23 monthly: star enrichment, candidate-cost waterfall, per-unit amounts (negative qty → 0)."""
+    """D23 monthly: all lookups fused per key set, waterfalls, per-unit amounts (negative qty → 0)."""
     return enriched(t, True)
 
 
-@query("enriched_weekly", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(False)}
+@query("enriched_weekly", _VIEWS, f"""{_chain(False, 'mapped')}
 SELECT * FROM mapped""")
 def enriched_weekly_q(t):
-    """D23 weekly: as monthly but no quantity clamp and CSC only for the USD source."""
+    """D23 weekly: as monthly but no quantity clamp, and the USD source's CSC from the sheet."""
     return enriched(t, False)
 
 
-@query("gross_profit", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(True)}, {GP_SQL}
+@query("gross_profit", _VIEWS, f"""{_chain(True, 'gp')}
 SELECT {', '.join(GP_COLUMNS)} FROM gp""")
 def gross_profit_q(t):
     """D24 (flagship): eight-stage gross profit over the monthly enriched fact."""
-    return gross(t, True)
+    return gross(t, True).select(*GP_COLUMNS)
 
 
 def newest(t, mapped):
     """The rows of the fact's newest period: the batch that an accumulator takes in."""
-    return mapped.where(F.col("period") == max_of(t["fact_sales"], "period"))
+    return mapped.where(F.col("period") == max_of(t["sales_detail"], "period"))
 
 
-@query("monthly_accum", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(True)}, {GP_SQL},
-batch AS (SELECT * FROM gp WHERE period = (SELECT max(period) FROM fact_sales)),
-hist AS (SELECT * FROM gp_monthly_accum WHERE ds = (SELECT max(ds) FROM gp_monthly_accum)),
-keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.period = h.period))
+_HISTORY = """batch AS (SELECT * FROM gp WHERE period = (SELECT max(period) FROM sales_detail)),
+hist AS (SELECT * FROM gp_weekly_accum WHERE ds = (SELECT max(ds) FROM gp_weekly_accum)),
+keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.period = h.period))"""
+
+
+@query("monthly_accum", _ACCUM_VIEWS, f"""{_chain(True, 'gp')},
+{_HISTORY}
 SELECT *, '{LOAD_TIME}' AS dw_ins_time, '{BATCH_DS}' AS ds FROM (
   SELECT {_CONTRACT} FROM keep UNION ALL {_contract_from_gp('batch')}) u""")
 def monthly_accum_q(t):
-    """Monthly accumulator — stored history minus the batch's period ∪ the batch (all text); the
+    """The weekly accumulator's latest snapshot without the batch's period ∪ the batch (93 text columns); the
     batch is the newest period."""
-    batch = _text_ready(newest(t, gross(t, True)))
-    return GP.accumulate(t["gp_monthly_accum"], batch, BATCH_DS, F.lit(LOAD_TIME))
+    return GP.accumulate(t["gp_weekly_accum"], _text_ready(newest(t, gross(t, True))), BATCH_DS, F.lit(LOAD_TIME))
 
 
-@query("weekly_accum", _VIEWS, f"""WITH {_HEAD}, {enriched_sql(False)}, {GP_SQL},
-batch AS (SELECT * FROM gp WHERE period = (SELECT max(period) FROM fact_sales)),
-hist AS (SELECT * FROM gp_weekly_accum WHERE ds = (SELECT max(ds) FROM gp_weekly_accum)),
-keep AS (SELECT * FROM hist h WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.period = h.period)),
+@query("weekly_accum", _ACCUM_VIEWS, f"""{_chain(False, 'gp')},
+{_HISTORY},
 weekly AS (SELECT {_CONTRACT} FROM keep UNION ALL {_contract_from_gp('batch')}),
 mon AS (SELECT * FROM gp_monthly_accum WHERE ds = (SELECT max(ds) FROM gp_monthly_accum)),
 restated AS (SELECT coalesce(max(period), '') AS p FROM mon)

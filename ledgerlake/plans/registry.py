@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.sources.adapters import MartTables, tables, with_views
+from ledgerlake.sources.adapters import MartTables, store_table, tables, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,7 +53,7 @@ def stored(fn):
     def wrapper(t: MartTables, *args):
         def build():
             df = fn(t, *args)
-            return df.checkpoint(eager=True) if t.materialize else df
+            return store_table(df, fn.__name__) if t.materialize else df
         return t.memo(f"stored:{fn.__module__}.{fn.__qualname__}{args!r}", build)
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__

@@ -16,6 +16,7 @@ a hash join against the (calendar-bounded) month set instead of a nested loop.
 from __future__ import annotations
 
 import re
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,22 @@ DRIVER_TABLES = (
     "conversations",
 )
 
+# fixed values: the all-text contract of the accumulators
+ACCUM_CONTRACT = [
+    "source", "product_line_id", "year", "quarter", "month", "period", "sold_to_customer", "customer", "order_type", "business_type",
+    "product_type", "distribution", "distribution_type", "territory", "territory2", "branch", "branch2", "country_id",
+    "country_chinese", "ou", "warranty", "csid", "part_number", "description", "all_qty", "revenue_usd_hedge_rate", "revenue_fxdiff",
+    "net_revenue_usd_agp", "net_revenue_fxdiff", "local_cogs_amount", "local_cogs_amount_fxdiff", "credit_note_hedge_rate",
+    "credit_note_fxdiff", "total_ship_fee_company", "total_ship_fee_company_fxdiff", "cost_period", "funding", "csc_ratio",
+    "csc_amt", "csc_amt_fxdiff", "ship_fee_hq", "total_ship_fee_hq", "total_ship_fee", "total_ship_fee_fxdiff", "hq_asc",
+    "hq_asc_fxdiff", "cogs_amount", "cogs_amount_fxdiff", "opp_amount", "extra_rebate", "nv_sellout_rebate", "os_incentive",
+    "local_gp", "local_gp_fxdiff", "hq_asp", "hq_asp_fxdiff", "hq_gp_unit", "hq_gp_unit_fxdiff", "hq_gp", "hq_gp_usd_fxdiff",
+    "hq_rev", "hq_rev_usd_fxdiff", "gp_pod", "gp_pod_fxdiff", "gp_net", "gp_net_fxdiff", "model", "segment", "gpu", "cpu_vendor",
+    "cpu_platform", "cpu_sku", "lcd_code", "cpu_n", "acc_segment", "revenue_rmb", "net_revenue_rmb", "local_cogs_amount_rmb",
+    "credit_note_rmb", "total_ship_fee_rmb", "cogs_amount_rmb", "opp_amount_rmb", "extra_rebate_rmb", "nv_sellout_rebate_rmb",
+    "funding_rmb", "os_incentive_rmb", "total_ship_fee_company_rmb", "csc_amt_rmb", "hq_gp_rmb", "gp_pod_rmb", "gp_net_rmb",
+    "local_gp_rmb", "is_cte"]
+
 _PL = "CASE {k} % 3 WHEN 0 THEN 'NB' WHEN 1 THEN 'NR' ELSE 'NV' END"
 _PART_NUMBER = ("'90' || " + _PL + " || lpad(CAST({k} AS STRING), CAST(greatest(6, length(CAST({k} AS STRING))) AS INT), '0') || "
                 "CASE WHEN {k} % 10 = 0 THEN '-A' ELSE '-M' END")
@@ -221,19 +238,100 @@ FROM {{part_attr}} a
 JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(41)}""",
 })
 
-# Stored accumulator snapshots (all-text contract, two snapshot days each).
-_ACCUM_COLS = """CAST(l_orderkey AS STRING) AS l_orderkey, CAST(l_linenumber AS STRING) AS l_linenumber,
-  source, product_line_id, part_number, period, CAST(all_qty AS STRING) AS all_qty,
-  CAST(revenue AS STRING) AS gp_pod, CAST(revenue AS STRING) AS gp_net, CAST(all_qty AS STRING) AS hq_rev"""
+# The stored combined fact with the columns that the enrichment reads (D10, D23), and its lookup tables.
+VIEWS.update({
+    "sales_detail": f"""
+SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.source, f.product_line_id, f.part_number, f.period,
+  substr(f.period, 1, 4) AS year, substr(f.period, 5, 2) AS month,
+  CASE WHEN substr(f.period, 5, 2) <= '03' THEN 'Q1' WHEN substr(f.period, 5, 2) <= '06' THEN 'Q2'
+       WHEN substr(f.period, 5, 2) <= '09' THEN 'Q3' ELSE 'Q4' END AS quarter,
+  CASE WHEN f.source = 'ACIRAW' THEN CASE f.l_partkey % 6 WHEN 0 THEN 'WALMART INC' WHEN 1 THEN 'Best Buy 12'
+       WHEN 2 THEN 'sams club west' WHEN 3 THEN NULL ELSE 'Shop ' || CAST(f.l_partkey % 40 AS STRING) END END AS sold_to_customer,
+  CASE f.l_linenumber % 4 WHEN 0 THEN 'Standard' WHEN 1 THEN 'OT-1' WHEN 2 THEN 'CSC' ELSE NULL END AS order_type,
+  f.business_type, CASE WHEN f.source = 'ACCRAW' THEN 'PT' || CAST(f.l_partkey % 5 AS STRING) END AS product_type,
+  CASE WHEN f.source = 'ACCRAW' THEN CASE f.distribution_type WHEN 'O' THEN 'Distribution' ELSE 'Direct' END END AS distribution,
+  f.distribution_type, CASE WHEN f.source = 'ACCRAW' THEN 'ACC' WHEN f.country_code = 'SA' THEN 'LATAM' ELSE 'ACI' END AS territory,
+  CASE WHEN f.source = 'ACCRAW' THEN 'ACC' WHEN f.country_code = 'SA' THEN 'LATAM' ELSE 'NA' END AS territory2,
+  CASE WHEN f.source = 'ACCRAW' THEN 'ACC' ELSE f.branch END AS branch,
+  CASE WHEN f.source = 'ACCRAW' THEN 'CN' ELSE f.country_code END AS country_id,
+  CASE WHEN f.source = 'ACCRAW' THEN '中國大陸' ELSE 'zh-' || lower(f.country_code) END AS country_chinese, f.country_code,
+  CASE WHEN f.source = 'ACCRAW' THEN 'OU' || CAST(f.l_orderkey % 3 + 1 AS STRING) END AS ou,
+  CASE WHEN f.source = 'ACCRAW' THEN CASE WHEN f.l_linenumber % 2 = 0 THEN '12' ELSE '24' END END AS warranty,
+  CASE WHEN f.source = 'ACCRAW' THEN 'CS' || CAST(f.l_orderkey % 50 AS STRING) END AS csid,
+  'part ' || f.part_number AS description, f.all_qty, f.revenue, f.cn_rate,
+  CAST(f.revenue * CAST(0.7 AS DECIMAL(2,1)) AS DECIMAL(20,3)) AS local_cogs,
+  CASE WHEN f.source = 'ACIRAW' THEN CAST(f.l_partkey % 4 * 0.01 AS DECIMAL(6,4)) END AS sheet_csc_ratio,
+  CASE WHEN f.source = 'ACIRAW' THEN CAST(f.revenue * CAST(0.02 AS DECIMAL(3,2)) AS DECIMAL(20,4)) END AS sheet_csc_amt
+FROM {{fact_sales}} f""",
+    # finished-part attributes, two snapshots
+    "keypart_gp": """
+SELECT part_number, model_name, 'SEG' || CAST(p_partkey % 3 AS STRING) AS segmentation, 'GPU' || CAST(p_partkey % 5 AS STRING) AS gpu,
+  CASE WHEN p_partkey % 2 = 0 THEN 'V1' ELSE 'V2' END AS cpu_vendor, 'PF' || CAST(p_partkey % 6 AS STRING) AS cpu_platform, cpu,
+  'LCD' || CAST(p_partkey % 4 AS STRING) AS lcd_code, substr(cpu, 1, 6) AS cpu_n, 'A' || CAST(p_partkey % 7 AS STRING) AS acc_segment,
+  CASE WHEN p_partkey % 9 = 0 THEN 'Y' ELSE 'N' END AS cte, '20240131' AS ds
+FROM {part_attr} WHERE p_partkey % 25 <> 0
+UNION ALL
+SELECT part_number, 'old' AS model_name, 'SEG9' AS segmentation, NULL AS gpu, 'V9' AS cpu_vendor, 'PF9' AS cpu_platform, cpu,
+  'LCD9' AS lcd_code, 'x' AS cpu_n, 'A9' AS acc_segment, 'N' AS cte, '20240130' AS ds
+FROM {part_attr}""",
+    # the second set of cost tables, the USD source's own costs, the simulation rows
+    "cost_pn_ex": f"""
+SELECT a.part_number, a.model_name, a.cpu, m.period, CAST(a.price + 1 + CAST(m.period AS BIGINT) % 50 AS DECIMAL(20,8)) AS item_cost_usd
+FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(19)}""",
+    "cost_branch_ex": f"""
+SELECT m.branch AS sales_team, a.model_name, a.cpu, m.period, CAST(a.price + 2 AS DECIMAL(20,8)) AS item_cost_usd
+FROM {{part_attr}} a JOIN (SELECT DISTINCT period, branch FROM {{fact_sales}}) m ON {_residue_join(89)}""",
+    "aci_cost": f"""
+SELECT a.part_number AS item, m.period, CAST(a.price + 3 AS DECIMAL(20,8)) AS item_cost_usd
+FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(13)}""",
+    "aci_cost_ex": f"""
+SELECT a.part_number AS item, m.period, CAST(a.price + 4 AS DECIMAL(20,8)) AS item_cost_usd
+FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(11)}""",
+    "simulation": "\nUNION ALL\n".join(f"""
+SELECT a.part_number, a.model_name AS model, a.cpu AS cpu_sku, m.period || '{day}' AS estimate_revenue_date,
+  CASE (a.p_partkey + {k}) % 5 WHEN 0 THEN 'NA' WHEN 1 THEN 'LATAM' WHEN 2 THEN 'EMEA' ELSE 'CHINA' END AS territory,
+  CAST((a.p_partkey + {k}) % 4 AS DECIMAL(12,2)) AS all_qty, CAST((a.price + {k}) * ((a.p_partkey + {k}) % 4) AS DECIMAL(20,4)) AS cogs_amount,
+  CAST((a.price + {k} + 2) * ((a.p_partkey + {k}) % 4) AS DECIMAL(20,4)) AS cogs_amount_fxdiff,
+  CAST(a.p_partkey % 3 AS DECIMAL(10,4)) AS freight_cost
+FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(mod)}"""
+        for k, day, mod in ((0, "05", 17), (3, "20", 29))),
+    "hq_ship_fee": """
+SELECT product_line_id AS product_line, period, CAST(CAST(period AS BIGINT) % 4 * 0.5 AS DECIMAL(10,4)) AS acc_hqshipfee
+FROM (SELECT DISTINCT product_line_id, period FROM {fact_sales}) q WHERE CAST(period AS BIGINT) % 6 <> 0""",
+    "csc_percentage": """
+SELECT product_line_id AS product_line, warranty, ou AS ledger_short_name, period, c.country_code,
+  CAST((CAST(period AS BIGINT) % 8 + length(warranty) + c.more) * 0.01 AS DECIMAL(8,4)) AS reserve_margin
+FROM (SELECT DISTINCT product_line_id, warranty, ou, period, 1 AS one FROM {sales_detail} WHERE source = 'ACCRAW') q
+JOIN (SELECT 'CN' AS country_code, 0 AS more, 1 AS one UNION ALL SELECT 'HK' AS country_code, 5 AS more, 1 AS one) c ON q.one = c.one
+WHERE CAST(period AS BIGINT) % 9 <> 0""",
+    "csc_local": """
+SELECT product_line_id AS product_line, CASE WHEN business_type = 'REFURBISH' THEN business_type
+    ELSE business_type || '-' || country_code END AS channel_code, period, CAST(CAST(period AS BIGINT) % 6 * 0.005 AS DECIMAL(8,4)) AS csc
+FROM (SELECT DISTINCT product_line_id, business_type, country_code, period FROM {fact_sales} WHERE source = 'ACIRAW') q
+WHERE CAST(period AS BIGINT) % 10 <> 0""",
+    # incentives by component; the component map leads to finished parts
+    "os_incentive_kp": f"""
+SELECT a.item_no AS os_part_number, m.period, CAST(1 + a.p_partkey % 3 AS DECIMAL(10,4)) AS inc, '20240131' AS ds
+FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(5)}""",
+})
+
+# Stored accumulators (all text, the whole contract, two snapshot days each).
+_ACCUM_TEXT = {"year", "quarter", "month", "sold_to_customer", "order_type", "business_type", "product_type", "distribution",
+               "distribution_type", "territory", "territory2", "branch", "country_id", "country_chinese", "ou", "warranty", "csid",
+               "description", "source", "product_line_id", "part_number", "period"}
+
+
+def _stored_accum(where: str, ds: str) -> str:
+    """A stored snapshot: identifying columns as they are, every amount the revenue's text."""
+    columns = ",\n  ".join(c if c in _ACCUM_TEXT else f"CAST(revenue AS STRING) AS {c}" for c in ACCUM_CONTRACT)
+    return f"""SELECT {columns}, '2024-01-01 08:00:00' AS dw_ins_time, '{ds}' AS ds FROM {{sales_detail}} WHERE {where}"""
+
+
 VIEWS.update({
-    "gp_monthly_accum": "\nUNION ALL\n".join(
-        f"SELECT {_ACCUM_COLS}, '2024-01-01 08:00:00' AS dw_ins_time, '{d}' AS ds FROM {{fact_sales}} "
-        f"WHERE period < '{cut}'"
-        for d, cut in (("20240130", "199906"), ("20240131", "199912"))),
-    "gp_weekly_accum": "\nUNION ALL\n".join(
-        f"SELECT {_ACCUM_COLS}, '2024-01-01 08:00:00' AS dw_ins_time, '{d}' AS ds FROM {{fact_sales}} "
-        f"WHERE period >= '{lo}'"
-        for d, lo in (("20240130", "200001"), ("20240131", "200006"))),
+    "gp_monthly_accum": "\nUNION ALL\n".join(_stored_accum(f"period < '{cut}'", d)
+                                              for d, cut in (("20240130", "199906"), ("20240131", "199912"))),
+    "gp_weekly_accum": "\nUNION ALL\n".join(_stored_accum(f"period >= '{lo}'", d)
+                                             for d, lo in (("20240130", "199801"), ("20240131", "199706"))),
 })
 
 # Uploaded sheets of the ingest layer (D1-D12) and their lookup tables.
@@ -365,17 +463,26 @@ def with_views(views, body: str) -> str:
 
 # Views whose size is bounded by dimensions (parts, months, branches, lines), not
 # by the fact: they stand in for stored lookup tables, so they are materialised
-# once per table set (reliable checkpoint in the shared checkpoint folder). That
-# cuts their lineage — every plan that uses them stays small and they are not
-# recomputed from the fact for each query.  Fact-sized views stay lazy.
+# once per table set (Parquet in the shared checkpoint folder). That cuts their
+# lineage — every plan that uses them stays small, they are not recomputed from
+# the fact for each query, and Spark knows their sizes when it plans a join.  Fact-sized views stay lazy.
 DIMENSION_VIEWS = frozenset({
     "part_attr", "fx_rates", "cost_pn", "cost_branch", "branch_freight", "funding", "cn_rates", "cost_range", "price_history",
     "bom", "item_code", "keypart_history", "cpugpu_history", "pac_src", "keypart_result", "extra_rebate_src", "sellout_src", "opp_rebate",
     "os_incentive", "columnlist", "org_map", "ordertype_map", "distribution_map", "country_names", "ship_unit",
-    "country_group", "fx_matrix",
+    "country_group", "fx_matrix", "keypart_gp", "cost_pn_ex", "cost_branch_ex", "aci_cost", "aci_cost_ex", "hq_ship_fee", "csc_percentage",
+    "csc_local", "os_incentive_kp", "simulation",
 })
 
 
+def store_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: no lineage, pruned reads, a known size."""
+    from ledgerlake.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class MartTables:
     """Driver tables and adapter views for one data folder, read lazily."""
 
@@ -407,7 +514,7 @@ class MartTables:
                 deps = {d: self.get(d) for d in view_deps(name)}
                 df = self.spark.sql(VIEWS[name], **deps)
                 if self.materialize and name in DIMENSION_VIEWS:
-                    df = df.checkpoint(eager=True)
+                    df = store_table(df, name)
             self._frames[name] = df
         return self._frames[name]
 

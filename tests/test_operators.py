@@ -123,13 +123,18 @@ def test_carry_forward_order(spark):
     assert rows(out, "k", "period", "v") == [("a", "1", 10.0), ("a", "2", 20.0), ("a", "3", 30.0)]
 
 
-def test_cost_waterfall_value_is_a_candidate(spark):
-    df = spark.createDataFrame([("ACCRAW", "exact", None, 2.0, 3.0, None, None, None),
-                                ("ACIRAW", "latest", 1.0, None, 4.0, 5.0, None, 6.0)],
-                               "source string, mode string, pn_exact double, model_exact double, pn_latest double, "
-                               "model_latest double, branch_exact double, branch_latest double")
-    out = df.select(GP.cost_waterfall(F.col("source"), F.col("mode")).alias("c"))
-    assert [r[0] for r in out.collect()] == [3.0, 4.0]
+def test_cost_waterfall_order_per_source_and_mode(spark):
+    names = [c for c in GP.CANDIDATES if not c.endswith(("_ex", "_fxdiff"))]
+    ranks = {c: float(i) for i, c in enumerate(GP.COST_WATERFALL["hq_asc"]["ACCRAW", "exact"])} | {
+        "aci_cost_item_cost_usd": 20.0, "hq_model_cpu_branch_item_cost_usd": 30.0}
+    full, none = [ranks[c] for c in names], [None] * len(names)
+    without = [None if c.startswith(("item_cost_usd_hqpn", "aci_")) else ranks[c] for c in names]
+    data = [("ACCRAW", "199601", *full), ("ACCRAW", "由新到舊", *full), ("ACIRAW", "199601", *full), ("ACIRAW", None, *full),
+            ("ACCRAW", "199601", *without), ("ACCRAW", "由新到舊", *without), ("ACIRAW", "由新到舊", *without),
+            ("ACCRAW", None, *full), ("ACCRAW", "199601", *none), ("OTHER", "199601", *full)]
+    df = spark.createDataFrame(data, "source string, cost_period string, " + ", ".join(f"{c} double" for c in names))
+    out = [r[0] for r in df.select(GP.cost_waterfall("hq_asc")).collect()]
+    assert out == [0.0, 1.0, 20.0, 20.0, 2.0, 3.0, 30.0, None, None, None]
 
 
 def test_contract_and_names(spark):
