@@ -49,6 +49,70 @@ def gather(values: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.nd
     return values[np.arange(total) + np.repeat(start - ends + lengths, lengths)], np.concatenate([[0], ends])
 
 
+# kinds of bytes in lower-cased UTF-8 of characters below U+0100; a character of two bytes is told by its second
+BLANK, LETTER, DIGIT, OTHER = range(4)
+ONE_BYTE = np.full(256, OTHER, np.uint8)
+ONE_BYTE[[9, 10, 11, 12, 13, 32]] = BLANK
+ONE_BYTE[48:58] = DIGIT
+ONE_BYTE[97:123] = LETTER
+AFTER_C2 = np.full(256, OTHER, np.uint8)  # U+0080 to U+00BF
+AFTER_C2[[0xAA, 0xB5, 0xBA]] = LETTER
+AFTER_C2[[0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = DIGIT
+AFTER_C3 = np.full(256, LETTER, np.uint8)  # U+00C0 to U+00FF
+AFTER_C3[[0x97, 0xB7]] = OTHER
+
+
+def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased pieces of all texts (characters below U+0100) one after another, and where each text's begin.
+
+    A piece is a run of letters, a single digit, a run of other signs, or one of the endings 's 't 're 've 'm 'll 'd
+    where no other sign stands before it.  The bytes are classed, blanks are put in between pieces, and Arrow splits."""
+    if texts.offset:
+        texts = pa.concat_arrays([texts])
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32, len(texts) + 1).astype(np.int64)
+    raw = np.frombuffer(data, np.uint8, int(at[-1])) if data is not None else np.zeros(0, np.uint8)
+    if not len(raw):
+        return pa.array([], texts.type), np.zeros(len(texts) + 1, np.int64)
+    before = np.concatenate([[np.uint8(0)], raw[:-1]])
+    after_c2, after_c3 = before == 0xC2, before == 0xC3
+    upper = (raw >= 65) & (raw <= 90) | after_c3 & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
+    low = raw + (upper.astype(np.uint8) << 5)
+    kind = np.where(after_c2, AFTER_C2[low], np.where(after_c3, AFTER_C3[low], ONE_BYTE[low]))
+    lead = (raw == 0xC2) | (raw == 0xC3)
+    kind[:-1] = np.where(lead[:-1], kind[1:], kind[:-1])
+    starts = np.zeros(len(raw), bool)  # first bytes of texts
+    starts[at[:-1][at[:-1] < len(raw)]] = True
+    earlier = np.concatenate([[np.uint8(BLANK)], kind[:-1]])
+    earlier[starts] = BLANK
+    cut = (kind != earlier) | (kind == DIGIT) & ~(after_c2 | after_c3)
+    signs = np.flatnonzero((low == 39) & (earlier != OTHER))
+    if len(signs):
+        ahead = np.concatenate([low, np.zeros(3, np.uint8)])
+        one, two = ahead[signs + 1], ahead[signs + 2]
+        size = np.where(np.isin(one, np.frombuffer(b"stmd", np.uint8)), 1, 0)
+        for ending in (b"re", b"ve", b"ll"):
+            size[(one == ending[0]) & (two == ending[1])] = 2
+        ends = at[np.searchsorted(at, signs, "right")]  # of the sign's text
+        size[signs + size >= ends] = 0
+        signs, size, ends = signs[size > 0], size[size > 0], ends[size > 0]
+        cut[signs + 1] = False
+        behind = signs + size + 1
+        cut[behind[behind < ends]] = True
+    cut[starts] = False
+    cuts = np.flatnonzero(cut)
+    out = np.full(len(raw) + len(cuts), 32, np.uint8)
+    moved = np.arange(len(raw)) + np.cumsum(cut)
+    out[moved] = low
+    added = np.searchsorted(cuts, at)
+    spaced = pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer((at + added).astype(np.int32)), pa.py_buffer(out)])
+    split = pc.ascii_split_whitespace(spaced)
+    pieces, bounds = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+    full = pc.not_equal(pieces, "")
+    kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return pieces.filter(full), kept[bounds]
+
+
 class Numbers(dict):
     """Numbers its keys as they are first looked up; ``fresh`` lists those looked up since it was last emptied."""
 
@@ -64,11 +128,10 @@ class Numbers(dict):
 class WordTokenizer:
     """Ids of a tokenizer file; of the known word-level BPE file remembered per piece of a word.
 
-    With that file's normaliser and splitter (``KNOWN``), texts whose characters are all below U+0100 are split
-    on white space; each distinct word is lower-cased and split into pieces by the file's own pattern, and the
-    pieces' ids are looked up.  The file's normaliser and splitter never look across white space, so the ids equal those of the whole text.  Other texts go through
-    the library unchanged, as do texts that hold an added token's string, and all texts with any other file.
-    The memory of pieces is emptied when it grows past ``most`` pieces.
+    With that file's normaliser and splitter (``KNOWN``), texts whose characters are all below U+0100 are lower-cased
+    and split into the file's pieces all at once, as bytes (:func:`split_pieces`), and the pieces' ids are looked up.
+    Other texts go through the library unchanged, as do texts that hold an added token's string, and all texts with
+    any other file.  The memory of pieces is emptied when it grows past ``most`` pieces.
     """
 
     # fixed values: how the word-level file normalises and splits
@@ -79,19 +142,17 @@ class WordTokenizer:
                   "behavior": "Removed", "invert": True},
                  {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
 
-    LETTERS = "a-zªµºß-öø-ÿ"
-    DIGITS = "0-9²³¹¼-¾"
-
     def __init__(self, file: str, most: int = 500_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+        letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x100)}
         self.whole = Tokenizer.from_file(file)
         self.most = most
         told = json.loads(self.whole.to_str())
         self.known = (told["normalizer"], told["pre_tokenizer"]) == self.KNOWN
         self.added = [t["content"] for t in told["added_tokens"]]
         self.plain = re.compile("[\t-\r\x20-\x7e¡-ÿ]*").fullmatch
-        self.pieces_of = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTERS}]+|[{self.DIGITS}]"
-                                    f"|[^\\s{self.LETTERS}{self.DIGITS}]+").findall
         self.forget()
 
     def forget(self) -> None:
@@ -100,12 +161,14 @@ class WordTokenizer:
         self.first = np.zeros(1, np.int64)
 
     def learn(self) -> None:
-        """Add the ids of the pieces that were looked up for the first time."""
+        """Add the ids of the pieces that were looked up for the first time: the file's model knows them as strings
+        in which a character stands for each byte."""
         fresh, self.piece.fresh = self.piece.fresh, []
         if fresh:
-            got = self.whole.encode(fresh, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, np.uint32)
-            lengths = np.bincount(np.array(got.word_ids, np.int64), minlength=len(fresh))
+            tokenize, spelt = self.whole.model.tokenize, self.spelt
+            got = [[token.id for token in tokenize(piece.translate(spelt))] for piece in fresh]
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            ids = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(lengths.sum()))
             self.ids = np.concatenate([self.ids, ids])
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
 
@@ -122,17 +185,12 @@ class WordTokenizer:
             special = pc.or_(special, pc.match_substring(texts, token))
         simple = [not s and bool(self.plain(t)) and (t.isascii() or unicodedata.is_normalized("NFC", t))
                   for t, s in zip(strings, special.to_pylist())]
-        split = pc.ascii_split_whitespace(pc.if_else(pa.array(simple), texts, pa.scalar("", texts.type)))
-        words = split.flatten().dictionary_encode()
-        pieces = [self.pieces_of(w.lower()) for w in words.dictionary.to_pylist()]
-        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        number = np.fromiter(map(self.piece.__getitem__, itertools.chain.from_iterable(pieces)), np.int64,
-                             int(counts.sum()))
+        pieces, offsets = split_pieces(pc.if_else(pa.array(simple), texts, pa.scalar("", texts.type)))
+        pieces = pieces.dictionary_encode()
+        number = np.fromiter(map(self.piece.__getitem__, pieces.dictionary.to_pylist()), np.int64, len(pieces.dictionary))
         self.learn()
-        ids, bounds = gather(self.ids, self.first, number)  # of each distinct word's pieces
-        first = bounds[np.concatenate([[0], np.cumsum(counts)])]
-        ids, bounds = gather(ids, first, words.indices.to_numpy())  # of each word in turn
-        cuts = bounds[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        ids, bounds = gather(self.ids, self.first, number[pieces.indices.to_numpy()])
+        cuts = bounds[offsets]
         return [ids[a:b] if plain else np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
                 for a, b, plain, t in zip(cuts[:-1].tolist(), cuts[1:].tolist(), simple, strings)]
 

@@ -27,6 +27,7 @@ is never cut, so a file exceeds ``file_tokens`` by one document at most.
 
 from __future__ import annotations
 
+import gc
 import struct
 import zlib
 from collections.abc import Iterator
@@ -43,7 +44,7 @@ from ledgerlake.llm.packing import END_ID, TOKENIZER, tokenizer
 MAGIC = b"DACIDS01"
 WIDTHS = (8, 8, 16)
 BLOCK = 512
-FILE_TOKENS = 1 << 23
+FILE_TOKENS = 1 << 22
 HEAD, LEVEL = "<8s5Q", "<5Q"
 HEAD_SIZE, LEVEL_SIZE = struct.calcsize(HEAD), struct.calcsize(LEVEL)
 KINDS = {8: np.dtype("u1"), 16: np.dtype("<u2")}
@@ -168,6 +169,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str | None = None, end_id:
             .repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of short strings and no cycles among them
         words = tokenizer(tokenizer_file)
         part, number = TaskContext.get().partitionId(), 0
         doc_ids, lengths, pieces, held = [], [], [], 0
