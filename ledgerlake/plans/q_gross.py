@@ -1,5 +1,7 @@
 """Verified queries: combined fact, candidate costs, enriched fact, gross profit, accumulators."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -25,18 +27,23 @@ BATCH_DS = "20240201"
 
 @shared
 def local(t, monthly: bool):
+    t.prepare(_LOCAL_VIEWS)
     return GP.local_data(t["sales_detail"], t["fx_rates"], t["branch_freight"], t["funding"], t["cost_range"], t["cn_rates"], monthly)
 
 
 @shared
 def lookups(t):
     """The fused lookup tables of the enriched fact, stored once: Spark knows their sizes when it plans the joins."""
+    t.prepare(_VIEWS)
     costs = GP.cost_families(t["cost_pn"], t["cost_pn_ex"], t["simulation"], t["aci_cost"], t["aci_cost_ex"], t["cost_branch"],
                              t["cost_branch_ex"])
     fused = GP.enrichment(t["keypart_gp"], t["simulation"], t["hq_ship_fee"], t["opp_rebate"], extra(t), sellout(t),
                           t["os_incentive_kp"], item_map(t), t["csc_percentage"], t["csc_local"], t["fx_rates"], costs)
-    return [Fused(f.keys, store_table(f.table, "lookup-" + "-".join(f.keys).strip("_")) if t.materialize else f.table, f.values, f.series)
-            for f in fused]
+    if not t.materialize:
+        return fused
+    with ThreadPoolExecutor(len(fused)) as pool:  # small jobs side by side
+        stored = list(pool.map(lambda f: store_table(f.table, "lookup-" + "-".join(f.keys).strip("_")), fused))
+    return [Fused(f.keys, table, f.values, f.series) for f, table in zip(fused, stored)]
 
 
 @shared

@@ -18,6 +18,8 @@ MART_SQL_CONF = {
     # lookups measured at run time below this size are broadcast (size-checked
     # by AQE on real shuffle statistics); larger ones stay sort-merge joins
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # the JVM does not compile methods over 8000 bytes; wide projections stay out of one generated method instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # keyed partition replace (K1/K2/K3) must only touch the partitions written
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # ds='20240101' must stay a string partition value

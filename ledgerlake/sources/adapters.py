@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,8 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE CAST(l_discount AS DECIMAL(6,4)) END AS cn_rate,
   CASE WHEN l_linenumber % 4 = 0 THEN 'newest' ELSE {_SHIP_PERIOD.format(d='l_shipdate')} END AS cost_period
 FROM {{lineitem}}""",
+    # the calendar of the facts
+    "fact_months": "\nSELECT DISTINCT period FROM {fact_sales}",
     "part_attr": f"""
 SELECT p_partkey,
   {_PART_NUMBER.format(k='p_partkey')} AS part_number,
@@ -89,7 +92,7 @@ WHERE k % 7 <> 0""",
 SELECT a.part_number, a.model_name, a.cpu, m.period,
   CAST(a.price + CAST(m.period AS BIGINT) % 100 AS DECIMAL(20,8)) AS item_cost_usd
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(17)}""",
+JOIN {{fact_months}} m ON {_residue_join(17)}""",
     "cost_branch": f"""
 SELECT m.branch AS sales_team, a.model_name, a.cpu, m.period,
   CAST(a.price AS DECIMAL(20,8)) AS item_cost_usd
@@ -104,7 +107,7 @@ WHERE CAST(period AS BIGINT) % 5 <> 0""",
 SELECT ' ' || a.part_number || ' ' AS pn, m.period,
   CAST(a.p_partkey % 9 AS DECIMAL(10,4)) AS funding
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(23)}""",
+JOIN {{fact_months}} m ON {_residue_join(23)}""",
     # a + 1 is another product line, a + 6 the same; they are disjoint, so the OR-join is a UNION ALL of two equi-joins
     "bom": """
 SELECT a.item_no AS part_number_kp, b.part_number AS part_number_90,
@@ -129,7 +132,7 @@ FROM {{lineitem}} l JOIN {{part_attr}} a ON l.l_partkey = a.p_partkey""",
 SELECT ' ' || a.part_number AS pn, m.period || ' ' AS version,
   CASE a.p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '199601' ELSE m.period END AS cost_range
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(3)}""",
+JOIN {{fact_months}} m ON {_residue_join(3)}""",
     "cn_rates": """
 SELECT source, product_line, legal_entity, channel_code, period,
   CAST(CAST(period AS BIGINT) % 10 * 0.01 + length(channel_code) * 0.001 AS DECIMAL(8,4)) AS cn
@@ -150,7 +153,7 @@ SELECT {_PL.format(k='a.p_partkey')} AS product_line, a.item_no, a.ag_no, m.peri
   CASE WHEN a.p_partkey % 4 = 0 THEN NULL ELSE CAST(a.price + 1 AS DECIMAL(20,8)) END AS cogs_price,
   '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}} WHERE period < '199604') m ON {_residue_join(5)}""",
+JOIN (SELECT period FROM {{fact_months}} WHERE period < '199604') m ON {_residue_join(5)}""",
     "raw_text_sales": """
 SELECT
   CASE WHEN l.l_linenumber % 4 = 0 THEN '  '
@@ -211,7 +214,7 @@ FROM {price_history}""",
 SELECT {_PL.format(k='a.p_partkey')} AS product_line, a.item_no AS pn, m.period,
   CAST(a.price + a.p_partkey % 5 AS DECIMAL(20,8)) AS pac, '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(3)}""",
+JOIN {{fact_months}} m ON {_residue_join(3)}""",
     # finished-part attribute result (product line from the part number)
     "keypart_result": """
 SELECT substr(part_number, 3, 2) AS product_line, part_number, upper(cpu) AS cpu, model_name, '20240131' AS ds
@@ -220,22 +223,22 @@ FROM {part_attr}""",
 SELECT a.item_no, {_PARENT_PL} AS product_line, upper(a.cpu) AS cpu,
   CAST(a.p_partkey % 7 AS DECIMAL(10,4)) AS extra_rebate, m.period, '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(31)}""",
+JOIN {{fact_months}} m ON {_residue_join(31)}""",
     "sellout_src": f"""
 SELECT a.item_no, {_PARENT_PL} AS product_line, a.model_name AS product_number,
   CAST(a.p_partkey % 5 + 1 AS DECIMAL(10,4)) AS reb, m.period, '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(29)}""",
+JOIN {{fact_months}} m ON {_residue_join(29)}""",
     "opp_rebate": f"""
 SELECT a.part_number AS sku90pn, substr(a.part_number, 3, 2) AS product_line, m.period,
   CAST(a.p_partkey % 4 AS DECIMAL(10,4)) AS opp_rebate, '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(37)}""",
+JOIN {{fact_months}} m ON {_residue_join(37)}""",
     "os_incentive": f"""
 SELECT a.part_number AS os_part_number, m.period, CAST(1 + a.p_partkey % 3 AS DECIMAL(10,4)) AS inc,
   '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(41)}""",
+JOIN {{fact_months}} m ON {_residue_join(41)}""",
 })
 
 # The stored combined fact with the columns that the enrichment reads (D10, D23), and its lookup tables.
@@ -277,24 +280,24 @@ FROM {part_attr}""",
     # the second set of cost tables, the USD source's own costs, the simulation rows
     "cost_pn_ex": f"""
 SELECT a.part_number, a.model_name, a.cpu, m.period, CAST(a.price + 1 + CAST(m.period AS BIGINT) % 50 AS DECIMAL(20,8)) AS item_cost_usd
-FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(19)}""",
+FROM {{part_attr}} a JOIN {{fact_months}} m ON {_residue_join(23)}""",
     "cost_branch_ex": f"""
 SELECT m.branch AS sales_team, a.model_name, a.cpu, m.period, CAST(a.price + 2 AS DECIMAL(20,8)) AS item_cost_usd
 FROM {{part_attr}} a JOIN (SELECT DISTINCT period, branch FROM {{fact_sales}}) m ON {_residue_join(89)}""",
     "aci_cost": f"""
 SELECT a.part_number AS item, m.period, CAST(a.price + 3 AS DECIMAL(20,8)) AS item_cost_usd
-FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(13)}""",
+FROM {{part_attr}} a JOIN {{fact_months}} m ON {_residue_join(31)}""",
     "aci_cost_ex": f"""
 SELECT a.part_number AS item, m.period, CAST(a.price + 4 AS DECIMAL(20,8)) AS item_cost_usd
-FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(11)}""",
+FROM {{part_attr}} a JOIN {{fact_months}} m ON {_residue_join(37)}""",
     "simulation": "\nUNION ALL\n".join(f"""
 SELECT a.part_number, a.model_name AS model, a.cpu AS cpu_sku, m.period || '{day}' AS estimate_revenue_date,
   CASE (a.p_partkey + {k}) % 5 WHEN 0 THEN 'NA' WHEN 1 THEN 'LATAM' WHEN 2 THEN 'EMEA' ELSE 'CHINA' END AS territory,
   CAST((a.p_partkey + {k}) % 4 AS DECIMAL(12,2)) AS all_qty, CAST((a.price + {k}) * ((a.p_partkey + {k}) % 4) AS DECIMAL(20,4)) AS cogs_amount,
   CAST((a.price + {k} + 2) * ((a.p_partkey + {k}) % 4) AS DECIMAL(20,4)) AS cogs_amount_fxdiff,
   CAST(a.p_partkey % 3 AS DECIMAL(10,4)) AS freight_cost
-FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(mod)}"""
-        for k, day, mod in ((0, "05", 17), (3, "20", 29))),
+FROM {{part_attr}} a JOIN {{fact_months}} m ON {_residue_join(mod)}"""
+        for k, day, mod in ((0, "05", 41), (3, "20", 59))),
     "hq_ship_fee": """
 SELECT product_line_id AS product_line, period, CAST(CAST(period AS BIGINT) % 4 * 0.5 AS DECIMAL(10,4)) AS acc_hqshipfee
 FROM (SELECT DISTINCT product_line_id, period FROM {fact_sales}) q WHERE CAST(period AS BIGINT) % 6 <> 0""",
@@ -312,7 +315,7 @@ WHERE CAST(period AS BIGINT) % 10 <> 0""",
     # incentives by component; the component map leads to finished parts
     "os_incentive_kp": f"""
 SELECT a.item_no AS os_part_number, m.period, CAST(1 + a.p_partkey % 3 AS DECIMAL(10,4)) AS inc, '20240131' AS ds
-FROM {{part_attr}} a JOIN (SELECT DISTINCT period FROM {{fact_sales}}) m ON {_residue_join(5)}""",
+FROM {{part_attr}} a JOIN {{fact_months}} m ON {_residue_join(43)}""",
 })
 
 # Stored accumulators (all text, the whole contract, two snapshot days each).
@@ -467,6 +470,7 @@ def with_views(views, body: str) -> str:
 # lineage — every plan that uses them stays small, they are not recomputed from
 # the fact for each query, and Spark knows their sizes when it plans a join.  Fact-sized views stay lazy.
 DIMENSION_VIEWS = frozenset({
+    "fact_months",
     "part_attr", "fx_rates", "cost_pn", "cost_branch", "branch_freight", "funding", "cn_rates", "cost_range", "price_history",
     "bom", "item_code", "keypart_history", "cpugpu_history", "pac_src", "keypart_result", "extra_rebate_src", "sellout_src", "opp_rebate",
     "os_incentive", "columnlist", "org_map", "ordertype_map", "distribution_map", "country_names", "ship_unit",
@@ -483,6 +487,13 @@ def store_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores where its scan has fewer splits than that (a small or single-block file); work that is
+    heavy per row and never shuffles would otherwise run in those few tasks.  Large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 class MartTables:
     """Driver tables and adapter views for one data folder, read lazily."""
 
@@ -506,12 +517,24 @@ class MartTables:
             self._frames[k] = builder()
         return self._frames[k]
 
+    def prepare(self, names) -> None:
+        """Make the stored views among ``names`` and what they need, those that do not need each other at the same
+        time: each is a small job, and the cluster has room for many."""
+        todo = [n for n in closure(names) if n not in self._frames]
+        while todo:
+            ready = [n for n in todo if not set(view_deps(n)) & set(todo)]
+            with ThreadPoolExecutor(8) as pool:
+                list(pool.map(self.get, ready))
+            todo = [n for n in todo if n not in ready]
+
     def get(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in DRIVER_TABLES:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 deps = {d: self.get(d) for d in view_deps(name)}
+                if name == "sales_detail":  # wide rows with much work on each: all cores from the scan on
+                    deps["fact_sales"] = self.spark.sql(VIEWS["fact_sales"], lineitem=spread(self.get("lineitem")))
                 df = self.spark.sql(VIEWS[name], **deps)
                 if self.materialize and name in DIMENSION_VIEWS:
                     df = store_table(df, name)
