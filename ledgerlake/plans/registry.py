@@ -63,5 +63,5 @@ def stored(fn):
 def load_all() -> None:
     """Import every module that registers queries."""
     from ledgerlake.plans import (  # noqa: F401
-        q_scans, q_cleaning, q_rules, q_scalars, q_relational, q_marts, q_gross, q_ingest, q_catalog, q_writes, q_io,
+        q_scans, q_cleaning, q_rules, q_scalars, q_relational, q_marts, q_gross, q_ingest, q_catalog, q_writes, q_io, q_versioned,
     )
