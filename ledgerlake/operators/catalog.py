@@ -62,6 +62,31 @@ def lineage_edges(columns: DataFrame) -> DataFrame:
                                .otherwise(F.lit("model")))
 
 
+def lineage_closure(columns: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """G5 over all levels: ``model_name, source_table, depth, in_cycle`` of every raw source that a model reads, directly
+    (depth 1) or through the models that produce its sources; ``depth`` is the least number of steps, ``in_cycle`` says
+    whether the model is among its own upstream models.
+
+    A frontier of (model, reached model) pairs moves one step a round by an equi-join with the edges; pairs that were met
+    before are dropped, so cycles end, and every round is stored.  Rounds are as many as the longest way."""
+    edges = store_once(lineage_edges(columns).select("model_name", "source_table", "source_model").distinct(), "lineage-edges")
+    steps = edges.where("source_model IS NOT NULL").select(F.col("model_name").alias("at"), F.col("source_model").alias("next")).distinct()
+    seen = store_once(edges.select("model_name", F.col("model_name").alias("at"), F.lit(0).alias("depth")).distinct(), "lineage")
+    front = seen
+    for _ in range(max_rounds):
+        moved = front.join(steps, "at").select("model_name", F.col("next").alias("at"), (F.col("depth") + 1).alias("depth")).distinct()
+        front = store_once(moved.join(seen, ["model_name", "at"], "left_anti"), "lineage")
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    else:
+        raise RuntimeError(f"lineage goes on after {max_rounds} rounds")
+    cyclic = seen.join(steps, "at").where(F.col("next") == F.col("model_name")).select("model_name").distinct().withColumn("in_cycle", F.lit(True))
+    raw = edges.where("source_model IS NULL").select(F.col("model_name").alias("at"), "source_table").distinct()
+    found = seen.join(raw, "at").groupBy("model_name", "source_table").agg((F.min("depth") + 1).alias("depth"))
+    return found.join(cyclic, "model_name", "left").withColumn("in_cycle", F.coalesce("in_cycle", F.lit(False)))
+
+
 # schema of the extracted column list inside a model answer
 COLUMN_LIST_SCHEMA = "array<struct<table_name:string,column_name:string,source_table:string>>"
 

@@ -67,6 +67,21 @@ def lineage_edges_q(t):
     return C.lineage_edges(t["columnlist"])
 
 
+@query("lineage_closure", ["columnlist"], f"""WITH RECURSIVE {_PROD_SQL}, {_EDGES_SQL},
+resolved AS (SELECT DISTINCT e.model_name, e.source_table, coalesce(p1.model_name, p2.model_name) AS source_model
+  FROM edges e LEFT JOIN prod p1 ON p1.table_name = e.source_table LEFT JOIN prod p2 ON p2.table_name = string_split(e.source_table, '.')[-1]),
+walk AS (SELECT DISTINCT model_name, model_name AS node, 0 AS depth FROM resolved
+  UNION SELECT w.model_name, r.source_model, w.depth + 1 FROM walk w JOIN resolved r ON r.model_name = w.node
+  WHERE r.source_model IS NOT NULL AND w.depth < (SELECT count(DISTINCT model_name) FROM resolved)),
+cyclic AS (SELECT DISTINCT model_name FROM walk WHERE depth > 0 AND node = model_name)
+SELECT w.model_name, r.source_table, CAST(min(w.depth) + 1 AS INTEGER) AS depth,
+  w.model_name IN (SELECT model_name FROM cyclic) AS in_cycle
+FROM walk w JOIN resolved r ON r.model_name = w.node WHERE r.source_model IS NULL GROUP BY ALL""")
+def lineage_closure_q(t):
+    """G5 over all levels: every model's raw sources with their distance, cycles marked."""
+    return C.lineage_closure(t["columnlist"])
+
+
 def _answer(t):
     c = t["columnlist"]
     obj = F.concat(F.lit('[{"table_name": " '), F.col("table_name"), F.lit(' ", "column_name": "'),

@@ -18,7 +18,7 @@ from ledgerlake.plans.registry import query
 from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources import files as FS
 from ledgerlake.sources.snapshot import latest_snapshot, read_self_snapshot
-from ledgerlake.streaming.arrival import process_arrivals, replace_batch
+from ledgerlake.streaming.arrival import process_arrivals, process_new_contents, replace_batch
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -162,3 +162,21 @@ def source_corpus_q(t):
     return found.select(F.regexp_extract("path", r"/folder=([^/]*)/", 1).alias("folder"), "text").groupBy("folder").agg(
         F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("bigint").alias("n_lines"),
         F.sum(F.length("text")).cast("bigint").alias("n_chars"))
+
+
+@query("file_arrival_contents", ["fact_sales"], """
+SELECT l_orderkey, l_linenumber, period, revenue FROM fact_sales""")
+def file_arrival_contents_q(t):
+    """S12 by content: the first drop's files come again under other names with the second drop; every row is loaded once."""
+    spark = t.spark
+    land, out, state = (scratch(spark, n) for n in ("landing", "contents-out", "contents-state"))
+    rows = t["fact_sales"].select("l_orderkey", "l_linenumber", "period", "revenue")
+    schema = StructType.fromDDL("l_orderkey bigint, l_linenumber int, period string, revenue decimal(18,2)")
+    name = f"contents-{uuid.uuid4().hex}"
+    drops = [rows.where("l_linenumber <= 2"), rows.where("l_linenumber > 2")]
+    for k, drop in enumerate(drops):
+        for again in drops[:k] + [drop]:  # hash-dealt and sorted, so that a second write gives the same bytes
+            (again.repartition(4, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+             .write.mode("append").option("header", True).csv(land))
+        process_new_contents(spark, land, schema, replace_batch(out), f"{name}-{k}", checkpoint=state)
+    return spark.read.parquet(out).select("l_orderkey", "l_linenumber", "period", "revenue")

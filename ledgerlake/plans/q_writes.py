@@ -115,3 +115,18 @@ def dq_required_q(t):
     """Q4: required columns that a stored table lacks, in the order of the contract."""
     return t.spark.createDataFrame([(n, ",".join(Q.required_columns(t[n], c))) for n, c in _CONTRACT.items()],
                                    "table_name string, missing string")
+
+
+_REQUIRED = {"sales_detail": ("part_number", "customer", "sold_to_customer", "ou", "warranty", "cn_rate"),
+             "quotes": ("item_no", "ag_no", "price_list")}
+_REQ_HAVE = {"sales_detail": {"part_number", "sold_to_customer", "ou", "warranty", "cn_rate"}, "quotes": {"item_no", "ag_no"}}
+
+
+@query("dq_required_rows", ["sales_detail", "quotes"], " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
+    + (f"count(*) FILTER (WHERE {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '')" if c in _REQ_HAVE[n] else "count(*)") + f" AS n_missing FROM {n}"
+    for n, cs in _REQUIRED.items() for c in cs))
+def dq_required_rows_q(t):
+    """Q4 on rows: how many rows lack each required value, a column that the table lacks counting in full."""
+    parts = [Q.null_shares(t[n], cs).withColumn("table_name", F.lit(n)) for n, cs in _REQUIRED.items()]
+    return parts[0].unionByName(parts[1]).select("table_name", "column_name", "n_rows", "n_missing")

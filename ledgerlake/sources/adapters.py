@@ -459,6 +459,8 @@ def with_views(views, body: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS ({duckdb_sql(n)}\n)" for n in needed)
     stripped = body.lstrip()
+    if stripped[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{stripped[14:].lstrip()}"
     if stripped[:4].upper() == "WITH":
         return f"WITH {ctes},\n{stripped[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -43,6 +43,35 @@ def process_arrivals(spark: SparkSession, landing: str, schema: StructType,
     return len(batches)
 
 
+def process_new_contents(spark: SparkSession, landing: str, schema: StructType, handle: Callable[[DataFrame, int], None], name: str,
+                         fmt: str = "csv", options: dict | None = None, checkpoint: str | None = None, files_at_once: int = 1000) -> int:
+    """Like :func:`process_arrivals`, but once by content: a file whose bytes have been processed under any name, in any
+    run or earlier in the same drop, is passed over.
+
+    The stream reads files as bytes, and a stateful deduplication by their SHA-256 lets each content through once; its
+    state lives in the checkpoint.  A task holds one file's bytes at a time (the source's limit is 2 GB a file).  The
+    files that come through, ``files_at_once`` a batch at most, are then read as tables in the usual way."""
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/arrivals/{name}"
+    seen = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+            .option("maxFilesPerTrigger", files_at_once).load(landing)
+            .select("path", F.sha2("content", 256).alias("hash")).dropDuplicates(["hash"]))
+    batches = []
+
+    def _run(batch: DataFrame, batch_id: int) -> None:
+        paths = [r.path for r in batch.select("path").collect()]  # the batch's files at most
+        if paths:
+            reader = spark.read.format(fmt).schema(schema)
+            for k, v in (options or {"header": "true"}).items():
+                reader = reader.option(k, v)
+            batches.append(batch_id)
+            handle(reader.load(paths), batch_id)
+
+    q = (seen.writeStream.foreachBatch(_run).option("checkpointLocation", ckpt).trigger(availableNow=True)
+         .queryName(f"arrivals_{name}").start())
+    q.awaitTermination()
+    return len(batches)
+
+
 def replace_batch(out: str) -> Callable[[DataFrame, int], None]:
     """A handler that writes each batch to its own partition ``batch_id`` of ``out``,
     replacing what an earlier try of the same batch left there."""
