@@ -72,7 +72,7 @@ def local_data(sales: DataFrame, fx: DataFrame, freight: DataFrame, funding: Dat
 
     RMB amounts are converted at the hedge and the ex rate, USD amounts kept; a rate of 0 gives NULL.  Shipping fee =
     -(freight per unit x quantity); cost period by the (part, version) ranges; funding per unit x quantity (monthly: none for
-    negative quantities); credit note = rate x revenue (monthly: the rate of the rule cascade, weekly: the sheet's own);
+    negative quantities); credit note: monthly the rate of the rule cascade x revenue, weekly the sheet's own amount;
     net revenue = revenue - credit note, NULL as 0."""
     acc = F.col("source") == "ACCRAW"
     f = sales.withColumns({
@@ -88,8 +88,6 @@ def local_data(sales: DataFrame, fx: DataFrame, freight: DataFrame, funding: Dat
                period="version", exact={"__range": "period"})]))
     if monthly:
         f = credit_note_rate(f, rates, F.col("ou"), F.col("branch2"), F.col("customer"))
-    else:
-        f = f.withColumn("cn", F.col("cn_rate"))
     ranged = F.lit(False)
     for source, lines in RANGE_LINES.items():
         ranged = ranged | ((F.col("source") == source) & F.upper("product_line_id").isin(lines))
@@ -107,14 +105,19 @@ def local_data(sales: DataFrame, fx: DataFrame, freight: DataFrame, funding: Dat
         "total_ship_fee_company_rmb": F.when(acc, fee),
         "cost_period": F.when(ranged, F.coalesce("__range", F.lit(NEWEST_FIRST))).otherwise(F.lit(NEWEST_FIRST)),
         "funding": _d("funding_unit") * (F.when(qty < 0, F.lit(0.0)).otherwise(qty) if monthly else qty)})
-    f = f.withColumns({
-        "credit_note_hedge_rate": _d("cn") * z("revenue_usd_hedge_rate"), "credit_note_fxdiff": _d("cn") * z("revenue_fxdiff"),
-        "credit_note_rmb": F.when(acc, _d("cn") * z("revenue_rmb"))})
+    if monthly:
+        notes = {"credit_note_hedge_rate": _d("cn") * z("revenue_usd_hedge_rate"), "credit_note_fxdiff": _d("cn") * z("revenue_fxdiff"),
+                 "credit_note_rmb": F.when(acc, _d("cn") * z("revenue_rmb"))}
+    else:
+        note = _d("sheet_credit_note")
+        notes = {"credit_note_hedge_rate": converted(note, "fx_rate"), "credit_note_fxdiff": converted(note, "fx_rate_ex"),
+                 "credit_note_rmb": F.when(acc, note)}
+    f = f.withColumns(notes)
     f = f.withColumns({
         "net_revenue_usd_agp": z("revenue_usd_hedge_rate") - z("credit_note_hedge_rate"),
         "net_revenue_fxdiff": z("revenue_fxdiff") - z("credit_note_fxdiff"),
         "net_revenue_rmb": F.when(acc, z("revenue_rmb") - z("credit_note_rmb"))})
-    return f.select(*LOCAL_COLUMNS)
+    return f.select(*[c for c in LOCAL_COLUMNS if c in f.columns])
 
 
 # fixed values: territories of the simulation rows per source

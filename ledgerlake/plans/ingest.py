@@ -40,7 +40,7 @@ ACI_WEEKLY_CONTRACT = [
 ACI_MONTHLY_CONTRACT = [
     "source", "region", "revenue_country", "type", "business_type", "product_line", "period", "year", "month",
     "quarter", "sold_to_customer", "item", "item_description", "quantity", "sales_amount", "material_cost_amt",
-    "ar_trx_type", "country_chinese", "territory", "branch"]
+    "ar_trx_type", "country_chinese", "territory", "territory2", "order_type", "branch"]
 
 
 def exact_double(x) -> Column:
@@ -180,31 +180,45 @@ def aci_monthly(sheet: DataFrame, countries: DataFrame) -> DataFrame:
     return enforce_contract(df, ACI_MONTHLY_CONTRACT)
 
 
-COMBINED_CONTRACT = ["source", "freq", "period", "product_line", "item", "quantity", "revenue_usd_hedge_rate",
-                     "net_revenue_usd_agp"]
-
-
-def combined_fact(acc: DataFrame, aci: DataFrame, freq: str, funding: DataFrame, monthly: bool) -> DataFrame:
-    """Both sources in one contract (U3 + P5), then per-unit funding."""
-    a = acc.select("source", "period", F.col("apply_prod_line").alias("product_line"), "item",
-                   safe_number("quantity").alias("quantity"), "revenue_usd_hedge_rate",
-                   (F.col("net_revenue_usd_agp") if "net_revenue_usd_agp" in acc.columns
-                    else F.col("revenue_usd_hedge_rate")).alias("net_revenue_usd_agp"))
+# what the combined fact takes from either source's fact; amounts in the source's own currency
+SALES_COLUMNS = ["source", "product_line_id", "year", "quarter", "month", "period", "sold_to_customer", "order_type", "business_type",
+                 "product_type", "distribution", "distribution_type", "territory", "territory2", "branch", "country_id",
+                 "country_chinese", "country_code", "ou", "warranty", "csid", "part_number", "description", "all_qty", "revenue",
+                 "local_cogs", "sheet_credit_note", "sheet_csc_ratio", "sheet_csc_amt"]
+# fixed values: places of the RMB source
+RMB_PLACE, RMB_COUNTRY, RMB_COUNTRY_NAME = "ACC", "CN", "中國大陸"
+
+
+def combined_sales(acc: DataFrame, aci: DataFrame, monthly: bool) -> DataFrame:
+    """U3 + P5 of D10: both sources' facts in one contract, as :func:`~ledgerlake.plans.grossprofit.local_data` reads it."""
+    def amount(column) -> Column:
+        return (F.col(column) if isinstance(column, str) else column).cast("decimal(20,6)")
+
+    def typed(**columns) -> list[Column]:
+        missing = {c: F.lit(None).cast("decimal(20,6)" if c.startswith("sheet_") else "string") for c in SALES_COLUMNS}
+        named = missing | {c: F.col(x) if isinstance(x, str) else x for c, x in columns.items()}
+        return [named[c].alias(c) for c in SALES_COLUMNS]
+
+    same = {c: c for c in ("year", "quarter", "month", "period", "order_type")}
+    place, country = F.lit(RMB_PLACE), F.lit(RMB_COUNTRY)
+    a = acc.select(*typed(
+        **same, source=F.lit("ACCRAW"), product_line_id="apply_prod_line", business_type="bill_to_location", product_type="org",
+        distribution="distribution", distribution_type="distribution_type", territory=place, territory2=place, branch=place,
+        country_id=country, country_chinese=F.lit(RMB_COUNTRY_NAME), country_code=country, ou="ou", warranty="warranty", csid="csid",
+        part_number="item", description="item_description", all_qty=amount(safe_number("quantity")), revenue=amount("revenue_rmb"),
+        local_cogs=amount("local_cogs_amount_rmb"), **({} if monthly else {"sheet_credit_note": amount("credit_note_rmb")})))
+    place = {c: c for c in ("business_type", "territory", "territory2", "branch", "country_chinese")}
     if monthly:
-        b = aci.select("source", "period", "product_line", "item", "quantity",
-                       exact_double("sales_amount").alias("revenue_usd_hedge_rate"),
-                       exact_double("sales_amount").alias("net_revenue_usd_agp"))
+        own = dict(product_line_id="product_line", sold_to_customer="sold_to_customer", country_id=F.trim("revenue_country"),
+                   country_code=F.trim("revenue_country"), part_number="item", description="item_description",
+                   revenue=amount("sales_amount"), local_cogs=amount("material_cost_amt"))
     else:
-        b = aci.select("source", "period", F.col("sheet").alias("product_line"), F.col("part_no").alias("item"),
-                       "quantity", exact_double("revenue_usd_hedge_rate").alias("revenue_usd_hedge_rate"),
-                       exact_double("net_revenue_usd_agp").alias("net_revenue_usd_agp"))
-    u = a.unionByName(b).withColumn("freq", F.lit(freq))
-    fu = funding.select(F.trim("pn").alias("pn"), "period", "funding")
-    u = L.star_enrich(u, [L.LookupSpec(fu, {"pn": "item", "period": "period"}, {"funding": "funding_unit"})])
-    qty = exact_double("quantity")
-    unit_qty = F.when(qty < 0, F.lit(0.0)).otherwise(qty) if monthly else qty
-    u = u.withColumn("funding", exact_double("funding_unit") * unit_qty)
-    return enforce_contract(u, COMBINED_CONTRACT + ["funding"])
+        own = dict(product_line_id="sheet", sold_to_customer="cust_full_name", country_id="country_id", country_code="country_id",
+                   part_number="part_no", revenue=amount("revenue_usd_hedge_rate"), local_cogs=amount("cogs_amount"),
+                   sheet_credit_note=amount(F.col("revenue_usd_hedge_rate") - F.col("net_revenue_usd_agp")),
+                   sheet_csc_ratio=amount("csc_unit_cost"), sheet_csc_amt=amount("total_csc_cost"))
+    b = aci.select(*typed(**same, **place, **own, source=F.lit("ACIRAW"), all_qty=amount("quantity")))
+    return a.unionByName(b)
 
 
 # fixed values: key-part detail order types kept and the excluded group flag

@@ -90,11 +90,14 @@ def _keyword_sql(text, names, default):
     return f"CASE {arms} ELSE '{default}' END"
 
 
-def local_sql(monthly: bool) -> str:
-    """CTE chain ending in ``local_data``."""
+def local_sql(monthly: bool, sales: str = "sales_detail", columns=GP.LOCAL_COLUMNS) -> str:
+    """CTE chain from ``sales`` to ``local_data``."""
     names = GP.CUSTOMERS if monthly else GP.WEEKLY_CUSTOMERS
     rate = """CASE WHEN source = 'ACIRAW' AND upper(trim(business_type)) = 'REFURBISH' THEN CAST(0 AS DECIMAL(8,4))
-    ELSE coalesce(ra.cn, rb.cn, rc.cn, rd.cn) END""" if monthly else "cn_rate"
+    ELSE coalesce(ra.cn, rb.cn, rc.cn, rd.cn) END""" if monthly else "NULL"
+    notes = """cn * coalesce(revenue_usd_hedge_rate, 0.0) AS credit_note_hedge_rate, cn * coalesce(revenue_fxdiff, 0.0) AS credit_note_fxdiff,
+  CASE WHEN source = 'ACCRAW' THEN cn * coalesce(revenue_rmb, 0.0) END AS credit_note_rmb""" if monthly else f"""{_conv('note', 'fx_rate')} AS credit_note_hedge_rate,
+  {_conv('note', 'fx_rate_ex')} AS credit_note_fxdiff, CASE WHEN source = 'ACCRAW' THEN note END AS credit_note_rmb"""
     qty = "CASE WHEN CAST(all_qty AS DOUBLE) < 0 THEN 0.0 ELSE CAST(all_qty AS DOUBLE) END" if monthly else "CAST(all_qty AS DOUBLE)"
     return f"""ld_cn AS (SELECT CASE WHEN source = 'ACCRAW' THEN 'rmb' WHEN channel_code IN ('ACI-Retail', 'Channel-SA') THEN 'retail'
     WHEN starts_with(channel_code, 'Other Channel') THEN 'other' ELSE 'named' END AS rule, product_line, legal_entity, channel_code, period,
@@ -107,7 +110,7 @@ ld_fr AS (SELECT product_line, upper(trim(sales_team)) AS team, period, max(frei
 ld_fu AS (SELECT trim(pn) AS pn, period, max(funding) AS funding FROM funding GROUP BY ALL),
 ld_cr AS (SELECT trim(pn) AS pn, trim(version) AS version, max(cost_range) AS cost_range FROM cost_range GROUP BY ALL),
 ld0 AS (SELECT *, CASE WHEN source = 'ACIRAW' THEN {_keyword_sql('sold_to_customer', names, GP.OTHER_CUSTOMER)} END AS customer,
-  CASE WHEN source = 'ACCRAW' THEN 'ACC' ELSE {_keyword_sql('branch', GP.BRANCHES, GP.OTHER_BRANCH)} END AS branch2 FROM sales_detail),
+  CASE WHEN source = 'ACCRAW' THEN 'ACC' ELSE {_keyword_sql('branch', GP.BRANCHES, GP.OTHER_BRANCH)} END AS branch2 FROM {sales}),
 ld1 AS (SELECT s.*, x.fx_rate, x.fx_rate_ex, -(CAST(fr.freight AS DOUBLE) * CAST(s.all_qty AS DOUBLE)) AS fee, fu.funding AS funding_unit,
   CASE WHEN s.source = 'ACIRAW' OR s.product_line_id = 'NB' THEN coalesce(cr.cost_range, '由新到舊') ELSE '由新到舊' END AS cost_period,
   CAST({rate} AS DOUBLE) AS cn
@@ -122,19 +125,18 @@ ld1 AS (SELECT s.*, x.fx_rate, x.fx_rate_ex, -(CAST(fr.freight AS DOUBLE) * CAST
     AND rc.channel_code = s.customer || '-' || s.country_code AND rc.period = s.period
   LEFT JOIN ld_oth rd ON s.source = 'ACIRAW' AND rd.product_line = s.product_line_id AND rd.legal_entity = s.country_code
     AND rd.period = s.period),
-ld2 AS (SELECT *, CAST(revenue AS DOUBLE) AS rv, CAST(local_cogs AS DOUBLE) AS lc FROM ld1),
+ld2 AS (SELECT *, CAST(revenue AS DOUBLE) AS rv, CAST(local_cogs AS DOUBLE) AS lc, CAST(sheet_credit_note AS DOUBLE) AS note FROM ld1),
 ld3 AS (SELECT *, {_conv('rv', 'fx_rate')} AS revenue_usd_hedge_rate, {_conv('rv', 'fx_rate_ex')} AS revenue_fxdiff,
   CASE WHEN source = 'ACCRAW' THEN rv END AS revenue_rmb,
   {_conv('lc', 'fx_rate')} AS local_cogs_amount, {_conv('lc', 'fx_rate_ex')} AS local_cogs_amount_fxdiff,
   CASE WHEN source = 'ACCRAW' THEN lc END AS local_cogs_amount_rmb,
   {_conv('fee', 'fx_rate')} AS total_ship_fee_company, {_conv('fee', 'fx_rate_ex')} AS total_ship_fee_company_fxdiff,
   CASE WHEN source = 'ACCRAW' THEN fee END AS total_ship_fee_company_rmb, CAST(funding_unit AS DOUBLE) * ({qty}) AS funding FROM ld2),
-ld4 AS (SELECT *, cn * coalesce(revenue_usd_hedge_rate, 0.0) AS credit_note_hedge_rate, cn * coalesce(revenue_fxdiff, 0.0) AS credit_note_fxdiff,
-  CASE WHEN source = 'ACCRAW' THEN cn * coalesce(revenue_rmb, 0.0) END AS credit_note_rmb FROM ld3),
+ld4 AS (SELECT *, {notes} FROM ld3),
 local_all AS (SELECT *, coalesce(revenue_usd_hedge_rate, 0.0) - coalesce(credit_note_hedge_rate, 0.0) AS net_revenue_usd_agp,
   coalesce(revenue_fxdiff, 0.0) - coalesce(credit_note_fxdiff, 0.0) AS net_revenue_fxdiff,
   CASE WHEN source = 'ACCRAW' THEN coalesce(revenue_rmb, 0.0) - coalesce(credit_note_rmb, 0.0) END AS net_revenue_rmb FROM ld4),
-local_data AS (SELECT {', '.join(GP.LOCAL_COLUMNS)} FROM local_all)"""
+local_data AS (SELECT {', '.join(columns)} FROM local_all)"""
 
 
 def _avg(value, keys, table):

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import money as M
 from ledgerlake.operators import lookup as L
+from ledgerlake.plans import grossprofit as GP
 from ledgerlake.plans import ingest as I
+from ledgerlake.plans.q_gross import local_sql
 from ledgerlake.plans.q_relational import CN_CASCADE_SQL, cn_cascade
 from ledgerlake.plans.registry import query, shared
 
@@ -165,36 +167,50 @@ def fact_aci_monthly_q(t):
     return aci(t, True)
 
 
+_COMBINED = [c for c in GP.LOCAL_COLUMNS if c not in ("l_orderkey", "l_linenumber")]
+
+
+def _amt(x):
+    return f"CAST({x} AS DECIMAL(20,6))"
+
+
 def _combined_sql(monthly: bool) -> str:
+    """Both sheets' facts stacked, then the D10 chain over them."""
+    none = "CAST(NULL AS DECIMAL(20,6))"
     acc_name, aci_name = ("acc_m", "aci_m") if monthly else ("acc_w", "aci_w")
-    head = f"{acc_sql(monthly, acc_name)}, {aci_monthly_sql() if monthly else aci_weekly_sql()}"
-    net = "revenue_usd_hedge_rate" if monthly else "net_revenue_usd_agp"
-    if monthly:
-        b = f"SELECT source, period, product_line, item, quantity, {_xd('sales_amount')}, {_xd('sales_amount')} FROM {aci_name}"
-    else:
-        b = (f"SELECT source, period, sheet, part_no, quantity, {_xd('revenue_usd_hedge_rate')}, "
-             f"{_xd('net_revenue_usd_agp')} FROM {aci_name}")
-    unit = f"CASE WHEN {_xd('u.quantity')} < 0 THEN 0.0 ELSE {_xd('u.quantity')} END" if monthly else _xd("u.quantity")
-    return f"""WITH {head},
-u AS (SELECT source, period, apply_prod_line AS product_line, item, {_safe('quantity')} AS quantity,
-        revenue_usd_hedge_rate, {net} AS net_revenue_usd_agp FROM {acc_name}
-      UNION ALL {b}),
-fu AS (SELECT trim(pn) AS pn, period, max(funding) AS funding FROM funding GROUP BY 1, 2)
-SELECT u.source, '{'monthly' if monthly else 'weekly'}' AS freq, u.period, u.product_line, u.item, u.quantity,
-  u.revenue_usd_hedge_rate, u.net_revenue_usd_agp, {_xd('fu.funding')} * ({unit}) AS funding
-FROM u LEFT JOIN fu ON fu.pn = u.item AND fu.period = u.period"""
+    usd = (f"""product_line, year, quarter, month, period, sold_to_customer, order_type, business_type, NULL, NULL, NULL, territory, territory2,
+    branch, trim(revenue_country), country_chinese, trim(revenue_country), NULL, NULL, NULL, item, item_description, {_amt('quantity')},
+    {_amt('sales_amount')}, {_amt('material_cost_amt')}, {none}, {none}, {none}""" if monthly else
+           f"""sheet, year, quarter, month, period, cust_full_name, order_type, business_type, NULL, NULL, NULL, territory, territory2,
+    branch, country_id, country_chinese, country_id, NULL, NULL, NULL, part_no, NULL, {_amt('quantity')}, {_amt('revenue_usd_hedge_rate')},
+    {_amt('cogs_amount')}, {_amt('revenue_usd_hedge_rate - net_revenue_usd_agp')}, {_amt('csc_unit_cost')}, {_amt('total_csc_cost')}""")
+    return f"""WITH {acc_sql(monthly, acc_name)}, {aci_monthly_sql() if monthly else aci_weekly_sql()},
+both_sheets AS (SELECT 'ACCRAW' AS source, apply_prod_line AS product_line_id, year, quarter, month, period, CAST(NULL AS VARCHAR) AS sold_to_customer,
+    order_type, bill_to_location AS business_type, org AS product_type, distribution, distribution_type, 'ACC' AS territory, 'ACC' AS territory2,
+    'ACC' AS branch, 'CN' AS country_id, '中國大陸' AS country_chinese, 'CN' AS country_code, ou, warranty, csid, item AS part_number,
+    item_description AS description, {_amt(_safe('quantity'))} AS all_qty, {_amt('revenue_rmb')} AS revenue, {_amt('local_cogs_amount_rmb')} AS local_cogs,
+    {none if monthly else _amt('credit_note_rmb')} AS sheet_credit_note, {none} AS sheet_csc_ratio, {none} AS sheet_csc_amt FROM {acc_name}
+  UNION ALL SELECT 'ACIRAW', {usd} FROM {aci_name}),
+{local_sql(monthly, 'both_sheets', _COMBINED)}
+SELECT *, '{'monthly' if monthly else 'weekly'}' AS freq FROM local_data"""
+
+
+def _combined(t, monthly: bool):
+    sales = I.combined_sales(acc(t, monthly), aci(t, monthly), monthly)
+    f = GP.local_data(sales, t["fx_rates"], t["branch_freight"], t["funding"], t["cost_range"], t["cn_rates"], monthly)
+    return f.withColumn("freq", F.lit("monthly" if monthly else "weekly"))
 
 
 @query("combined_fact_weekly", _ING_VIEWS, _combined_sql(False))
 def combined_fact_weekly_q(t):
-    """D10 weekly: both sources in one contract with per-unit funding."""
-    return I.combined_fact(acc(t, False), aci(t, False), "weekly", t["funding"], monthly=False)
+    """D10 weekly: both sources in one contract with fees, cost period, funding and the sheets' own credit notes."""
+    return _combined(t, False)
 
 
 @query("combined_fact_monthly", _ING_VIEWS, _combined_sql(True))
 def combined_fact_monthly_q(t):
-    """D10 monthly (negative quantities earn no funding)."""
-    return I.combined_fact(acc(t, True), aci(t, True), "monthly", t["funding"], monthly=True)
+    """D10 monthly: credit notes by the rule cascade, net revenue = revenue less credit note; negative quantities earn no funding."""
+    return _combined(t, True)
 
 
 @query("shipping_fee", _ING_VIEWS, """

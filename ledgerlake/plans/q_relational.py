@@ -13,7 +13,7 @@ from ledgerlake.operators import setops as U
 from ledgerlake.operators import spine as S
 from ledgerlake.plans import ingest as I
 from ledgerlake.plans.registry import query, shared
-from ledgerlake.sources.snapshot import latest_snapshot, max_of
+from ledgerlake.sources.snapshot import latest_period, latest_snapshot, max_of
 
 # ---------------------------------------------------------------- joins
 
@@ -520,7 +520,7 @@ def first_in_group_q(t):
 
 CARRY_SQL = """cur AS (SELECT upper(product_no) AS product_line, item_no, group_no AS period,
                     CAST(sum(po_price) AS DOUBLE) / CAST(count(po_price) AS DOUBLE) AS price
-             FROM quotes WHERE group_no IN ('199604', '199605') GROUP BY 1, 2, 3),
+             FROM quotes WHERE group_no > (SELECT max(period) FROM price_history) GROUP BY 1, 2, 3),
 hist AS (SELECT product_line, item_no, period, CAST(equo_price AS DOUBLE) AS price FROM price_history),
 last AS (SELECT * FROM hist WHERE period = (SELECT max(period) FROM hist)),
 items AS (SELECT product_line, item_no FROM cur UNION SELECT product_line, item_no FROM hist),
@@ -536,8 +536,9 @@ LEFT JOIN cur c ON c.product_line = s.product_line AND c.item_no = s.item_no AND
 LEFT JOIN hist h ON h.product_line = s.product_line AND h.item_no = s.item_no AND h.period = s.period
 LEFT JOIN last l ON l.product_line = s.product_line AND l.item_no = s.item_no""")
 def carry_forward_q(t):
-    """W5 (+J7): items × periods skeleton filled by current → stored same period → latest stored."""
-    q = t["quotes"].where(F.col("group_no").isin("199604", "199605"))
+    """W5 (+J7): items × periods skeleton filled by current → stored same period → latest stored; the current quotes are
+    those after the stored history's last month."""
+    q = t["quotes"].where(F.col("group_no") > max_of(t["price_history"], "period"))
     cur = (q.groupBy(F.upper("product_no").alias("product_line"), "item_no", F.col("group_no").alias("period"))
            .agg(A.mean("po_price").alias("price")))
     hist = t["price_history"].select("product_line", "item_no", "period", F.col("equo_price").cast("double").alias("price"))
@@ -585,12 +586,12 @@ def union_distinct_q(t):
 @query("union_all", ["fact_sales"], """
 SELECT l_orderkey, l_linenumber, source, revenue FROM fact_sales WHERE source = 'ACCRAW'
 UNION ALL
-SELECT l_orderkey, l_linenumber, source, revenue FROM fact_sales WHERE source = 'ACIRAW' AND revenue > 50000""")
+SELECT l_orderkey, l_linenumber, source, revenue FROM fact_sales WHERE source = 'ACIRAW'""")
 def union_all_q(t):
     """UNION ALL of same-contract branches."""
     f = t["fact_sales"].select("l_orderkey", "l_linenumber", "source", "revenue")
     return U.union_all([f.where(F.col("source") == "ACCRAW"),
-                        f.where((F.col("source") == "ACIRAW") & (F.col("revenue") > 50000))])
+                        f.where(F.col("source") == "ACIRAW")])
 
 
 @query("union_by_name", ["fact_sales"], """
@@ -615,29 +616,31 @@ def key_union_q(t):
 
 
 @query("period_accumulate", ["order_snapshots"], """
-WITH hist AS (SELECT o_orderkey, period, amount FROM order_snapshots WHERE ds = '20240229'),
-new AS (SELECT o_orderkey, period, amount FROM order_snapshots
-        WHERE ds = '20240131' AND period = (SELECT max(period) FROM order_snapshots WHERE ds = '20240131'))
+WITH days AS (SELECT DISTINCT ds FROM order_snapshots),
+hist AS (SELECT o_orderkey, period, amount FROM order_snapshots
+         WHERE ds = (SELECT max(ds) FROM days WHERE ds < (SELECT max(ds) FROM days))),
+new AS (SELECT o_orderkey, period, amount FROM order_snapshots WHERE ds = (SELECT max(ds) FROM days)
+        AND period = (SELECT max(period) FROM order_snapshots WHERE ds = (SELECT max(ds) FROM days)))
 SELECT * FROM hist WHERE period <> (SELECT max(period) FROM new) UNION ALL SELECT * FROM new""")
 def period_accumulate_q(t):
-    """History without the new period ∪ the new period."""
+    """The snapshot before the newest, without the newest one's last period ∪ that period."""
     s = t["order_snapshots"]
-    hist = s.where(F.col("ds") == "20240229").select("o_orderkey", "period", "amount")
-    day = s.where(F.col("ds") == "20240131")
-    new = day.where(F.col("period") == max_of(day, "period")).select("o_orderkey", "period", "amount")
-    return U.period_accumulate(hist, new)
+    newest = max_of(s, "ds")
+    hist = latest_snapshot(s.where(F.col("ds") < newest)).select("o_orderkey", "period", "amount")
+    return U.period_accumulate(hist, latest_period(s).select("o_orderkey", "period", "amount"))
 
 
 @query("restatement", ["order_snapshots"], """
-WITH prov AS (SELECT o_orderkey, period, amount FROM order_snapshots WHERE ds = '20240331'),
-rest AS (SELECT o_orderkey, period, amount FROM order_snapshots WHERE ds = '20240131' AND period >= '199801')
+WITH prov AS (SELECT o_orderkey, period, amount FROM order_snapshots WHERE ds = (SELECT max(ds) FROM order_snapshots)),
+first AS (SELECT o_orderkey, period, amount FROM order_snapshots WHERE ds = (SELECT min(ds) FROM order_snapshots)),
+rest AS (SELECT * FROM first WHERE period = (SELECT max(period) FROM first))
 SELECT * FROM prov WHERE period <> coalesce((SELECT max(period) FROM rest), '') UNION ALL SELECT * FROM rest""")
 def restatement_q(t):
-    """Provisional periods except the restated one ∪ the restated rows."""
+    """The newest snapshot's periods except the restated one ∪ the restated rows: the last period of the oldest snapshot."""
     s = t["order_snapshots"]
-    prov = s.where(F.col("ds") == "20240331").select("o_orderkey", "period", "amount")
-    rest = s.where((F.col("ds") == "20240131") & (F.col("period") >= "199801")).select("o_orderkey", "period", "amount")
-    return U.restatement(prov, rest)
+    oldest = s.where(F.col("ds") == s.select(F.min("ds")).scalar())
+    rest = latest_period(oldest, ds=None).select("o_orderkey", "period", "amount")
+    return U.restatement(latest_snapshot(s).select("o_orderkey", "period", "amount"), rest)
 
 # ---------------------------------------------------------------- reshape
 

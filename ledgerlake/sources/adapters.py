@@ -153,7 +153,8 @@ SELECT {_PL.format(k='a.p_partkey')} AS product_line, a.item_no, a.ag_no, m.peri
   CASE WHEN a.p_partkey % 4 = 0 THEN NULL ELSE CAST(a.price + 1 AS DECIMAL(20,8)) END AS cogs_price,
   '20240131' AS ds
 FROM {{part_attr}} a
-JOIN (SELECT period FROM {{fact_months}} WHERE period < '199604') m ON {_residue_join(5)}""",
+JOIN (SELECT period FROM {{fact_months}}
+  WHERE period < (SELECT CAST(CAST(max(period) AS BIGINT) - 200 AS STRING) FROM {{fact_months}})) m ON {_residue_join(5)}""",
     "raw_text_sales": """
 SELECT
   CASE WHEN l.l_linenumber % 4 = 0 THEN '  '
@@ -262,6 +263,7 @@ SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.source, f.product_line_id, f
   CASE WHEN f.source = 'ACCRAW' THEN CASE WHEN f.l_linenumber % 2 = 0 THEN '12' ELSE '24' END END AS warranty,
   CASE WHEN f.source = 'ACCRAW' THEN 'CS' || CAST(f.l_orderkey % 50 AS STRING) END AS csid,
   'part ' || f.part_number AS description, f.all_qty, f.revenue, f.cn_rate,
+  CAST(f.revenue * CAST(f.cn_rate AS DECIMAL(6,4)) AS DECIMAL(20,4)) AS sheet_credit_note,
   CAST(f.revenue * CAST(0.7 AS DECIMAL(2,1)) AS DECIMAL(20,3)) AS local_cogs,
   CASE WHEN f.source = 'ACIRAW' THEN CAST(f.l_partkey % 4 * 0.01 AS DECIMAL(6,4)) END AS sheet_csc_ratio,
   CASE WHEN f.source = 'ACIRAW' THEN CAST(f.revenue * CAST(0.02 AS DECIMAL(3,2)) AS DECIMAL(20,4)) END AS sheet_csc_amt
