@@ -77,7 +77,7 @@ def read_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
         raise ValueError("no record starts here")
     end = data.index(b"\r\n\r\n", at)
     lines = data[at:end].decode().split("\r\n")[1:]
-    headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
+    headers = {name.strip(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
     start = end + 4
     stop = start + int(headers["Content-Length"])
     block = data[start:stop]
@@ -96,10 +96,16 @@ def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def http_parts(block: bytes) -> tuple[str, dict[str, str], bytes]:
+def http_parts(block: bytes) -> tuple[str, dict, bytes]:
+    """Status line, headers (a list where a name repeats) and payload."""
     head, _, payload = block.partition(b"\r\n\r\n")
     lines = head.decode("latin-1").split("\r\n")
-    return lines[0], dict(line.split(": ", 1) for line in lines[1:] if ": " in line), payload
+    headers: dict[str, str | list[str]] = {}
+    for name, colon, value in (line.partition(":") for line in lines[1:]):
+        if colon:
+            old, name, value = headers.get(name.strip()), name.strip(), value.strip()
+            headers[name] = value if old is None else [*(old if isinstance(old, list) else [old]), value]
+    return lines[0], headers, payload
 
 
 def plain_text(page: str) -> str:
@@ -113,12 +119,13 @@ def derivatives(source: bytes) -> list[tuple[str, str, str, str, bytes, str, str
     if headers.get("WARC-Type") != "response":
         raise ValueError("not a response record")
     status, http, payload = http_parts(block)
-    if headers["WARC-Payload-Digest"] != sha1(payload):
+    payload_digest = headers.get("WARC-Payload-Digest", sha1(payload))  # the field is optional
+    if payload_digest != sha1(payload):
         raise ValueError("a payload's digest disagrees")
     page = payload.decode("utf-8", "replace")
     title = TITLE.search(page)
     facts = {"source": headers, "status": status, "http": http, "title": " ".join(entities.unescape(title[1]).split()) if title else None,
-             "links": [entities.unescape("".join(m)) for m in LINK.findall(page)], "payload_digest": headers["WARC-Payload-Digest"],
+             "links": [entities.unescape("".join(m)) for m in LINK.findall(page)], "payload_digest": payload_digest,
              "payload_length": len(payload)}
     out = []
     for kind, media, data in (("metadata", "application/json", json.dumps(facts, ensure_ascii=False, sort_keys=True).encode()),
@@ -127,7 +134,7 @@ def derivatives(source: bytes) -> list[tuple[str, str, str, str, bytes, str, str
         out.append((kind, own, headers["WARC-Record-ID"], headers["WARC-Target-URI"], record([
             ("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Date", headers["WARC-Date"]), ("WARC-Target-URI", headers["WARC-Target-URI"]),
             ("WARC-Refers-To", headers["WARC-Record-ID"]), ("WARC-Block-Digest", digest), ("Content-Type", media)], data),
-            digest, headers["WARC-Payload-Digest"]))
+            digest, payload_digest))
     return out
 
 
@@ -144,18 +151,27 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 
 def derive(records: DataFrame) -> DataFrame:
-    """The linked records of every response in ``records`` (page_id, record)."""
-    names = ["page_id", "kind", "record_id", "refers_to", "target_uri", "record", "block_digest", "source_payload_digest"]
+    """The linked records of every response in ``records`` (page_id, record); one row of kind ``damaged`` with the
+    ``reason`` for a record that is null, cut, changed or no response."""
+    names = ["page_id", "kind", "record_id", "refers_to", "target_uri", "record", "block_digest", "source_payload_digest", "reason"]
+
+    def derived(source: bytes | None) -> list[tuple]:
+        try:
+            if source is None:
+                raise ValueError("no record")
+            return [(*d, None) for d in derivatives(source)]
+        except (ValueError, KeyError) as error:
+            return [("damaged", *[None] * 6, f"{type(error).__name__}: {error}")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(page, *d) for page, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for d in derivatives(source)]
+            rows = [(page, *d) for page, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for d in derived(source)]
             if rows:
-                kinds = [pa.int64(), *[pa.string()] * 4, pa.binary(), pa.string(), pa.string()]
+                kinds = [pa.int64(), *[pa.string()] * 4, pa.binary(), *[pa.string()] * 3]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     return records.select("page_id", "record").mapInArrow(
-        run, "page_id long, kind string, record_id string, refers_to string, target_uri string, record binary, block_digest string, source_payload_digest string")
+        run, "page_id long, kind string, record_id string, refers_to string, target_uri string, record binary, block_digest string, source_payload_digest string, reason string")
 
 
 def files(records: DataFrame, prefix: str = "part", most_bytes: int = 64 << 20) -> DataFrame:

@@ -58,3 +58,19 @@ def test_whole_table(spark):
         p = pages[r["page_id"]]
         assert r["source_payload_digest"] == "sha1:" + base64.b32encode(hashlib.sha1(p["html"].encode()).digest()).decode()
         assert r["target_uri"] == p["url"]
+
+
+def test_damaged_and_sparse_records_get_rows(spark):
+    good = warc.response("http://h/", "page <p>two")
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie:a=1\r\nSet-Cookie: b=2\r\nX:y\r\n\r\n<p>hi"
+    sparse = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>"), ("WARC-Date", "2024-01-01T00:00:00Z"),
+                          ("WARC-Target-URI", "http://h/2")], block).replace(b"WARC-Type: ", b"WARC-Type:")
+    rows = [(1, good), (2, None), (3, good[:-9]), (4, b""), (5, sparse), (6, warc.derivatives(good)[0][4])]
+    got = {}
+    for r in warc.derive(spark.createDataFrame([(k, None if b is None else bytearray(b)) for k, b in rows], "page_id long, record binary")).collect():
+        got.setdefault(r.page_id, []).append(r)
+    assert {k: [r.kind for r in v] for k, v in got.items()} == {
+        1: ["metadata", "conversion"], 2: ["damaged"], 3: ["damaged"], 4: ["damaged"], 5: ["metadata", "conversion"], 6: ["damaged"]}
+    assert all((r.reason is None) == (r.kind != "damaged") for v in got.values() for r in v)
+    facts = json.loads(warc.read_record(got[5][0].record)[1])
+    assert facts["http"] == {"Set-Cookie": ["a=1", "b=2"], "X": "y"} and facts["payload_digest"] == warc.sha1(b"<p>hi")
