@@ -51,7 +51,9 @@ class Flatten:
         self.text: list[str] = []
         self.attachments: list[dict] = []
 
-    def visit(self, part: dict) -> None:
+    def visit(self, part: dict | None) -> None:
+        if part is None:
+            return
         getattr(self, f"visit_{part['kind']}", self.unknown)(part)
 
     def unknown(self, part: dict) -> None:

@@ -65,3 +65,9 @@ def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     t = "</s>[INST] ok [/INST]"
     assert got(QUERIES["op8_chat"](spark, d)) == brute(rows + [(-7, 0, "user", t), (-7, 1, "assistant", t)])
+
+
+def test_null_parts_are_empty():
+    from ledgerlake.llm import chat
+    part = {"kind": "text", "text": "a", "uri": None, "width": None, "height": None, "seconds": None, "pages": None}
+    assert chat.format_turn("user", [None, part, None]) == chat.format_turn("user", [part])
