@@ -58,6 +58,8 @@ ASIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo cookie cookies consent notice notices alert popup modal "
     "newsletter subscribe subscription sidebar widget related breadcrumb breadcrumbs menu nav navbar navigation footer header "
     "comment comments disqus reply replies respond social share sharing paywall login signup".split())
+STATES = ("has-", "no-", "with-", "without-", "not-", "is-")
+"""Class names that begin so tell of what an element holds or lacks, not what it is."""
 NAMES = re.compile(r"\b(?P<kind>class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 SLOT = "#"
@@ -81,7 +83,8 @@ def is_aside(tag: str, attributes: str, nested: bool = False) -> bool:
         return True
     if not attributes or "=" not in attributes or tag in WHOLE and not (nested and tag == "article"):
         return False
-    return any(not ASIDE_WORDS.isdisjoint(WORDS.findall("".join(m[1:]).lower())) for m in NAMES.findall(attributes))
+    names = [n for m in NAMES.findall(attributes) for n in "".join(m[1:]).lower().split()]
+    return any(not ASIDE_WORDS.isdisjoint(WORDS.findall(n)) for n in names if not n.startswith(STATES))
 
 
 @lru_cache(1 << 12)

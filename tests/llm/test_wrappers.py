@@ -113,3 +113,12 @@ def test_whole_table(spark):
     d = "/root/testdata/sf0.01"
     want = {r["page_id"]: brute(r["html"]) for r in spark.read.parquet(f"{d}/pages.parquet").collect()}
     assert {r["page_id"]: r["text"] for r in QUERIES["op2_wrappers"](spark, d).collect()} == want
+
+
+def test_classes_that_tell_what_an_element_holds(spark):
+    from ledgerlake.llm import wrappers
+    pages = [(1, "http://a/1", '<body><div class="page has-sidebar"><article><p>One two.</p></article></div></body>'),
+             (2, "http://b/1", '<body><div id="content" class="no-comments"><p>Three four.</p></div></body>'),
+             (3, "http://c/1", '<body><article><p>Five.</p><div class="sidebar">menu</div><div class="is-wide"><p>Six.</p></div></article></body>')]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "One two.", 2: "Three four.", 3: "Five.\nSix."}
