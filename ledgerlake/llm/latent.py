@@ -6,10 +6,11 @@
 3. Randomised SVD.  Each task multiplies its passages A with a random matrix and back, the parts of A'(A R) are
    summed by Spark in two salted steps, and their orthonormal basis (vocabulary x ``RANK``) spans the latent space.
 4. Search.  Every document's windows of two widths are projected, and pairs with an item at a cosine of ``COSINE`` or more are
-   candidates; no pair is dropped for rank.
-   So are places with enough of an item's words: of its rarest words (``RARE`` of its positions) all but as many as the checks
-   let a copy lack, within half as many words again as the item has.  No copy that the checks accept has fewer, so neither the
-   windows' width nor the cosine decides what is found; both kinds of candidates are checked.
+   candidates; no pair is dropped for rank.  ``tests/llm/test_latent.py`` measures their recall on copies of a common subsequence
+   of 0.6 to 1 (0.9 at least).  Items that the latent space cannot tell, being shorter than ``NARROW`` words or with more than ``DIM``
+   of their words without weight, are searched by their rarest words instead: places with, of the rarest words (``RARE`` of the
+   positions), all but as many as the checks let a copy lack, within half as many words again as the item has; no copy that the
+   checks accept has fewer.
 5. Checks.  A candidate's region must hold the item's words in order: its longest common subsequence covers ``SURE`` of the item, or
    ``LIKELY`` of it and ``ANSWER`` of the item's last sentence (its answer) as well, as in a paraphrase.
 
@@ -19,7 +20,7 @@ documents.  Documents are only scanned, never shuffled; what is shuffled are sum
 long texts are processed in pieces of ``AT_ONCE`` words.
 
 Defined results: null and empty texts match nothing, and items without words match nothing; items of under ``SHORT`` words must occur
-word for word; repeated rows are judged one by one (with several
+word for word; an item of more than ``PIECE`` words is cut into pieces, and a document that repeats one of them repeats the item; repeated rows are judged one by one (with several
 blocks, ``matches`` gives rows of one doc_id one row); an empty table of documents or of items gives no match; extra columns
 are ignored by ``matches`` and kept by ``decontaminate``.
 """
@@ -48,10 +49,11 @@ RANK, MORE = 64, 8
 SMOOTH = 4e-4
 LIGHT = 0.02
 """Words of less than this share of the largest weight are stop words for the latent space (not for the checks)."""
-COSINE = 0.75
+COSINE = 0.7
+NARROW, DIM = 16, 0.4
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 SHORT = 8
-RARE = 0.7
+RARE = 0.55
 SLICE = 1 << 13
 """Words of a text that are held against the items' rare words at a time."""
 PIECE = 60
@@ -63,8 +65,21 @@ ROWS = 64
 EDGES = string.punctuation + "«»“”„…¿¡"
 
 
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of all texts (null: none), every word in turn as a number among them, and where each text's
+    words begin: lower-cased, cut at ASCII blanks, without signs at their ends; what is signs only is no word.  Items and
+    documents go through this one function."""
+    split = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    flat = split.flatten().dictionary_encode()
+    kinds, number = pc.utf8_trim(flat.dictionary, EDGES), flat.indices.to_numpy()
+    word = pc.not_equal(kinds, "").to_numpy(zero_copy_only=False)[number] if len(number) else np.zeros(0, bool)
+    kept = np.concatenate([[0], np.cumsum(word)])
+    return kinds, number[word], kept[split.offsets.to_numpy() - split.offsets[0].as_py()]
+
+
 def words_of(text: str) -> list[str]:
-    return [w for w in (x.strip(EDGES) for x in re.split("[ \t-\r]+", text.lower())) if w]
+    kinds, number, _ = tokens(pa.array([text], pa.string()))
+    return kinds.take(pa.array(number)).to_pylist()
 
 
 class Item:
@@ -73,6 +88,7 @@ class Item:
     def __init__(self, item_id: int, codes: Sequence[int], answer: Sequence[int]):
         self.item_id, self.codes, self.answer = item_id, list(codes), list(answer)
         self.distinct = frozenset(codes)
+        self.least = len(self.distinct) - lacking(len(self.codes))
         self.masks, self.answer_masks = masks(self.codes), masks(self.answer)
 
 
@@ -122,12 +138,9 @@ def encode(docs: DataFrame, words: dict[str, int]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 b = batch.slice(at, 2048)
-                split = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(b.column(1), "")))
-                flat = split.flatten().dictionary_encode()
-                kinds = pc.utf8_trim(flat.dictionary, EDGES)
-                number = pc.fill_null(pc.add(pc.index_in(kinds, vocabulary), 1), 0).to_numpy().astype("<u2")
-                codes = number[flat.indices.to_numpy()]
-                cuts = (split.offsets.to_numpy() - split.offsets[0].as_py()).tolist()
+                kinds, number, cuts = tokens(b.column(1))
+                known_as = pc.fill_null(pc.add(pc.index_in(kinds, vocabulary), 1), 0).to_numpy().astype("<u2")
+                codes, cuts = known_as[number], cuts.tolist()
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
                     [codes[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["doc", "codes"])
 
@@ -237,12 +250,20 @@ def reach(n: int) -> int:
     return n + n // 2 + CHUNK
 
 
+def dim(item: Item, weight: np.ndarray) -> bool:
+    """Whether the latent space cannot tell the item."""
+    return len(item.codes) < NARROW or float(np.mean(weight[item.codes] == 0)) > DIM
+
+
 class Rare:
-    """The items' rarest words: for each word number the items that it is looked up for."""
+    """The rarest words of the items that are searched by them: for each word number the items that it is looked up for."""
 
     def __init__(self, items: list[Item], weight: np.ndarray):
         pairs, need = [], []
         for k, item in enumerate(items):
+            if not dim(item, weight):
+                need.append(np.iinfo(np.int64).max // 2)
+                continue
             n, less = len(item.codes), lacking(len(item.codes))
             words = Counter(item.codes)
             total = 0
@@ -258,10 +279,12 @@ class Rare:
         self.first = np.searchsorted(word, np.arange(len(weight) + 1))
         self.need = np.array(need, np.int64)
         self.length = np.array([len(i.codes) for i in items], np.int64)
-        self.reach = np.array([reach(len(i.codes)) for i in items], np.int64)
+        self.reach = np.array([reach(len(i.codes)) if dim(i, weight) else 0 for i in items], np.int64)
 
     def places(self, own: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """``item, start, end`` of the regions with enough of an item's rare words."""
+        if not len(self.item):
+            return
         over = int(self.reach.max()) + 1
         for at in range(0, len(own), SLICE):  # slices overlap by the longest reach
             part = own[at:at + SLICE + over]
@@ -299,8 +322,7 @@ def check(item: Item, region: Sequence[int]) -> tuple[float, bool] | None:
     if n < SHORT:
         whole = any(list(region[k:k + n]) == item.codes for k in range(len(region) - n + 1))
         return (1.0, True) if whole else None
-    known = sum(c in item.distinct for c in set(region))
-    if known < len(item.distinct) - lacking(n):
+    if len(item.distinct.intersection(region)) < item.least:
         return None
     share = common_subsequence(item.masks, n, region) / n
     if share < LIKELY:

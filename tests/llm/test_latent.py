@@ -133,3 +133,48 @@ def test_whole_table_finds_every_verbatim_item(spark):
             assert lcs(items[i], texts[doc]) >= 0.6 * len(items[i])
     print(sum(map(bool, want.values())), len(more))
     assert len(more) <= 0.3 * sum(map(bool, want.values()))
+
+
+def test_one_tokenizer_for_items_and_documents(spark):
+    """Free-standing signs, final sigma, dotted capital I: a verbatim copy of a short item is found."""
+    items = ["one two - three four five", "ΟΔΟΣ ΚΑΙ ΛΟΓΟΣ εἶπεν", "İstanbul Iğdır ... ılık", "a -- «b» c!"]
+    docs = [(i, f"some words before {t} and after", "x") for i, t in enumerate(items)]
+    docs += [(9, "one two three - four five", "x"), (10, "one two - x three four five", "x"), (11, None, "x"), (12, "- -- ...", "x")]
+    benchmark = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: [f.item_id for f in r.found] for r in latent.matches(
+        spark.createDataFrame(docs, SCHEMA), benchmark).collect()}
+    assert got == {0: [0], 1: [1], 2: [2], 3: [3], 9: [0], 10: [], 11: [], 12: []}
+    assert latent.words_of("one two - three") == ["one", "two", "three"]
+
+
+def test_latent_candidates_recall(spark):
+    """Copies with words replaced by other words of the documents: of those that the checks accept, how many the search
+    finds, by the share of the item that is left in order.  Rare words help only with the items that are ``dim``."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    rng = random.Random(11)
+    texts = [r.text.split() for r in docs.collect() if r.text and len(r.text.split()) > 220]
+    planted = []
+    for r in benchmark.collect():
+        words = r.text.split()
+        for share in (0.0, 0.1, 0.18, 0.25, 0.33, 0.38):
+            body = rng.choice(texts)
+            at, kept = rng.randrange(100, len(body) - 100), 5 if share > 0.2 else 0
+            copy = [rng.choice(rng.choice(texts)) if rng.random() < share and k < len(words) - kept else w for k, w in enumerate(words)]
+            planted.append((10**6 + len(planted), " ".join(body[at - 100:at] + copy + body[at:at + 100]), r.item_id, " ".join(copy)))
+    extra = spark.createDataFrame([(d, t) for d, t, _, _ in planted], "doc_id long, text string")
+    found = {r.doc_id: {f.item_id for f in r.found} for r in latent.matches(docs.unionByName(extra), benchmark).collect()}
+    vocabulary, items = next(latent.blocks_of(benchmark, "item_id", "text", latent.VOCABULARY))
+    bands = {}
+    for doc, _, item_id, copy in planted:
+        for item in (i for i in items if i.item_id == item_id):
+            accepted = latent.check(item, [vocabulary.get(w, 0) for w in latent.words_of(copy)])
+            if accepted:
+                band = bands.setdefault(min(9, int(accepted[0] * 10)), [])
+                band.append(item_id in found[doc])
+                break
+    assert sum(map(len, bands.values())) > 150 and all(len(b) >= 10 for b in bands.values())
+    recall = {band / 10: round(sum(b) / len(b), 3) for band, b in sorted(bands.items())}
+    print("recall by share left", recall)
+    assert min(recall.values()) >= 0.9 and recall[0.9] >= 0.98
