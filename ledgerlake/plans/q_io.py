@@ -150,14 +150,37 @@ def matrix_sheet_q(t):
     return FS.read_matrix_sheet(t.spark, path)
 
 
+_SHEETS = {"NB": ["lines", "orders"], "NR": ["orders"], "NV": ["qty", "lines", "orders"]}
+
+
+@query("matrix_folder", ["fact_sales"], """
+WITH m AS (SELECT product_line_id, substr(period, 1, 4) AS year, period, CAST(count(*) AS VARCHAR) AS lines,
+  CAST(count(DISTINCT l_orderkey) AS VARCHAR) AS orders, CAST(CAST(sum(all_qty) AS DECIMAL(38,2)) AS VARCHAR) AS qty FROM fact_sales GROUP BY ALL)
+""" + " UNION ALL ".join(
+    f"SELECT '{line}, \"' || year || '\"' AS label, period, '{c}' AS column_name, {c} AS value FROM m WHERE product_line_id = '{line}'"
+    for line, columns in _SHEETS.items() for c in columns))
+def matrix_folder_q(t):
+    """S9 by the folder: a sheet per product line and year, of three widths, each with its own label and header."""
+    path = scratch(t.spark, "sheets")
+    m = t["fact_sales"].groupBy("product_line_id", F.substring("period", 1, 4).alias("year"), "period").agg(
+        F.count(F.lit(1)).cast("string").alias("lines"), F.count_distinct("l_orderkey").cast("string").alias("orders"),
+        F.sum("all_qty").cast("decimal(38,2)").cast("string").alias("qty"))
+    line = F.coalesce(*[F.when(F.col("product_line_id") == k, F.concat_ws(",", "period", *c)) for k, c in _SHEETS.items()])
+    head = F.coalesce(*[F.when(F.col("product_line_id") == k, F.concat(F.lit(f'"{k}, ""'), F.col("year"), F.lit('"""\nmonth,' + ",".join(c))))
+                        for k, c in _SHEETS.items()])
+    sheets = m.groupBy("product_line_id", "year").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("body"))  # 12 lines a sheet
+    sheets.select(F.concat(head, F.lit("\n"), F.col("body")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return FS.read_matrix_folder(t.spark, path).drop("file")
+
+
 @query("source_corpus", ["fact_sales"], """
 SELECT product_line_id AS folder, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(branch) + 1) AS BIGINT) AS n_chars
 FROM fact_sales WHERE branch IS NOT NULL GROUP BY product_line_id""")
 def source_corpus_q(t):
     """Whole text files found recursively by extension; lines and characters of each folder."""
     path = scratch(t.spark, "corpus")
-    t["fact_sales"].where("branch IS NOT NULL").select("branch", F.col("product_line_id").alias("folder")).repartition(2) \
-        .write.partitionBy("folder").text(path)
+    t["fact_sales"].where("branch IS NOT NULL").select("branch", F.col("product_line_id").alias("folder")) \
+        .write.option("maxRecordsPerFile", 20_000).partitionBy("folder").text(path)
     found = FS.source_corpus(t.spark, path, "*.txt")
     return found.select(F.regexp_extract("path", r"/folder=([^/]*)/", 1).alias("folder"), "text").groupBy("folder").agg(
         F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("bigint").alias("n_lines"),

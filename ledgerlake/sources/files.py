@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -65,6 +65,31 @@ def read_matrix_sheet(spark: SparkSession, path: str, key: str = "period") -> Da
     return cells.select("c.*").withColumn("label", F.lit(label[0].strip()))
 
 
+def csv_cells(line: Column) -> Column:
+    """The cells of a delimited line as an array: quoted cells lose their quotes, doubled quotes become one, blanks stay."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    inner = lambda c: F.replace(F.substring(c, 2, F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), inner(c)).otherwise(c))
+
+
+def read_matrix_folder(spark: SparkSession, path: str, key: str = "period") -> DataFrame:
+    """S9 for a folder of sheets of any widths: ``file, label, <key>, column_name, value``, a row per cell.
+
+    Each file's first line is its label, its second its header; both are found where the file is read, by their place,
+    and differing headers meet as rows, so no file decides for another and nothing passes through the driver.  Empty
+    lines, cells beyond the header and columns without a name are left out; missing cells at a line's end are NULL; a
+    file without a header gives no rows.  A sheet is read whole by a task, as sheets are; the folder may hold any number."""
+    sheets = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.split("value", "\r?\n").alias("lines")).where(F.size("lines") >= 2)
+    lines = sheets.select("file", F.trim(csv_cells(F.col("lines")[0])[0]).alias("label"), csv_cells(F.col("lines")[1]).alias("header"),
+                          F.explode(F.slice("lines", 3, F.greatest(F.size("lines") - 2, F.lit(1)))).alias("line"))
+    cells = lines.where(F.length(F.trim("line")) > 0).select("file", "label", "header", csv_cells(F.col("line")).alias("cells"))
+    pairs = F.arrays_zip(F.expr("slice(header, 2, size(header))").alias("name"),
+                         F.expr("transform(sequence(1, greatest(size(header) - 1, 1)), i -> get(cells, i))").alias("value"))
+    out = cells.select("file", "label", F.col("cells")[0].alias(key), F.explode(pairs).alias("p"))
+    return out.select("file", "label", key, F.trim("p.name").alias("column_name"), F.col("p.value").alias("value")).where(F.length("column_name") > 0)
+
+
 def source_corpus(spark: SparkSession, root: str, glob: str = "*.{py,sql}") -> DataFrame:
     """Whole source files under ``root`` (recursive) as (path, text) rows."""
     return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)

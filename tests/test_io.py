@@ -121,3 +121,18 @@ def test_unique_keys_exempt_blank(spark):
     v = Q.unique_key_violations(df, {"k": ["k"], "kv": ["k", "v"]})
     assert sorted((r.key_group, r.key_value) for r in v.collect()) == [("k", "a"), ("k", "a"), ("kv", "a|1"),
                                                                        ("kv", "a|1")]
+
+
+def test_matrix_folder_of_many_shapes(spark, scratch):
+    import os
+
+    from ledgerlake.sources.files import read_matrix_folder
+    os.makedirs(f"{scratch}/sheets/deep")
+    sheets = {"a.csv": 'RATES A,,\nmonth,x,"y, z"\n202401,1,"2 ""q"""\n\n202402,,NA\n', "deep/b.csv": "B\r\nmonth,x\r\n202401,7,beyond\r\n202402\r\n",
+              "c.csv": "C only\n", "d.csv": "D\nmonth,x,,w\n", "e.csv": "E\nmonth,x\nRATES A,9"}
+    for name, text in sheets.items():
+        with open(f"{scratch}/sheets/{name}", "w", newline="") as f:
+            f.write(text)
+    got = sorted(((r.label, r.period, r.column_name, r.value) for r in read_matrix_folder(spark, f"{scratch}/sheets").collect()), key=str)
+    assert got == sorted([("RATES A", "202401", "x", "1"), ("RATES A", "202401", "y, z", '2 "q"'), ("RATES A", "202402", "x", ""),
+                          ("RATES A", "202402", "y, z", "NA"), ("B", "202401", "x", "7"), ("B", "202402", "x", None), ("E", "RATES A", "x", "9")], key=str)
