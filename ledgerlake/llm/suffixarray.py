@@ -2,16 +2,18 @@
 
 ``suffix_array`` classifies every suffix as smaller (S) or larger (L) than its right neighbour, sorts and names the
 leftmost-smaller (LMS) substrings, sorts the LMS suffixes recursively where names repeat, and induces the order
-of all other suffixes in two passes over the buckets.  A pass takes whole buckets at a time, so
-its cost is linear in the text with one vector step for each bucket and each repeat of a bucket's own letter.
+of all other suffixes in two passes over the buckets.  Over few letters a pass takes whole buckets at a time: its
+cost is linear in the text with one vector step for each bucket and each repeat of a bucket's own letter.  Over the many
+names of a recursive call it goes place by place.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-FEW = 4096
-"""An alphabet of more letters than this is sorted by doubling, as most buckets would hold one suffix."""
+CROWD = 64
+"""With fewer suffixes to a bucket than this, on average, a pass goes place by place: the same order, and less work
+than a vector step for each bucket."""
 
 
 def classify(t: np.ndarray) -> np.ndarray:
@@ -85,6 +87,33 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, starts: np.ndarray, l_
     return sa
 
 
+def induce_by_place(t: np.ndarray, s: np.ndarray, lms: np.ndarray, starts: np.ndarray, l_counts: np.ndarray) -> np.ndarray:
+    """The result of ``induce``, for many letters: one step for each place, linear in the text whatever its alphabet.
+
+    The walks read places that they have filled themselves: a suffix is always placed ahead of the walk.
+    """
+    n = len(t)
+    sa, letter, smaller = [-1] * n, t.tolist(), s.tolist()
+    last = np.bincount(t[lms], minlength=len(starts) - 1)  # the LMS suffixes wait at the ends of their buckets
+    at = np.repeat(starts[1:] - np.cumsum(last), last) + np.arange(len(lms))
+    for place, i in zip(at.tolist(), lms.tolist()):
+        sa[place] = i
+    heads = starts[:-1].tolist()
+    for i in sa:
+        if i > 0 and not smaller[i - 1]:
+            c = letter[i - 1]
+            sa[heads[c]] = i - 1
+            heads[c] += 1
+    tails = starts[1:].tolist()
+    for i in reversed(sa):
+        if i > 0 and smaller[i - 1]:
+            c = letter[i - 1]
+            tails[c] -= 1
+            sa[tails[c]] = i - 1
+    sa[0] = n - 1
+    return np.array(sa, np.int32)
+
+
 def name_substrings(t: np.ndarray, s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, int]:
     """Ranks of the LMS substrings, in text order, from their sorted order; and the number of ranks."""
     n = len(t)
@@ -109,24 +138,6 @@ def name_substrings(t: np.ndarray, s: np.ndarray, lms: np.ndarray, ordered: np.n
     return names[lms], int(rank[-1]) + 1
 
 
-def by_doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix order of a text over many letters, by sorting pairs of ranks of doubling length."""
-    n, k = len(t), 1
-    _, rank = np.unique(t, return_inverse=True)
-    rank = rank.astype(np.int64)
-    while True:
-        key = rank * (n + 1)
-        key[:n - k] += rank[k:] + 1 if k < n else 0
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
-            return order
-        k *= 2
-
-
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``t`` in ascending order; ``t`` ends with its unique smallest letter, 0."""
     t = np.asarray(t, np.int32)  # a shard is far below 2 ** 31 letters; half the memory of 64 bits
@@ -134,8 +145,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     if n <= 2:
         return np.arange(n)[::-1].copy()
     letters = int(t.max()) + 1
-    if letters > FEW:
-        return by_doubling(t)
+    order_from = induce if n >= CROWD * letters else induce_by_place
     s = classify(t)
     lms = np.flatnonzero(s[1:] & ~s[:-1]).astype(np.int32) + 1
     counts = np.bincount(t, minlength=letters)
@@ -144,12 +154,12 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     # LMS suffixes in any order inside their buckets sort the LMS substrings
-    rough = induce(t, s, lms[np.argsort(t[lms], kind="stable")], starts, l_counts)
+    rough = order_from(t, s, lms[np.argsort(t[lms], kind="stable")], starts, l_counts)
     ordered = rough[is_lms[rough]]
     names, kinds = name_substrings(t, s, lms, ordered)
     if kinds < len(lms):
         ordered = lms[suffix_array(names)]  # the last name is the sentinel's, the smallest
-    return induce(t, s, ordered, starts, l_counts)
+    return order_from(t, s, ordered, starts, l_counts)
 
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, limit: int, own: np.ndarray | None = None) -> np.ndarray:
