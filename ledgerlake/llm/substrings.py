@@ -18,7 +18,8 @@ included) is removed.  Strings are judged on the input.
 Scale: rows are keyed by content, so exact copies collapse in pre-aggregation and a passage shared by a third of
 all documents makes one variant.  A key with more than ``HOT`` variants (many texts that run into the same
 passage) is not sorted in one shard: its windows are broken into single strings, whose own hashes spread them and
-which are pre-aggregated as in step 2.  Joins are equi-joins that Spark splits when skewed.
+which are pre-aggregated as in step 2.  In joins, the rows of a key that holds over a ``HEAVY``-th of all rows stay
+where they are (``meet``).
 
 Defined results: null and empty texts have no bytes and nothing removed; repeated rows with one doc_id are each
 judged (they are copies of each other only if the texts say so); an empty table gives no rows; extra columns
@@ -44,6 +45,8 @@ SHARD = 1 << 20
 """Bytes of windows in a shard, before the last key's."""
 HOT = 20_000
 """Windows of one key in a shard: with them a shard has 7 MB at most, and its arrays some 250 MB."""
+HEAVY = 2_000
+"""A key with more than this part of all rows is found by a broadcast of fewer than this many keys."""
 BLOCK = 1 << 22
 """Bytes hashed at a time."""
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -205,6 +208,21 @@ def shards(windows: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, kind)
 
 
+def meet(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, total: int, more: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined with ``keyed``, which holds each ``on`` once and in ``weight`` its number of rows, of ``total`` in all.
+    ``more`` has further keys, each of a single row.
+
+    A key with more than one ``HEAVY``-th of all rows is not dealt to a task: there are fewer than ``HEAVY`` such keys in
+    any data, so a broadcast finds their rows where they lie.  Of the others, none has more than that part.
+    """
+    most = total // HEAVY
+    heavy, light = keyed.where(F.col(weight) > most), keyed.where(F.col(weight) <= most)
+    if more is not None:
+        light = light.unionByName(more)
+    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(heavy), on).unionByName(rest.join(light, on))
+
+
 def fetch(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """``rows`` (key, content, doc, place, n, hot) with their windows' ``bytes``, cut out of the documents' texts."""
     wanted = rows.groupBy("doc").agg(F.collect_list(F.struct("key", "content", "place", "n", "hot")).alias("w"))
@@ -235,8 +253,9 @@ def single_strings(windows: DataFrame, length: int) -> DataFrame:
 
     strings = windows.select("key", "content", "n", "bytes").mapInArrow(
         together(run), "key long, content long, i int, h1 long, h2 long")
-    twice = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
-    found = strings.join(twice, ["h1", "h2"]).groupBy("key", "content").agg(F.collect_list("i").alias("at"))
+    twice = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1")
+    total = windows.agg(F.sum("n")).first()[0] or 0
+    found = meet(strings, twice, ["h1", "h2"], "c", total).groupBy("key", "content").agg(F.collect_list("i").alias("at"))
     return found.select("key", "content", F.transform("at", lambda i: F.struct(i.alias("a"), (i + 1).alias("b"))).alias("parts"))
 
 
@@ -249,20 +268,21 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{doc_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     made = store(runs(texts, length, gram), "runs")
-    keys = made.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    found = store(made.join(keys, "key"), "candidate-runs")
+    keys = made.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    found = store(meet(made, keys, ["key"], "k", made.count()).drop("k"), "candidate-runs")
     variants = found.groupBy("key", "content").agg(
         F.count("*").alias("c"), F.min(F.struct("doc", "place", "n")).alias("first"))
     variants = store(variants, "variants")
     mixed = variants.groupBy("key").agg(F.count("*").alias("v")).where("v > 1")
-    wanted = variants.join(mixed, "key").select("key", "content", "first.doc", "first.place", "first.n",
+    wanted = meet(variants, mixed, ["key"], "v", variants.count()).select("key", "content", "first.doc", "first.place", "first.n",
                                                 (F.col("v") > hot).alias("hot"))
     windows = store(fetch(wanted, texts, length), "windows")
     parts = shards(windows.where("not hot"), length).unionByName(single_strings(windows.where("hot"), length))
-    whole = variants.where("c > 1").select("key", "content", F.array(F.struct(
+    copied = variants.where("c > 1")
+    whole = copied.select("key", "content", "c", F.array(F.struct(
         F.lit(0).alias("a"), F.col("first.n").alias("b"))).alias("parts"))
-    parts = whole.unionByName(parts.join(variants.where("c > 1").select("key", "content"), ["key", "content"], "left_anti"))
-    spans = found.join(parts, ["key", "content"]).select("doc", F.explode("parts").alias("p"), "place").select(
+    single = parts.join(copied.select("key", "content"), ["key", "content"], "left_anti").withColumn("c", F.lit(1).cast("long"))
+    spans = meet(found, whole, ["key", "content"], "c", found.count(), single).select("doc", F.explode("parts").alias("p"), "place").select(
         "doc", F.struct((F.col("place") + F.col("p.a")).cast("long").alias("a"),
                         (F.col("place") + F.col("p.b") + F.lit(length - 1)).cast("long").alias("b")).alias("s"))
     return spans.groupBy("doc").agg(F.collect_list("s").alias("spans"))

@@ -97,3 +97,25 @@ def test_whole_table(spark):
     d = "/root/testdata/sf0.001"
     texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     assert rows(QUERIES["op7_substrings"](spark, d)) == brute(texts, 200)
+
+
+def test_few_keys_hold_most_rows(spark, monkeypatch):
+    passage = "".join(random.Random(8).choice("abcdefgh") for _ in range(70))
+    texts = [(d, f"{d:04d}" * 6 + passage + f"{d * 7:05d}" * 5) for d in range(120)] + [(d, passage * 2) for d in range(200, 260)]
+    texts += shared_texts(9, 20)
+    df = spark.createDataFrame([(d, t, "x") for d, t in texts], SCHEMA)
+    for heavy in (1, 5, 2000):
+        monkeypatch.setattr(substrings, "HEAVY", heavy)
+        for hot in (10, 2000):
+            assert rows(substrings.digest(df, length=30, gram=8, hot=hot)) == brute(texts, 30), (heavy, hot)
+
+
+def test_recursion_over_many_names():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(6000)]
+    t = np.frombuffer(" ".join(rng.choices(words, k=20_000)).encode(), np.uint8).astype(np.int32)
+    t = np.concatenate([t, t[:3000], [0]])
+    sa = suffix_array(t)
+    whole = bytes(t.astype(np.uint8))
+    assert sorted(sa.tolist()) == list(range(len(t)))
+    assert all(whole[a:a + 4000] < whole[b:b + 4000] for a, b in zip(sa[:-1].tolist(), sa[1:].tolist()))
