@@ -277,7 +277,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     wanted = meet(variants, mixed, ["key"], "v", variants.count()).select("key", "content", "first.doc", "first.place", "first.n",
                                                 (F.col("v") > hot).alias("hot"))
     windows = store(fetch(wanted, texts, length), "windows")
-    parts = shards(windows.where("not hot"), length).unionByName(single_strings(windows.where("hot"), length))
+    parts = store(shards(windows.where("not hot"), length).unionByName(single_strings(windows.where("hot"), length)), "parts")
     copied = variants.where("c > 1")
     whole = copied.select("key", "content", "c", F.array(F.struct(
         F.lit(0).alias("a"), F.col("first.n").alias("b"))).alias("parts"))
