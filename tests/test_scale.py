@@ -17,3 +17,37 @@ def test_a_group_meets_its_items_once_however_many_gaps_it_has(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     join = plan[plan.index("Join LeftOuter"):]
     assert join.count("Aggregate") >= 2  # both sides of the join are distinct
+
+
+def test_stored_values_meet_items_before_the_periods_repeat_them(spark):
+    """The latest stored values are joined to 2 items, not to 2 items * 3 periods; a NULL key and a repeated stored row
+    keep their SQL meaning."""
+    from ledgerlake.operators import spine as S
+
+    now = spark.createDataFrame([("a", "x", "202403", 9.0), (None, "x", "202403", 8.0)], "k string, g string, period string, v double")
+    stored = spark.createDataFrame([("a", "x", "202401", 1.0), ("a", "x", "202402", 2.0), ("a", "x", "202402", 3.0), (None, "x", "202402", 4.0)],
+                                   "k string, g string, period string, v double")
+    out = PG.gap_history(now, stored, ["k", "g"], ["v"])
+    # two stored rows of the last month: each fills the periods, and both meet themselves in their own month
+    want = [("a", "202401", 1.0)] * 2 + [("a", "202402", 2.0)] * 2 + [("a", "202402", 3.0)] * 2 + [("a", "202403", 9.0)] * 2
+    want += [(None, m, None) for m in ("202401", "202402", "202403")]
+    assert sorted(map(str, ((r.k, r.period, r.v) for r in out.collect()))) == sorted(map(str, want))
+    items = S.key_union([now, stored], ["k", "g"])
+    plain = S.carry_forward(S.period_skeleton(items, now.select("period").union(stored.select("period"))), now, stored, ["k", "g"], "period", ["v"])
+    assert sorted(map(str, plain.collect())) == sorted(map(str, out.collect()))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("Join LeftOuter")  # a join lies below the periods
+
+
+def test_the_report_is_read_for_its_newest_month_once(spark):
+    """Both gap models read one stored month, not the report once for every maximum and use."""
+    from paths import SF_SMALL
+
+    from ledgerlake.plans import q_marts
+    from ledgerlake.sources.adapters import MartTables
+
+    t = MartTables(spark, SF_SMALL)
+    for gap in (q_marts.kp_now, q_marts.cg_now, q_marts.kp_gap, q_marts.cg_gap):
+        gap(t)
+    assert q_marts.newest_report(t).select("gl_yearmonth").distinct().count() == 1
+    assert not [f for f in q_marts.newest_report(t).inputFiles() if "lineitem" in f]
