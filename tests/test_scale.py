@@ -51,3 +51,50 @@ def test_the_report_is_read_for_its_newest_month_once(spark):
         gap(t)
     assert q_marts.newest_report(t).select("gl_yearmonth").distinct().count() == 1
     assert not [f for f in q_marts.newest_report(t).inputFiles() if "lineitem" in f]
+
+
+def test_files_of_parts_follow_their_rows(spark, scratch):
+    """A part table in one small file is stored as several, so that no task makes, sorts or reads all months of all parts."""
+    from ledgerlake.sources.adapters import PARTS_A_FILE, MartTables, spread
+
+    n = 2 * PARTS_A_FILE + 5
+    spark.range(n).select(F.col("id").alias("p_partkey"), F.lit("a nut").alias("p_name"), F.lit("B").alias("p_brand"), F.lit("T").alias("p_type"),
+                          F.lit(1).alias("p_size"), F.lit(1.5).alias("p_retailprice")).coalesce(1).write.parquet(f"{scratch}/part.parquet")
+    stored = MartTables(spark, scratch)["part_attr"]
+    assert len(stored.inputFiles()) == 3 and stored.count() == n and stored.agg(F.count_distinct("part_number")).first()[0] == n
+    assert spread(spark.range(5).coalesce(1), 10).rdd.getNumPartitions() == 1
+
+
+def test_one_numeric_value_per_key_needs_no_sort(spark):
+    from ledgerlake.operators.lookup import dedupe_lookup
+
+    rows = [("a ", 1.0), ("a", 3.0), ("a", None), ("b", None), (None, 2.0), (None, 5.0)]
+    out = dedupe_lookup(spark.createDataFrame(rows, "k string, v double"), ["k"], ["v"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("a", 3.0), ("b", None), (None, 5.0)], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_the_arrays_of_a_lookup_are_carried_by_its_join_only(spark):
+    """Two periods are searched in one projection; none above it holds the entries of all months."""
+    from ledgerlake.operators.fusion import Series, attach, fuse
+
+    fact = spark.createDataFrame([("a", "202401", "202402"), ("b", None, "202401")], "k string, p string, q string")
+    cost = spark.createDataFrame([("a", "202401", 1.0), ("a", "202402", 2.0)], "key string, period string, c double")
+    out = attach(fact, fuse([Series(cost, {"k": "key"}, "max", "c", exact={"x": "p", "y": "q"}, latest={"z": "p"})]))
+    assert sorted(map(str, (tuple(r) for r in out.select("k", "x", "y", "z").collect()))) == ["('a', 1.0, 2.0, 1.0)", "('b', None, None, None)"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Join LeftOuter")].splitlines()
+    assert sum("__entries" in line for line in above) == 1
+
+
+def test_tables_keep_wide_projections_out_of_one_method(spark, scratch):
+    from ledgerlake.sources.adapters import MartTables
+
+    kept = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        MartTables(spark, scratch)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", kept)
