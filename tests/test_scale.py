@@ -85,3 +85,34 @@ def test_tables_keep_wide_projections_out_of_one_method(spark, scratch):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     finally:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", kept)
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_of_parts_are_not_broadcast(spark):
+    """However small their files: the joins of quotes, component map and rebates shuffle; rows without a partner keep
+    their SQL meaning."""
+    from paths import SF_SMALL
+
+    from ledgerlake.sources.adapters import MartTables
+
+    result = spark.createDataFrame([("NB", "p1", "m", "20240101"), ("NV", "p2", "m", "20240101"), ("NV", None, "m", "20240101")],
+                                   "product_line string, part_number string, model_name string, ds string")
+    pairs = spark.createDataFrame([("i1", "p1"), ("i1", "p1"), ("i2", "p2"), ("i3", None)], "item_no string, part_number string")
+    rebate = spark.createDataFrame([("i1", "NB", "c", 1.0, "202401", "20240101"), ("i2", "NV", "c", None, "202401", "20240101"),
+                                    ("i1", "NB", "c", 9.0, "202401", "20231231"), (None, "NV", "c", 3.0, "202401", "20240101")],
+                                   "item_no string, product_line string, cpu string, extra_rebate double, period string, ds string")
+    extra = PG.extra_rebate(result, pairs, rebate)
+    assert [(r.part_number, r.extra_rebate) for r in extra.collect()] == [("p1", 1.0)]
+    sellout = PG.sellout_rebate(result, pairs, rebate.withColumnRenamed("extra_rebate", "reb").withColumn("product_line", F.lit("NV")))
+    assert sellout.count() == 0
+    lazy = MartTables(spark, SF_SMALL, materialize=False)
+    for df in (extra, sellout, lazy["quotes"], lazy["bom"]):
+        assert "SortMergeJoin" in executed(df) and "BroadcastExchange" not in executed(df)
+    tables = MartTables(spark, SF_SMALL)
+    tables["cost_branch"]
+    branches = tables.memo("fact_branches", None)
+    assert branches.count() == tables["fact_sales"].select("period", "branch").distinct().count()
+    assert not [f for f in branches.inputFiles() if "lineitem" in f]
