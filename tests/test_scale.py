@@ -116,3 +116,24 @@ def test_tables_of_parts_are_not_broadcast(spark):
     branches = tables.memo("fact_branches", None)
     assert branches.count() == tables["fact_sales"].select("period", "branch").distinct().count()
     assert not [f for f in branches.inputFiles() if "lineitem" in f]
+
+
+def test_history_is_not_moved_to_its_periods(spark):
+    """The batch's periods go to the history's rows; a NULL period of either side finds nothing."""
+    from ledgerlake.plans.grossprofit import accumulate
+    from ledgerlake.sources.adapters import ACCUM_CONTRACT
+
+    def rows(*periods):
+        return spark.createDataFrame([(p, "1") for p in periods], "period string, ds string").select(
+            *[F.col("period") if c == "period" else F.lit("x").alias(c) for c in ACCUM_CONTRACT], "ds")
+
+    batch = rows("202402", None)
+    grouped = batch.groupBy(*ACCUM_CONTRACT).count().drop("count")  # a batch of unknown size
+    wide = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = accumulate(rows("202401", "202402", "202402", None), grouped, "20240201", F.lit("now"))
+        assert "SortMergeJoin" not in executed(out)
+        assert sorted(r.period or "" for r in out.collect()) == ["", "", "202401", "202402"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
