@@ -137,3 +137,17 @@ def test_history_is_not_moved_to_its_periods(spark):
         assert sorted(r.period or "" for r in out.collect()) == ["", "", "202401", "202402"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
+
+
+def test_sales_rows_travel_without_what_is_derived_from_them(spark):
+    """The tables per part are joined first (the lowest join): rates, freight and names of customers come after."""
+    from paths import SF_SMALL
+
+    from ledgerlake.plans.q_gross import local
+    from ledgerlake.sources.adapters import MartTables
+
+    for monthly in (False, True):
+        plan = local(MartTables(spark, SF_SMALL), monthly)._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.split("\n") if "Join LeftOuter" in line and "__k_" in line]
+        assert len(joins) == 3 and "part_number" in joins[-1] and "part_number" not in "".join(joins[:-1])
+        assert "Walmart" not in plan[plan.index(joins[-1]):]
