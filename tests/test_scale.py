@@ -151,3 +151,29 @@ def test_sales_rows_travel_without_what_is_derived_from_them(spark):
         joins = [line for line in plan.split("\n") if "Join LeftOuter" in line and "__k_" in line]
         assert len(joins) == 3 and "part_number" in joins[-1] and "part_number" not in "".join(joins[:-1])
         assert "Walmart" not in plan[plan.index(joins[-1]):]
+
+
+def test_stored_rows_go_to_their_folders_without_a_sort(spark, scratch, monkeypatch):
+    """Tasks keep the folders of all values open, or sort what is left; all rows come back, the session's setting too, and
+    repeated text is compressed."""
+    import os
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import DataFrameWriter
+
+    from ledgerlake.operators import versioned
+
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(int(spark.conf.get(key))), write(self, *a, **k))[1])
+    rows = spark.range(0, 700, 1, 2).select("id", F.when(F.col("id") % 7 > 0, (F.col("id") % 7).cast("string")).alias("period"),
+                                            F.lit("0123456789" * 20).alias("text"))
+    before = spark.conf.get(key)
+    for most in (versioned.OPEN_FOLDERS, 2):
+        monkeypatch.setattr(versioned, "OPEN_FOLDERS", most)
+        table = versioned.VersionedTable(spark, f"{scratch}/t{most}", "period")
+        table.replace_all(rows)
+        assert sorted(map(str, table.read().collect())) == sorted(map(str, rows.collect()))
+        assert sorted(e["rows"] for e in table.manifest()["partitions"].values()) == [100] * 7
+    assert seen == [96, 2] and spark.conf.get(key) == before
+    files = [f"{d}/{f}" for d, _, names in os.walk(scratch) for f in names if f.endswith(".parquet")]
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
