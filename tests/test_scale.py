@@ -177,3 +177,27 @@ def test_stored_rows_go_to_their_folders_without_a_sort(spark, scratch, monkeypa
     assert seen == [96, 2] and spark.conf.get(key) == before
     files = [f"{d}/{f}" for d, _, names in os.walk(scratch) for f in names if f.endswith(".parquet")]
     assert files and {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
+
+
+def test_fused_lookups_are_summed_by_hash(spark):
+    """No sort of all stacked rows and no window; the greatest text, the periods of a source shared by its values."""
+    from ledgerlake.operators.fusion import Series, attach, fuse
+
+    rows = spark.createDataFrame([("a", "202401", 1.0, "x", 3), ("a", "202401", 2.0, "y", None), ("a", "202403", None, None, 5), ("b", None, 1.0, "z", 1),
+                                  (None, "202401", 9.0, "n", 9)], "k string, p string, v double, t string, n int")
+    fused = fuse([Series(rows, {"k": "k"}, "sum", "v", period="p", exact={"v": "month"}, latest={"last_v": "month"}),
+                  Series(rows, {"k": "k"}, "max", "n", period="p", exact={"n": "month"}),
+                  Series(rows, {"k": "k"}, "mean", "n", period="p", latest={"mean_n": "month"})])
+    plan = executed(fused[0].table)
+    assert "Window" not in plan and "SortAggregate" not in plan
+    assert [c for c in fused[0].table.columns if c.startswith("__p")] == ["__p0"]
+    fused += fuse([Series(rows, {"k": "k"}, "max", "t", period="p", exact={"t": "month"}, latest={"last_t": "month"})])
+    fact = spark.createDataFrame([("a", "202401"), ("a", "202402"), ("a", "202409"), ("a", "2024"), ("a", None), ("b", "202401"), (None, "202401")], "k string, month string")
+    out = {(r.k, r.month): (r.v, r.last_v, r.n, r.mean_n, r.t, r.last_t) for r in attach(fact, fused).collect()}
+    none = (None,) * 6
+    assert out == {("a", "202401"): (3.0, 3.0, 3, 3.0, "y", "y"), ("a", "202402"): (None, 3.0, None, 3.0, None, "y"),
+                   ("a", "202409"): (None, None, None, 5.0, None, None), ("a", "2024"): none, ("a", None): none, ("b", "202401"): none,
+                   (None, "202401"): none}
+    by_number = fuse([Series(rows.where("v > 0"), {"k": "k"}, "max", "t", period="n", exact={"t": "at"}, latest={"last_t": "at"})])
+    fact = spark.createDataFrame([("a", 2), ("a", 3), ("a", 4)], "k string, at int")
+    assert [(r.at, r.t, r.last_t) for r in attach(fact, by_number).orderBy("at").collect()] == [(2, None, None), (3, "x", "x"), (4, None, "x")]
