@@ -201,3 +201,24 @@ def test_fused_lookups_are_summed_by_hash(spark):
     by_number = fuse([Series(rows.where("v > 0"), {"k": "k"}, "max", "t", period="n", exact={"t": "at"}, latest={"last_t": "at"})])
     fact = spark.createDataFrame([("a", 2), ("a", 3), ("a", 4)], "k string, at int")
     assert [(r.at, r.t, r.last_t) for r in attach(fact, by_number).orderBy("at").collect()] == [(2, None, None), (3, "x", "x"), (4, None, "x")]
+
+
+def test_files_of_a_drop_follow_its_rows(spark, monkeypatch):
+    """A file is hashed as a whole, so a larger table comes in more files; the first drop's files come again with the same bytes."""
+    import hashlib
+    from pathlib import Path
+
+    from paths import SF_SMALL
+
+    from ledgerlake.plans import q_io
+    from ledgerlake.sources.adapters import tables
+
+    folders, scratch = [], q_io.scratch
+    monkeypatch.setattr(q_io, "scratch", lambda *a: (folders.append(scratch(*a)), folders[-1])[1])
+    monkeypatch.setattr(q_io, "ROWS_A_FILE", 200)
+    t = tables(spark, SF_SMALL)
+    assert q_io.file_arrival_contents_q(t).count() == t["fact_sales"].count()
+    files = [p.read_bytes() for p in Path(folders[0].removeprefix("file:")).rglob("part-*.csv")]
+    first, second = (-(-t["fact_sales"].where(w).count() // 200) for w in ("l_linenumber <= 2", "l_linenumber > 2"))
+    assert first > 4 and len(files) == 2 * first + second
+    assert len({hashlib.sha256(b).hexdigest() for b in files}) == first + second
