@@ -222,3 +222,22 @@ def test_files_of_a_drop_follow_its_rows(spark, monkeypatch):
     first, second = (-(-t["fact_sales"].where(w).count() // 200) for w in ("l_linenumber <= 2", "l_linenumber > 2"))
     assert first > 4 and len(files) == 2 * first + second
     assert len({hashlib.sha256(b).hexdigest() for b in files}) == first + second
+
+
+def test_gaps_are_added_without_the_zeros_of_other_families(spark):
+    """A family's sum is 0 where the part has rows of others only, and NULL where all its rows are its own and have no gap."""
+    pairs = spark.createDataFrame([("AG1", "i1", "90NBx", 2.0), ("AG2", "i2", "90NBy", 3.0)], "ag_no string, item_no string, part_number string, kp_qty double")
+    gap = spark.createDataFrame([("NB", "LCD", "AG1", "202401", 1.5), ("NB", "ssd", "AG1", "202401", None), ("NB", None, "AG1", "202401", 7.0),
+                                 ("NB", "DDR", "AG2", "202401", None)], "product_line string, category string, ag_no string, period string, bs_gap double")
+    missed = spark.createDataFrame([], "product_line string, category string, item_no string, period string, bs_gap double")
+    out = PG.keypart_gap_by_part(gap, missed, pairs)
+    assert {r.part_number: tuple(None if v is None else float(v) for v in r[3:]) for r in out.collect()} == {
+        "90NBx": (3.0, 0.0, 0.0, 0.0), "90NBy": (0.0, 0.0, None, 0.0)}
+    cg = spark.createDataFrame([("NB", "CPU", "i1", "202401", None, 1.0), ("NB", None, "i2", "202401", 4.0, 4.0)],
+                               "product_line string, category string, item_no string, period string, bs_gap double, rebate double")
+    parts = PG.cpugpu_gap_by_part(cg, pairs)
+    assert {r.part_number: tuple(None if v is None else float(v) for v in r[3:]) for r in parts.collect()} == {
+        "90NBx": (None, 2.0, 0.0, 0.0), "90NBy": (0.0, 0.0, 0.0, 0.0)}
+    for df in (out, parts):
+        added = df._jdf.queryExecution().analyzed().toString().split("sum(")[1:]
+        assert added and not [x for x in added if "else" in x[:x.index(" END")].lower()]
